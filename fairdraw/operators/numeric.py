@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,25 +65,31 @@ def quantiles(
     )
 
 
-def _by_column(table: DataFrame, value: Column) -> Column:
-    """Scalar subquery: a map from column name to the array of its quantiles in
-    ascending order of probability. One row, whatever the data."""
-    arrays = table.groupBy("column").agg(
-        F.array_sort(F.collect_list(F.struct("probability", value.alias("value")))).alias("limits")
-    )
-    return arrays.agg(
-        F.map_from_entries(F.collect_list(F.struct("column", F.col("limits.value")))).alias("limits")
-    ).scalar()
+def _limits_of(table: DataFrame) -> Column:
+    """Scalar subquery: a map from column name to the array of its quantiles,
+    exact and rounded, in ascending order. One row, whatever the data."""
+    entry = F.struct("probability", "value", report_round(F.col("value"), DECILE_DIGITS).alias("rounded"))
+    arrays = table.groupBy("column").agg(F.array_sort(F.collect_list(entry)).alias("limits"))
+    return arrays.agg(F.map_from_entries(F.collect_list(F.struct("column", "limits")))).scalar()
 
 
-def winsorize(df: DataFrame, columns: Sequence[str], tail: float = TAIL) -> DataFrame:
-    """Set values above the tail quantile to it, column by column."""
-    limits = _by_column(quantiles(df, columns, [tail]), F.col("value"))
-    cut = {
-        c: F.expr(f"if({name(c)} is null, null, least(cast({name(c)} as double), {_LIMITS}[{text(c)}][0]))")
-        for c in columns
-    }
-    return df.withColumn(_LIMITS, limits).withColumns(cut).drop(_LIMITS)
+def _clipped(column: str, position: int) -> Column:
+    limit = f"{_LIMITS}[{text(column)}][{position}].value"
+    return F.expr(f"if({name(column)} is null, null, least(cast({name(column)} as double), {limit}))")
+
+
+def winsorize(
+    df: DataFrame,
+    columns: Sequence[str],
+    tail: float = TAIL,
+    *,
+    population: DataFrame | None = None,
+) -> DataFrame:
+    """Set values above the tail quantile to it, column by column. The quantile
+    is that of ``population``, or else of the table itself."""
+    limits = _limits_of(quantiles(df if population is None else population, columns, [tail]))
+    clipped = {c: _clipped(c, 0) for c in columns}
+    return df.withColumn(_LIMITS, limits).withColumns(clipped).drop(_LIMITS)
 
 
 def deciles(df: DataFrame, columns: Sequence[str], *, clip_at: float | None = None) -> DataFrame:
@@ -92,10 +98,10 @@ def deciles(df: DataFrame, columns: Sequence[str], *, clip_at: float | None = No
     return table.withColumn("value", report_round(F.col("value"), DECILE_DIGITS))
 
 
-def bucket_expression(value: str, limits: str) -> str:
-    """SQL text of the bucket of a value among the rounded deciles: 0.1 below
-    the second decile, then the highest decile reached, at most 0.9."""
-    steps = " ".join(f"when {value} < {limits}[{k}] then {k / 10!r}D" for k in range(1, 9))
+def _bucket(value: str, limit: str) -> str:
+    """SQL text of the bucket of a value: 0.1 below the second decile, then the
+    highest decile reached, at most 0.9. ``limit`` has a place for the index."""
+    steps = " ".join(f"when {value} < {limit.format(k)} then {k / 10!r}D" for k in range(1, 9))
     return f"case when {value} is null then null {steps} else 0.9D end"
 
 
@@ -106,15 +112,91 @@ def decile_buckets(
     clip_at: float | None = None,
     prefix: str = BUCKET_PREFIX,
 ) -> DataFrame:
-    """Add a bucket column per numeric column. With ``clip_at`` the column is
-    winsorized there, in the result too."""
-    table = deciles(df, columns, clip_at=clip_at)
-    if clip_at is not None:
-        tails = quantiles(df, columns, [clip_at], clip_at=clip_at)
-        df = winsorize(df, columns, clip_at)
-        del tails
-    limits = _by_column(table, F.col("value"))
+    """Add a bucket column per numeric column: nine buckets, the first holding
+    the two lowest tenths. With ``clip_at`` the columns are winsorized there,
+    in the result too; the highest decile of a clipped column is its tail."""
+    limits = _limits_of(quantiles(df, columns, DECILES, clip_at=clip_at))
     buckets = {
-        prefix + c: F.expr(bucket_expression(name(c), f"{_LIMITS}[{text(c)}]")) for c in columns
+        prefix + c: F.expr(_bucket(name(c), f"{_LIMITS}[{text(c)}][{{}}].rounded")) for c in columns
     }
-    return df.withColumn(_LIMITS, limits).withColumns(buckets).drop(_LIMITS)
+    clipped = {} if clip_at is None else {c: _clipped(c, 9) for c in columns}
+    return df.withColumn(_LIMITS, limits).withColumns({**buckets, **clipped}).drop(_LIMITS)
+
+
+def position_buckets(df: DataFrame, order_by: str, bucket: str = "position_bucket") -> DataFrame:
+    """Bucket the row positions 1..n under an order like decile buckets.
+
+    The deciles of 1..n are known in closed form, so only the order values at
+    eight positions are looked up; no rows are numbered or sorted. The order
+    column must be numeric or a timestamp; equal values share a bucket.
+    """
+    values = df.select(
+        F.lit(order_by).alias("column"), F.col(order_by).cast("double").alias("x")
+    ).where("x is not null")
+    scale = float(10**DECILE_DIGITS)
+    place = "cast(ceil(floor((1 + (n - 1) * {k}D) * {s}D + 0.5D) / {s}D) as bigint)"
+    ranks = ", ".join(
+        "struct({k}D as target, {p} as rank, {p} as next_rank)".format(
+            k=k / 10, p=place.format(k=k / 10, s=scale)
+        )
+        for k in range(2, 10)
+    )
+    found = order_statistics(values, ["column"], f"array({ranks})", many=8)
+    entry = F.struct("target", "x_at")
+    limits = found.agg(F.array_sort(F.collect_list(entry)).alias("limits")).scalar()
+    value = f"cast({name(order_by)} as double)"
+    steps = " ".join(
+        f"when {value} < {_LIMITS}[{k - 1}].x_at then {k / 10!r}D" for k in range(1, 9)
+    )
+    return (
+        df.withColumn(_LIMITS, limits)
+        .withColumn(bucket, F.expr(f"case {steps} else 0.9D end"))
+        .drop(_LIMITS)
+    )
+
+
+def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, n, min, q1, median, mean, q3, max``; nulls are left out."""
+    pairs = ", ".join(f"{text(c)}, cast({name(c)} as double)" for c in columns)
+    values = df.select(F.expr(f"stack({len(columns)}, {pairs}) as (column, x)"))
+    moments = values.groupBy("column").agg(
+        F.count("x").alias("n"), F.min("x").alias("min"), F.avg("x").alias("mean"), F.max("x").alias("max")
+    )
+    quarters = quantiles(df, columns, [0.25, 0.5, 0.75]).groupBy("column").agg(
+        *[
+            F.max(F.when(F.col("probability") == p, F.col("value"))).alias(label)
+            for p, label in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))
+        ]
+    )
+    return moments.join(F.broadcast(quarters), "column", "left").select(
+        "column", "n", "min", "q1", "median", "mean", "q3", "max"
+    )
+
+
+def _measures(df: DataFrame, columns: Sequence[str], value: str) -> DataFrame:
+    summary = numeric_summary(df, columns)
+    names = ["min", "q1", "median", "mean", "q3", "max"]
+    pairs = ", ".join(f"'{n}', {n}" for n in names)
+    return summary.select(
+        "column", F.expr(f"stack({len(names)}, {pairs}) as (measure, {value})")
+    ).unionByName(
+        deciles(df, columns).selectExpr(
+            "column", "concat('decile_', cast(cast(probability * 10 as int) as string)) as measure", f"value as {value}"
+        )
+    )
+
+
+def numeric_before_after(population: DataFrame, sample: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Summary and deciles of both tables side by side:
+    ``column, measure, population, sample``. Sixteen rows per column."""
+    return _measures(population, columns, "population").join(
+        F.broadcast(_measures(sample, columns, "sample")), ["column", "measure"], "left"
+    )
+
+
+def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``column, n_null`` in one pass over all columns."""
+    columns = df.columns if columns is None else list(columns)
+    counted = df.agg(*[F.expr(f"count_if({name(c)} is null)").alias(f"n_{i}") for i, c in enumerate(columns)])
+    pairs = ", ".join(f"{text(c)}, n_{i}" for i, c in enumerate(columns))
+    return counted.select(F.expr(f"stack({len(columns)}, {pairs}) as (column, n_null)"))

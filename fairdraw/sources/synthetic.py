@@ -1,0 +1,93 @@
+"""A synthetic viewing population with weighted categories."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fairdraw.functions.columns import only_if, report_round
+from fairdraw.functions.priority import HEX_DIGITS, RESOLUTION
+
+# Fixed values of the population.
+CONTENT_TYPES = {"Sports": 0.45, "Entertainment": 0.55}
+SPORTS = ("Football", "Tennis", "Padel", "Motorsports", "Basketball", "Cricket", "Swimming")
+GENRES = ("Drama", "Action", "Horror", "Comedy", "PG", "Thriller", "Romance")
+LANGUAGES = {"Arabic": 0.35, "English": 0.40, "Turkish": 0.10, "French": 0.08, "Hindi": 0.07}
+COUNTRIES_V1 = {
+    "UAE": 0.25, "Qatar": 0.20, "Egypt": 0.18, "Kuwait": 0.12, "Saudi Arabia": 0.12, "Bahrain": 0.07, "Jordan": 0.06,
+}
+COUNTRIES_V2 = {
+    "UAE": 0.30, "Qatar": 0.25, "Egypt": 0.20, "Kuwait": 0.10, "Saudi Arabia": 0.07, "Bahrain": 0.04,
+    "Iraq": 0.025, "Palestine": 0.015,
+}
+MEAN_MINUTES = 50.0
+MEAN_COUNT = 500.0
+STRATA = ("ContentType", "Genre", "Country", "Language", "SportsName")
+
+
+@dataclass(frozen=True)
+class Profile:
+    countries: Mapping[str, float]
+    first_user: int
+    last_user: int
+
+
+PROFILES = {
+    "v1": Profile(COUNTRIES_V1, 101, 200),
+    "v2": Profile(COUNTRIES_V2, 101, 300),
+    "v3": Profile(COUNTRIES_V2, 101, 10_000),
+}
+
+
+def _chance(seed: int, purpose: str, row: Column) -> Column:
+    """A number in [0, 1) from seed, purpose and row."""
+    digits = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(purpose), row.cast("string")))
+    return F.conv(F.substring(digits, 1, HEX_DIGITS), 16, 10).cast("double") / F.lit(float(RESOLUTION))
+
+
+def _choose(chance: Column, options: Mapping[str, float] | Sequence[str]) -> Column:
+    """Weighted choice: the first option whose cumulative chance lies above."""
+    if not isinstance(options, Mapping):
+        return F.element_at(
+            F.array(*[F.lit(o) for o in options]), F.floor(chance * len(options)).cast("int") + 1
+        )
+    *front, last = options
+    choice, reached = None, 0.0
+    for option in front:
+        reached = round(reached + options[option], 6)
+        choice = (F if choice is None else choice).when(chance < F.lit(reached), F.lit(option))
+    return choice.otherwise(F.lit(last))
+
+
+def viewing_population(
+    rows: DataFrame, row_id: str, profile: str = "v2", *, seed: int = 42
+) -> DataFrame:
+    """One viewing record per row of ``rows``, decided by its id alone, so the
+    table is the same under any partitioning. The id stays in front."""
+    kind = PROFILES[profile]
+    row = F.col(row_id)
+    users = kind.last_user - kind.first_user + 1
+    sports = F.col("ContentType") == "Sports"
+    return rows.select(
+        row,
+        (F.floor(_chance(seed, "user", row) * users) + kind.first_user).cast("int").alias("UserID"),
+        _choose(_chance(seed, "content", row), CONTENT_TYPES).alias("ContentType"),
+    ).select(
+        row_id,
+        "UserID",
+        only_if(sports, _choose(_chance(seed, "sport", row), SPORTS)).alias("SportsName"),
+        "ContentType",
+        only_if(~sports, _choose(_chance(seed, "genre", row), GENRES)).alias("Genre"),
+        _choose(_chance(seed, "country", row), kind.countries).alias("Country"),
+        only_if(~sports, _choose(_chance(seed, "language", row), LANGUAGES)).alias("Language"),
+        report_round(-MEAN_MINUTES * F.log(1 - _chance(seed, "minutes", row)), 1).alias("TotalMins"),
+        F.floor(-MEAN_COUNT * F.log(1 - _chance(seed, "count", row))).cast("int").alias("TotalCNT"),
+    )
+
+
+def generate_population(spark: SparkSession, n: int, profile: str = "v2", *, seed: int = 42) -> DataFrame:
+    """``n`` viewing records with a ``row_id`` from 0."""
+    return viewing_population(spark.range(n).withColumnRenamed("id", "row_id"), "row_id", profile, seed=seed)
