@@ -16,7 +16,7 @@ from fairdraw.functions.columns import (
     status,
     text,
 )
-from fairdraw.operators.profile import level_counts, with_share
+from fairdraw.operators.profile import level_counts, with_shares
 
 
 def _weighted_counts(df: DataFrame, columns: Sequence[str], weight: str, value: str) -> DataFrame:
@@ -46,7 +46,7 @@ def compare_levels(
     zero = F.lit(0).cast(samp.schema["samp_n"].dataType)
     together = pop.withColumn("samp_n", zero).unionByName(samp.withColumn("pop_n", F.lit(0).cast("bigint")))
     levels = together.groupBy("column", "level").agg(F.sum("pop_n").alias("pop_n"), F.sum("samp_n").alias("samp_n"))
-    shares = with_share(with_share(levels, "pop_n", "pop_pct"), "samp_n", "samp_pct")
+    shares = with_shares(levels, pop_pct="pop_n", samp_pct="samp_n")
     return shares.withColumn("abs_diff", F.abs(F.col("pop_pct") - F.col("samp_pct")))
 
 
@@ -59,7 +59,7 @@ def compare_flagged(df: DataFrame, sampled: Column, columns: Sequence[str]) -> D
         .groupBy("column", level("level").alias("level"))
         .agg(F.count(F.lit(1)).alias("pop_n"), F.count_if("_fd_in").alias("samp_n"))
     )
-    shares = with_share(with_share(levels, "pop_n", "pop_pct"), "samp_n", "samp_pct")
+    shares = with_shares(levels, pop_pct="pop_n", samp_pct="samp_n")
     return shares.withColumn("abs_diff", F.abs(F.col("pop_pct") - F.col("samp_pct")))
 
 

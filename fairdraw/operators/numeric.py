@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairdraw.functions.columns import INTERNAL, name, report_round, text, to_number
-from fairdraw.plans.order_statistics import order_statistics
+from fairdraw.plans.order_statistics import number_list, order_statistics
+from fairdraw.sources.scratch import ensure_checkpoint_dir
 
 # The deciles, the share at which tails are cut, the digits to
 # which decile limits are rounded, and the prefix of bucket columns.
 DECILES = tuple(k / 10 for k in range(1, 11))
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 TAIL = 0.99
 DECILE_DIGITS = 2
 BUCKET_PREFIX = "bucket_"
@@ -41,13 +43,11 @@ def quantiles(
     wanted = sorted({*probabilities, *([] if clip_at is None else [clip_at])})
     pairs = ", ".join(f"{text(c)}, cast({name(c)} as double)" for c in columns)
     values = df.select(F.expr(f"stack({len(columns)}, {pairs}) as (column, x)")).where("x is not null")
-    ranks = ", ".join(
-        f"""struct({p!r}D as target,
-                   cast(floor((n - 1) * {p!r}D) as bigint) + 1 as rank,
-                   least(cast(floor((n - 1) * {p!r}D) as bigint) + 2, n) as next_rank)"""
-        for p in wanted
-    )
-    found = order_statistics(values, ["column"], f"array({ranks})", many=len(wanted))
+    ranks = f"""transform({number_list(wanted)}, p -> struct(
+        p as target,
+        cast(floor((n - 1) * p) as bigint) + 1 as rank,
+        least(cast(floor((n - 1) * p) as bigint) + 2, n) as next_rank))"""
+    found = order_statistics(values, ["column"], ranks, many=len(wanted))
     part = "((n - 1) * target - (rank - 1))"
 
     def between(low: str, high: str) -> str:
@@ -67,10 +67,16 @@ def quantiles(
 
 def _limits_of(table: DataFrame) -> Column:
     """Scalar subquery: a map from column name to the array of its quantiles,
-    exact and rounded, in ascending order. One row, whatever the data."""
+    exact and rounded, in ascending order.
+
+    It is one row, whatever the data. The row is computed here and
+    checkpointed, so that plans which use it often do not carry the passes
+    behind it along."""
+    ensure_checkpoint_dir(table.sparkSession)
     entry = F.struct("probability", "value", report_round(F.col("value"), DECILE_DIGITS).alias("rounded"))
     arrays = table.groupBy("column").agg(F.array_sort(F.collect_list(entry)).alias("limits"))
-    return arrays.agg(F.map_from_entries(F.collect_list(F.struct("column", "limits")))).scalar()
+    found = arrays.agg(F.map_from_entries(F.collect_list(F.struct("column", "limits"))).alias("limits"))
+    return found.checkpoint().scalar()
 
 
 def _clipped(column: str, position: int) -> Column:
@@ -134,16 +140,13 @@ def position_buckets(df: DataFrame, order_by: str, bucket: str = "position_bucke
         F.lit(order_by).alias("column"), F.col(order_by).cast("double").alias("x")
     ).where("x is not null")
     scale = float(10**DECILE_DIGITS)
-    place = "cast(ceil(floor((1 + (n - 1) * {k}D) * {s}D + 0.5D) / {s}D) as bigint)"
-    ranks = ", ".join(
-        "struct({k}D as target, {p} as rank, {p} as next_rank)".format(
-            k=k / 10, p=place.format(k=k / 10, s=scale)
-        )
-        for k in range(2, 10)
-    )
-    found = order_statistics(values, ["column"], f"array({ranks})", many=8)
+    place = f"cast(ceil(floor((1 + (n - 1) * p) * {scale!r}D + 0.5D) / {scale!r}D) as bigint)"
+    ranks = f"""transform({number_list(DECILES[1:9])}, p -> struct(
+        p as target, {place} as rank, {place} as next_rank))"""
+    found = order_statistics(values, ["column"], ranks, many=8)
     entry = F.struct("target", "x_at")
-    limits = found.agg(F.array_sort(F.collect_list(entry)).alias("limits")).scalar()
+    ensure_checkpoint_dir(df.sparkSession)
+    limits = found.agg(F.array_sort(F.collect_list(entry)).alias("limits")).checkpoint().scalar()
     value = f"cast({name(order_by)} as double)"
     steps = " ".join(
         f"when {value} < {_LIMITS}[{k - 1}].x_at then {k / 10!r}D" for k in range(1, 9)
@@ -155,42 +158,46 @@ def position_buckets(df: DataFrame, order_by: str, bucket: str = "position_bucke
     )
 
 
-def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``column, n, min, q1, median, mean, q3, max``; nulls are left out."""
+def _measures(df: DataFrame, columns: Sequence[str], shares: Mapping[str, float]) -> DataFrame:
+    """Per column: ``n, min, mean, max`` and the named quantiles. The quantile
+    table has a few rows per column."""
     pairs = ", ".join(f"{text(c)}, cast({name(c)} as double)" for c in columns)
     values = df.select(F.expr(f"stack({len(columns)}, {pairs}) as (column, x)"))
     moments = values.groupBy("column").agg(
         F.count("x").alias("n"), F.min("x").alias("min"), F.avg("x").alias("mean"), F.max("x").alias("max")
     )
-    quarters = quantiles(df, columns, [0.25, 0.5, 0.75]).groupBy("column").agg(
-        *[
-            F.max(F.when(F.col("probability") == p, F.col("value"))).alias(label)
-            for p, label in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))
-        ]
-    )
-    return moments.join(F.broadcast(quarters), "column", "left").select(
-        "column", "n", "min", "q1", "median", "mean", "q3", "max"
+    placed = quantiles(df, columns, sorted(set(shares.values()))).groupBy("column").agg(
+        *[F.expr(f"max(if(probability = {p!r}D, value, null))").alias(label) for label, p in shares.items()]
     )
+    return moments.join(F.broadcast(placed), "column", "left")
 
 
-def _measures(df: DataFrame, columns: Sequence[str], value: str) -> DataFrame:
-    summary = numeric_summary(df, columns)
-    names = ["min", "q1", "median", "mean", "q3", "max"]
-    pairs = ", ".join(f"'{n}', {n}" for n in names)
-    return summary.select(
-        "column", F.expr(f"stack({len(names)}, {pairs}) as (measure, {value})")
-    ).unionByName(
-        deciles(df, columns).selectExpr(
-            "column", "concat('decile_', cast(cast(probability * 10 as int) as string)) as measure", f"value as {value}"
-        )
-    )
+def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, n, min, q1, median, mean, q3, max``; nulls are left out."""
+    return _measures(df, columns, QUARTILES).select("column", "n", "min", "q1", "median", "mean", "q3", "max")
 
 
 def numeric_before_after(population: DataFrame, sample: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Summary and deciles of both tables side by side:
-    ``column, measure, population, sample``. Sixteen rows per column."""
-    return _measures(population, columns, "population").join(
-        F.broadcast(_measures(sample, columns, "sample")), ["column", "measure"], "left"
+    ``column, measure, population, sample``. Sixteen rows per column.
+
+    The columns of the sample are checkpointed first, as quantiles take
+    several passes and a sample is dear to draw again.
+    """
+    tenths = {f"decile_{k}": p for k, p in enumerate(DECILES, 1)}
+    names = ["min", "q1", "median", "mean", "q3", "max", *tenths]
+
+    def long(df: DataFrame, value: str) -> DataFrame:
+        found = _measures(df, columns, {**QUARTILES, **tenths})
+        for label in tenths:
+            found = found.withColumn(label, report_round(F.col(label), DECILE_DIGITS))
+        pairs = ", ".join(f"'{n}', {n}" for n in names)
+        return found.select("column", F.expr(f"stack({len(names)}, {pairs}) as (measure, {value})"))
+
+    ensure_checkpoint_dir(sample.sparkSession)
+    drawn = sample.select(*columns).checkpoint()
+    return long(population, "population").join(
+        F.broadcast(long(drawn, "sample")), ["column", "measure"], "left"
     )
 
 

@@ -45,20 +45,19 @@ def level_counts(df: DataFrame, columns: Sequence[str], value: str = "n") -> Dat
     )
 
 
-def with_share(levels: DataFrame, value: str, share: str) -> DataFrame:
-    """Add each level's share of its column's total. The totals are one row per
-    column, however many levels there are."""
-    totals = levels.groupBy("column").agg(F.sum(value).alias("_fd_total"))
-    return (
-        levels.join(F.broadcast(totals), "column")
-        .withColumn(share, F.when(F.col("_fd_total") > 0, F.col(value) / F.col("_fd_total")).otherwise(F.lit(0.0)))
-        .drop("_fd_total")
+def with_shares(levels: DataFrame, **shares: str) -> DataFrame:
+    """Add shares of each column's totals: ``with_shares(levels, pct="n")``. The
+    totals are one row per column, however many levels there are."""
+    totals = levels.groupBy("column").agg(*[F.sum(n).alias(f"_fd_{n}") for n in shares.values()])
+    return levels.join(F.broadcast(totals), "column").select(
+        *levels.columns,
+        *[F.expr(f"if(_fd_{n} > 0, {n} / _fd_{n}, 0D)").alias(share) for share, n in shares.items()],
     )
 
 
 def level_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, level, n, share``, most frequent first."""
-    shares = with_share(level_counts(df, columns), "n", "share")
+    shares = with_shares(level_counts(df, columns), share="n")
     return shares.orderBy("column", F.desc("n"), "level")
 
 

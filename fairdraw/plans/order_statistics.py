@@ -24,8 +24,15 @@ ACCURACY = 5_000
 SMALL = 20 * GRID
 
 
+def number_list(numbers: Sequence[float]) -> str:
+    """SQL text of a constant array of doubles. A single literal in the plan,
+    however long."""
+    return f"cast(split('{','.join(map(repr, numbers))}', ',') as array<double>)"
+
+
 def _grid(value: str) -> Column:
-    return F.percentile_approx(F.expr(value), [i / GRID for i in range(GRID + 1)], ACCURACY)
+    steps = number_list([i / GRID for i in range(GRID + 1)])
+    return F.expr(f"percentile_approx({value}, {steps}, {ACCURACY})")
 
 
 def _low(rank: str, count: str, lowest: str) -> str:
