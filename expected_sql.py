@@ -130,7 +130,9 @@ def long_numbers(columns: list[str], table: str, what: str) -> str:
 
 
 def chance(purpose: str) -> str:
-    return f"(cast(('0x' || substr(md5('42|{purpose}|' || o_orderkey), 1, 13)) as bigint) / 4503599627370496.0::double)"
+    place = "user content kind country language minutes count".split().index(purpose)
+    digits = f"substr(md5('42|{place // 4}|' || o_orderkey), {1 + place % 4 * 8}, 8)"
+    return f"(cast(('0x' || {digits}) as bigint) / 4294967296.0::double)"
 
 
 def choose(purpose: str, options: list[tuple[str, float]]) -> str:
@@ -150,9 +152,9 @@ def population(countries: list[tuple[str, float]], first: int, last: int) -> str
     is_sport = f"{chance('content')} < cast(0.45 as double)"
     return f"""(select o_orderkey,
         cast(floor({chance('user')} * {last - first + 1}) as int) + {first} as "UserID",
-        case when {is_sport} then {evenly('sport', sports)} end as "SportsName",
+        case when {is_sport} then {evenly('kind', sports)} end as "SportsName",
         case when {is_sport} then 'Sports' else 'Entertainment' end as "ContentType",
-        case when not ({is_sport}) then {evenly('genre', genres)} end as "Genre",
+        case when not ({is_sport}) then {evenly('kind', genres)} end as "Genre",
         {choose('country', countries)} as "Country",
         case when not ({is_sport}) then {choose('language', languages)} end as "Language",
         floor(-50 * ln(1 - {chance('minutes')}) * 10 + 0.5) / 10 as "TotalMins",

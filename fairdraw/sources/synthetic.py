@@ -8,8 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairdraw.functions.columns import only_if, report_round
-from fairdraw.functions.priority import HEX_DIGITS, RESOLUTION
+from fairdraw.functions.columns import name, only_if, report_round
 
 # Fixed values of the population.
 CONTENT_TYPES = {"Sports": 0.45, "Entertainment": 0.55}
@@ -42,10 +41,26 @@ PROFILES = {
 }
 
 
-def _chance(seed: int, purpose: str, row: Column) -> Column:
-    """A number in [0, 1) from seed, purpose and row."""
-    digits = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(purpose), row.cast("string")))
-    return F.conv(F.substring(digits, 1, HEX_DIGITS), 16, 10).cast("double") / F.lit(float(RESOLUTION))
+# Each md5 of a row gives four numbers of eight hexadecimal digits.
+DIGITS = 8
+NUMBERS = ("user", "content", "kind", "country", "language", "minutes", "count")
+
+
+def _chances(rows: DataFrame, row_id: str, seed: int) -> DataFrame:
+    """The id with a number in [0, 1) per purpose, from seed and id alone."""
+    per_hash = 32 // DIGITS
+    hashes = [
+        F.expr(f"md5(concat('{seed}|{i}|', cast({name(row_id)} as string)))").alias(f"_fd_hash{i}")
+        for i in range(-(-len(NUMBERS) // per_hash))
+    ]
+    number = "cast(conv(substring(_fd_hash{h}, {at}, {n}), 16, 10) as double) / {size}"
+    return rows.select(row_id, *hashes).select(
+        row_id,
+        *[
+            F.expr(number.format(h=i // per_hash, at=1 + i % per_hash * DIGITS, n=DIGITS, size=16**DIGITS)).alias(f"_fd_{p}")
+            for i, p in enumerate(NUMBERS)
+        ],
+    )
 
 
 def _choose(chance: Column, options: Mapping[str, float] | Sequence[str]) -> Column:
@@ -68,23 +83,19 @@ def viewing_population(
     """One viewing record per row of ``rows``, decided by its id alone, so the
     table is the same under any partitioning. The id stays in front."""
     kind = PROFILES[profile]
-    row = F.col(row_id)
     users = kind.last_user - kind.first_user + 1
-    sports = F.col("ContentType") == "Sports"
-    return rows.select(
-        row,
-        (F.floor(_chance(seed, "user", row) * users) + kind.first_user).cast("int").alias("UserID"),
-        _choose(_chance(seed, "content", row), CONTENT_TYPES).alias("ContentType"),
-    ).select(
+    chance = {p: F.col(f"_fd_{p}") for p in NUMBERS}
+    sports = chance["content"] < CONTENT_TYPES["Sports"]
+    return _chances(rows, row_id, seed).select(
         row_id,
-        "UserID",
-        only_if(sports, _choose(_chance(seed, "sport", row), SPORTS)).alias("SportsName"),
-        "ContentType",
-        only_if(~sports, _choose(_chance(seed, "genre", row), GENRES)).alias("Genre"),
-        _choose(_chance(seed, "country", row), kind.countries).alias("Country"),
-        only_if(~sports, _choose(_chance(seed, "language", row), LANGUAGES)).alias("Language"),
-        report_round(-MEAN_MINUTES * F.log(1 - _chance(seed, "minutes", row)), 1).alias("TotalMins"),
-        F.floor(-MEAN_COUNT * F.log(1 - _chance(seed, "count", row))).cast("int").alias("TotalCNT"),
+        (F.floor(chance["user"] * users) + kind.first_user).cast("int").alias("UserID"),
+        only_if(sports, _choose(chance["kind"], SPORTS)).alias("SportsName"),
+        _choose(chance["content"], CONTENT_TYPES).alias("ContentType"),
+        only_if(~sports, _choose(chance["kind"], GENRES)).alias("Genre"),
+        _choose(chance["country"], kind.countries).alias("Country"),
+        only_if(~sports, _choose(chance["language"], LANGUAGES)).alias("Language"),
+        report_round(-MEAN_MINUTES * F.log(1 - chance["minutes"]), 1).alias("TotalMins"),
+        F.floor(-MEAN_COUNT * F.log(1 - chance["count"])).cast("int").alias("TotalCNT"),
     )
 
 
