@@ -178,7 +178,7 @@ def statements() -> dict[str, str]:
     doc_cols, line_cols = ["doc_id", *DOC], [*LINE_IDS, "l_extendedprice", *LINE]
     nulls = ["o_orderstatus", "priority"]
     weight_key = (
-        "-ln((cast(('0x' || substr(h, 1, 13)) as bigint) + 1) / 4503599627370496.0::double) / o_totalprice"
+        "-ln(1 - cast(('0x' || substr(h, 1, 13)) as bigint) / 4503599627370496.0::double) / o_totalprice"
     )
     doc_sizes = "(select lang, source, count(*) as pop_n from documents group by all)"
     part_sizes = "(select p_brand, p_type, p_size, count(*) as pop_n from part group by all)"

@@ -27,17 +27,16 @@ def priority(seed: int, ids: Sequence[str]) -> Column:
 
 
 def uniform(digits: str) -> Column:
-    """A number in (0, 1] from the leading digits of a priority column."""
-    return F.expr(
-        f"(cast(conv(substring({name(digits)}, 1, {HEX_DIGITS}), 16, 10) as double) + 1) / {RESOLUTION}"
-    )
+    """A number in [0, 1) from the leading digits of a priority column."""
+    return F.expr(f"cast(conv(substring({name(digits)}, 1, {HEX_DIGITS}), 16, 10) as double) / {RESOLUTION}")
 
 
 def weighted_priority(digits: str, weight: Column) -> Column:
     """Exponential waiting time with the weight as its rate, so the rows with
     the smallest values form a draw without replacement in which heavier
-    rows come first. Rows without a positive weight come last."""
-    return F.when(weight > 0, -F.log(uniform(digits)) / weight).otherwise(
+    rows come first. Equal weights keep the order of the plain priorities;
+    rows without a positive weight come last."""
+    return F.when(weight > 0, -F.log(1 - uniform(digits)) / weight).otherwise(
         F.lit(float("inf"))
     )
 

@@ -63,12 +63,12 @@ def merge_rare_levels(
     ``<column>_original``.
 
     The rows are matched with the levels that stay. By share there are at most
-    ``1 / threshold`` of these, so they are broadcast; by count their number
-    has no bound, and only the most frequent are.
+    ``1 / threshold`` of these, so they are broadcast; by count, or by a tiny
+    share, only the most frequent are.
     """
     table = level_table(df, column, other, threshold=threshold, min_count=min_count, merge_nulls=merge_nulls)
     kept = table.where("not is_rare").select(column, "n")
-    if min_count is None:
+    if min_count is None and 1 / threshold <= broadcast_keys:
         marked = join_on_keys(
             df, kept.select(column, F.lit(True).alias(_KEPT)), [column], "left", small=True
         )

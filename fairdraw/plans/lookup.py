@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from fairdraw.functions.columns import INTERNAL, name
 
-# Most rows of a broadcast lookup table.
+# Most rows of a broadcast lookup table, and the longest key in it. Together
+# they bound a broadcast to about twenty megabytes.
 BROADCAST_KEYS = 20_000
+LABEL_BYTES = 1_000
 
 
 def join_on_keys(
@@ -41,8 +43,17 @@ def only_if_any(rows: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(found.select(F.lit(1)).limit(1)), how="left_semi")
 
 
+def short_label(keys: Sequence[str]) -> str:
+    """SQL text: whether a key is short enough for the lookup table."""
+    length = " + ".join(f"coalesce(octet_length(cast({name(c)} as string)), 0)" for c in keys)
+    return f"({length} <= {LABEL_BYTES})"
+
+
 def most_frequent(table: DataFrame, keys: Sequence[str], size: str, limit: int) -> DataFrame:
-    return table.orderBy(F.desc(size), *[F.asc_nulls_first(c) for c in keys]).limit(limit)
+    """The table's most frequent keys, small enough to broadcast: ``limit`` rows
+    with keys of ``LABEL_BYTES`` at most."""
+    short = table.where(short_label(keys))
+    return short.orderBy(F.desc(size), *[F.asc_nulls_first(c) for c in keys]).limit(limit)
 
 
 def keep_matching(

@@ -47,6 +47,13 @@ class Quota:
         if self.min_rows < 0:
             raise ValueError("min_rows must not be negative")
 
+    def ceiling(self) -> int | None:
+        """The most rows any stratum can give, if that does not depend on the
+        data."""
+        if self.pct is not None or self.boost_below is not None or self.boost_levels:
+            return None
+        return max(self.n if self.n is not None else self.total, self.min_rows)
+
     def apply(self, table: DataFrame, sizes: DataFrame) -> DataFrame:
         """Add ``n_raw``, ``n_target`` and ``n_take`` to a table with ``pop_n``.
 

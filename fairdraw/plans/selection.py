@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairdraw.functions.columns import INTERNAL, drop_internal, text
+from fairdraw.functions.columns import INTERNAL, text
 from fairdraw.functions.priority import (
     ABOVE_ALL,
     BELOW_ALL,
@@ -34,7 +34,13 @@ from fairdraw.functions.priority import (
     priority,
     weighted_priority,
 )
-from fairdraw.plans.lookup import BROADCAST_KEYS, join_on_keys, most_frequent, only_if_any
+from fairdraw.plans.lookup import (
+    BROADCAST_KEYS,
+    join_on_keys,
+    most_frequent,
+    only_if_any,
+    short_label,
+)
 from fairdraw.plans.order_statistics import order_statistics
 from fairdraw.plans.quota import Quota, allocate, stratum_sizes
 
@@ -167,7 +173,8 @@ def draw(
 ) -> DataFrame:
     """Draw the rows of a stratified sample.
 
-    ``ids`` must tell rows apart. Without them equal rows are numbered, which
+    ``rows`` is read several times and must be the same each time; write or
+    checkpoint a table that is not. ``ids`` must tell rows apart. Without them equal rows are numbered, which
     costs a shuffle of the distinct rows. ``sizes`` may bring the stratum sizes
     along; ``keep_sizes`` adds ``pop_n`` and ``n_take`` to the result.
     """
@@ -183,50 +190,53 @@ def draw(
     place = list(dict.fromkeys([order, _HASH, *ids]))
     ranking = Window.partitionBy(*strata).orderBy(*place)
 
-    plain = quota.boost_below is None and not quota.boost_levels and quota.drop_below is None
-    if quota.n is not None and plain and not keep_sizes:
-        limit = max(quota.n, quota.min_rows)
-        if limit <= LOCAL_LIMIT:
-            ranked = keyed.withColumn(rank, F.row_number().over(ranking))
-            return drop_internal(ranked.where(F.col(rank) <= limit))
-
     sizes = stratum_sizes(rows, strata) if sizes is None else sizes
     allocation = allocate(sizes, quota).select(*strata, "pop_n", "n_take")
-    is_large = f"n_take >= {large_draw}"
     lookup = most_frequent(allocation, strata, "pop_n", broadcast_keys)
+    ceiling = quota.ceiling()
+    by_cut = ceiling is None or ceiling >= large_draw
+    is_large = f"n_take >= {large_draw}" if by_cut else "false"
     columns = [c for c in rows.columns if not c.startswith(INTERNAL)]
     columns += ["pop_n", "n_take"] if keep_sizes else []
 
-    narrow = keyed.select(*strata, *[c for c in place if c not in strata])
-    zones = (_zones if weight is None else _zones_weighted)(
-        narrow, strata, order, lookup.where(is_large)
-    )
-    drawn_by_cut = join_on_keys(keyed, _cuts(narrow, strata, place, zones), strata, small=True).where(
-        (F.col(order) < F.col("floor"))
-        | F.coalesce(F.struct(*place) <= F.col("cut"), F.lit(False))
-    )
-
     thinned = _edge(12, 100) if weight is None else "null"
     others = lookup.select(
         *strata,
         "pop_n",
         F.expr(f"case when {is_large} or n_take = 0 then {text(BELOW_ALL)} else {thinned} end").alias("upto"),
     )
-    any_other = allocation.agg(
-        F.count(F.lit(1)).alias("strata"), F.expr(f"count_if({is_large})").alias("large")
-    ).where(f"strata > least(large, {broadcast_keys})")
-    thin = only_if_any(join_on_keys(keyed, others, strata, "left", small=True), any_other).where(
-        f"coalesce({_HASH} < upto, true)"
-    )
+    thin = join_on_keys(keyed, others, strata, "left", small=True).where(f"coalesce({_HASH} < upto, true)")
+    if by_cut:
+        any_other = allocation.agg(
+            F.count(F.lit(1)).alias("strata"),
+            F.expr(f"count_if({is_large} and {short_label(strata)})").alias("large"),
+        ).where(f"strata > least(large, {broadcast_keys})")
+        thin = only_if_any(thin, any_other)
     whole = ranking.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    counted = thin.select(
-        *rows.columns,
-        F.row_number().over(ranking).alias(rank),
-        F.count(F.lit(1)).over(whole).alias(candidates),
-        "pop_n",
-    ).withColumn("pop_n", F.expr(f"coalesce(pop_n, {candidates})"))
+    ranks, count = F.row_number().over(ranking).alias(rank), F.count(F.lit(1)).over(whole)
+    if ceiling is not None and ceiling <= LOCAL_LIMIT and not keep_sizes:
+        # A constant limit is applied in each task before the shuffle.
+        first = thin.select(*rows.columns, "pop_n", ranks).where(f"{rank} <= {ceiling}")
+        ranked = first.withColumn(candidates, F.count(F.lit(1)).over(Window.partitionBy(*strata)))
+    else:
+        ranked = thin.select(*rows.columns, "pop_n", ranks, count.alias(candidates))
+    ranked = ranked.withColumn("pop_n", F.expr(f"coalesce(pop_n, {candidates})"))
     message = text("too few candidates in a stratum; use another seed")
-    drawn_by_rank = quota.apply(counted, sizes).where(
-        f"{rank} <= if({candidates} >= n_take, n_take, cast(raise_error({message}) as bigint))"
+    drawn_by_rank = (
+        quota.apply(ranked, sizes)
+        .where(f"{rank} <= if({candidates} >= n_take, n_take, cast(raise_error({message}) as bigint))")
+        .select(*columns)
+    )
+    if not by_cut:
+        return drawn_by_rank
+
+    narrow = keyed.select(*strata, *[c for c in place if c not in strata])
+    zones = (_zones if weight is None else _zones_weighted)(
+        narrow, strata, order, lookup.where(is_large)
+    )
+    cuts = _cuts(narrow, strata, place, zones)
+    drawn_by_cut = join_on_keys(keyed, cuts, strata, small=True).where(
+        (F.col(order) < F.col("floor"))
+        | F.coalesce(F.struct(*place) <= F.col("cut"), F.lit(False))
     )
-    return drawn_by_cut.select(*columns).unionByName(drawn_by_rank.select(*columns))
+    return drawn_by_cut.select(*columns).unionByName(drawn_by_rank)

@@ -136,8 +136,15 @@ def test_equal_weights_draw_like_no_weights(people):
     _, df = people
     plain = draw(df, ["a"], Quota(pct=0.1), ids=["id"])
     weighted = draw(df, ["a"], Quota(pct=0.1), ids=["id"], weight=F.lit(3))
-    # A smaller priority means a longer wait, so the order is reversed.
-    assert weighted.count() == plain.count()
+    assert ids_of(weighted) == ids_of(plain)
+
+
+def test_long_labels_are_not_broadcast_but_drawn(spark):
+    rows = [{"id": i, "a": "x" * 2000 if i % 3 else "short"} for i in range(600)]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], "id bigint, a string")
+    for plan in ({}, {"large_draw": 1}):
+        drawn = draw(df, ["a"], Quota(pct=0.1, min_rows=1), ids=["id"], **plan)
+        assert ids_of(drawn) == expected_draw(rows, ["a"], ["id"], share(0.1, 1))
 
 
 def test_weighted_routes_agree_and_favour_heavy_rows(people):
