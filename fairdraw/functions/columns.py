@@ -58,10 +58,11 @@ def status(diff_pct: Column, tiers: Sequence[tuple[float | None, str]]) -> Colum
     return labels
 
 
-def to_number(value: str | Column) -> Column:
+def to_number(value: str | Column, is_numeric: bool = False) -> Column:
     """Number behind a text or numeric column; anything unreadable is 0."""
-    number = as_column(value).cast("string").try_cast("double")
-    return F.when(F.isnan(number), F.lit(0.0)).otherwise(F.coalesce(number, F.lit(0.0)))
+    column = as_column(value)
+    number = column.cast("double") if is_numeric else column.cast("string").try_cast("double")
+    return F.coalesce(F.nanvl(number, F.lit(0.0)), F.lit(0.0))
 
 
 def only_if(condition: Column, value: Column) -> Column:

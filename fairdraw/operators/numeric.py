@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairdraw.functions.columns import INTERNAL, name, report_round, text, to_number
+from fairdraw.functions.columns import INTERNAL, columns_of_type, name, report_round, text, to_number
 from fairdraw.plans.order_statistics import number_list, order_statistics
 from fairdraw.sources.scratch import ensure_checkpoint_dir
 
@@ -24,7 +24,8 @@ _LIMITS = INTERNAL + "limits"
 
 def coerce_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns as doubles, with nulls and unreadable values as 0."""
-    return df.withColumns({c: to_number(c) for c in columns})
+    numeric = set(columns_of_type(df, "numeric"))
+    return df.withColumns({c: to_number(c, c in numeric) for c in columns})
 
 
 def quantiles(
@@ -56,9 +57,9 @@ def quantiles(
     if clip_at is None:
         value = F.expr(between("x_at", "x_next"))
     else:
-        found = found.withColumn("tail_at", F.expr(f"if(target = {clip_at!r}D, {between('x_at', 'x_next')}, null)"))
-        tails = found.groupBy("column").agg(F.max("tail_at").alias("tail"))
-        found = found.join(F.broadcast(tails), "column")
+        # A few rows per column share the window.
+        tail = F.expr(f"if(target = {clip_at!r}D, {between('x_at', 'x_next')}, null)")
+        found = found.withColumn("tail", F.max(tail).over(Window.partitionBy("column")))
         value = F.expr(between("least(x_at, tail)", "least(x_next, tail)"))
     return found.where(F.col("target").isin([float(p) for p in probabilities])).select(
         "column", F.col("target").alias("probability"), value.alias("value")
