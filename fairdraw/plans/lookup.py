@@ -52,7 +52,9 @@ def short_label(keys: Sequence[str]) -> str:
 def most_frequent(table: DataFrame, keys: Sequence[str], size: str, limit: int) -> DataFrame:
     """The table's most frequent keys, small enough to broadcast: ``limit`` rows
     with keys of ``LABEL_BYTES`` at most."""
-    short = table.where(short_label(keys))
+    # Tied to the size, the condition stays above the aggregate that makes the
+    # table, so every use of the table shares one exchange.
+    short = table.where(f"if({name(size)} > 0, {short_label(keys)}, false)")
     return short.orderBy(F.desc(size), *[F.asc_nulls_first(c) for c in keys]).limit(limit)
 
 
