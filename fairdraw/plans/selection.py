@@ -8,15 +8,17 @@ that is broadcast; how a stratum is drawn depends on the rows it gives:
   last drawn row. The share drawn tells where that priority lies up to random
   spread, so one narrow pass counts the rows on both sides of that band, one
   narrow pass ranks the few rows inside it (about the square root of the
-  stratum), and the final pass filters the table by the cut. No drawn row is
-  shuffled. Should the cut miss the band, the counts say on which side it lies
-  and that side is ranked instead, so the result is exact in any case.
+  stratum), and the final pass filters the table by the cut. Should the cut
+  miss the band, the counts say on which side it lies and that side is ranked
+  instead, so the result is exact in any case.
 * The other strata of the lookup table are thinned before the shuffle to the
   priorities that can be drawn at all, then ranked by a window.
 * Strata beyond the lookup table each hold less than one part in
   ``BROADCAST_KEYS`` of the table. The same window counts and ranks them.
 
-A side without strata is dropped at run time before it scans anything.
+Whole rows are read once. If all strata are large, the drawn rows are not
+shuffled; else they pass the window, spread over many groups. Of these two
+plans adaptive execution drops the one not needed before it scans anything.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairdraw.functions.columns import INTERNAL, text
+from fairdraw.functions.columns import INTERNAL, name, text
 from fairdraw.functions.priority import (
     ABOVE_ALL,
     BELOW_ALL,
@@ -49,9 +51,19 @@ LARGE_DRAW = 200_000
 # A constant limit up to this is applied inside each task before the shuffle.
 LOCAL_LIMIT = 100
 
+# Column names the plans use next to the keys, and next to whole rows.
+RESERVED_KEYS = frozenset(
+    "low high n_low n_high zone floor ceiling need cut rank following "
+    "x n grid brackets fences cell low_end high_end rows before t place".split()
+)
+RESERVED_COLUMNS = frozenset("pop_n n_raw n_target n_take".split())
+
 _HASH = INTERNAL + "hash"
 _ORDER = INTERNAL + "order"
 _COPY = INTERNAL + "copy"
+_UPTO = INTERNAL + "upto"
+_FLOOR = INTERNAL + "floor"
+_CUT = INTERNAL + "cut"
 # Copies of one row made by one task when a table without ids is numbered.
 _COPIES_PER_TASK = 100_000
 
@@ -179,10 +191,15 @@ def draw(
     along; ``keep_sizes`` adds ``pop_n`` and ``n_take`` to the result.
     """
     strata = list(strata)
+    clashes = {c for c in rows.columns if c.lower() in RESERVED_COLUMNS}
+    clashes |= {c for c in [*strata, *(rows.columns if ids is None else ids)] if c.lower() in RESERVED_KEYS}
+    if clashes:
+        raise ValueError(f"rename these columns first: {sorted(clashes)}")
     if ids is None:
         rows = number_copies(rows)
         ids = rows.columns
     rank, candidates = INTERNAL + "rank", INTERNAL + "candidates"
+    salt, by_limit = INTERNAL + "salt", INTERNAL + "by_limit"
     keyed, order = rows.withColumn(_HASH, priority(seed, ids)), _HASH
     if weight is not None:
         amount = (F.col(weight) if isinstance(weight, str) else weight).cast("double")
@@ -200,43 +217,65 @@ def draw(
     columns += ["pop_n", "n_take"] if keep_sizes else []
 
     thinned = _edge(12, 100) if weight is None else "null"
-    others = lookup.select(
+    known = lookup.where(f"not ({is_large})").select(
         *strata,
         "pop_n",
-        F.expr(f"case when {is_large} or n_take = 0 then {text(BELOW_ALL)} else {thinned} end").alias("upto"),
+        F.expr(f"if(n_take = 0, {text(BELOW_ALL)}, {thinned})").alias(_UPTO),
+        F.lit(False).alias(by_limit),
     )
-    thin = join_on_keys(keyed, others, strata, "left", small=True).where(f"coalesce({_HASH} < upto, true)")
-    if by_cut:
-        any_other = allocation.agg(
-            F.count(F.lit(1)).alias("strata"),
-            F.expr(f"count_if({is_large} and {short_label(strata)})").alias("large"),
-        ).where(f"strata > least(large, {broadcast_keys})")
-        thin = only_if_any(thin, any_other)
-    whole = ranking.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranks, count = F.row_number().over(ranking).alias(rank), F.count(F.lit(1)).over(whole)
-    if ceiling is not None and ceiling <= LOCAL_LIMIT and not keep_sizes:
-        # A constant limit is applied in each task before the shuffle.
-        first = thin.select(*rows.columns, "pop_n", ranks).where(f"{rank} <= {ceiling}")
-        ranked = first.withColumn(candidates, F.count(F.lit(1)).over(Window.partitionBy(*strata)))
-    else:
-        ranked = thin.select(*rows.columns, "pop_n", ranks, count.alias(candidates))
-    ranked = ranked.withColumn("pop_n", F.expr(f"coalesce(pop_n, {candidates})"))
+    thin = f"coalesce({_HASH} < {_UPTO}, true)"
     message = text("too few candidates in a stratum; use another seed")
-    drawn_by_rank = (
-        quota.apply(ranked, sizes)
-        .where(f"{rank} <= if({candidates} >= n_take, n_take, cast(raise_error({message}) as bigint))")
-        .select(*columns)
-    )
+    enough = f"if({candidates} >= n_take, n_take, cast(raise_error({message}) as bigint))"
+    everything = Window.unboundedPreceding, Window.unboundedFollowing
+
     if not by_cut:
-        return drawn_by_rank
+        near = join_on_keys(keyed, known, strata, "left", small=True).where(thin)
+        ranks = F.row_number().over(ranking).alias(rank)
+        if ceiling <= LOCAL_LIMIT and not keep_sizes:
+            # A constant limit is applied in each task before the shuffle.
+            first = near.select(*rows.columns, "pop_n", ranks).where(f"{rank} <= {ceiling}")
+            ranked = first.withColumn(candidates, F.count(F.lit(1)).over(Window.partitionBy(*strata)))
+        else:
+            count = F.count(F.lit(1)).over(ranking.rowsBetween(*everything)).alias(candidates)
+            ranked = near.select(*rows.columns, "pop_n", ranks, count)
+        ranked = ranked.withColumn("pop_n", F.expr(f"coalesce(pop_n, {candidates})"))
+        return quota.apply(ranked, sizes).where(f"{rank} <= {enough}").select(*columns)
 
     narrow = keyed.select(*strata, *[c for c in place if c not in strata])
     zones = (_zones if weight is None else _zones_weighted)(
         narrow, strata, order, lookup.where(is_large)
     )
-    cuts = _cuts(narrow, strata, place, zones)
-    drawn_by_cut = join_on_keys(keyed, cuts, strata, small=True).where(
-        (F.col(order) < F.col("floor"))
-        | F.coalesce(F.struct(*place) <= F.col("cut"), F.lit(False))
+    cuts = _cuts(narrow, strata, place, zones).withColumnsRenamed({"floor": _FLOOR, "cut": _CUT})
+    spot = f"struct({', '.join(map(name, place))})"
+    below_cut = f"({order} < {_FLOOR} or coalesce({spot} <= {_CUT}, false))"
+    drawn_by_cut = join_on_keys(keyed, cuts, strata, small=True).where(below_cut)
+
+    others = allocation.agg(
+        F.count(F.lit(1)).alias("strata"),
+        F.expr(f"count_if({is_large} and {short_label(strata)})").alias("large"),
     )
-    return drawn_by_cut.select(*columns).unionByName(drawn_by_rank)
+    any_other = f"strata > least(large, {broadcast_keys})"
+
+    # Large and other strata together take one pass over the whole rows. Rows
+    # drawn by their cut go through the window in many small groups.
+    limits = known.unionByName(
+        cuts.drop("n_take").withColumn(by_limit, F.lit(True)), allowMissingColumns=True
+    )
+    drawable = join_on_keys(keyed, limits, strata, "left", small=True).where(
+        f"if(coalesce({by_limit}, false), {below_cut}, {thin})"
+    )
+    spread = F.expr(f"if({by_limit}, substring({_HASH}, 30, 3), '')")
+    ranking = Window.partitionBy(*strata, salt).orderBy(*place)
+    ranked = only_if_any(drawable, others.where(any_other)).withColumn(salt, spread).select(
+        *rows.columns,
+        "pop_n",
+        by_limit,
+        F.row_number().over(ranking).alias(rank),
+        F.count(F.lit(1)).over(ranking.rowsBetween(*everything)).alias(candidates),
+    ).withColumn("pop_n", F.expr(f"coalesce(pop_n, {candidates})"))
+    drawn_together = quota.apply(ranked, sizes).where(
+        f"case when {by_limit} then true else {rank} <= {enough} end"
+    )
+
+    alone = only_if_any(drawn_by_cut, others.where(f"not ({any_other})"))
+    return alone.select(*columns).unionByName(drawn_together.select(*columns))

@@ -97,6 +97,15 @@ def test_equal_display_keys_are_two_strata(spark):
     assert draw(df, ["p", "q"], Quota(pct=0.1, min_rows=1), ids=["id"]).count() == 2
 
 
+def test_column_names_the_plans_need_are_refused(people):
+    _, df = people
+    for clash, strata in (("pop_n", ["a"]), ("floor", ["floor"])):
+        with pytest.raises(ValueError, match=clash):
+            draw(df.withColumn(clash, F.lit(1)), strata, Quota(pct=0.1), ids=["id"])
+    other = df.withColumns({c: F.lit(1) for c in ("floor", "cut", "rank", "x", "low")})
+    assert draw(other, ["a"], Quota(pct=0.1), ids=["id"], large_draw=5).columns == other.columns
+
+
 def test_empty_population(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert draw(df, ["a"], Quota(pct=0.1, min_rows=1), ids=["id"]).count() == 0
