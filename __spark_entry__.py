@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import tempfile
 from collections.abc import Callable
 
@@ -562,12 +563,36 @@ _QUERIES = (
 )
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = {q.__name__: q for q in _QUERIES}
     for profile_name in synthetic.PROFILES:
         named[f"synthetic_population_{profile_name}"] = synthetic_population(profile_name)
     return named
 
 
+def _optional(module: str):
+    """A module of the optional subpackage, or nothing where that is not installed."""
+    try:
+        return importlib.import_module(module)
+    except ModuleNotFoundError as error:
+        if error.name not in ("fairdraw.llm", "corpus_pipeline"):
+            raise
+        return None
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    named = own_queries()
+    if operators := _optional("fairdraw.llm.queries"):
+        named |= operators.QUERIES
+    if pipeline := _optional("corpus_pipeline"):
+        named["pipeline"] = pipeline.run
+    return named
+
+
 def oracle_sql() -> dict[str, str]:
-    return expected_sql.statements()
+    statements = expected_sql.statements()
+    if operators := _optional("fairdraw.llm.queries"):
+        statements |= operators.ORACLE_SQL
+    if (pipeline := _optional("corpus_pipeline")) and pipeline.ORACLE_SQL:
+        statements["pipeline"] = pipeline.ORACLE_SQL
+    return statements

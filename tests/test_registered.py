@@ -8,7 +8,8 @@ import __spark_entry__ as registered
 from tools.check import database, difference
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, STATEMENTS = registered.queries(), registered.oracle_sql()
+QUERIES = registered.own_queries()
+STATEMENTS = {k: v for k, v in registered.oracle_sql().items() if k in QUERIES}
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
 
@@ -19,7 +20,7 @@ def db():
 
 
 def test_every_statement_has_a_query():
-    assert set(STATEMENTS) <= set(QUERIES)
+    assert set(registered.oracle_sql()) <= set(registered.queries())
     assert set(QUERIES) - set(STATEMENTS) == {"native_sample"}
 
 
