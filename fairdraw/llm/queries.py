@@ -7,7 +7,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fairdraw.llm import tokens
+from fairdraw.llm import expected, minhash, tokens
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -23,5 +23,9 @@ def op2_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode_documents(load(spark, folder, "documents"), TOKENIZER, END_ID)
 
 
-QUERIES = {f.__name__: f for f in (op2_token_output,)}
-ORACLE_SQL: dict[str, str] = {}
+def op5_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(load(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_output, op5_minhash_dedup)}
+ORACLE_SQL = {"op5_minhash_dedup": expected.MINHASH}
