@@ -7,7 +7,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fairdraw.llm import expected, minhash, tokens
+from fairdraw.llm import expected, minhash, quality, tokens
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -27,5 +27,9 @@ def op5_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(load(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_output, op5_minhash_dedup)}
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score_documents(load(spark, folder, "documents"), load(spark, folder, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_output, op5_minhash_dedup, op6_quality)}
 ORACLE_SQL = {"op5_minhash_dedup": expected.MINHASH}
