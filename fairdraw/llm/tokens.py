@@ -37,8 +37,9 @@ from fairdraw.llm.storage import attempt_name, filesystem, new_folder, published
 from fairdraw.llm.text import BLANK, rows, words_of
 
 BLOCK = 1 << 18
-# Words remembered by a Python worker with their ids, and the longest of them.
-REMEMBERED, WORD_BYTES = 400_000, 40
+# Pieces a Python worker remembers with their ids: two generations of this
+# size, so that frequent ones stay. Longer pieces are not remembered.
+REMEMBERED, WORD_BYTES = 250_000, 40
 _HEAD = struct.Struct("<4sIIII")
 _MAGIC = b"RTK1"
 UNIT = "file string, file_no int, unit_no long, place long, blocks int, docs long, tokens long, tokens_before long"
@@ -51,54 +52,67 @@ _MARK[33:127] = True
 _MARK[_STEM | (np.arange(256) == 39)] = False
 
 
+# The tokenizer's byte-level alphabet: printable bytes stand for themselves,
+# the others for the characters from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+# Letters up to here are unchanged by the tokenizer's normal form.
+_LATIN = "\u024f"
+
+
 class Encoder:
     """Ids of words, those of frequent words from memory.
 
     The tokenizer never joins characters across white space, nor a letter or
     digit with a following mark other than the apostrophe, so the ids of a text
     are those of its pieces. Pieces are told apart by a 64-bit hash of their
-    exact bytes; a new piece goes through the tokenizer.
+    exact bytes; a new piece goes through the tokenizer, a plain Latin word
+    straight to its model.
     """
 
-    def __init__(self, tokenizer: str) -> None:
+    def __init__(self, tokenizer: str, kind: np.dtype) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.model = self.tokenizer.model
-        self.known: dict[int, np.ndarray] = {}
+        self.kind = kind
+        self.new: dict[int, bytes] = {}
+        self.old: dict[int, bytes] = {}
 
-    def ids_of(self, pieces: list[bytes]) -> list[np.ndarray]:
-        out: list[np.ndarray | None] = [None] * len(pieces)
-        rest = []
+    def ids_of(self, pieces: list[bytes]) -> list[bytes]:
+        out = [b""] * len(pieces)
+        rest, texts = [], []
         for i, piece in enumerate(pieces):
-            if piece.isalpha() and piece.islower() and len(piece) <= WORD_BYTES:
-                # Lower-case ASCII letters pass the normalizer and the splitter unchanged.
-                out[i] = np.array([t.id for t in self.model.tokenize(piece.decode())], np.uint32)
+            word = piece.decode("utf-8", "replace").lower()
+            if word.isalpha() and max(word) <= _LATIN and len(piece) <= WORD_BYTES:
+                mapped = word.encode().decode("latin-1").translate(_ALPHABET)
+                out[i] = np.array([t.id for t in self.model.tokenize(mapped)], self.kind).tobytes()
             else:
                 rest.append(i)
+                texts.append(piece.decode("utf-8", "replace"))
         for low in range(0, len(rest), 500):
-            some = rest[low : low + 500]
-            texts = [pieces[i].decode("utf-8", "replace") for i in some]
-            for i, coded in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                out[i] = np.array(coded.ids, np.uint32)
+            coded = self.tokenizer.encode_batch_fast(texts[low : low + 500], add_special_tokens=False)
+            for i, found in zip(rest[low:], coded, strict=False):
+                out[i] = np.array(found.ids, self.kind).tobytes()
         return out
 
     def __call__(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin."""
         words = words_of(texts, BLANK, np.arange(256, dtype=np.uint8), _cuts(texts.data))
         hashes, place, which = np.unique(words.hashes, return_index=True, return_inverse=True)
-        found = [self.known.get(h) for h in hashes.tolist()]
-        new = [i for i, ids in enumerate(found) if ids is None]
+        keys, old = hashes.tolist(), self.old
+        found = [self.new.get(h) or old.get(h) for h in keys]
+        unknown = [i for i, ids in enumerate(found) if ids is None]
         start, end = words.start[place], words.end[place]
-        pieces = [texts.data[start[i] : end[i]].tobytes() for i in new]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-        for i, piece, ids in zip(new, pieces, self.ids_of([_folded(p) for p in pieces]), strict=True):
+        pieces = [texts.data[start[i] : end[i]].tobytes() for i in unknown]
+        for i, ids in zip(unknown, self.ids_of(pieces), strict=True):
             found[i] = ids
-            if len(piece) <= WORD_BYTES:
-                self.known[int(hashes[i])] = ids
-        sizes = np.array([len(ids) for ids in found], np.int64)
-        table = np.concatenate([*found, np.empty(0, np.uint32)]).astype(np.uint32)
+        if len(self.new) > REMEMBERED:
+            self.old, self.new = self.new, {}
+        short = (end - start) <= WORD_BYTES
+        self.new.update((h, ids) for h, ids, kept in zip(keys, found, short.tolist(), strict=True) if kept)
+        table = np.frombuffer(b"".join(found), self.kind)
+        sizes = np.array([len(ids) for ids in found], np.int64) // self.kind.itemsize
         begin = np.concatenate(([0], np.cumsum(sizes)))[:-1]
         n = sizes[which]
         upto = np.concatenate(([0], np.cumsum(n)))
@@ -106,8 +120,9 @@ class Encoder:
         return table[at], upto[words.first]
 
 
-def _folded(piece: bytes) -> bytes:
-    return piece.lower() if piece.isascii() else piece
+def id_type(size: int) -> np.dtype:
+    """The narrowest type for ids below ``size``."""
+    return np.dtype("<u2" if size <= 1 << 16 else "<u4")
 
 
 def _cuts(data: np.ndarray) -> np.ndarray:
@@ -119,19 +134,20 @@ def _cuts(data: np.ndarray) -> np.ndarray:
 
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """``doc_id`` and the ids of each text with the end id, as bytes of
-    little-endian unsigned 32-bit numbers."""
+    little-endian unsigned numbers of the narrowest type."""
     with open(tokenizer_path, encoding="utf-8") as file:
         tokenizer = docs.sparkSession.sparkContext.broadcast(file.read())
+    kind = id_type(vocabulary_size(tokenizer_path, end_id))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
+        encoder = _encoder(tokenizer, kind)
         for batch in batches:
-            for part, texts in rows(batch, "text"):
+            for part, texts in rows(batch, "text", 2 << 20):
                 ids, first = encoder(texts)
                 ends = np.insert(ids, first[1:], end_id)
                 first = first + np.arange(len(first))
-                data = ends.astype("<u4").tobytes()
-                offsets = pa.py_buffer((first * 4).astype(np.int32).tobytes())
+                data = ends.astype(encoder.kind).tobytes()
+                offsets = pa.py_buffer((first * encoder.kind.itemsize).astype(np.int32).tobytes())
                 column = pa.Array.from_buffers(pa.binary(), len(texts), [None, offsets, pa.py_buffer(data)])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), column], ["doc_id", "ids"])
 
@@ -143,23 +159,25 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
 _ENCODERS: dict[int, Encoder] = {}
 
 
-def _encoder(tokenizer) -> Encoder:
+def _encoder(tokenizer, kind: np.dtype) -> Encoder:
     """One per Python worker: what it remembers serves its next tasks."""
-    key = zlib.crc32(tokenizer.value.encode())
+    key = zlib.crc32(tokenizer.value.encode()) ^ kind.itemsize
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(tokenizer.value)
+        _ENCODERS[key] = Encoder(tokenizer.value, kind)
     return _ENCODERS[key]
 
 
 def counts_of(tokens: DataFrame, size: int) -> np.ndarray:
     """How often each id occurs: ``size`` numbers, whatever the data."""
 
+    kind = id_type(size)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(size, np.int64)
         for batch in batches:
             for ids in batch.column("ids"):
-                counts += np.bincount(np.frombuffer(ids.as_buffer(), "<u4"), minlength=size)
+                counts += np.bincount(np.frombuffer(ids.as_buffer(), kind), minlength=size)
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], ["id", "n"])
 
@@ -210,6 +228,7 @@ class _Blocks:
 def write_files(tokens: DataFrame, model: rans.Model, folder: str, partitions: int) -> DataFrame:
     """Write the coded files and return the manifest, a row per unit."""
     shared = tokens.sparkSession.sparkContext.broadcast(model.frequency)
+    kind = id_type(len(model.frequency))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = _Blocks(rans.Model.of_frequency(shared.value))
@@ -239,7 +258,7 @@ def write_files(tokens: DataFrame, model: rans.Model, folder: str, partitions: i
             batch: pa.RecordBatch | None = first
             while batch is not None:
                 for doc_id, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
-                    put(stream, blocks.add(doc_id, np.frombuffer(ids.as_buffer(), "<u4")))
+                    put(stream, blocks.add(doc_id, np.frombuffer(ids.as_buffer(), kind)))
                 batch = next(batches, None)
             if blocks.open:
                 put(stream, [blocks.close()])
@@ -276,7 +295,7 @@ def _blocks_at(stream, place: int, blocks: int, model: rans.Model):
             at += size
 
 
-def decode_files(manifest: DataFrame, model: rans.Model, folder: str) -> DataFrame:
+def decode_files(manifest: DataFrame, model: rans.Model, folder: str, partitions: int) -> DataFrame:
     """Per document of the files its number of tokens and the checksum of its
     ids; ``place`` is the tokens before it in its unit."""
     shared = manifest.sparkSession.sparkContext.broadcast(model.frequency)
@@ -303,10 +322,11 @@ def decode_files(manifest: DataFrame, model: rans.Model, folder: str) -> DataFra
                 columns += [pa.array([unit["file_no"]] * n, pa.int32()), pa.array([unit["tokens_before"]] * n, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "place", "n_tokens", "ids_crc32", "file_no", "tokens_before"])
 
-    return manifest.repartition(F.col("file_no"), F.col("unit_no")).mapInArrow(run, DECODED)
+    # A number given explicitly: manifest rows are few bytes but much work.
+    return manifest.repartition(partitions, "file_no", "unit_no").mapInArrow(run, DECODED)
 
 
-def read_ids(spark: SparkSession, manifest: DataFrame, model: rans.Model, folder: str) -> DataFrame:
+def read_ids(spark: SparkSession, manifest: DataFrame, model: rans.Model, folder: str, partitions: int) -> DataFrame:
     """The ids themselves, a row per document and block: ``doc_id, part, ids``."""
     shared = spark.sparkContext.broadcast(model.frequency)
 
@@ -323,7 +343,7 @@ def read_ids(spark: SparkSession, manifest: DataFrame, model: rans.Model, folder
                         schema=pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("ids", pa.list_(pa.int64()))]),
                     )
 
-    return manifest.repartition(F.col("file_no"), F.col("unit_no")).mapInArrow(run, "doc_id long, part int, ids array<long>")
+    return manifest.repartition(partitions, "file_no", "unit_no").mapInArrow(run, "doc_id long, part int, ids array<long>")
 
 
 def vocabulary_size(tokenizer_path: str, end_id: int) -> int:
@@ -334,18 +354,19 @@ def vocabulary_size(tokenizer_path: str, end_id: int) -> int:
 
 def write_tokens(
     docs: DataFrame, tokenizer_path: str, end_id: int, folder: str, partitions: int | None = None
-) -> tuple[DataFrame, rans.Model]:
-    """Tokenize, count, and write the files: the manifest and the shared model.
+) -> tuple[DataFrame, rans.Model, int]:
+    """Tokenize, count, and write the files: the manifest, the shared model and
+    the number of tasks that decode well.
 
     The ids are written once before they are ordered, so that sampling the
     order and counting the frequencies do not tokenize again.
     """
     spark = docs.sparkSession
-    tokens = written(tokenize(docs, tokenizer_path, end_id), folder, "ids", rows=2048)
+    tokens = written(tokenize(docs, tokenizer_path, end_id), folder, "ids")
     model = rans.Model.of_counts(counts_of(tokens, vocabulary_size(tokenizer_path, end_id)))
     partitions = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), tokens.rdd.getNumPartitions())
     manifest = written(write_files(tokens, model, f"{folder}/files", partitions), folder, "manifest", rows=256)
-    return manifest, model
+    return manifest, model, partitions
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
@@ -353,8 +374,8 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> D
     ``doc_id, start, n_tokens, ids_crc32``."""
     spark = docs.sparkSession
     folder = new_folder(spark, "tokens")
-    manifest, model = write_tokens(docs, tokenizer_path, end_id, folder)
-    decoded = written(decode_files(manifest, model, f"{folder}/files"), folder, "decoded", rows=16)
+    manifest, model, partitions = write_tokens(docs, tokenizer_path, end_id, folder)
+    decoded = written(decode_files(manifest, model, f"{folder}/files", partitions), folder, "decoded", rows=16)
     # One row per file: the tokens of all files before it.
     totals = manifest.groupBy("file_no").agg(F.sum("tokens").alias("tokens"))
     earlier = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)
