@@ -41,3 +41,60 @@ with recursive words as (
 select doc_id, coalesce(sizes.n, 0) as n_shingles, component_id, doc_id = component_id as kept
 from least left join sizes using (doc_id)
 """
+
+
+def mixing(domain: str, weights: dict[str, dict[str, int]], budget_permille: int, max_epochs: int, seed: int) -> str:
+    """Budgets down the tree and the documents at the start of each leaf's last epoch."""
+
+    def weight(level: str) -> str:
+        known = "".join(f" when {level} = '{k}' then {v}" for k, v in weights.get(level, {}).items())
+        return f"case{known} else 1 end" if known else "1"
+
+    def level(name: str, path: str, parent: str, above: str) -> str:
+        last = path.split(", ")[-1]
+        by = f"partition by {parent}" if parent else ""
+        n_by = "partition by " + ", ".join(f"n.{c}" for c in parent.split(", ")) if parent else ""
+        return f"""
+{name}_nodes as (
+    select {path}, sum(capacity)::hugeint as capacity, ({weight(last)})::hugeint as weight from leaves group by {path}
+), {name}_laid as (
+    select n.*, p.budget, sum(weight) over ({n_by}) - coalesce(sum(weight) over (w rows between unbounded preceding and 1 preceding), 0) as left_weight,
+        p.budget - coalesce(sum(capacity) over (w rows between unbounded preceding and 1 preceding), 0) as left_budget
+    from {name}_nodes n join {above} p on {" and ".join(f"n.{c} is not distinct from p.{c}" for c in parent.split(", ")) if parent else "true"}
+    window w as ({n_by} order by capacity / weight, n.{last})
+), {name}_full as (
+    select *, capacity * left_weight <= weight * left_budget as is_full from {name}_laid
+), {name}_rest as (
+    select *, budget - sum(case when is_full then capacity else 0 end) over ({by}) as rest,
+        sum(case when is_full then 0 else weight end) over ({by}) as open_weight
+    from {name}_full
+), {name} as (
+    select {path}, case when is_full then capacity else (weight * rest::hugeint) // open_weight::hugeint end as budget from {name}_rest
+)"""
+
+    return rf"""
+with counted as (
+    select doc_id, {domain} as domain, lang, source,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as n_tokens
+    from documents
+), leaves as (
+    select domain, lang, source, sum(n_tokens)::hugeint as tokens, sum(n_tokens)::hugeint * {max_epochs} as capacity
+    from counted group by domain, lang, source
+), top as (
+    select least(sum(capacity), (sum(tokens) * {budget_permille})::hugeint // 1000) as budget from leaves
+), {level("domains", "domain", "", "top")}, {level("langs", "domain, lang", "domain", "domains")},
+{level("sources", "domain, lang, source", "domain, lang", "langs")},
+planned as (
+    select l.*, case when tokens > 0 then budget // tokens else 0 end as epochs, case when tokens > 0 then budget % tokens else 0 end as rest
+    from leaves l join sources s on l.domain is not distinct from s.domain and l.lang is not distinct from s.lang
+        and l.source is not distinct from s.source
+), ordered as (
+    select c.*, p.epochs, p.rest, sum(n_tokens) over (
+        partition by c.domain, c.lang, c.source order by md5('{seed}|' || p.epochs || '|' || c.doc_id)) as upto
+    from counted c join planned p on c.domain is not distinct from p.domain and c.lang is not distinct from p.lang
+        and c.source is not distinct from p.source
+)
+select doc_id, domain, lang, source, n_tokens::bigint as n_tokens,
+    (epochs + case when upto <= rest then 1 else 0 end)::int as copies
+from ordered where epochs > 0 or upto <= rest
+"""

@@ -216,18 +216,9 @@ def _large_links(open_members: DataFrame, texts: DataFrame, folder: str, k: int)
     return written(links.mapInArrow(run, "a long, b long"), folder, "large", rows=4)
 
 
-def near_duplicates(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
-
-    Documents are linked when 100 * intersection >= 75 * union of their sets of
-    ``k``-word shingles; ``component_id`` is the smallest ``doc_id`` reachable
-    by links. A document with fewer words has its whole sequence as its one
-    shingle; one with no word, empty or null, has none and is linked with
-    nothing. Rows that repeat a ``doc_id`` are compared each with its own text.
-    A null ``doc_id`` takes part but names no component: only a component
-    without any other id has a null ``component_id``. An empty table gives no
-    row. Only ``doc_id`` and ``text`` are read.
-    """
+def _grouped(docs: DataFrame, k: int) -> DataFrame:
+    """Per row ``doc_id``, a key of its text, the size of its set, and a label
+    that rows of one component share; null without words."""
     spark = docs.sparkSession
     folder = new_folder(spark, "minhash")
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -274,10 +265,25 @@ def near_duplicates(docs: DataFrame, k: int = WORDS) -> DataFrame:
 
     links = settled.selectExpr("id as a", "component as b").union(cold_links).union(large_links)
     joined = components(links, folder, "joined").withColumnRenamed("id", "node")
-    placed = signed.select("doc_id", "n", "node").join(joined, "node", "left").select(
-        "doc_id", "n", F.expr("if(n > 0, coalesce(component, node), null)").alias("label")
+    placed = signed.select("doc_id", "text_key", "n", "node").join(joined, "node", "left").select(
+        "doc_id", "text_key", "n", F.expr("if(n > 0, coalesce(component, node), null)").alias("label")
     )
-    placed = written(placed, folder, "placed")
+    return written(placed, folder, "placed")
+
+
+def near_duplicates(docs: DataFrame, k: int = WORDS) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
+
+    Documents are linked when 100 * intersection >= 75 * union of their sets of
+    ``k``-word shingles; ``component_id`` is the smallest ``doc_id`` reachable
+    by links. A document with fewer words has its whole sequence as its one
+    shingle; one with no word, empty or null, has none and is linked with
+    nothing. Rows that repeat a ``doc_id`` are compared each with its own text.
+    A null ``doc_id`` takes part but names no component: only a component
+    without any other id has a null ``component_id``. An empty table gives no
+    row. Only ``doc_id`` and ``text`` are read.
+    """
+    placed = _grouped(docs, k)
     smallest = placed.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("smallest"))
     return placed.join(smallest, "label", "left").select(
         "doc_id",
@@ -285,3 +291,32 @@ def near_duplicates(docs: DataFrame, k: int = WORDS) -> DataFrame:
         F.expr("if(label is null, doc_id, smallest)").alias("component_id"),
         F.expr("label is null or doc_id <=> smallest").alias("kept"),
     )
+
+
+def deduplicated(docs: DataFrame, k: int = WORDS) -> DataFrame:
+    """One row of each component of :func:`near_duplicates`, with all columns of
+    ``docs``: that with the smallest ``doc_id``, null last. Equal rows, and texts
+    without words, are no reason to drop a row, except that a row whose
+    ``doc_id`` and text both repeat stays once. A column ``__text_key`` is reserved.
+    """
+    placed = _grouped(docs, k)
+    rank = F.expr(f"struct(coalesce(doc_id, {2**63 - 1}L) as doc_id, text_key)")
+    first = placed.where("label is not null").groupBy("label").agg(F.min(rank).alias("first"))
+    worse = placed.join(first, "label").where(rank != F.col("first")).select("doc_id", "text_key")
+    folder = new_folder(docs.sparkSession, "minhash")
+    dropped = written(worse.distinct(), folder, "dropped")
+    repeated = placed.groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key")
+    repeated = written(repeated, folder, "repeated")
+
+    keyed = docs.withColumn("__text_key", F.xxhash64(F.col("text").cast("string")))
+
+    def matched(rows_: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        # Both sides' sizes are known: adaptive execution broadcasts few keys.
+        renamed = keys.selectExpr("doc_id as __other", "text_key as __other_key")
+        return rows_.join(renamed, F.expr("doc_id <=> __other and __text_key = __other_key"), how)
+
+    kept = matched(keyed, dropped, "left_anti")
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    once = matched(kept, repeated, "left_semi").dropDuplicates(["doc_id", "__text_key"])
+    return matched(kept, repeated, "left_anti").unionByName(once).select(*docs.columns)

@@ -6,11 +6,22 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fairdraw.llm import expected, minhash, quality, tokens
+from fairdraw.llm import decontaminate, expected, minhash, mixing, quality, tokens
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
+# The large crawled source, edited ones, and the rest.
+DOMAIN = """case when source = 'src0' then 'crawl'
+    when source in ('src1', 'src2', 'src3', 'src4', 'src5', 'src6', 'src7', 'src8', 'src9') then 'edited'
+    else 'forum' end"""
+MIX = mixing.Mix(
+    domain=DOMAIN,
+    weights={"domain": {"crawl": 2, "edited": 5, "forum": 3}, "lang": {"en": 5, "de": 2, "fr": 2, "es": 1}},
+    budget_permille=900,
+    max_epochs=3,
+)
 
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -23,6 +34,11 @@ def op2_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode_documents(load(spark, folder, "documents"), TOKENIZER, END_ID)
 
 
+def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    counted = load(spark, folder, "documents").withColumns({"n_tokens": F.expr(mixing.TOKENS), "domain": F.expr(DOMAIN)})
+    return mixing.mixed(counted, MIX, "n_tokens").select("doc_id", "domain", "lang", "source", "n_tokens", "copies")
+
+
 def op5_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(load(spark, folder, "documents"))
 
@@ -31,5 +47,13 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_documents(load(spark, folder, "documents"), load(spark, folder, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_output, op5_minhash_dedup, op6_quality)}
-ORACLE_SQL = {"op5_minhash_dedup": expected.MINHASH}
+def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contaminated(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "offset", "first_word", "last_word", "agreeing")
+
+
+QUERIES = {f.__name__: f for f in (op2_token_output, op4_source_mixing, op5_minhash_dedup, op6_quality, op8_decontaminate)}
+ORACLE_SQL = {
+    "op4_source_mixing": expected.mixing(MIX.domain, MIX.weights, MIX.budget_permille, MIX.max_epochs, MIX.seed),
+    "op5_minhash_dedup": expected.MINHASH,
+}
