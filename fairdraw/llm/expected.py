@@ -98,3 +98,19 @@ select doc_id, domain, lang, source, n_tokens::bigint as n_tokens,
     (epochs + case when upto <= rest then 1 else 0 end)::int as copies
 from ordered where epochs > 0 or upto <= rest
 """
+
+
+WARC = """
+with payloads as (
+    select page_id, encode(coalesce(html, '')) as payload from pages
+), digests as (
+    select page_id, octet_length(payload)::bigint as payload_bytes, sha256(payload) as payload_digest from payloads
+), firsts as (
+    select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) else page_id end as first_id
+    from digests
+)
+select page_id, payload_bytes, payload_digest,
+    case when page_id = first_id then 'response' else 'revisit' end as record_type,
+    case when page_id = first_id then null else first_id end as refers_to
+from firsts
+"""

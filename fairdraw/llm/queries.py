@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairdraw.llm import decontaminate, expected, minhash, mixing, quality, tokens
+from fairdraw.llm import decontaminate, expected, minhash, mixing, quality, tokens, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -47,13 +47,28 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_documents(load(spark, folder, "documents"), load(spark, folder, "labels"))
 
 
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_pages(load(spark, folder, "pages"))
+
+
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contaminated(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
     return found.select("doc_id", "item_id", "offset", "first_word", "last_word", "agreeing")
 
 
-QUERIES = {f.__name__: f for f in (op2_token_output, op4_source_mixing, op5_minhash_dedup, op6_quality, op8_decontaminate)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_token_output,
+        op4_source_mixing,
+        op5_minhash_dedup,
+        op6_quality,
+        op7_warc,
+        op8_decontaminate,
+    )
+}
 ORACLE_SQL = {
     "op4_source_mixing": expected.mixing(MIX.domain, MIX.weights, MIX.budget_permille, MIX.max_epochs, MIX.seed),
     "op5_minhash_dedup": expected.MINHASH,
+    "op7_warc": expected.WARC,
 }

@@ -56,7 +56,7 @@ def published(folder: str, name: str):
     where, path = filesystem(folder)
     where.create_dir(path, recursive=True)
     draft = f"{path}/_{name}"
-    with where.open_output_stream(draft) as stream:
+    with where.open_output_stream(draft, compression=None) as stream:
         yield stream
     where.move(draft, f"{path}/{name}")
 
