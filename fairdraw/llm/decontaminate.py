@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairdraw.llm.storage import new_folder, written
-from fairdraw.llm.text import LOWER, Words, mix, rows, words_of
+from fairdraw.llm.text import LOWER, MARKS, Words, mix, rows, words_of
 
 WINDOW, SUBSTITUTED, SPAN = 13, 2, 9
 MASKS = ((0, 1, 2, 5, 7, 8), (0, 2, 3, 4, 7, 8))
@@ -38,10 +38,6 @@ _BITS = 1 << 24
 _AROUND = 2 * WINDOW - SPAN
 _BEFORE = WINDOW - SPAN
 
-_byte = np.arange(256)
-SEPARATORS = (_byte < 48) | ((_byte > 57) & (_byte < 97)) | ((_byte > 122) & (_byte < 128))
-SEPARATORS[65:91] = False
-
 SEED = "hash long, key long, doc_id long, place int, around binary"
 
 
@@ -87,7 +83,7 @@ def _seeds(rows_: DataFrame, key: str, filler: int, bitmap=None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in rows(batch, "text", 1 << 20):
-                words = words_of(texts, SEPARATORS, LOWER)
+                words = words_of(texts, MARKS, LOWER)
                 hashes, places = masked(words)
                 if bitmap is not None:
                     keep = np.ones(len(hashes), bool)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairdraw.llm import decontaminate, expected, minhash, mixing, quality, tokens, warc
+from fairdraw.llm import decontaminate, expected, minhash, mixing, quality, tokens, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -56,6 +56,11 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "item_id", "offset", "first_word", "last_word", "agreeing")
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.score_documents(load(spark, folder, "documents"), load(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "n_passages")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -65,6 +70,7 @@ QUERIES = {
         op6_quality,
         op7_warc,
         op8_decontaminate,
+        op10_toxicity,
     )
 }
 ORACLE_SQL = {

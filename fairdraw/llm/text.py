@@ -24,6 +24,9 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
+# ASCII but letters and digits: what parts words that are letters and digits only.
+_byte = np.arange(256)
+MARKS = (_byte < 128) & ~((_byte >= 48) & (_byte <= 57)) & ~((_byte >= 65) & (_byte <= 90)) & ~((_byte >= 97) & (_byte <= 122))
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -110,6 +113,11 @@ def words_of(
     return Words(_hashes(fold[data], start, end), first, start, end)
 
 
+def heads_of(texts: Texts, words: Words, size: int, fold: np.ndarray = LOWER) -> np.ndarray:
+    """Hashes of the words' first ``size`` bytes."""
+    return _hashes(fold[texts.data], words.start, np.minimum(words.end, words.start + size))
+
+
 def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     powers, inverses, letters = _powers()
     out = np.empty(len(start), np.uint64)
