@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairdraw.llm import decontaminate, expected, minhash, mixing, quality, tokens, toxicity, warc
+from fairdraw.llm import decontaminate, expected, licenses, minhash, mixing, quality, tokens, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -34,6 +34,10 @@ def op2_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode_documents(load(spark, folder, "documents"), TOKENIZER, END_ID)
 
 
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(load(spark, folder, "documents"))
+
+
 def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     counted = load(spark, folder, "documents").withColumns({"n_tokens": F.expr(mixing.TOKENS), "domain": F.expr(DOMAIN)})
     return mixing.mixed(counted, MIX, "n_tokens").select("doc_id", "domain", "lang", "source", "n_tokens", "copies")
@@ -65,6 +69,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op2_token_output,
+        op3_license_scan,
         op4_source_mixing,
         op5_minhash_dedup,
         op6_quality,
