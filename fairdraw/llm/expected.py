@@ -114,3 +114,27 @@ select page_id, payload_bytes, payload_digest,
     case when page_id = first_id then null else first_id end as refers_to
 from firsts
 """
+
+
+VECTORS = """
+with recursive usable as (
+    select vec_id, embedding::double[] as v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as (
+    select x.vec_id as a, y.vec_id as b from usable x join usable y on x.vec_id < y.vec_id and len(x.v) = len(y.v)
+    where list_cosine_similarity(x.v, y.v) >= 0.9
+), edges as (
+    select a, b from links union all select b, a from links
+), reach as (
+    select vec_id, vec_id as other from embeddings
+    union
+    select reach.vec_id, edges.b from reach join edges on edges.a = reach.other
+), least as (
+    select vec_id, min(other) as component_id from reach group by vec_id
+), counted as (
+    select a as vec_id, count(*) as n_links from edges group by a
+)
+select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+from least left join counted using (vec_id)
+"""

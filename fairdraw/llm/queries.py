@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairdraw.llm import decontaminate, expected, licenses, minhash, mixing, quality, tokens, toxicity, warc
+from fairdraw.llm import decontaminate, expected, licenses, minhash, mixing, quality, tokens, toxicity, vectors, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -60,6 +60,10 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "item_id", "offset", "first_word", "last_word", "agreeing")
 
 
+def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(load(spark, folder, "embeddings"))
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scored = toxicity.score_documents(load(spark, folder, "documents"), load(spark, folder, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted", "n_passages")
@@ -75,6 +79,7 @@ QUERIES = {
         op6_quality,
         op7_warc,
         op8_decontaminate,
+        op9_embedding_dedup,
         op10_toxicity,
     )
 }
@@ -82,4 +87,5 @@ ORACLE_SQL = {
     "op4_source_mixing": expected.mixing(MIX.domain, MIX.weights, MIX.budget_permille, MIX.max_epochs, MIX.seed),
     "op5_minhash_dedup": expected.MINHASH,
     "op7_warc": expected.WARC,
+    "op9_embedding_dedup": expected.VECTORS,
 }
