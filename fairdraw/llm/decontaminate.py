@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fairdraw.llm.bitmap import bitmap_of, may_contain
 from fairdraw.llm.storage import new_folder, written
 from fairdraw.llm.text import LOWER, MARKS, Words, mix, rows, words_of
 
@@ -32,8 +33,6 @@ MASKS = ((0, 1, 2, 5, 7, 8), (0, 2, 3, 4, 7, 8))
 LEAST_WORDS = SPAN
 #: Rows of the benchmark's side that are broadcast at most.
 BROADCAST_ROWS = 100_000
-# Bits of the bitmap.
-_BITS = 1 << 24
 # Words compared around a hit, those before it first.
 _AROUND = 2 * WINDOW - SPAN
 _BEFORE = WINDOW - SPAN
@@ -73,10 +72,6 @@ def _binary(table: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
 
 
-def _bit(hashes: np.ndarray, which: int) -> np.ndarray:
-    return (hashes >> np.uint64(8 + 24 * which)) & np.uint64(_BITS - 1)
-
-
 def _seeds(rows_: DataFrame, key: str, filler: int, bitmap=None) -> DataFrame:
     """Places of the texts with their hashes; with a bitmap, those it has."""
 
@@ -86,10 +81,7 @@ def _seeds(rows_: DataFrame, key: str, filler: int, bitmap=None) -> DataFrame:
                 words = words_of(texts, MARKS, LOWER)
                 hashes, places = masked(words)
                 if bitmap is not None:
-                    keep = np.ones(len(hashes), bool)
-                    for which in (0, 1):
-                        bit = _bit(hashes, which)
-                        keep &= (bitmap.value[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                    keep = may_contain(bitmap.value, hashes)
                     hashes, places = hashes[keep], places[keep]
                 owner = np.searchsorted(words.first, places, "right") - 1
                 yield pa.RecordBatch.from_arrays(
@@ -108,18 +100,6 @@ def _seeds(rows_: DataFrame, key: str, filler: int, bitmap=None) -> DataFrame:
     return texts.mapInArrow(run, f"{SEED}, n_words int")
 
 
-def _bitmap_of(items: DataFrame) -> np.ndarray:
-    """The bits of all hashes of the benchmark: at most ``_BITS / 64`` rows."""
-    at = [f"shiftrightunsigned(hash, {8 + 24 * which}) & {_BITS - 1}" for which in (0, 1)]
-    both = items.select(F.explode(F.array(*map(F.expr, at))).alias("at")).select(
-        F.expr("cast(at div 64 as int)").alias("word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bit")
-    )
-    words = np.zeros(_BITS // 64, np.int64)
-    for row in both.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():
-        words[row["word"]] = row["bits"]
-    return words.view(np.uint8)
-
-
 def _agreeing(docs: np.ndarray, items: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per hit the most words of a window that agree, and the window's start
     relative to the hit. A short item's window is the item itself."""
@@ -147,7 +127,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     folder = new_folder(spark, "benchmark")
     numbered = benchmark.select(F.col("item_id").cast("long").alias("doc_id"), "text")
     items = written(_seeds(numbered, "0L", 1).where(f"n_words >= {LEAST_WORDS}"), folder, "items")
-    bitmap = spark.sparkContext.broadcast(_bitmap_of(items.select("hash")))
+    bitmap = spark.sparkContext.broadcast(bitmap_of(items.select("hash")))
     found = _seeds(docs.withColumn("text", F.col("text").cast("string")), "xxhash64(text)", 2, bitmap).drop("n_words")
     sides = items.selectExpr("hash", "doc_id as item_id", "place as item_place", "around as item_around", "n_words")
     sides = F.broadcast(sides) if items.count() <= BROADCAST_ROWS else sides

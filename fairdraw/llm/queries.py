@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairdraw.llm import decontaminate, expected, licenses, minhash, mixing, quality, tokens, toxicity, vectors, warc
+from fairdraw.llm import decontaminate, expected, licenses, lines, minhash, mixing, quality, tokens, toxicity, vectors, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -30,6 +30,11 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = lines.deduplicated(load(spark, folder, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_kept", F.expr("crc32(coalesce(text, ''))").alias("text_crc32"))
+
+
 def op2_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode_documents(load(spark, folder, "documents"), TOKENIZER, END_ID)
 
@@ -72,6 +77,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_line_dedup,
         op2_token_output,
         op3_license_scan,
         op4_source_mixing,
