@@ -59,7 +59,9 @@ def variants_of(line: str) -> np.ndarray:
     """Hashes of the line and of the line without each of its characters, in
     time linear in its length."""
     letters = mix(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(_BASE))
-    powers = np.multiply.accumulate(np.concatenate(([1], np.full(len(letters) - 1, _BASE, np.uint64))).astype(np.uint64))
+    powers = np.full(len(letters), _BASE, np.uint64)
+    powers[0] = 1
+    powers = np.multiply.accumulate(powers)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(letters * powers, dtype=np.uint64)))
     without = sums[:-1] + (sums[-1] - sums[1:]) * np.uint64(_INVERSE)
     sizes = np.full(len(without) + 1, len(letters) - 1, np.uint64)
