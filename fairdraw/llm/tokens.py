@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from fairdraw.llm import rans
 from fairdraw.llm.storage import attempt_name, filesystem, new_folder, published, written
-from fairdraw.llm.text import BLANK, rows, words_of
+from fairdraw.llm.text import BLANK, Texts, rows, words_of
 
 BLOCK = 1 << 18
 # Pieces a Python worker remembers with their ids: two generations of this
@@ -76,6 +76,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.model = self.tokenizer.model
         self.kind = kind
+        # Their strings stand for themselves only in a text as a whole.
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.new: dict[int, bytes] = {}
         self.old: dict[int, bytes] = {}
 
@@ -96,8 +98,20 @@ class Encoder:
                 out[i] = np.array(found.ids, self.kind).tobytes()
         return out
 
-    def __call__(self, texts) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin."""
+        ids, first = self._pieced(texts)
+        data = texts.data.tobytes()
+        if not any(word in data for word in self.special):
+            return ids, first
+        parts = [ids[first[i] : first[i + 1]] for i in range(len(texts))]
+        for i, (low, high) in enumerate(zip(texts.offsets, texts.offsets[1:], strict=False)):
+            if any(data.find(word, low, high) >= 0 for word in self.special):
+                whole = self.tokenizer.encode(data[low:high].decode("utf-8", "replace"), add_special_tokens=False)
+                parts[i] = np.array(whole.ids, self.kind)
+        return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
+
+    def _pieced(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         words = words_of(texts, BLANK, np.arange(256, dtype=np.uint8), _cuts(texts.data))
         hashes, place, which = np.unique(words.hashes, return_index=True, return_inverse=True)
         keys, old = hashes.tolist(), self.old
@@ -191,26 +205,26 @@ def counts_of(tokens: DataFrame, size: int) -> np.ndarray:
 class _Blocks:
     """Cuts a run of documents into blocks."""
 
-    def __init__(self, model: rans.Model) -> None:
-        self.model, self.open, self.size = model, [], 0
+    def __init__(self, model: rans.Model, most: int) -> None:
+        self.model, self.most, self.open, self.size = model, most, [], 0
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> Iterator[tuple[bytes, bool, int, int]]:
         """Coded blocks as they fill: bytes, whether it goes on with a document
         of the block before, documents that start in it, tokens."""
         low, goes_on = 0, False
-        while len(ids) - low > BLOCK:
+        while len(ids) - low > self.most:
             if self.open:
                 yield self.close()
-            self.open, self.size = [(doc_id, ids[low : low + BLOCK])], BLOCK
+            self.open, self.size = [(doc_id, ids[low : low + self.most])], self.most
             yield self.close(goes_on)
-            low, goes_on = low + BLOCK, True
+            low, goes_on = low + self.most, True
         if goes_on:
             self.open, self.size = [(doc_id, ids[low:])], len(ids) - low
             yield self.close(True)
             return
         self.open.append((doc_id, ids))
         self.size += len(ids)
-        if self.size >= BLOCK:
+        if self.size >= self.most:
             yield self.close()
 
     def close(self, goes_on: bool = False) -> tuple[bytes, bool, int, int]:
@@ -225,13 +239,13 @@ class _Blocks:
         return head + index + coded, goes_on, len(entries) - goes_on, size
 
 
-def write_files(tokens: DataFrame, model: rans.Model, folder: str, partitions: int) -> DataFrame:
+def write_files(tokens: DataFrame, model: rans.Model, folder: str, partitions: int, block: int = BLOCK) -> DataFrame:
     """Write the coded files and return the manifest, a row per unit."""
     shared = tokens.sparkSession.sparkContext.broadcast(model.frequency)
     kind = id_type(len(model.frequency))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = _Blocks(rans.Model.of_frequency(shared.value))
+        blocks = _Blocks(rans.Model.of_frequency(shared.value), block)
         number = TaskContext.get().partitionId()
         name, units, place, before = attempt_name(f"tokens-{number:06d}", "rtk"), [], 0, 0
 
@@ -353,7 +367,7 @@ def vocabulary_size(tokenizer_path: str, end_id: int) -> int:
 
 
 def write_tokens(
-    docs: DataFrame, tokenizer_path: str, end_id: int, folder: str, partitions: int | None = None
+    docs: DataFrame, tokenizer_path: str, end_id: int, folder: str, partitions: int | None = None, block: int = BLOCK
 ) -> tuple[DataFrame, rans.Model, int]:
     """Tokenize, count, and write the files: the manifest, the shared model and
     the number of tasks that decode well.
@@ -365,7 +379,7 @@ def write_tokens(
     tokens = written(tokenize(docs, tokenizer_path, end_id), folder, "ids")
     model = rans.Model.of_counts(counts_of(tokens, vocabulary_size(tokenizer_path, end_id)))
     partitions = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), tokens.rdd.getNumPartitions())
-    manifest = written(write_files(tokens, model, f"{folder}/files", partitions), folder, "manifest", rows=256)
+    manifest = written(write_files(tokens, model, f"{folder}/files", partitions, block), folder, "manifest", rows=256)
     return manifest, model, partitions
 
 

@@ -45,11 +45,10 @@ def test_empty_table(documents):
     assert tokens.encode_documents(documents([]), PATH).collect() == []
 
 
-def test_long_document_goes_through_several_blocks(spark, documents, monkeypatch):
-    monkeypatch.setattr(tokens, "BLOCK", 500)
+def test_long_document_goes_through_several_blocks(spark, documents):
     rows = [(0, prose(1, 30)), (1, prose(2, 5000)), (2, ""), (3, prose(3, 450)), (4, prose(4, 2000))]
     folder = new_folder(spark, "tokens")
-    manifest, model, partitions = tokens.write_tokens(documents(rows), PATH, 2, folder, 1)
+    manifest, model, partitions = tokens.write_tokens(documents(rows), PATH, 2, folder, 1, block=500)
     units = manifest.orderBy("file_no", "unit_no").collect()
     assert max(u.blocks for u in units) > 3
     back = tokens.read_ids(spark, manifest, model, f"{folder}/files", partitions).orderBy("doc_id", "part").collect()
