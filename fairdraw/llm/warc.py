@@ -16,7 +16,6 @@ import hashlib
 import io
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -33,6 +32,8 @@ DATE = "1970-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _NAME = "urn:page:"
+# What would end or blur a header line.
+_ESCAPED = {c: f"%{c:02X}" for c in (*range(33), 127)}
 
 MANIFEST = "file string, place long, records long"
 CHUNKS = (
@@ -47,7 +48,7 @@ def _fields(page: dict, size: int) -> list[tuple[str, str]]:
     out.append(("WARC-Record-ID", f"<{_NAME}{'' if page['page_id'] is None else page['page_id']}>"))
     out.append(("WARC-Date", DATE))
     if page["url"] is not None:
-        out.append(("WARC-Target-URI", quote(page["url"], safe="!#$%&'()*+,/:;=?@[]~")))
+        out.append(("WARC-Target-URI", page["url"].translate(_ESCAPED)))
     out.append(("WARC-Payload-Digest", f"sha256:{page['digest']}"))
     out.append(("WARC-Payload-Length", str(page["payload_bytes"])))
     if revisit:
@@ -134,10 +135,9 @@ def _read_record(reader: io.BufferedReader) -> Iterator[dict]:
     """The chunks of the record that starts here."""
     fields = _head(reader)
     left = int(fields["content-length"])
-    url = fields.get("warc-target-uri")
     record = {
         "page_id": _number(fields["warc-record-id"]),
-        "url": None if url is None else unquote(url),
+        "url": fields.get("warc-target-uri"),
         "record_type": fields["warc-type"],
         "refers_to": _number(fields["warc-refers-to"]) if "warc-refers-to" in fields else None,
         "payload_bytes": int(fields["warc-payload-length"]),
@@ -217,7 +217,7 @@ def archive_pages(pages: DataFrame) -> DataFrame:
     ``LEAST_BYTES`` the one with the smallest ``page_id`` is the response; rows
     that repeat that id with that payload are responses too. Rows without id
     revisit it, or are responses if no row of their payload has an id. A null
-    ``url`` is left out. An empty table gives no archive and no row. Only
+    ``url`` is left out; blanks and control characters in one are escaped. An empty table gives no archive and no row. Only
     ``page_id``, ``url`` and ``html`` are read.
     """
     spark = pages.sparkSession
