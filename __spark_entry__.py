@@ -91,14 +91,14 @@ def floor_sample_few_strata(spark, d):
 
 def floor_sample_by_cut(spark, d):
     drawn = sampling.floor_sample(
-        load(spark, d, "lineitem"), LINE_STRATA, 0.1, ids=LINE_IDS, seed=SEED, large_draw=100
+        load(spark, d, "lineitem"), LINE_STRATA, 0.1, ids=LINE_IDS, seed=SEED, broadcast_keys=3
     )
     return drawn.select(*LINE_IDS, "l_extendedprice", *LINE_STRATA)
 
 
 def floor_sample_mixed_sizes(spark, d):
     drawn = sampling.floor_sample(
-        documents(spark, d), DOC_STRATA, 0.1, ids=["doc_id"], seed=SEED, large_draw=2, broadcast_keys=30
+        documents(spark, d), DOC_STRATA, 0.1, ids=["doc_id"], seed=SEED, broadcast_keys=30
     )
     return drawn.select("doc_id", "lang", "source")
 
@@ -190,7 +190,7 @@ def weighted_sample(spark, d):
 
 def weighted_sample_by_cut(spark, d):
     drawn = sampling.weighted_sample(
-        orders(spark, d), ["o_orderpriority"], "o_totalprice", pct=0.1, ids=["o_orderkey"], seed=SEED, large_draw=100
+        orders(spark, d), ["o_orderpriority"], "o_totalprice", pct=0.1, ids=["o_orderkey"], seed=SEED, broadcast_keys=2
     )
     return drawn.select("o_orderkey", "o_orderpriority")
 

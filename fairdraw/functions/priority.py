@@ -18,6 +18,8 @@ RESOLUTION = 16**HEX_DIGITS
 # Compare below and above every priority.
 BELOW_ALL = ""
 ABOVE_ALL = "g"
+# Beyond the waiting time of any weight in use.
+AFTER_ALL = 1e300
 
 
 def priority(seed: int, ids: Sequence[str]) -> Column:
@@ -35,9 +37,10 @@ def weighted_priority(digits: str, weight: Column) -> Column:
     """Exponential waiting time with the weight as its rate, so the rows with
     the smallest values form a draw without replacement in which heavier
     rows come first. Equal weights keep the order of the plain priorities;
-    rows without a positive weight come last."""
-    return F.when(weight > 0, -F.log(1 - uniform(digits)) / weight).otherwise(
-        F.lit(float("inf"))
+    rows without a positive weight come last, in the order of the priorities."""
+    known = (weight > 0) & ~F.isnan(weight)
+    return F.when(known, -F.log(1 - uniform(digits)) / weight).otherwise(
+        F.lit(AFTER_ALL) * (1 + uniform(digits))
     )
 
 

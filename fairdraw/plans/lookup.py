@@ -1,24 +1,43 @@
 """Matching rows with a per-key table when keys are skewed and the number of
 keys is not known beforehand.
 
-The most frequent keys, a fixed number of them, are broadcast: that side has
-a bound whatever the data, and no hot key is shuffled. The keys beyond that
-number are each a small part of the rows, so an ordinary shuffled join holds.
+The most frequent keys, a fixed number of them, are broadcast: no hot key is
+shuffled. Keys travel as two 64-bit hashes, so that side has a bound in bytes
+whatever the keys hold. The keys beyond that number are each a small part of
+the rows, so an ordinary shuffled join holds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fairdraw.functions.columns import INTERNAL, name
+from fairdraw.functions.columns import INTERNAL, name, text
 
-# Most rows of a broadcast lookup table, and the longest key in it. Together
-# they bound a broadcast to about twenty megabytes.
+# Most rows of a broadcast lookup table.
 BROADCAST_KEYS = 20_000
-LABEL_BYTES = 1_000
+
+KEY = [INTERNAL + "k1", INTERNAL + "k2"]
+GROUP = INTERNAL + "group"
+# Groups of keys, for broadcast tables that have something for every key.
+GROUPS = 65_536
+
+
+def hash_of(columns: Sequence[str], salt: str) -> Column:
+    """A 64-bit hash of some columns that tells nulls from values and places."""
+    parts = [f"{name(c)} is null, {name(c)}" for c in columns]
+    return F.expr(f"xxhash64({', '.join([text(salt), *parts])})")
+
+
+def keyed(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows with the two hashes that stand for a key."""
+    return rows.withColumns({KEY[0]: hash_of(columns, "a"), KEY[1]: hash_of(columns, "b")})
+
+
+def group_of() -> Column:
+    return F.expr(f"pmod({KEY[0]}, {GROUPS})")
 
 
 def join_on_keys(
@@ -37,25 +56,18 @@ def join_on_keys(
     return joined if how in ("left_semi", "left_anti") else joined.drop(*renamed.values())
 
 
-def only_if_any(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows if ``found`` has a row, else nothing. With an empty ``found``
-    adaptive execution drops the branch before it scans anything."""
-    return rows.join(F.broadcast(found.select(F.lit(1)).limit(1)), how="left_semi")
-
-
-def short_label(keys: Sequence[str]) -> str:
-    """SQL text: whether a key is short enough for the lookup table."""
-    length = " + ".join(f"coalesce(octet_length(cast({name(c)} as string)), 0)" for c in keys)
-    return f"({length} <= {LABEL_BYTES})"
+def most_frequent(table: DataFrame, size: str, limit: int) -> tuple[DataFrame, DataFrame]:
+    """A table with keys as hashes, parted into its ``limit`` largest keys, to be
+    broadcast, and the others."""
+    head = table.orderBy(F.desc(size), *KEY).limit(limit)
+    return head, table.join(F.broadcast(head.select(*KEY)), KEY, "left_anti")
 
 
-def most_frequent(table: DataFrame, keys: Sequence[str], size: str, limit: int) -> DataFrame:
-    """The table's most frequent keys, small enough to broadcast: ``limit`` rows
-    with keys of ``LABEL_BYTES`` at most."""
-    # Tied to the size, the condition stays above the aggregate that makes the
-    # table, so every use of the table shares one exchange.
-    short = table.where(f"if({name(size)} > 0, {short_label(keys)}, false)")
-    return short.orderBy(F.desc(size), *[F.asc_nulls_first(c) for c in keys]).limit(limit)
+def in_groups_of(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """The rows whose group of keys the table has. With an empty table adaptive
+    execution drops the branch before it scans anything."""
+    groups = table.select(group_of().alias(GROUP)).distinct()
+    return rows.withColumn(GROUP, group_of()).join(F.broadcast(groups), GROUP, "left_semi").drop(GROUP)
 
 
 def keep_matching(
@@ -67,11 +79,11 @@ def keep_matching(
 ) -> DataFrame:
     """Rows whose key is in the table. ``size`` names the table's column with
     the number of rows of each key."""
-    head = most_frequent(table, keys, size, limit).select(*keys)
-    tail = join_on_keys(table.select(*keys), head, keys, "left_anti", small=True)
-    near = join_on_keys(rows, head, keys, "left_semi", small=True)
-    rest = only_if_any(join_on_keys(rows, head, keys, "left_anti", small=True), tail)
-    return near.unionByName(join_on_keys(rest, tail, keys, "left_semi"))
+    head, tail = most_frequent(keyed(table, keys).select(*KEY, size), size, limit)
+    marked = keyed(rows, keys)
+    near = marked.join(F.broadcast(head.select(*KEY)), KEY, "left_semi")
+    far = in_groups_of(marked, tail).join(tail.select(*KEY), KEY, "left_semi")
+    return near.unionByName(far).select(*rows.columns)
 
 
 def mark_matching(
@@ -84,11 +96,9 @@ def mark_matching(
 ) -> DataFrame:
     """All rows, with a boolean column telling whether the key is in the table.
     Keys outside the table must be less frequent than those in it."""
-    head = most_frequent(table, keys, size, limit).select(*keys)
-    tail = join_on_keys(table.select(*keys), head, keys, "left_anti", small=True)
-    near = join_on_keys(rows, head, keys, "left_semi", small=True)
-    rest = join_on_keys(rows, head, keys, "left_anti", small=True)
-    far = join_on_keys(rest, tail.withColumn(mark, F.lit(True)), keys, "left")
-    return near.withColumn(mark, F.lit(True)).unionByName(
-        far.withColumn(mark, F.coalesce(F.col(mark), F.lit(False)))
-    )
+    head, tail = most_frequent(keyed(table, keys).select(*KEY, size), size, limit)
+    marked, keys_of_head = keyed(rows, keys), F.broadcast(head.select(*KEY))
+    near = marked.join(keys_of_head, KEY, "left_semi").withColumn(mark, F.lit(True))
+    rest = marked.join(keys_of_head, KEY, "left_anti")
+    far = rest.join(tail.select(*KEY, F.lit(True).alias(mark)), KEY, "left")
+    return near.unionByName(far.withColumn(mark, F.coalesce(F.col(mark), F.lit(False)))).select(*rows.columns, mark)

@@ -1,24 +1,26 @@
 """Drawing the rows with the smallest priorities of each stratum, exactly.
 
 A stratum may hold a third of the table, so no stratum as a whole may pass
-through one task. The ``BROADCAST_KEYS`` largest strata go into a lookup table
-that is broadcast; how a stratum is drawn depends on the rows it gives:
-
-* Strata giving ``LARGE_DRAW`` rows or more are cut at the priority of their
-  last drawn row. The share drawn tells where that priority lies up to random
-  spread, so one narrow pass counts the rows on both sides of that band, one
-  narrow pass ranks the few rows inside it (about the square root of the
-  stratum), and the final pass filters the table by the cut. Should the cut
-  miss the band, the counts say on which side it lies and that side is ranked
-  instead, so the result is exact in any case.
-* The other strata of the lookup table are thinned before the shuffle to the
-  priorities that can be drawn at all, then ranked by a window.
-* Strata beyond the lookup table each hold less than one part in
-  ``BROADCAST_KEYS`` of the table. The same window counts and ranks them.
-
-Whole rows are read once. If all strata are large, the drawn rows are not
-shuffled; else they pass the window, spread over many groups. Of these two
-plans adaptive execution drops the one not needed before it scans anything.
+through one task, and rows that are drawn need not be moved. So every draw
+looks for cuts: the place, in the order of priorities, of each stratum's last
+drawn row. Whole rows are then read once and compared with their stratum's cut.
+
+* The share drawn tells where a cut lies up to random spread. One narrow pass
+  counts the rows before that band and ranks the few rows inside it, about the
+  square root of the rows drawn. Should the cut miss the band, the counts say on
+  which side it lies, and that side is ranked instead.
+* With weights the band is found by counting rows along the scale of their
+  waiting times, first coarsely, then finely inside the part with the cut.
+* The ``BROADCAST_KEYS`` largest strata have their cuts broadcast. Strata beyond
+  them each hold less than one part in ``BROADCAST_KEYS`` of the table: their
+  narrow rows are ranked whole, and whole rows are joined with the cuts by a
+  shuffle after a broadcast table of fixed size has dropped those beyond the
+  largest cut of their group of strata. Without such strata adaptive execution
+  drops this branch before it scans anything.
+
+Strata and rows are known to the plans by 64-bit hashes (two for a stratum, the
+priority and one more for a row), so tables that are broadcast have a bound in
+bytes whatever the columns hold, and their columns cannot clash with any others.
 """
 
 from __future__ import annotations
@@ -38,34 +40,34 @@ from fairdraw.functions.priority import (
 )
 from fairdraw.plans.lookup import (
     BROADCAST_KEYS,
-    join_on_keys,
+    GROUP,
+    KEY,
+    group_of,
+    hash_of,
+    in_groups_of,
+    keyed,
     most_frequent,
-    only_if_any,
-    short_label,
 )
-from fairdraw.plans.order_statistics import order_statistics
 from fairdraw.plans.quota import Quota, allocate, stratum_sizes
 
-# Strata giving this many rows or more are not ranked by one task.
-LARGE_DRAW = 200_000
-# A constant limit up to this is applied inside each task before the shuffle.
-LOCAL_LIMIT = 100
-
-# Column names the plans use next to the keys, and next to whole rows.
-RESERVED_KEYS = frozenset(
-    "low high n_low n_high zone floor ceiling need cut rank following "
-    "x n grid brackets fences cell low_end high_end rows before t place".split()
-)
-RESERVED_COLUMNS = frozenset("pop_n n_raw n_target n_take".split())
+# The columns that say how much of a stratum is drawn.
+SIZE_COLUMNS = ("pop_n", "n_raw", "n_target", "n_take")
 
 _HASH = INTERNAL + "hash"
+_TIE = INTERNAL + "tie"
 _ORDER = INTERNAL + "order"
+_SPOT = INTERNAL + "spot"
+_PLACE = INTERNAL + "place"
 _COPY = INTERNAL + "copy"
-_UPTO = INTERNAL + "upto"
-_FLOOR = INTERNAL + "floor"
 _CUT = INTERNAL + "cut"
+_POP, _TAKE = INTERNAL + "pop", INTERNAL + "take"
+_FLOOR, _CEILING = INTERNAL + "floor", INTERNAL + "ceiling"
+_ROWS, _UPTO = INTERNAL + "rows", INTERNAL + "upto"
+_OWN = {*KEY, GROUP, _HASH, _TIE, _ORDER, _SPOT, _PLACE, _COPY, _CUT, _POP, _TAKE, _FLOOR, _CEILING, _ROWS, _UPTO}
 # Copies of one row made by one task when a table without ids is numbered.
 _COPIES_PER_TASK = 100_000
+# Steps of the scale of waiting times: coarse ones per doubling, fine ones in each.
+_COARSE, _FINE = 8, 65_536
 
 
 def number_copies(rows: DataFrame) -> DataFrame:
@@ -99,75 +101,75 @@ def number_copies(rows: DataFrame) -> DataFrame:
 def _edge(deviations: int, rows: int) -> str:
     """SQL text of the priority a number of standard deviations and rows away
     from the share drawn; negative numbers lead below it."""
-    share = "(n_take / pop_n)"
-    away = f"({deviations} * sqrt(pop_n * {share} * (1 - {share})) + {rows})"
-    return hex_position(f"({share} + {away} / pop_n)")
+    share = f"({_TAKE} / {_POP})"
+    away = f"({deviations} * sqrt({_POP} * {share} * (1 - {share})) + {rows})"
+    return hex_position(f"({share} + {away} / {_POP})")
 
 
-def _zones(narrow: DataFrame, strata: list[str], order: str, large: DataFrame) -> DataFrame:
-    """Per large stratum: all rows below ``floor`` are drawn, and the first
-    ``need`` rows from ``floor`` up to ``ceiling``."""
-    fixed = [*strata, "pop_n", "n_take"]
-    guess = large.select(
-        *fixed, F.expr(_edge(-8, -40)).alias("low"), F.expr(_edge(8, 40)).alias("high")
-    )
-    counted = (
-        join_on_keys(narrow, guess, strata, small=True)
-        .groupBy(*fixed, "low", "high")
-        .agg(
-            F.expr(f"count_if({order} < low)").alias("n_low"),
-            F.expr(f"count_if({order} < high)").alias("n_high"),
-        )
+def _ranked(narrow: DataFrame, zones: DataFrame) -> DataFrame:
+    """Per stratum of ``zones`` the rows up to each place: one for all rows whose
+    spot is below the floor (a null place), one for each place in the zone."""
+    inside = narrow.join(F.broadcast(zones), KEY).where(f"{_SPOT} < {_CEILING}")
+    counted = inside.groupBy(
+        *KEY, _TAKE, _FLOOR, _CEILING, F.expr(f"if({_SPOT} < {_FLOOR}, null, {_PLACE})").alias(_PLACE)
+    ).agg(F.count(F.lit(1)).alias(_ROWS))
+    window = Window.partitionBy(*KEY).orderBy(F.asc_nulls_first(_PLACE))
+    return counted.withColumn(_UPTO, F.sum(_ROWS).over(window.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def _at_cut(ranked: DataFrame) -> DataFrame:
+    """The place of the last drawn row, where it lies in the zone."""
+    message = text("the id columns do not tell rows apart; leave ids out for such tables")
+    place = f"if({_UPTO} > {_TAKE}, raise_error({message}), {_PLACE})"
+    crossing = f"{_PLACE} is not null and {_UPTO} - {_ROWS} < {_TAKE} and {_UPTO} >= {_TAKE}"
+    return ranked.where(crossing).select(*KEY, F.expr(place).alias(_CUT))
+
+
+def _missed(zones: DataFrame, ranked: DataFrame) -> DataFrame:
+    """The zones in which the cuts lie that the ranked zones do not hold."""
+    counted = ranked.groupBy(*KEY).agg(
+        F.expr(f"sum(if({_PLACE} is null, {_ROWS}, 0))").alias("below"), F.max(_UPTO).alias("reached")
     )
-    zone = f"""case
-        when n_take > n_high then struct(high as floor, {text(ABOVE_ALL)} as ceiling, n_high as sure)
-        when n_take < n_low then struct({text(BELOW_ALL)} as floor, low as ceiling, 0L as sure)
-        else struct(low as floor, high as ceiling, n_low as sure) end"""
-    return counted.select(*fixed, F.expr(zone).alias("zone")).select(
-        *fixed, "zone.floor", "zone.ceiling", F.expr("n_take - zone.sure").alias("need")
+    state = zones.join(counted, KEY, "left")
+    before, after = state.where(f"below >= {_TAKE}"), state.where(f"coalesce(reached, 0) < {_TAKE}")
+    return before.select(*KEY, _TAKE, F.lit(BELOW_ALL).alias(_FLOOR), F.col(_FLOOR).alias(_CEILING)).unionByName(
+        after.select(*KEY, _TAKE, F.col(_CEILING).alias(_FLOOR), F.lit(ABOVE_ALL).alias(_CEILING))
     )
 
 
-def _zones_weighted(
-    narrow: DataFrame, strata: list[str], order: str, large: DataFrame
-) -> DataFrame:
-    """The same for priorities whose distribution depends on the weights: the
-    zone is the single value at the last drawn rank."""
-    fixed = [*strata, "pop_n", "n_take"]
-    values = join_on_keys(narrow, large, strata, small=True).select(*fixed, F.col(order).alias("x"))
-    ranks = "array(struct(0 as target, n_take as rank, n_take as next_rank))"
-    found = order_statistics(values, fixed, ranks, many=1)
-    return found.select(
-        *fixed,
-        F.col("x_at").alias("floor"),
-        F.col("x_at").alias("ceiling"),
-        F.expr("n_take - n_below").alias("need"),
+def _cuts(narrow: DataFrame, partly: DataFrame) -> DataFrame:
+    """Cuts of the strata drawn in part, by their priorities."""
+    guess = partly.select(
+        *KEY, _TAKE, F.expr(_edge(-8, -40)).alias(_FLOOR), F.expr(_edge(8, 40)).alias(_CEILING)
     )
+    ranked = _ranked(narrow, guess)
+    # Hardly ever is anything missed; an empty broadcast ends that branch.
+    return _at_cut(ranked).unionByName(_at_cut(_ranked(narrow, _missed(guess, ranked))))
 
 
-def _cuts(narrow: DataFrame, strata: list[str], place: list[str], zones: DataFrame) -> DataFrame:
-    """Per large stratum the place of its last drawn row, if it has one at or
-    above ``floor``."""
-    fixed = [*strata, "pop_n", "n_take", "floor"]
-    spot, window = F.struct(*place), Window.partitionBy(*strata).orderBy(*place)
-    ranked = (
-        join_on_keys(narrow, zones.where("need > 0"), strata, small=True)
-        .where(f"{place[0]} between floor and ceiling")
-        .select(
-            *fixed,
-            "need",
-            spot.alias("cut"),
-            F.row_number().over(window).alias("rank"),
-            F.lead(spot).over(window).alias("following"),
-        )
+def _crossing(narrow: DataFrame, zones: DataFrame, step: str, inside: str) -> DataFrame:
+    """Per stratum the step of a scale that holds the last drawn row. ``zones``
+    has the rows before it as ``_UPTO``."""
+    counted = (
+        narrow.join(F.broadcast(zones), KEY)
+        .where(inside)
+        .groupBy(*KEY, _TAKE, F.col(_UPTO).alias("before"), F.expr(step).alias(_FLOOR))
+        .agg(F.count(F.lit(1)).alias(_ROWS))
+    )
+    window = Window.partitionBy(*KEY).orderBy(_FLOOR).rowsBetween(Window.unboundedPreceding, 0)
+    upto = counted.withColumn(_UPTO, F.col("before") + F.sum(_ROWS).over(window))
+    return upto.where(f"{_UPTO} - {_ROWS} < {_TAKE} and {_UPTO} >= {_TAKE}").select(
+        *KEY, _TAKE, _FLOOR, F.expr(f"{_UPTO} - {_ROWS}").alias(_UPTO)
     )
-    message = text("the id columns do not tell rows apart; leave ids out for such tables")
-    is_last = f"""case when rank <> need then false
-                        when cut = following then raise_error({message}) is null
-                        else true end"""
-    last = ranked.where(is_last).select(*fixed, "cut")
-    settled = zones.where("need = 0").select(*fixed)
-    return last.unionByName(settled, allowMissingColumns=True)
+
+
+def _cuts_weighted(narrow: DataFrame, partly: DataFrame) -> DataFrame:
+    """Cuts by waiting times, whose distribution depends on the weights."""
+    start = partly.select(*KEY, _TAKE, F.lit(0).cast("bigint").alias(_UPTO))
+    coarse = _crossing(narrow, start, f"{_SPOT} div {_FINE}", "true")
+    fine = _crossing(narrow, coarse, _SPOT, f"{_SPOT} div {_FINE} = {_FLOOR}")
+    zones = fine.select(*KEY, _TAKE, _FLOOR, F.expr(f"{_FLOOR} + 1").alias(_CEILING))
+    return _at_cut(_ranked(narrow, zones))
 
 
 def draw(
@@ -180,102 +182,60 @@ def draw(
     weight: str | Column | None = None,
     sizes: DataFrame | None = None,
     keep_sizes: bool = False,
-    large_draw: int = LARGE_DRAW,
     broadcast_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """Draw the rows of a stratified sample.
 
     ``rows`` is read several times and must be the same each time; write or
-    checkpoint a table that is not. ``ids`` must tell rows apart. Without them equal rows are numbered, which
-    costs a shuffle of the distinct rows. ``sizes`` may bring the stratum sizes
-    along; ``keep_sizes`` adds ``pop_n`` and ``n_take`` to the result.
+    checkpoint a table that is not. ``ids`` must tell rows apart: where equal
+    ids would decide a cut, the job stops, however small the stratum. Without
+    them equal rows are numbered, which costs a shuffle of the distinct rows.
+    ``sizes`` may bring the stratum sizes along; ``keep_sizes`` adds ``pop_n``
+    and ``n_take`` to the result.
     """
     strata = list(strata)
-    clashes = {c for c in rows.columns if c.lower() in RESERVED_COLUMNS}
-    clashes |= {c for c in [*strata, *(rows.columns if ids is None else ids)] if c.lower() in RESERVED_KEYS}
+    clashes = {c for c in (rows.columns if keep_sizes else strata) if c.lower() in SIZE_COLUMNS}
+    clashes |= {c for c in rows.columns if c.lower() in _OWN}
     if clashes:
         raise ValueError(f"rename these columns first: {sorted(clashes)}")
+    columns = rows.columns
     if ids is None:
         rows = number_copies(rows)
         ids = rows.columns
-    rank, candidates = INTERNAL + "rank", INTERNAL + "candidates"
-    salt, by_limit = INTERNAL + "salt", INTERNAL + "by_limit"
-    keyed, order = rows.withColumn(_HASH, priority(seed, ids)), _HASH
-    if weight is not None:
+    marked = keyed(rows, strata).withColumns({_HASH: priority(seed, ids), _TIE: hash_of(ids, "row")})
+    if weight is None:
+        marked = marked.withColumns({_SPOT: F.col(_HASH), _PLACE: F.struct(_HASH, _TIE)})
+    else:
         amount = (F.col(weight) if isinstance(weight, str) else weight).cast("double")
-        keyed, order = keyed.withColumn(_ORDER, weighted_priority(_HASH, amount)), _ORDER
-    place = list(dict.fromkeys([order, _HASH, *ids]))
-    ranking = Window.partitionBy(*strata).orderBy(*place)
+        marked = marked.withColumn(_ORDER, weighted_priority(_HASH, amount))
+        # Steps of the scale, moved so that none is negative.
+        spot = f"cast(floor((greatest(coalesce(log2({_ORDER}), -2000D), -2000D) + 2000) * {_COARSE * _FINE}) as bigint)"
+        marked = marked.withColumns({_SPOT: F.expr(spot), _PLACE: F.struct(_ORDER, _HASH, _TIE)})
 
     sizes = stratum_sizes(rows, strata) if sizes is None else sizes
-    allocation = allocate(sizes, quota).select(*strata, "pop_n", "n_take")
-    lookup = most_frequent(allocation, strata, "pop_n", broadcast_keys)
-    ceiling = quota.ceiling()
-    by_cut = ceiling is None or ceiling >= large_draw
-    is_large = f"n_take >= {large_draw}" if by_cut else "false"
-    columns = [c for c in rows.columns if not c.startswith(INTERNAL)]
-    columns += ["pop_n", "n_take"] if keep_sizes else []
-
-    thinned = _edge(12, 100) if weight is None else "null"
-    known = lookup.where(f"not ({is_large})").select(
-        *strata,
-        "pop_n",
-        F.expr(f"if(n_take = 0, {text(BELOW_ALL)}, {thinned})").alias(_UPTO),
-        F.lit(False).alias(by_limit),
-    )
-    thin = f"coalesce({_HASH} < {_UPTO}, true)"
-    message = text("too few candidates in a stratum; use another seed")
-    enough = f"if({candidates} >= n_take, n_take, cast(raise_error({message}) as bigint))"
-    everything = Window.unboundedPreceding, Window.unboundedFollowing
-
-    if not by_cut:
-        near = join_on_keys(keyed, known, strata, "left", small=True).where(thin)
-        ranks = F.row_number().over(ranking).alias(rank)
-        if ceiling <= LOCAL_LIMIT and not keep_sizes:
-            # A constant limit is applied in each task before the shuffle.
-            first = near.select(*rows.columns, "pop_n", ranks).where(f"{rank} <= {ceiling}")
-            ranked = first.withColumn(candidates, F.count(F.lit(1)).over(Window.partitionBy(*strata)))
-        else:
-            count = F.count(F.lit(1)).over(ranking.rowsBetween(*everything)).alias(candidates)
-            ranked = near.select(*rows.columns, "pop_n", ranks, count)
-        ranked = ranked.withColumn("pop_n", F.expr(f"coalesce(pop_n, {candidates})"))
-        return quota.apply(ranked, sizes).where(f"{rank} <= {enough}").select(*columns)
-
-    narrow = keyed.select(*strata, *[c for c in place if c not in strata])
-    zones = (_zones if weight is None else _zones_weighted)(
-        narrow, strata, order, lookup.where(is_large)
+    allocation = keyed(allocate(sizes, quota), strata).select(
+        *KEY, F.col("pop_n").alias(_POP), F.col("n_take").alias(_TAKE)
     )
-    cuts = _cuts(narrow, strata, place, zones).withColumnsRenamed({"floor": _FLOOR, "cut": _CUT})
-    spot = f"struct({', '.join(map(name, place))})"
-    below_cut = f"({order} < {_FLOOR} or coalesce({spot} <= {_CUT}, false))"
-    drawn_by_cut = join_on_keys(keyed, cuts, strata, small=True).where(below_cut)
-
-    others = allocation.agg(
-        F.count(F.lit(1)).alias("strata"),
-        F.expr(f"count_if({is_large} and {short_label(strata)})").alias("large"),
+    head, tail = most_frequent(allocation, _POP, broadcast_keys)
+    tail = tail.where(f"{_TAKE} > 0")
+
+    narrow = marked.select(*KEY, _SPOT, _PLACE)
+    partly = head.where(f"{_TAKE} > 0 and {_TAKE} < {_POP}")
+    cuts = (_cuts if weight is None else _cuts_weighted)(narrow, partly)
+    size_columns = [_POP, _TAKE] if keep_sizes else []
+    # A stratum without a cut here is drawn whole.
+    known = head.where(f"{_TAKE} > 0").join(F.broadcast(cuts), KEY, "left").select(
+        *KEY, *size_columns, _CUT, F.expr(f"{_TAKE} = {_POP}").alias(_UPTO)
     )
-    any_other = f"strata > least(large, {broadcast_keys})"
-
-    # Large and other strata together take one pass over the whole rows. Rows
-    # drawn by their cut go through the window in many small groups.
-    limits = known.unionByName(
-        cuts.drop("n_take").withColumn(by_limit, F.lit(True)), allowMissingColumns=True
-    )
-    drawable = join_on_keys(keyed, limits, strata, "left", small=True).where(
-        f"if(coalesce({by_limit}, false), {below_cut}, {thin})"
-    )
-    spread = F.expr(f"if({by_limit}, substring({_HASH}, 30, 3), '')")
-    ranking = Window.partitionBy(*strata, salt).orderBy(*place)
-    ranked = only_if_any(drawable, others.where(any_other)).withColumn(salt, spread).select(
-        *rows.columns,
-        "pop_n",
-        by_limit,
-        F.row_number().over(ranking).alias(rank),
-        F.count(F.lit(1)).over(ranking.rowsBetween(*everything)).alias(candidates),
-    ).withColumn("pop_n", F.expr(f"coalesce(pop_n, {candidates})"))
-    drawn_together = quota.apply(ranked, sizes).where(
-        f"case when {by_limit} then true else {rank} <= {enough} end"
-    )
-
-    alone = only_if_any(drawn_by_cut, others.where(f"not ({any_other})"))
-    return alone.select(*columns).unionByName(drawn_together.select(*columns))
+    drawn = marked.join(F.broadcast(known), KEY).where(f"{_UPTO} or {_PLACE} <= {_CUT}")
+
+    few = in_groups_of(narrow, tail)
+    counted = few.join(tail, KEY).groupBy(*KEY, _POP, _TAKE, _PLACE).agg(F.count(F.lit(1)).alias(_ROWS))
+    along = Window.partitionBy(*KEY).orderBy(_PLACE).rowsBetween(Window.unboundedPreceding, 0)
+    tail_cuts = _at_cut(counted.withColumn(_UPTO, F.sum(_ROWS).over(along)))
+    bounds = tail_cuts.groupBy(group_of().alias(GROUP)).agg(F.max(_CUT).alias(_FLOOR))
+    near = marked.withColumn(GROUP, group_of()).join(F.broadcast(bounds), GROUP).where(f"{_PLACE} <= {_FLOOR}")
+    rest = near.join(tail_cuts.join(tail, KEY) if keep_sizes else tail_cuts, KEY).where(f"{_PLACE} <= {_CUT}")
+
+    chosen = [*[F.col(name(c)) for c in columns], *[F.col(c).alias(n) for c, n in zip(size_columns, ("pop_n", "n_take"), strict=False)]]
+    return drawn.select(*chosen).unionByName(rest.select(*chosen))

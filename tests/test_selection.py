@@ -38,11 +38,9 @@ def ids_of(df):
     "plan",
     [
         {},
-        {"large_draw": 1},
-        {"large_draw": 40},
-        {"large_draw": 40, "broadcast_keys": 5},
         {"broadcast_keys": 1},
-        {"large_draw": 1, "broadcast_keys": 2},
+        {"broadcast_keys": 5},
+        {"broadcast_keys": 40},
     ],
 )
 def test_every_route_draws_the_same_rows(people, plan):
@@ -55,22 +53,11 @@ def test_every_route_draws_the_same_rows(people, plan):
 @pytest.mark.parametrize("place", ["0.0", "0.01", "0.5", "1.0"])
 def test_a_wrong_band_still_gives_the_exact_sample(people, monkeypatch, place):
     rows, df = people
-    honest = selection._edge
-    # Bands are asked for with 8 deviations, thinning with 12.
-    monkeypatch.setattr(
-        selection, "_edge", lambda dev, extra: hex_position(place) if abs(dev) == 8 else honest(dev, extra)
-    )
-    drawn = draw(df, ["a", "b"], Quota(pct=0.1, min_rows=1), ids=["id"], large_draw=5)
+    monkeypatch.setattr(selection, "_edge", lambda deviations, rows: hex_position(place))
+    drawn = draw(df, ["a", "b"], Quota(pct=0.1, min_rows=1), ids=["id"])
     assert ids_of(drawn) == expected_draw(rows, ["a", "b"], ["id"], share(0.1, 1))
 
 
-def test_too_few_candidates_are_noticed(people, monkeypatch):
-    _, df = people
-    monkeypatch.setattr(selection, "_edge", lambda dev, extra: hex_position("0.01"))
-    with pytest.raises(Exception, match="too few candidates"):
-        draw(df, ["a", "b"], Quota(pct=0.1, min_rows=1), ids=["id"]).collect()
-
-
 @pytest.mark.parametrize("parts", [1, 3, 17])
 def test_partitioning_does_not_matter(people, parts):
     rows, df = people
@@ -97,13 +84,15 @@ def test_equal_display_keys_are_two_strata(spark):
     assert draw(df, ["p", "q"], Quota(pct=0.1, min_rows=1), ids=["id"]).count() == 2
 
 
-def test_column_names_the_plans_need_are_refused(people):
-    _, df = people
-    for clash, strata in (("pop_n", ["a"]), ("floor", ["floor"])):
+def test_only_the_size_columns_and_the_prefix_are_reserved(people):
+    rows, df = people
+    for clash, strata, keep in (("pop_n", ["pop_n"], False), ("n_take", ["a"], True), ("_fd_cut", ["a"], False)):
         with pytest.raises(ValueError, match=clash):
-            draw(df.withColumn(clash, F.lit(1)), strata, Quota(pct=0.1), ids=["id"])
-    other = df.withColumns({c: F.lit(1) for c in ("floor", "cut", "rank", "x", "low")})
-    assert draw(other, ["a"], Quota(pct=0.1), ids=["id"], large_draw=5).columns == other.columns
+            draw(df.withColumn(clash, F.lit(1)), strata, Quota(pct=0.1), ids=["id"], keep_sizes=keep)
+    names = ("floor", "cut", "rank", "x", "low", "pop_n", "n_take", "before", "below", "reached")
+    other = df.withColumns({c: F.lit(1) for c in names})
+    drawn = draw(other.withColumn("n", F.col("a")), ["n", "rank"], Quota(pct=0.1), ids=["id", "floor"])
+    assert drawn.columns == [*other.columns, "n"] and drawn.count() == draw(df, ["a"], Quota(pct=0.1), ids=["id"]).count()
 
 
 def test_empty_population(spark):
@@ -135,10 +124,19 @@ def test_copies_without_ids(spark, monkeypatch):
     assert sum(r["count"] for r in first.collect()) == 100
 
 
-def test_repeated_ids_are_refused_where_they_matter(spark):
-    df = spark.range(1000).select(F.lit(1).alias("id"), F.lit("s").alias("a"))
-    with pytest.raises(Exception, match="id columns"):
-        draw(df, ["a"], Quota(pct=0.1), ids=["id"], large_draw=1).collect()
+@pytest.mark.parametrize("parts", [1, 3, 7])
+@pytest.mark.parametrize("keys", [20_000, 0])
+def test_repeated_ids_are_refused_where_they_matter(spark, parts, keys):
+    for n, ids in ((40, 1), (40, 7), (2000, 7)):
+        df = spark.range(n).select((F.col("id") % ids).alias("id"), F.lit("s").alias("a")).repartition(parts)
+        with pytest.raises(Exception, match="id columns"):
+            draw(df, ["a"], Quota(pct=0.11), ids=["id"], broadcast_keys=keys).collect()
+
+
+def test_repeated_ids_that_decide_nothing_are_drawn(spark):
+    df = spark.range(40).select(F.expr("id div 2").alias("id"), F.lit("s").alias("a"))
+    assert draw(df, ["a"], Quota(n=20), ids=["id"]).count() == 20
+    assert draw(df, ["a"], Quota(n=50), ids=["id"]).count() == 40
 
 
 def test_equal_weights_draw_like_no_weights(people):
@@ -151,17 +149,25 @@ def test_equal_weights_draw_like_no_weights(people):
 def test_long_labels_are_not_broadcast_but_drawn(spark):
     rows = [{"id": i, "a": "x" * 2000 if i % 3 else "short"} for i in range(600)]
     df = spark.createDataFrame([tuple(r.values()) for r in rows], "id bigint, a string")
-    for plan in ({}, {"large_draw": 1}):
+    for plan in ({}, {"broadcast_keys": 1}):
         drawn = draw(df, ["a"], Quota(pct=0.1, min_rows=1), ids=["id"], **plan)
         assert ids_of(drawn) == expected_draw(rows, ["a"], ["id"], share(0.1, 1))
 
 
 def test_weighted_routes_agree_and_favour_heavy_rows(people):
     _, df = people
-    window = draw(df, ["a"], Quota(pct=0.1), ids=["id"], weight="w")
-    cut = draw(df, ["a"], Quota(pct=0.1), ids=["id"], weight="w", large_draw=20)
-    assert ids_of(window) == ids_of(cut)
-    assert window.agg(F.avg("w")).collect()[0][0] > df.agg(F.avg("w")).collect()[0][0] + 1
+    drawn = [draw(df, ["a"], Quota(pct=0.1), ids=["id"], weight="w", broadcast_keys=k) for k in (20_000, 3, 0)]
+    assert ids_of(drawn[0]) == ids_of(drawn[1]) == ids_of(drawn[2])
+    assert drawn[0].agg(F.avg("w")).collect()[0][0] > df.agg(F.avg("w")).collect()[0][0] + 1
+
+
+def test_weights_that_say_nothing_come_last_in_the_plain_order(spark):
+    rows = "if(id % 4 = 0, 1.0, element_at(array(0D, -1D, double('NaN'), null), cast(id % 4 + 1 as int)))"
+    df = spark.range(400).select("id", F.lit("s").alias("a"), F.expr(rows).alias("w"))
+    drawn = set(ids_of(draw(df, ["a"], Quota(n=150), ids=["id"], weight="w")))
+    assert {i for i in range(400) if i % 4 == 0} < drawn and len(drawn) == 150
+    rest = df.where("id % 4 <> 0")
+    assert drawn - {i for i in range(0, 400, 4)} == set(ids_of(draw(rest, ["a"], Quota(n=50), ids=["id"])))
 
 
 def test_rows_without_weight_come_last(spark):
@@ -179,9 +185,9 @@ def test_design_weights_add_up_to_the_population(people):
 
 
 def test_large_population_leaves_no_drawn_row_in_a_shuffle(people):
-    """The cut route filters the scan; only narrow rows are exchanged."""
+    """Cuts filter the scan; only narrow rows are exchanged."""
     _, df = people
-    drawn = draw(df, ["a"], Quota(pct=0.1, min_rows=1), ids=["id"], large_draw=1)
+    drawn = draw(df, ["a"], Quota(pct=0.1, min_rows=1), ids=["id"])
     drawn.collect()
     plan = drawn._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     top = plan[plan.index("Final Plan"):]
