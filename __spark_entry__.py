@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import importlib
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +14,7 @@ from fairdraw.functions.columns import columns_of_type, columns_with_prefix, rep
 from fairdraw.operators import chunks, drift, merge, numeric, periods, positions, profile, sampling
 from fairdraw.plans.quota import Quota
 from fairdraw.plans.selection import draw
-from fairdraw.sources import synthetic, tables
+from fairdraw.sources import tables
 from fairdraw.sources.scratch import ensure_checkpoint_dir
 from fairdraw.streaming import micro_batches
 
@@ -32,10 +32,7 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    base = ensure_checkpoint_dir(spark)
-    if "://" in base:
-        return f"{base.rstrip('/')}/{purpose}-{spark.sparkContext.applicationId}-{SEED}"
-    return tempfile.mkdtemp(prefix=f"{purpose}-", dir=base)
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
 # --- populations -----------------------------------------------------------
@@ -196,7 +193,65 @@ def weighted_sample_by_cut(spark, d):
 
 
 def native_sample(spark, d):
-    return sampling.native_sample(orders(spark, d), "o_orderpriority", 0.1, seed=SEED).select("o_orderkey", "o_orderpriority")
+    drawn = sampling.native_sample(orders(spark, d), "o_orderstatus", 0.1, ids=["o_orderkey"], seed=SEED)
+    return drawn.select("o_orderkey", "o_orderstatus")
+
+
+def native_sample_null_levels(spark, d):
+    shares = {None: 0.5, "1-URGENT": 0.25}
+    drawn = sampling.native_sample(
+        orders_with_nulls(spark, d), "priority", 0.05, shares=shares, ids=["o_orderkey"], seed=SEED
+    )
+    return drawn.select("o_orderkey", "priority")
+
+
+def total_size_many_strata(spark, d):
+    drawn = sampling.total_sample(load(spark, d, "part"), PART_STRATA, 100, ids=["p_partkey"], seed=SEED)
+    return drawn.select("p_partkey", *PART_STRATA)
+
+
+def weighted_fixed_n(spark, d):
+    drawn = sampling.weighted_sample(
+        load(spark, d, "lineitem"), LINE_STRATA, "l_quantity", n=100, ids=LINE_IDS, seed=SEED
+    )
+    return drawn.select(*LINE_IDS, *LINE_STRATA)
+
+
+def drift_after_merge(spark, d):
+    report = drift.drift_three_tier(merged_documents(spark, d), merged_sample(spark, d), DOC_STRATA)
+    return report
+
+
+def merge_levels_many(spark, d):
+    return merge.level_table(load(spark, d, "part"), "p_type", "Other", threshold=None, min_count=14)
+
+
+def values_with_nan(spark, d):
+    rows = load(spark, d, "events").select("event_id", "event_type", "value")
+    return rows.withColumn("value", F.expr("if(event_type = 'error', double('NaN'), value)")).drop("event_type")
+
+
+def deciles_with_nan(spark, d):
+    return numeric.deciles(values_with_nan(spark, d), ["value"])
+
+
+def summary_with_nan(spark, d):
+    table = numeric.numeric_summary(values_with_nan(spark, d), ["value"])
+    return table.select(
+        "column", "n", *[report_round(F.col(c), 3).alias(c) for c in ("min", "q1", "median", "mean", "q3", "max")]
+    )
+
+
+def null_counts_with_nan(spark, d):
+    return numeric.null_counts(values_with_nan(spark, d))
+
+
+def large_keys(spark, d):
+    return orders(spark, d).select(F.expr(f"o_orderkey + {2**60}L").alias("key"))
+
+
+def position_buckets_large_keys(spark, d):
+    return numeric.position_buckets(large_keys(spark, d), "key")
 
 
 def random_order_sample(spark, d):
@@ -506,35 +561,15 @@ def catalog_sample(spark, d):
     return sampling.floor_sample(rows, ["c_mktsegment"], 0.1, ids=["c_custkey"], seed=SEED).select("c_custkey", "c_mktsegment")
 
 
-def preview(spark, d):
-    return tables.preview(orders(spark, d).select("o_orderkey", "o_orderstatus", "o_totalprice"), ["o_orderkey"])
-
-
-def synthetic_population(profile_name):
-    def query(spark, d):
-        rows = orders(spark, d).select("o_orderkey")
-        return synthetic.viewing_population(rows, "o_orderkey", profile_name, seed=SEED)
-
-    return query
-
-
-def synthetic_sample(spark, d):
-    population = synthetic_population("v2")(spark, d)
-    drawn = sampling.floor_sample(population, synthetic.STRATA, 0.1, ids=["o_orderkey"], seed=SEED)
-    return drawn.select("o_orderkey", *synthetic.STRATA)
-
-
-def synthetic_drift(spark, d):
-    population = synthetic_population("v2")(spark, d)
-    drawn = sampling.floor_sample(population, synthetic.STRATA, 0.1, ids=["o_orderkey"], seed=SEED)
-    return drift.drift_three_tier(population, drawn, synthetic.STRATA)
+def catalog_table_sample(spark, d):
+    table = f"default.fairdraw_customer_{uuid.uuid4().hex}"
+    load(spark, d, "customer").write.option("path", scratch_folder(spark, "catalog")).saveAsTable(table)
+    rows = tables.read_table(spark, table)
+    return sampling.floor_sample(rows, ["c_mktsegment"], 0.1, ids=["c_custkey"], seed=SEED).select("c_custkey", "c_mktsegment")
 
 
-def synthetic_merged_sample(spark, d):
-    population = synthetic_population("v2")(spark, d)
-    merged = merge.merge_rare_levels(population, "Country", "Other_MENA")
-    drawn = sampling.floor_sample(merged, synthetic.STRATA, 0.1, ids=["o_orderkey"], seed=SEED)
-    return drawn.select("o_orderkey", "Country", "Country_original")
+def preview(spark, d):
+    return tables.preview(orders(spark, d).select("o_orderkey", "o_orderstatus", "o_totalprice"), ["o_orderkey"])
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -548,7 +583,9 @@ _QUERIES = (
     fixed_n_sample, fixed_n_takes_small_strata_whole, fixed_n_large, null_strata_sample,
     sample_without_ids, sample_of_copies, drop_small_strata, sample_without_small_strata,
     boost_small_strata, boost_levels, design_weight_total, total_size_sample, total_size_rounded_share,
-    weighted_sample, weighted_sample_by_cut, native_sample, random_order_sample,
+    weighted_sample, weighted_sample_by_cut, weighted_fixed_n, native_sample, native_sample_null_levels,
+    total_size_many_strata, random_order_sample, drift_after_merge, merge_levels_many, deciles_with_nan,
+    summary_with_nan, null_counts_with_nan, position_buckets_large_keys,
     strata_sizes, strata_count, strata_profile, allocation_table, floor_report, cap_report,
     vanished_strata, level_shares, sample_rate, drift_raw, drift_two_tier, drift_three_tier,
     drift_lost_levels, drift_weighted, drift_flagged, drift_summary, drift_summary_strict,
@@ -558,16 +595,12 @@ _QUERIES = (
     decile_cells, bucket_columns, position_buckets, position_sample, row_positions, numeric_summary,
     numeric_before_after, null_counts, numeric_column_totals, two_period_sample, two_period_id_list,
     two_period_cells, chunk_sample, chunk_sample_global_floor, chunk_sample_by_position, stream_sample,
-    csv_round_trip, parquet_round_trip, catalog_sample, preview, synthetic_sample, synthetic_drift,
-    synthetic_merged_sample,
+    csv_round_trip, parquet_round_trip, catalog_sample, catalog_table_sample, preview,
 )
 
 
 def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = {q.__name__: q for q in _QUERIES}
-    for profile_name in synthetic.PROFILES:
-        named[f"synthetic_population_{profile_name}"] = synthetic_population(profile_name)
-    return named
+    return {q.__name__: q for q in _QUERIES}
 
 
 def _optional(module: str):

@@ -21,6 +21,11 @@ def md5_of(seed: int, ids: list[str]) -> str:
     return f"md5('{seed}|' || {parts})"
 
 
+def position(share: str) -> str:
+    """The leading digits of the md5 hash at a share of its range."""
+    return f"lpad(lower(to_hex(cast(floor({share}::double * {16**13}) as bigint))), 13, '0')"
+
+
 def pct_take(pct: float, floor: int = 0) -> str:
     return f"least(greatest({floor}, cast(round_even(pop_n * cast({pct} as double), 0) as bigint)), pop_n)"
 
@@ -129,49 +134,22 @@ def long_numbers(columns: list[str], table: str, what: str) -> str:
     return " union all ".join(what.format(c=c, t=table) for c in columns)
 
 
-def chance(purpose: str) -> str:
-    place = "user content kind country language minutes count".split().index(purpose)
-    digits = f"substr(md5('42|{place // 4}|' || o_orderkey), {1 + place % 4 * 8}, 8)"
-    return f"(cast(('0x' || {digits}) as bigint) / 4294967296.0::double)"
-
-
-def choose(purpose: str, options: list[tuple[str, float]]) -> str:
-    steps = " ".join(f"when {chance(purpose)} < cast({limit} as double) then '{option}'" for option, limit in options[:-1])
-    return f"case {steps} else '{options[-1][0]}' end"
-
-
-def evenly(purpose: str, options: list[str]) -> str:
-    listed = ", ".join(f"'{o}'" for o in options)
-    return f"list_extract([{listed}], cast(floor({chance(purpose)} * {len(options)}) as int) + 1)"
-
+def total_take(source: str, strata: list[str], total: int) -> str:
+    """Whole rows per stratum, and one more for the largest remainders."""
+    by, ends = ", ".join(strata), ", ".join(f"{c} nulls first" for c in strata)
+    return f"""(select {by}, base + case when place <= asked - sum(base) over () then 1 else 0 end as n_take from (
+        select *, pop_n * asked // n_rows as base,
+            row_number() over (order by pop_n * asked % n_rows desc, {ends}) as place
+        from (select *, sum(pop_n) over () as n_rows, least({total}, sum(pop_n) over ()) as asked
+              from (select {by}, count(*) as pop_n from {source} group by {by}) as c) as t) as r)"""
 
-def population(countries: list[tuple[str, float]], first: int, last: int) -> str:
-    sports = "Football Tennis Padel Motorsports Basketball Cricket Swimming".split()
-    genres = "Drama Action Horror Comedy PG Thriller Romance".split()
-    languages = [("Arabic", 0.35), ("English", 0.75), ("Turkish", 0.85), ("French", 0.93), ("Hindi", 1.0)]
-    is_sport = f"{chance('content')} < cast(0.45 as double)"
-    return f"""(select o_orderkey,
-        cast(floor({chance('user')} * {last - first + 1}) as int) + {first} as "UserID",
-        case when {is_sport} then {evenly('kind', sports)} end as "SportsName",
-        case when {is_sport} then 'Sports' else 'Entertainment' end as "ContentType",
-        case when not ({is_sport}) then {evenly('kind', genres)} end as "Genre",
-        {choose('country', countries)} as "Country",
-        case when not ({is_sport}) then {choose('language', languages)} end as "Language",
-        floor(-50 * ln(1 - {chance('minutes')}) * 10 + 0.5) / 10 as "TotalMins",
-        cast(floor(-500 * ln(1 - {chance('count')})) as int) as "TotalCNT"
-        from orders)"""
 
-
-COUNTRIES_7 = [("UAE", 0.25), ("Qatar", 0.45), ("Egypt", 0.63), ("Kuwait", 0.75), ("Saudi Arabia", 0.87),
-               ("Bahrain", 0.94), ("Jordan", 1.0)]
-COUNTRIES_8 = [("UAE", 0.30), ("Qatar", 0.55), ("Egypt", 0.75), ("Kuwait", 0.85), ("Saudi Arabia", 0.92),
-               ("Bahrain", 0.96), ("Iraq", 0.985), ("Palestine", 1.0)]
-VIEW_STRATA = ["ContentType", "Genre", "Country", "Language", "SportsName"]
-VIEWS = population(COUNTRIES_8, 101, 300)
-VIEW_SAMPLE = f"({sample(VIEWS, VIEW_STRATA, ['o_orderkey'], pct_take(0.1, 1), ['o_orderkey', *VIEW_STRATA])})"
-VIEWS_MERGED = f"""(select v.* exclude ("Country"), v."Country" as "Country_original",
-    case when c.n < 0.05 * (select count(*) from orders) then 'Other_MENA' else v."Country" end as "Country"
-    from {VIEWS} v join (select "Country", count(*) as n from {VIEWS} as x group by 1) c on v."Country" = c."Country")"""
+def total_sample(source: str, strata: list[str], ids: list[str], total: int, columns: list[str]) -> str:
+    same = " and ".join(f"t.{c} is not distinct from r.{c}" for c in strata)
+    listed = ", ".join(f"r.{c}" for c in columns)
+    return f"select {listed} from {ranked(source, strata, ids)} as r join {total_take(source, strata, total)} as t on {same} where rn <= n_take".replace(
+        ") as ranked as r", ") as r"
+    )
 
 
 def statements() -> dict[str, str]:
@@ -219,7 +197,6 @@ def statements() -> dict[str, str]:
         )
 
     share_4 = "(round_even(cast(500 as double) / (select count(*) from orders) * 10000, 0) / 10000)"
-    share = "(cast(500 as double) / (select count(*) from orders))"
     statements = {
         "floor_sample": sample("documents", DOC, ["doc_id"], pct_take(0.1, 1), doc_cols),
         "floor_sample_of_three": sample("documents", DOC, ["doc_id"], pct_take(0.1, 3), doc_cols, seed=7),
@@ -244,11 +221,36 @@ def statements() -> dict[str, str]:
         "drop_small_strata": f"select doc_id, lang, source from {ranked('documents', DOC, ['doc_id'])} where pop_n >= 10",
         "sample_without_small_strata": sample("documents", DOC, ["doc_id"], f"{pct_take(0.1, 1)} and pop_n >= 10", doc_cols),
         "boost_small_strata": f"select * from {boosted('pop_n < 20')} as b",
-        "boost_levels": f"select * from {boosted(chr(34) + 'lang' + chr(34) + chr(32) + 'in (' + chr(39) + 'es' + chr(39) + ')')} as b",
+        "boost_levels": f"""select * from {boosted("lang in ('es')")} as b""",
         "design_weight_total": "select lang, cast((select count(*) from {0} b where b.lang = d.lang) as bigint) as n, count(*) as stands_for from documents d group by lang".format(boosted("pop_n < 20")),
-        "total_size_sample": sample("orders", ORDER, ["o_orderkey"], f"round_even(pop_n * {share}, 0)", ["o_orderkey", *ORDER]),
+        "total_size_sample": total_sample("orders", ORDER, ["o_orderkey"], 500, ["o_orderkey", *ORDER]),
+        "total_size_many_strata": total_sample("part", PART, ["p_partkey"], 100, ["p_partkey", *PART]),
         "total_size_rounded_share": sample("orders", ORDER, ["o_orderkey"], f"round_even(pop_n * {share_4}, 0)", ["o_orderkey", *ORDER]),
         "weighted_sample": sample("orders", ["o_orderpriority"], ["o_orderkey"], pct_take(0.1), ["o_orderkey", "o_orderpriority"], key=weight_key),
+        "weighted_fixed_n": sample(
+            "lineitem", LINE, LINE_IDS, "100", [*LINE_IDS, *LINE], key=weight_key.replace("o_totalprice", "l_quantity")
+        ),
+        "native_sample": f"""select o_orderkey, o_orderstatus from orders
+            where {md5_of(42, ["o_orderkey"])} < {position("0.1")}""",
+        "native_sample_null_levels": f"""select o_orderkey, priority from {ORDERS_NULLS} as o
+            where {md5_of(42, ["o_orderkey"])} < case when priority is null then {position("0.5")}
+                when priority = '1-URGENT' then {position("0.25")} else {position("0.05")} end""",
+        "drift_after_merge": report(MERGED_DOCS, MERGED_SAMPLE, DOC, 3, THREE),
+        "merge_levels_many": """select p_type, n, cast(n as double) / (select count(*) from part) as pct, n < 14 as is_rare,
+            case when n < 14 then 'Other' else p_type end as label_new
+            from (select p_type, count(*) as n from part group by p_type) as c""",
+        "deciles_with_nan": " union all ".join(
+            f"""select 'value' as "column", cast({k / 10} as double) as probability,
+            {rounded(f'quantile_cont(value, {k / 10})', 2)} as value from events where event_type <> 'error'"""
+            for k in range(1, 11)
+        ),
+        "summary_with_nan": f"""select 'value' as "column", count(value) as n, {rounded('min(value)', 3)} as min,
+            {rounded('quantile_cont(value, 0.25)', 3)} as q1, {rounded('quantile_cont(value, 0.5)', 3)} as median,
+            {rounded('avg(value)', 3)} as mean, {rounded('quantile_cont(value, 0.75)', 3)} as q3,
+            {rounded('max(value)', 3)} as max from events where event_type <> 'error'""",
+        "null_counts_with_nan": """select 'event_id' as "column", 0::bigint as n_null
+            union all select 'value', count(*) from events where event_type = 'error'""",
+        "position_buckets_large_keys": f"""select o_orderkey + {2**60}::bigint as key, position_bucket from {placed} as p""",
         "random_order_sample": f"select lang, source, {pct_take(0.1, 1)} as n_take from {doc_sizes} as s",
         "strata_sizes": f"""select o_orderstatus, priority, o_orderstatus || ' | ' || coalesce(priority, '__NA__') as stratum,
             count(*) as pop_n from {ORDERS_NULLS} as o group by o_orderstatus, priority""",
@@ -299,9 +301,7 @@ def statements() -> dict[str, str]:
         "merge_report": f"""select cast(round_even(0.14::double * sum(n), 0) as bigint) as limit_rows,
             count(*) filter (pct < 0.14) as n_merged, count(*) filter (pct >= 0.14) as n_kept,
             cast(coalesce(sum(n) filter (pct < 0.14), 0) as bigint) as rows_merged,
-            cast(coalesce(sum(n) filter (pct >= 0.14), 0) as bigint) as rows_kept,
-            coalesce(string_agg(lang, ', ' order by n desc, lang) filter (pct < 0.14), '') as merged_levels,
-            coalesce(string_agg(lang, ', ' order by n desc, lang) filter (pct >= 0.14), '') as kept_levels
+            cast(coalesce(sum(n) filter (pct >= 0.14), 0) as bigint) as rows_kept
             from {LANG_LEVELS} as l""",
         "strata_before_after": f"""select b as n_before, a as n_after, b - a as n_fewer from
             (select count(*) as b from (select distinct lang, source from documents) as x) as x1,
@@ -369,13 +369,8 @@ def statements() -> dict[str, str]:
         "csv_round_trip": sample("customer", ["c_mktsegment"], ["c_custkey"], pct_take(0.1, 1), ["c_custkey", "c_mktsegment", "c_acctbal"]),
         "parquet_round_trip": f"select * from {DOC_SAMPLE} as s",
         "catalog_sample": sample("customer", ["c_mktsegment"], ["c_custkey"], pct_take(0.1, 1), ["c_custkey", "c_mktsegment"]),
+        "catalog_table_sample": sample("customer", ["c_mktsegment"], ["c_custkey"], pct_take(0.1, 1), ["c_custkey", "c_mktsegment"]),
         "preview": "select o_orderkey, o_orderstatus, o_totalprice from orders order by o_orderkey limit 5",
-        "synthetic_population_v1": f"select * from {population(COUNTRIES_7, 101, 200)} as v",
-        "synthetic_population_v2": f"select * from {VIEWS} as v",
-        "synthetic_population_v3": f"select * from {population(COUNTRIES_8, 101, 10000)} as v",
-        "synthetic_sample": f"select * from {VIEW_SAMPLE} as s",
-        "synthetic_drift": report(VIEWS, VIEW_SAMPLE, VIEW_STRATA, 3, THREE),
-        "synthetic_merged_sample": sample(VIEWS_MERGED, VIEW_STRATA, ["o_orderkey"], pct_take(0.1, 1), ["o_orderkey", '"Country"', '"Country_original"']),
     }
     statements["weighted_sample_by_cut"] = statements["weighted_sample"]
     statements["drift_weighted"] = f"""select "column", level, pop_pct, samp_pct, d as abs_diff_pct, {THREE} as status

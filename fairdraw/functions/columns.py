@@ -84,7 +84,3 @@ def columns_of_type(df: DataFrame, kind: str) -> list[str]:
 
 def columns_with_prefix(df: DataFrame, prefix: str) -> list[str]:
     return [c for c in df.columns if c.startswith(prefix)]
-
-
-def drop_internal(df: DataFrame) -> DataFrame:
-    return df.drop(*columns_with_prefix(df, INTERNAL))

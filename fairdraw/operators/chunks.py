@@ -34,6 +34,7 @@ def chunk_sample(
     """Sample every chunk on its own, with the chunk number as ``chunk_id``.
 
     The chunk is one more stratum column, so all chunks are drawn in one job.
+    A column of that name is replaced.
     With ``floor_scope="chunk"`` the floor holds in each chunk, which lifts
     rare strata; with ``"global"`` shares and floor refer to the whole table.
     """
@@ -41,6 +42,8 @@ def chunk_sample(
         raise ValueError("floor_scope must be 'chunk' or 'global'")
     if min_rows < 1:
         raise ValueError("min_rows must be at least 1")
+    if "chunk_id" in strata:
+        raise ValueError("rename the stratum column chunk_id first")
     chunked = df.withColumn("chunk_id", chunk)
     groups = ["chunk_id", *strata] if floor_scope == "chunk" else list(strata)
     if ids is None:

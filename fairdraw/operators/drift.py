@@ -23,7 +23,7 @@ def _weighted_counts(df: DataFrame, columns: Sequence[str], weight: str, value:
     pairs = ", ".join(f"{text(c)}, cast({name(c)} as string)" for c in columns)
     return (
         df.select(F.expr(f"stack({len(columns)}, {pairs}) as (column, level)"), F.col(weight).cast("double").alias("w"))
-        .groupBy("column", level("level").alias("level"))
+        .groupBy("column", "level")
         .agg(F.sum("w").alias(value))
     )
 
@@ -47,7 +47,7 @@ def compare_levels(
     together = pop.withColumn("samp_n", zero).unionByName(samp.withColumn("pop_n", F.lit(0).cast("bigint")))
     levels = together.groupBy("column", "level").agg(F.sum("pop_n").alias("pop_n"), F.sum("samp_n").alias("samp_n"))
     shares = with_shares(levels, pop_pct="pop_n", samp_pct="samp_n")
-    return shares.withColumn("abs_diff", F.abs(F.col("pop_pct") - F.col("samp_pct")))
+    return shares.withColumns({"level": level("level"), "abs_diff": F.abs(F.col("pop_pct") - F.col("samp_pct"))})
 
 
 def compare_flagged(df: DataFrame, sampled: Column, columns: Sequence[str]) -> DataFrame:
@@ -56,11 +56,11 @@ def compare_flagged(df: DataFrame, sampled: Column, columns: Sequence[str]) -> D
     levels = (
         df.select(sampled.alias("_fd_in"), *columns)
         .select("_fd_in", F.expr(f"stack({len(columns)}, {pairs}) as (column, level)"))
-        .groupBy("column", level("level").alias("level"))
+        .groupBy("column", "level")
         .agg(F.count(F.lit(1)).alias("pop_n"), F.count_if("_fd_in").alias("samp_n"))
     )
     shares = with_shares(levels, pop_pct="pop_n", samp_pct="samp_n")
-    return shares.withColumn("abs_diff", F.abs(F.col("pop_pct") - F.col("samp_pct")))
+    return shares.withColumns({"level": level("level"), "abs_diff": F.abs(F.col("pop_pct") - F.col("samp_pct"))})
 
 
 def _tiered(compared: DataFrame, digits: int, tiers: Sequence) -> DataFrame:
@@ -105,7 +105,9 @@ def level_representation(
     if levels is not None:
         named = level(column).isin(list(levels))
         population, sample = population.where(named), sample.where(named)
-    pop, samp = level_counts(population, [column], "pop_n"), level_counts(sample, [column], "samp_n")
+    pop, samp = (
+        level_counts(df, [column], n).withColumn("level", level("level")) for df, n in ((population, "pop_n"), (sample, "samp_n"))
+    )
     zero = F.lit(0).cast("bigint")
     together = pop.withColumn("samp_n", zero).unionByName(samp.withColumn("pop_n", zero))
     if levels is not None:

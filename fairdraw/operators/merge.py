@@ -7,14 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fairdraw.functions.columns import INTERNAL, level
-from fairdraw.plans.lookup import BROADCAST_KEYS, join_on_keys, mark_matching
+from fairdraw.functions.columns import INTERNAL, name, text
+from fairdraw.plans.lookup import BROADCAST_KEYS, KEY, keyed, mark_matching
 from fairdraw.plans.quota import stratum_sizes
 
 # Fixed value: the share below which a level counts as rare.
 RARE_SHARE = 0.05
 
 _KEPT = INTERNAL + "kept"
+_LEVEL, _SIZE = INTERNAL + "level", INTERNAL + "size"
 
 
 def _check(threshold: float | None, min_count: int | None) -> None:
@@ -26,6 +27,21 @@ def _check(threshold: float | None, min_count: int | None) -> None:
         raise ValueError("min_count must be at least 1")
 
 
+def _levels(
+    df: DataFrame, column: str, other: str, threshold: float | None, min_count: int | None, merge_nulls: bool
+) -> DataFrame:
+    """The levels as ``_LEVEL`` with ``n, pct, is_rare, label_new``."""
+    _check(threshold, min_count)
+    counts = df.groupBy(F.col(name(column)).alias(_LEVEL)).agg(F.count(F.lit(1)).alias("n"))
+    table = counts.withColumn("pct", F.col("n") / counts.agg(F.sum("n").alias("rows")).scalar())
+    rare = F.col("pct") < F.lit(threshold) if min_count is None else F.col("n") < min_count
+    if not merge_nulls:
+        rare = rare & F.col(_LEVEL).isNotNull()
+    return table.withColumn("is_rare", rare).withColumn(
+        "label_new", F.when(F.col("is_rare"), F.lit(other)).otherwise(F.col(_LEVEL).cast("string"))
+    )
+
+
 def level_table(
     df: DataFrame,
     column: str,
@@ -35,18 +51,12 @@ def level_table(
     min_count: int | None = None,
     merge_nulls: bool = False,
 ) -> DataFrame:
-    """``<column>, n, pct, is_rare, label_new``. A level is rare strictly below
-    the limit. Rows without a level count in the total; the missing level keeps
-    to itself unless ``merge_nulls`` is set."""
-    _check(threshold, min_count)
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    table = counts.withColumn("pct", F.col("n") / counts.agg(F.sum("n").alias("rows")).scalar())
-    rare = F.col("pct") < F.lit(threshold) if min_count is None else F.col("n") < min_count
-    if not merge_nulls:
-        rare = rare & F.col(column).isNotNull()
-    return table.withColumn("is_rare", rare).withColumn(
-        "label_new", F.when(F.col("is_rare"), F.lit(other)).otherwise(F.col(column).cast("string"))
-    )
+    """``<column>, n, pct, is_rare, label_new``: all levels. A level is rare
+    strictly below the limit. Rows without a level count in the total; the
+    missing level keeps to itself unless ``merge_nulls`` is set."""
+    if column in ("n", "pct", "is_rare", "label_new"):
+        raise ValueError(f"rename the column {column}: the table of levels has one of that name")
+    return _levels(df, column, other, threshold, min_count, merge_nulls).withColumnRenamed(_LEVEL, column)
 
 
 def merge_rare_levels(
@@ -60,27 +70,29 @@ def merge_rare_levels(
     broadcast_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """Replace rare levels by ``other`` and keep the level each row had as
-    ``<column>_original``.
+    ``<column>_original``, which must be a new name. A level that is itself
+    called ``other`` keeps its rows; they are told apart by that column.
 
-    The rows are matched with the levels that stay. By share there are at most
-    ``1 / threshold`` of these, so they are broadcast; by count, or by a tiny
-    share, only the most frequent are.
+    The rows are matched with hashes of the levels that stay. By share there are
+    at most ``1 / threshold`` of these, so they are broadcast; by count, or by a
+    tiny share, only the most frequent are.
     """
-    table = level_table(df, column, other, threshold=threshold, min_count=min_count, merge_nulls=merge_nulls)
-    kept = table.where("not is_rare").select(column, "n")
+    if f"{column}_original" in df.columns:
+        raise ValueError(f"rename the column {column}_original first")
+    kept = _levels(df, column, other, threshold, min_count, merge_nulls).where("not is_rare").select(_LEVEL, "n")
+    kept = kept.select(F.col(_LEVEL).alias(column), F.col("n").alias(_SIZE))
     if min_count is None and 1 / threshold <= broadcast_keys:
-        marked = join_on_keys(
-            df, kept.select(column, F.lit(True).alias(_KEPT)), [column], "left", small=True
-        )
+        few = keyed(kept, [column]).select(*KEY, F.lit(True).alias(_KEPT))
+        marked = keyed(df, [column]).join(F.broadcast(few), KEY, "left").drop(*KEY)
     else:
-        marked = mark_matching(df, kept, [column], "n", _KEPT, broadcast_keys)
-    original = F.col(column)
+        marked = mark_matching(df, kept, [column], _SIZE, _KEPT, broadcast_keys)
+    original = F.col(name(column))
     return marked.withColumns(
         {
             f"{column}_original": original,
             column: F.when(F.col(_KEPT), original.cast("string")).otherwise(F.lit(other)),
         }
-    ).drop(_KEPT)
+    ).select(*[F.col(name(c)) for c in df.columns], F.col(name(f"{column}_original")))
 
 
 def merge_report(
@@ -92,17 +104,10 @@ def merge_report(
     min_count: int | None = None,
     merge_nulls: bool = False,
 ) -> DataFrame:
-    """One row: the limit in rows, how many levels merge and stay, their rows,
-    and the level names, at most the 1,000 most frequent of either kind."""
-    table = level_table(df, column, other, threshold=threshold, min_count=min_count, merge_nulls=merge_nulls)
-    shown = 1_000
-
-    def names(rare: str) -> DataFrame:
-        return (
-            table.where(rare).orderBy(F.desc("n"), level(column)).limit(shown)
-            .agg(F.concat_ws(", ", F.expr("array_sort(collect_list(struct(-n, {0} as v))).v".format(f"coalesce(cast(`{column}` as string), '__NA__')"))).alias("names"))
-        )
-
+    """One row: the limit in rows, how many levels merge and stay, and their
+    rows. The levels themselves, any number of them, are those of
+    :func:`level_table`."""
+    table = _levels(df, column, other, threshold, min_count, merge_nulls)
     limit = f"cast(rint({threshold!r}D * sum(n)) as bigint)" if min_count is None else f"cast({min_count} as bigint)"
     return table.agg(
         F.expr(limit).alias("limit_rows"),
@@ -110,8 +115,6 @@ def merge_report(
         F.expr("count_if(not is_rare)").alias("n_kept"),
         F.expr("coalesce(sum(if(is_rare, n, 0)), 0)").alias("rows_merged"),
         F.expr("coalesce(sum(if(is_rare, 0, n)), 0)").alias("rows_kept"),
-    ).withColumns(
-        {"merged_levels": names("is_rare").scalar(), "kept_levels": names("not is_rare").scalar()}
     )
 
 
@@ -128,11 +131,13 @@ def strata_before_after(merged: DataFrame, strata: Sequence[str], column: str) -
 
 
 def merge_audit(sample: DataFrame, column: str, other: str) -> DataFrame:
-    """Sampled rows of the merged group per level they had."""
+    """Sampled rows of the merged group per level they had; rows that had that
+    level before are not among them."""
     original = f"{column}_original"
+    moved = f"{name(column)} = {text(other)} and not (cast({name(original)} as string) <=> {name(column)})"
     return (
-        sample.where(F.col(column) == other)
-        .groupBy(original)
+        sample.where(moved)
+        .groupBy(F.col(name(original)))
         .agg(F.count(F.lit(1)).alias("n_in_sample"))
-        .orderBy(F.desc("n_in_sample"), original)
+        .orderBy(F.desc("n_in_sample"), F.col(name(original)))
     )

@@ -6,9 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fairdraw.functions.columns import INTERNAL, columns_of_type, name, report_round, text, to_number
-from fairdraw.plans.order_statistics import number_list, order_statistics
+from fairdraw.plans.order_statistics import DOUBLES, number_list, order_statistics
 from fairdraw.sources.scratch import ensure_checkpoint_dir
 
 # The deciles, the share at which tails are cut, the digits to
@@ -28,6 +29,48 @@ def coerce_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: to_number(c, c in numeric) for c in columns})
 
 
+def present(column: str, kind: T.DataType) -> str:
+    """SQL text of a numeric column with NaN, which says no number, as null."""
+    return f"nullif({name(column)}, double('NaN'))" if isinstance(kind, (T.DoubleType, T.FloatType)) else name(column)
+
+
+def _exact(kind: T.DataType) -> str | None:
+    """The decimal type in which a column is compared exactly; none if doubles do."""
+    if isinstance(kind, (T.LongType, T.TimestampType, T.TimestampNTZType)):
+        return "decimal(20, 0)"
+    if isinstance(kind, T.DecimalType):
+        return f"decimal({min(kind.precision + 1, 38)}, {kind.scale})"
+    return None
+
+
+def _as_exact(column: str, kind: T.DataType) -> str:
+    """SQL text of the column in its type for comparisons."""
+    value = name(column)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        value = f"unix_micros(cast({value} as timestamp))"
+    exact = _exact(kind)
+    return f"cast({value} as {exact})" if exact else f"cast({present(column, kind)} as double)"
+
+
+def _located(df: DataFrame, columns: Sequence[str], ranks: str, many: int) -> DataFrame:
+    """Order statistics of several columns, those of one type in the same passes."""
+    kinds: dict[str | None, list[str]] = {}
+    for c in columns:
+        kinds.setdefault(_exact(df.schema[c].dataType), []).append(c)
+    found = None
+    for exact, some in kinds.items():
+        pairs = ", ".join(f"{text(c)}, {_as_exact(c, df.schema[c].dataType)}" for c in some)
+        values = df.select(F.expr(f"stack({len(some)}, {pairs}) as (column, x)")).where("x is not null")
+        ends = DOUBLES
+        if exact:
+            digits, scale = (int(part) for part in exact[8:-1].split(","))
+            most = "9" * (digits - scale) + (f".{'9' * scale}" if scale else "")
+            ends = f"cast('-{most}' as {exact})", f"cast('{most}' as {exact})"
+        part = order_statistics(values, ["column"], ranks, many, ends)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -37,18 +80,17 @@ def quantiles(
 ) -> DataFrame:
     """Exact quantiles by linear interpolation: ``column, probability, value``.
 
-    Nulls are left out. With ``clip_at`` they are the quantiles of the column
-    after values above that quantile were set to it. Values are compared as
-    doubles.
+    Nulls and NaN are left out. With ``clip_at`` they are the quantiles of the
+    column after values above that quantile were set to it. Whole numbers and
+    decimals are put in order exactly; what lies between two is a double.
     """
     wanted = sorted({*probabilities, *([] if clip_at is None else [clip_at])})
-    pairs = ", ".join(f"{text(c)}, cast({name(c)} as double)" for c in columns)
-    values = df.select(F.expr(f"stack({len(columns)}, {pairs}) as (column, x)")).where("x is not null")
     ranks = f"""transform({number_list(wanted)}, p -> struct(
         p as target,
         cast(floor((n - 1) * p) as bigint) + 1 as rank,
         least(cast(floor((n - 1) * p) as bigint) + 2, n) as next_rank))"""
-    found = order_statistics(values, ["column"], ranks, many=len(wanted))
+    found = _located(df, columns, ranks, len(wanted))
+    found = found.withColumns({c: F.col(c).cast("double") for c in ("x_at", "x_next")})
     part = "((n - 1) * target - (rank - 1))"
 
     def between(low: str, high: str) -> str:
@@ -80,9 +122,9 @@ def _limits_of(table: DataFrame) -> Column:
     return found.checkpoint().scalar()
 
 
-def _clipped(column: str, position: int) -> Column:
-    limit = f"{_LIMITS}[{text(column)}][{position}].value"
-    return F.expr(f"if({name(column)} is null, null, least(cast({name(column)} as double), {limit}))")
+def _clipped(df: DataFrame, column: str, position: int) -> Column:
+    limit, value = f"{_LIMITS}[{text(column)}][{position}].value", present(column, df.schema[column].dataType)
+    return F.expr(f"if({value} is null, cast({name(column)} as double), least(cast({name(column)} as double), {limit}))")
 
 
 def winsorize(
@@ -92,10 +134,11 @@ def winsorize(
     *,
     population: DataFrame | None = None,
 ) -> DataFrame:
-    """Set values above the tail quantile to it, column by column. The quantile
-    is that of ``population``, or else of the table itself."""
+    """Set values above the tail quantile to it, column by column; NaN, which is
+    above nothing, stays. The quantile is that of ``population``, or else of the
+    table itself."""
     limits = _limits_of(quantiles(df if population is None else population, columns, [tail]))
-    clipped = {c: _clipped(c, 0) for c in columns}
+    clipped = {c: _clipped(df, c, 0) for c in columns}
     return df.withColumn(_LIMITS, limits).withColumns(clipped).drop(_LIMITS)
 
 
@@ -120,13 +163,13 @@ def decile_buckets(
     prefix: str = BUCKET_PREFIX,
 ) -> DataFrame:
     """Add a bucket column per numeric column: nine buckets, the first holding
-    the two lowest tenths. With ``clip_at`` the columns are winsorized there,
+    the two lowest tenths; none for null and NaN. With ``clip_at`` the columns are winsorized there,
     in the result too; the highest decile of a clipped column is its tail."""
     limits = _limits_of(quantiles(df, columns, DECILES, clip_at=clip_at))
     buckets = {
-        prefix + c: F.expr(_bucket(name(c), f"{_LIMITS}[{text(c)}][{{}}].rounded")) for c in columns
+        prefix + c: F.expr(_bucket(present(c, df.schema[c].dataType), f"{_LIMITS}[{text(c)}][{{}}].rounded")) for c in columns
     }
-    clipped = {} if clip_at is None else {c: _clipped(c, 9) for c in columns}
+    clipped = {} if clip_at is None else {c: _clipped(df, c, 9) for c in columns}
     return df.withColumn(_LIMITS, limits).withColumns({**buckets, **clipped}).drop(_LIMITS)
 
 
@@ -135,20 +178,18 @@ def position_buckets(df: DataFrame, order_by: str, bucket: str = "position_bucke
 
     The deciles of 1..n are known in closed form, so only the order values at
     eight positions are looked up; no rows are numbered or sorted. The order
-    column must be numeric or a timestamp; equal values share a bucket.
+    column must be numeric or a timestamp and is compared exactly; equal values
+    share a bucket, and rows without a value have the last one.
     """
-    values = df.select(
-        F.lit(order_by).alias("column"), F.col(order_by).cast("double").alias("x")
-    ).where("x is not null")
     scale = float(10**DECILE_DIGITS)
     place = f"cast(ceil(floor((1 + (n - 1) * p) * {scale!r}D + 0.5D) / {scale!r}D) as bigint)"
     ranks = f"""transform({number_list(DECILES[1:9])}, p -> struct(
         p as target, {place} as rank, {place} as next_rank))"""
-    found = order_statistics(values, ["column"], ranks, many=8)
+    found = _located(df, [order_by], ranks, 8)
     entry = F.struct("target", "x_at")
     ensure_checkpoint_dir(df.sparkSession)
     limits = found.agg(F.array_sort(F.collect_list(entry)).alias("limits")).checkpoint().scalar()
-    value = f"cast({name(order_by)} as double)"
+    value = _as_exact(order_by, df.schema[order_by].dataType)
     steps = " ".join(
         f"when {value} < {_LIMITS}[{k - 1}].x_at then {k / 10!r}D" for k in range(1, 9)
     )
@@ -162,7 +203,7 @@ def position_buckets(df: DataFrame, order_by: str, bucket: str = "position_bucke
 def _measures(df: DataFrame, columns: Sequence[str], shares: Mapping[str, float]) -> DataFrame:
     """Per column: ``n, min, mean, max`` and the named quantiles. The quantile
     table has a few rows per column."""
-    pairs = ", ".join(f"{text(c)}, cast({name(c)} as double)" for c in columns)
+    pairs = ", ".join(f"{text(c)}, cast({present(c, df.schema[c].dataType)} as double)" for c in columns)
     values = df.select(F.expr(f"stack({len(columns)}, {pairs}) as (column, x)"))
     moments = values.groupBy("column").agg(
         F.count("x").alias("n"), F.min("x").alias("min"), F.avg("x").alias("mean"), F.max("x").alias("max")
@@ -174,7 +215,7 @@ def _measures(df: DataFrame, columns: Sequence[str], shares: Mapping[str, float]
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``column, n, min, q1, median, mean, q3, max``; nulls are left out."""
+    """``column, n, min, q1, median, mean, q3, max``; nulls and NaN are left out."""
     return _measures(df, columns, QUARTILES).select("column", "n", "min", "q1", "median", "mean", "q3", "max")
 
 
@@ -203,8 +244,9 @@ def numeric_before_after(population: DataFrame, sample: DataFrame, columns: Sequ
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``column, n_null`` in one pass over all columns."""
+    """``column, n_null`` in one pass over all columns; NaN counts as null."""
     columns = df.columns if columns is None else list(columns)
-    counted = df.agg(*[F.expr(f"count_if({name(c)} is null)").alias(f"n_{i}") for i, c in enumerate(columns)])
+    values = {c: present(c, df.schema[c].dataType) for c in columns}
+    counted = df.agg(*[F.expr(f"count_if({values[c]} is null)").alias(f"n_{i}") for i, c in enumerate(columns)])
     pairs = ", ".join(f"{text(c)}, n_{i}" for i, c in enumerate(columns))
     return counted.select(F.expr(f"stack({len(columns)}, {pairs}) as (column, n_null)"))

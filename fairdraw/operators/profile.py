@@ -36,11 +36,13 @@ def strata_profile(df: DataFrame, strata: Sequence[str]) -> DataFrame:
 
 
 def level_counts(df: DataFrame, columns: Sequence[str], value: str = "n") -> DataFrame:
-    """``column, level`` and the rows of each level, all columns in one pass."""
+    """``column, level`` and the rows of each level, all columns in one pass. A
+    missing level is null here, so that it keeps apart from a level that has
+    the name it is reported under."""
     pairs = ", ".join(f"{text(c)}, cast({name(c)} as string)" for c in columns)
     return (
         df.select(F.expr(f"stack({len(columns)}, {pairs}) as (column, level)"))
-        .groupBy("column", level("level").alias("level"))
+        .groupBy("column", "level")
         .agg(F.count(F.lit(1)).alias(value))
     )
 
@@ -58,7 +60,7 @@ def with_shares(levels: DataFrame, **shares: str) -> DataFrame:
 def level_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, level, n, share``, most frequent first."""
     shares = with_shares(level_counts(df, columns), share="n")
-    return shares.orderBy("column", F.desc("n"), "level")
+    return shares.orderBy("column", F.desc("n"), F.asc_nulls_first("level")).withColumn("level", level("level"))
 
 
 def sample_rate(population: DataFrame, sample: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fairdraw.functions.columns import columns_of_type
+from fairdraw.functions.columns import columns_of_type, name
+from fairdraw.functions.priority import hex_position, priority
 from fairdraw.operators.numeric import (
     BUCKET_PREFIX,
     TAIL,
@@ -18,7 +19,7 @@ from fairdraw.operators.numeric import (
 )
 from fairdraw.plans.lookup import BROADCAST_KEYS, keep_matching
 from fairdraw.plans.quota import Quota, stratum_sizes
-from fairdraw.plans.selection import draw
+from fairdraw.plans.selection import draw, number_copies
 from fairdraw.sources.scratch import ensure_checkpoint_dir
 
 
@@ -62,9 +63,10 @@ def total_sample(
     ids: Sequence[str] | None = None,
     seed: int = 42,
 ) -> DataFrame:
-    """A sample of a given size spread over the strata in proportion to theirs.
-    With ``total_digits`` the share is rounded first, which gives nothing when
-    it rounds to 0."""
+    """A sample of exactly ``total`` rows, or of all rows if there are fewer,
+    spread over the strata in proportion to theirs; ``min_rows`` adds to it.
+    With ``total_digits`` the share is rounded first, and each stratum on its
+    own, which gives nothing when it rounds to 0."""
     quota = Quota(total=total, min_rows=min_rows, total_digits=total_digits)
     return draw(df, strata, quota, ids=ids, seed=seed)
 
@@ -170,15 +172,25 @@ def position_sample(
 
 
 def native_sample(
-    df: DataFrame, column: str, pct: float, *, seed: int = 42, max_levels: int = 10_000
+    df: DataFrame,
+    column: str,
+    pct: float,
+    *,
+    shares: Mapping | None = None,
+    ids: Sequence[str] | None = None,
+    seed: int = 42,
 ) -> DataFrame:
-    """Spark's own ``sampleBy``: one pass, but sizes only close to the target.
-    It wants its fractions on the driver, so the number of levels is checked."""
-    levels = df.select(column).distinct().limit(max_levels + 1).collect()
-    if len(levels) > max_levels:
-        raise ValueError(f"{column} has more than {max_levels} levels")
-    fractions = {row[0]: pct for row in levels if row[0] is not None}
-    return df.sampleBy(column, fractions, seed)
+    """Take each row by its own priority: one pass without any shuffle, but sizes
+    only close to the target. ``shares`` may give levels of the column, null
+    included, a share other than ``pct``. Without ids equal rows are numbered."""
+    for share in (pct, *(shares or {}).values()):
+        if not 0 <= share <= 1:
+            raise ValueError("shares must lie between 0 and 1")
+    rows = number_copies(df) if ids is None else df
+    limit = F.expr(hex_position(f"{float(pct)!r}D"))
+    for value, share in (shares or {}).items():
+        limit = F.when(F.col(name(column)).eqNullSafe(F.lit(value)), F.expr(hex_position(f"{float(share)!r}D"))).otherwise(limit)
+    return rows.where(priority(seed, rows.columns if ids is None else ids) < limit).select(*[F.col(name(c)) for c in df.columns])
 
 
 def random_order_sample(
@@ -192,4 +204,5 @@ def random_order_sample(
     kept = df.withColumn(column, F.rand(seed)).withColumn(
         "_fd_row", F.monotonically_increasing_id()
     ).checkpoint()
-    return draw(kept, strata, Quota(pct=pct, min_rows=min_rows), ids=[column, "_fd_row"], seed=seed)
+    drawn = draw(kept, strata, Quota(pct=pct, min_rows=min_rows), ids=[column, "_fd_row"], seed=seed)
+    return drawn.drop(column, "_fd_row")

@@ -46,7 +46,9 @@ def _low(rank: str, count: str, lowest: str) -> str:
 def _high(rank: str, count: str, highest: str) -> str:
     """SQL text of a value not below the one at a rank."""
     step = f"cast(floor({rank} * {GRID}.0D / {count}) as int) + 3"
-    return f"if({count} <= {SMALL} or {step} >= {GRID}, {highest}, get(grid, {step}))"
+    # The sketch rounds to doubles: only the next one is sure to lie above.
+    above = f"array_min(filter(grid, v -> v > get(grid, {step})))"
+    return f"if({count} <= {SMALL} or {step} >= {GRID}, {highest}, coalesce({above}, {highest}))"
 
 
 def _fences(brackets: str) -> Column:
@@ -68,12 +70,18 @@ def _cell(first: int, last: int) -> str:
     )
 
 
+# SQL text of values below and above all others, by the type of ``x``.
+DOUBLES = "double('-Infinity')", "double('Infinity')"
+
+
 def order_statistics(
-    values: DataFrame, groups: Sequence[str], ranks: str, many: int
+    values: DataFrame, groups: Sequence[str], ranks: str, many: int, ends: tuple[str, str] = DOUBLES
 ) -> DataFrame:
     """Values at given ranks in each group of ``values``.
 
-    ``values`` has the group columns and a double column ``x`` without nulls.
+    ``values`` has the group columns and a column ``x`` without nulls and NaN:
+    doubles, or decimals with ``ends`` that no value reaches, which are compared
+    exactly whatever their size.
     ``ranks`` is SQL text of an array of ``many`` structs ``(target, rank,
     next_rank)`` in ascending order, over the group columns and ``n``, the
     group's row count; ranks start at 1. The number of groups must have a
@@ -89,8 +97,8 @@ def order_statistics(
     sketched = values.groupBy(*groups).agg(
         F.count("x").cast("bigint").alias("n"), _grid("x").alias("grid")
     )
-    lows = _low("t.rank", "n", "double('-Infinity')")
-    highs = _high("t.next_rank", "n", "double('Infinity')")
+    lows = _low("t.rank", "n", ends[0])
+    highs = _high("t.next_rank", "n", ends[1])
     wide = sketched.withColumn(
         "brackets",
         F.expr(f"transform({ranks}, t -> struct({lows} as low, {highs} as high))"),
@@ -107,7 +115,7 @@ def order_statistics(
         )
         .agg(F.count(F.lit(1)).alias("rows"), _grid("if(cell % 2 = 1, x, null)").alias("grid"))
     )
-    missed = "cast(raise_error('order statistics: a rank lies outside its bracket') as double)"
+    missed = "raise_error('order statistics: a rank lies outside its bracket')"
     inner_low = f"if(cell % 2 = 1, {_low('place', 'rows', 'low_end')}, {missed})"
     located = (
         counted.withColumn("before", F.sum("rows").over(cells) - F.col("rows"))

@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fairdraw.functions.columns import INTERNAL
+from fairdraw.plans.lookup import join_on_keys
 
 _BOOSTED = INTERNAL + "boosted"
 _ROWS = INTERNAL + "rows"
+_EXACT, _REST = INTERNAL + "exact", INTERNAL + "rest"
+_STEP, _OPEN = INTERNAL + "step", INTERNAL + "open"
+_STEPS = 65_536
 
 
 @dataclass(frozen=True)
@@ -22,8 +26,11 @@ class Quota:
     ``min_rows`` is the guaranteed minimum; a stratum never gives more rows
     than it has. Strata under ``boost_below`` rows and strata holding one of
     ``boost_levels`` (column to levels) are taken whole. Strata under
-    ``drop_below`` rows are left out. ``total_digits`` rounds the share that
-    ``total`` stands for; without it the share is exact.
+    ``drop_below`` rows are left out. A total is met exactly, or by the whole
+    table if that is smaller: strata get their whole rows, and the largest
+    remainders one more, ties in the order of the strata; a minimum, boosts and
+    dropped strata change it. With ``total_digits`` the share that the total
+    stands for is rounded instead, and then each stratum on its own.
     """
 
     pct: float | None = None
@@ -47,19 +54,14 @@ class Quota:
         if self.min_rows < 0:
             raise ValueError("min_rows must not be negative")
 
-    def ceiling(self) -> int | None:
-        """The most rows any stratum can give, if that does not depend on the
-        data."""
-        if self.pct is not None or self.boost_below is not None or self.boost_levels:
-            return None
-        return max(self.n if self.n is not None else self.total, self.min_rows)
-
     def apply(self, table: DataFrame, sizes: DataFrame) -> DataFrame:
         """Add ``n_raw``, ``n_target`` and ``n_take`` to a table with ``pop_n``.
 
         Rounding is half to even. A total needs the population size, which is
         a scalar subquery over the sizes.
         """
+        if self.total is not None and self.total_digits is None:
+            table = _with_remainders(table, sizes, self.total)
         boosted = F.lit(False)
         if self.boost_below is not None:
             boosted = boosted | (F.col("pop_n") < self.boost_below)
@@ -71,13 +73,14 @@ class Quota:
             raw = f"cast({self.n} as bigint)"
         elif self.pct is not None:
             raw = f"cast(rint(pop_n * {float(self.pct)!r}D) as bigint)"
+        elif self.total_digits is None:
+            raw = _EXACT
         else:
             rows = sizes.agg(F.sum("pop_n").alias("rows")).scalar()
             table = table.withColumn(_ROWS, rows)
             share = f"({float(self.total)!r}D / {_ROWS})"
-            if self.total_digits is not None:
-                scale = f"{float(10**self.total_digits)!r}D"
-                share = f"(rint({share} * {scale}) / {scale})"
+            scale = f"{float(10**self.total_digits)!r}D"
+            share = f"(rint({share} * {scale}) / {scale})"
             raw = f"cast(rint(pop_n * {share}) as bigint)"
         dropped = f"pop_n < {self.drop_below}" if self.drop_below is not None else "false"
         return table.selectExpr(
@@ -87,7 +90,42 @@ class Quota:
                      when {_BOOSTED} then greatest(n_raw, {self.min_rows}, pop_n)
                      else greatest(n_raw, {self.min_rows}) end as n_target""",
             "least(n_target, pop_n) as n_take",
-        ).drop(_BOOSTED, _ROWS)
+        ).drop(_BOOSTED, _ROWS, _EXACT)
+
+
+def _with_remainders(table: DataFrame, sizes: DataFrame, total: int) -> DataFrame:
+    """Add the rows of each stratum that together make the total.
+
+    Which remainders are the largest is found by counting them in ``_STEPS``
+    steps; only the strata of one step are put in order."""
+    wide = "decimal(38, 0)"
+    keys = [c for c in sizes.columns if c != "pop_n"]
+    exact = sizes.withColumn(_ROWS, sizes.agg(F.sum("pop_n").alias("rows")).scalar()).withColumn(
+        _EXACT, F.expr(f"cast(pop_n as {wide}) * least({total}L, {_ROWS})")
+    )
+    parts = exact.withColumns(
+        {
+            _REST: F.expr(f"{_EXACT} % {_ROWS}"),
+            _EXACT: F.expr(f"cast({_EXACT} div {_ROWS} as bigint)"),
+            _STEP: F.expr(f"cast(({_EXACT} % {_ROWS}) * {_STEPS} div {_ROWS} as int)"),
+        }
+    )
+    counts = parts.groupBy(_STEP).agg(
+        F.count(F.lit(1)).alias("strata"), F.sum(_EXACT).alias("given"), F.max(_ROWS).alias("rows")
+    )
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    higher = Window.orderBy(F.desc(_STEP)).rowsBetween(Window.unboundedPreceding, -1)
+    # At most _STEPS rows.
+    left = counts.withColumn("missing", F.least(F.lit(total), "rows") - F.sum("given").over(everything)).select(
+        F.col(_STEP), (F.col("missing") - F.coalesce(F.sum("strata").over(higher), F.lit(0))).alias(_OPEN), "strata"
+    )
+    known = parts.join(F.broadcast(left), _STEP)
+    sure = known.where(f"{_OPEN} <= 0 or {_OPEN} >= strata").withColumn(_EXACT, F.expr(f"{_EXACT} + if({_OPEN} > 0, 1, 0)"))
+    order = Window.partitionBy(_STEP).orderBy(F.desc(_REST), *[F.asc_nulls_first(c) for c in keys])
+    split = known.where(f"{_OPEN} > 0 and {_OPEN} < strata").withColumn("place", F.row_number().over(order))
+    split = split.withColumn(_EXACT, F.expr(f"{_EXACT} + if(place <= {_OPEN}, 1, 0)"))
+    given = sure.select(*keys, _EXACT).unionByName(split.select(*keys, _EXACT))
+    return join_on_keys(table, given, keys)
 
 
 def stratum_sizes(df: DataFrame, strata: Sequence[str]) -> DataFrame:

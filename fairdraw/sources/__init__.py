@@ -1 +1 @@
-"""Readers, writers and the synthetic population."""
+"""Readers and writers."""

@@ -114,3 +114,34 @@ def test_before_after_of_the_whole_table_agree(spark):
     df = spark.range(500).select(F.col("id").cast("double").alias("x"))
     rows = numeric.numeric_before_after(df, df, ["x"]).collect()
     assert len(rows) == 16 and all(r.population == r.sample for r in rows)
+
+
+def test_nan_says_no_number(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(float(v),) for v in range(1, 101)] + [(nan,), (None,)], "x double")
+    plain = df.where("x is not null and not isnan(x)")
+    assert quantiles(df, ["x"]) == quantiles(plain, ["x"])
+    row = numeric.numeric_summary(df, ["x"]).collect()[0]
+    assert (row.n, row.max, row["mean"]) == (100, 100.0, 50.5)
+    assert numeric.deciles(df, ["x"]).collect() == numeric.deciles(plain, ["x"]).collect()
+    cut = [r.x for r in numeric.winsorize(df, ["x"]).collect()]
+    assert sum(v is None for v in cut) == 1 and sum(v is not None and v != v for v in cut) == 1
+    assert sorted(v for v in cut if v is not None and v == v) == sorted(r.x for r in numeric.winsorize(plain, ["x"]).collect())
+    buckets = {r.bucket_x: r["count"] for r in numeric.decile_buckets(df, ["x"]).groupBy("bucket_x").count().collect()}
+    assert buckets == {None: 2, 0.1: 20, **{k / 10: 10 for k in range(2, 9)}, 0.9: 10}
+    assert numeric.null_counts(df).collect()[0].n_null == 2
+
+
+def test_large_keys_decimals_and_times_are_put_in_order_exactly(spark):
+    start = 2**60
+    df = spark.range(start, start + 20_001).select(
+        "id", F.expr(f"cast(id - {start} as decimal(30, 5)) / 1000 + cast('12345678901234567.5' as decimal(30, 5))").alias("d")
+    ).repartition(5)
+    assert quantiles(df, ["id"], [0.5])["id", 0.5] == float(start + 10_000)
+    counted = {r.position_bucket: r["count"] for r in numeric.position_buckets(df, "id").groupBy("position_bucket").count().collect()}
+    by_row = spark.range(20_001).select(F.col("id").cast("double").alias("id"))
+    expected = {r.position_bucket: r["count"] for r in numeric.position_buckets(by_row, "id").groupBy("position_bucket").count().collect()}
+    assert counted == expected
+    assert {r.position_bucket: r["count"] for r in numeric.position_buckets(df, "d").groupBy("position_bucket").count().collect()} == expected
+    times = by_row.select(F.expr("timestamp_micros(1700000000000000 + cast(id as bigint))").alias("t"))
+    assert {r.position_bucket: r["count"] for r in numeric.position_buckets(times, "t").groupBy("position_bucket").count().collect()} == expected

@@ -76,3 +76,18 @@ def test_level_with_quote(spark):
     df = spark.createDataFrame([("o'hara", 10)], "s string, pop_n bigint")
     quota = Quota(pct=0.1, boost_levels={"s": ["o'hara"]})
     assert allocate(df, quota).select(F.max("n_take")).collect()[0][0] == 10
+
+
+def test_a_total_is_met(spark):
+    for counts, total in (([3, 4, 3] * 100, 100), ([1] * 50, 7), ([10, 20, 30], 60), ([10, 20, 30], 600), ([7, 7, 7], 10)):
+        take, _ = taken(spark, Quota(total=total), *counts)
+        assert sum(take) == min(total, sum(counts))
+        exact = [total * n / sum(counts) for n in counts]
+        assert all(t in (n, int(e), int(e) + 1) for t, n, e in zip(sorted(take), sorted(counts), sorted(exact)))
+    assert taken(spark, Quota(total=10), 7, 7, 7)[0] == [4, 3, 3]
+    assert taken(spark, Quota(total=5), *[])[0] == []
+
+
+def test_a_total_of_many_equal_remainders_goes_to_the_first(spark):
+    take, _ = taken(spark, Quota(total=4), 1, 1, 1, 1, 1, 1)
+    assert take == [1, 1, 1, 1, 0, 0]

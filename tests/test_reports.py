@@ -113,3 +113,38 @@ def test_first_period_wins(spark):
         [("one", first, ["s"]), ("two", second, ["s"])], Quota(n=10), ["user"], ids=["id"]
     )
     assert sorted((r.id, r.period) for r in drawn.collect()) == [(1, "one"), (2, "one"), (4, "two"), (5, "two")]
+
+
+def test_a_level_named_like_a_missing_one_keeps_apart(spark):
+    df = spark.createDataFrame([("__NA__",), (None,), (None,), ("a",)], "c string")
+    counted = profile.level_shares(df, ["c"]).collect()
+    assert sorted((r.level, r.n) for r in counted) == [("__NA__", 1), ("__NA__", 2), ("a", 1)]
+    report = drift.compare_levels(df, df.where("c is null"), ["c"]).collect()
+    assert sorted((r.level, r.pop_n, r.samp_n) for r in report) == [("__NA__", 1, 0), ("__NA__", 2, 2), ("a", 1, 0)]
+
+
+def test_all_levels_are_reported(spark):
+    df = spark.range(3000).select(F.expr("concat('level, ', id div 2)").alias("odd `name"))
+    row = merge.merge_report(df, "odd `name", "Other", threshold=None, min_count=3).collect()[0]
+    assert (row.n_merged, row.n_kept, row.rows_merged) == (1500, 0, 3000)
+    table = merge.level_table(df, "odd `name", "Other", threshold=None, min_count=3)
+    assert table.count() == 1500 and table.where("is_rare and label_new = 'Other'").count() == 1500
+
+
+def test_names_that_clash_are_refused_or_harmless(spark):
+    df = levels(spark, a=90, b=10)
+    with pytest.raises(ValueError, match="c_original"):
+        merge.merge_rare_levels(df.withColumn("c_original", F.lit(1)), "c", "Other")
+    with pytest.raises(ValueError, match="pct"):
+        merge.level_table(df.withColumnRenamed("c", "pct"), "pct", "Other")
+    for limits in ({"threshold": 0.2}, {"threshold": None, "min_count": 20}):
+        merged = merge.merge_rare_levels(df.withColumnRenamed("c", "n"), "n", "Other", **limits)
+        assert {r.n: r["count"] for r in merged.groupBy("n").count().collect()} == {"a": 90, "Other": 10}
+    with pytest.raises(ValueError, match="chunk_id"):
+        chunks.chunk_sample(df.withColumn("chunk_id", F.lit(1)), ["chunk_id"], F.lit(0), 0.1)
+
+
+def test_a_kept_level_called_other_is_not_in_the_audit(spark):
+    merged = merge.merge_rare_levels(levels(spark, Other=60, a=30, b=6, d=4), "c", "Other", threshold=0.1)
+    assert merged.where("c = 'Other'").count() == 70
+    assert [tuple(r) for r in merge.merge_audit(merged, "c", "Other").collect()] == [("b", 6), ("d", 4)]

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import expected_draw, share
+from conftest import expected_draw, priority, share
 from pyspark.sql import functions as F
 
 from fairdraw.functions.priority import hex_position
@@ -205,11 +205,16 @@ def test_small_strata_are_dropped_by_either_lookup(people):
         assert ids_of(sampling.drop_small_strata(df, ["a", "b"], 10, broadcast_keys=limit)) == expected
 
 
-def test_native_sample_checks_its_levels(people):
-    _, df = people
+def test_native_sample_takes_rows_by_their_own_priority(people):
+    rows, df = people
+    drawn = sampling.native_sample(df, "a", 0.1, shares={None: 0.5, "hot": 0}, ids=["id"])
+    limits = {None: 0.5, "hot": 0.0}
+    expected = [r["id"] for r in rows if int(priority(42, r["id"])[:13], 16) < int(limits.get(r["a"], 0.1) * 16**13)]
+    assert ids_of(drawn) == sorted(expected) and drawn.where("a is null").count() > 100
+    assert sampling.native_sample(df, "a", 1, ids=["id"]).count() == len(rows)
+    assert 200 < sampling.native_sample(df.select("a", "b"), "a", 0.1).count() < 420
     with pytest.raises(ValueError):
-        sampling.native_sample(df, "id", 0.1, max_levels=10)
-    assert 0 < sampling.native_sample(df, "a", 0.1).count() < 600
+        sampling.native_sample(df, "a", 1.5)
 
 
 def test_random_order_sample_has_the_exact_sizes(people):

@@ -4,13 +4,14 @@ from pyspark.sql import functions as F
 
 from fairdraw.functions.columns import columns_of_type
 from fairdraw.operators import sampling
-from fairdraw.sources import synthetic, tables
+from fairdraw.sources import tables
 from fairdraw.streaming import micro_batches
+from tools import viewing
 
 
 @pytest.fixture(scope="module")
 def views(spark):
-    return synthetic.generate_population(spark, 20_000, "v2").cache()
+    return viewing.generate_population(spark, 20_000, "v2").cache()
 
 
 def test_population_has_structural_nulls(views):
@@ -21,24 +22,24 @@ def test_population_has_structural_nulls(views):
 
 def test_population_shares(views):
     shares = {r.Country: r["count"] / 20_000 for r in views.groupBy("Country").count().collect()}
-    for country, share in synthetic.COUNTRIES_V2.items():
+    for country, share in viewing.COUNTRIES_V2.items():
         assert shares[country] == pytest.approx(share, abs=0.012)
     row = views.agg(F.avg("TotalMins"), F.avg("TotalCNT"), F.min("UserID"), F.max("UserID")).collect()[0]
     assert row[0] == pytest.approx(50, rel=0.05) and row[1] == pytest.approx(500, rel=0.05)
     assert (row[2], row[3]) == (101, 300)
-    assert views.select(*synthetic.STRATA).distinct().count() <= 336
+    assert views.select(*viewing.STRATA).distinct().count() <= 336
 
 
 def test_population_is_the_same_under_any_partitioning(spark):
-    one = synthetic.viewing_population(spark.range(500).coalesce(1), "id", "v1")
-    many = synthetic.viewing_population(spark.range(500).repartition(9), "id", "v1")
+    one = viewing.viewing_population(spark.range(500).coalesce(1), "id", "v1")
+    many = viewing.viewing_population(spark.range(500).repartition(9), "id", "v1")
     assert one.exceptAll(many).count() == 0
 
 
 def test_sparse_countries_survive_the_floor(views):
-    drawn = sampling.floor_sample(views, synthetic.STRATA, 0.01, ids=["row_id"])
-    strata = views.select(*synthetic.STRATA).distinct().count()
-    assert drawn.select(*synthetic.STRATA).distinct().count() == strata
+    drawn = sampling.floor_sample(views, viewing.STRATA, 0.01, ids=["row_id"])
+    strata = views.select(*viewing.STRATA).distinct().count()
+    assert drawn.select(*viewing.STRATA).distinct().count() == strata
 
 
 def test_csv_and_parquet(spark, tmp_path):
