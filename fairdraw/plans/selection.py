@@ -6,8 +6,8 @@ looks for cuts: the place, in the order of priorities, of each stratum's last
 drawn row. Whole rows are then read once and compared with their stratum's cut.
 
 * The share drawn tells where a cut lies up to random spread. One narrow pass
-  counts the rows before that band and ranks the few rows inside it, about the
-  square root of the rows drawn. Should the cut miss the band, the counts say on
+  counts the rows before that band and ranks the few rows inside it, a number
+  that grows with the square root of the rows drawn. Should the cut miss the band, the counts say on
   which side it lies, and that side is ranked instead.
 * With weights the band is found by counting rows along the scale of their
   waiting times, first coarsely, then finely inside the part with the cut.
@@ -15,8 +15,11 @@ drawn row. Whole rows are then read once and compared with their stratum's cut.
   them each hold less than one part in ``BROADCAST_KEYS`` of the table: their
   narrow rows are ranked whole, and whole rows are joined with the cuts by a
   shuffle after a broadcast table of fixed size has dropped those beyond the
-  largest cut of their group of strata. Without such strata adaptive execution
-  drops this branch before it scans anything.
+  largest cut of their group of strata.
+
+The sizes of the strata and their cuts are tables of one row per stratum. They
+are computed when a draw is asked for and checkpointed, so the plan of the
+sample itself is one pass over the rows, however often it is used.
 
 Strata and rows are known to the plans by 64-bit hashes (two for a stratum, the
 priority and one more for a row), so tables that are broadcast have a bound in
@@ -49,6 +52,7 @@ from fairdraw.plans.lookup import (
     most_frequent,
 )
 from fairdraw.plans.quota import Quota, allocate, stratum_sizes
+from fairdraw.sources.scratch import ensure_checkpoint_dir
 
 # The columns that say how much of a stratum is drawn.
 SIZE_COLUMNS = ("pop_n", "n_raw", "n_target", "n_take")
@@ -106,34 +110,31 @@ def _edge(deviations: int, rows: int) -> str:
     return hex_position(f"({share} + {away} / {_POP})")
 
 
-def _ranked(narrow: DataFrame, zones: DataFrame) -> DataFrame:
-    """Per stratum of ``zones`` the rows up to each place: one for all rows whose
-    spot is below the floor (a null place), one for each place in the zone."""
+def _located(narrow: DataFrame, zones: DataFrame) -> DataFrame:
+    """The zones with the cut where it lies in the zone, else null, the rows
+    ``below`` the zone, and the rows ``reached`` by its end."""
     inside = narrow.join(F.broadcast(zones), KEY).where(f"{_SPOT} < {_CEILING}")
-    counted = inside.groupBy(
-        *KEY, _TAKE, _FLOOR, _CEILING, F.expr(f"if({_SPOT} < {_FLOOR}, null, {_PLACE})").alias(_PLACE)
-    ).agg(F.count(F.lit(1)).alias(_ROWS))
-    window = Window.partitionBy(*KEY).orderBy(F.asc_nulls_first(_PLACE))
-    return counted.withColumn(_UPTO, F.sum(_ROWS).over(window.rowsBetween(Window.unboundedPreceding, 0)))
+    # All rows below a zone are one row with a null place by now.
+    counted = inside.groupBy(*KEY, _TAKE, F.expr(f"if({_SPOT} < {_FLOOR}, null, {_PLACE})").alias(_PLACE)).agg(
+        F.count(F.lit(1)).alias(_ROWS)
+    )
+    return zones.join(_at_cut(counted), KEY, "left")
 
 
-def _at_cut(ranked: DataFrame) -> DataFrame:
-    """The place of the last drawn row, where it lies in the zone."""
+def _at_cut(counted: DataFrame) -> DataFrame:
+    """Per stratum the place of the last drawn row, from the rows at each place."""
+    window = Window.partitionBy(*KEY).orderBy(F.asc_nulls_first(_PLACE)).rowsBetween(Window.unboundedPreceding, 0)
     message = text("the id columns do not tell rows apart; leave ids out for such tables")
-    place = f"if({_UPTO} > {_TAKE}, raise_error({message}), {_PLACE})"
     crossing = f"{_PLACE} is not null and {_UPTO} - {_ROWS} < {_TAKE} and {_UPTO} >= {_TAKE}"
-    return ranked.where(crossing).select(*KEY, F.expr(place).alias(_CUT))
-
-
-def _missed(zones: DataFrame, ranked: DataFrame) -> DataFrame:
-    """The zones in which the cuts lie that the ranked zones do not hold."""
-    counted = ranked.groupBy(*KEY).agg(
-        F.expr(f"sum(if({_PLACE} is null, {_ROWS}, 0))").alias("below"), F.max(_UPTO).alias("reached")
-    )
-    state = zones.join(counted, KEY, "left")
-    before, after = state.where(f"below >= {_TAKE}"), state.where(f"coalesce(reached, 0) < {_TAKE}")
-    return before.select(*KEY, _TAKE, F.lit(BELOW_ALL).alias(_FLOOR), F.col(_FLOOR).alias(_CEILING)).unionByName(
-        after.select(*KEY, _TAKE, F.col(_CEILING).alias(_FLOOR), F.lit(ABOVE_ALL).alias(_CEILING))
+    place = f"case when not ({crossing}) then null when {_UPTO} > {_TAKE} then raise_error({message}) else {_PLACE} end"
+    return (
+        counted.withColumn(_UPTO, F.sum(_ROWS).over(window))
+        .groupBy(*KEY)
+        .agg(
+            F.max(F.expr(place)).alias(_CUT),
+            F.expr(f"sum(if({_PLACE} is null, {_ROWS}, 0))").alias("below"),
+            F.max(_UPTO).alias("reached"),
+        )
     )
 
 
@@ -142,9 +143,19 @@ def _cuts(narrow: DataFrame, partly: DataFrame) -> DataFrame:
     guess = partly.select(
         *KEY, _TAKE, F.expr(_edge(-8, -40)).alias(_FLOOR), F.expr(_edge(8, 40)).alias(_CEILING)
     )
-    ranked = _ranked(narrow, guess)
-    # Hardly ever is anything missed; an empty broadcast ends that branch.
-    return _at_cut(ranked).unionByName(_at_cut(_ranked(narrow, _missed(guess, ranked))))
+    located = _located(narrow, guess).checkpoint()
+    missed = located.where(f"{_CUT} is null")
+    if missed.isEmpty():
+        return located.select(*KEY, _CUT)
+    # The counts say on which side of the zone the cut lies.
+    zones = missed.select(
+        *KEY,
+        _TAKE,
+        F.expr(f"if(below >= {_TAKE}, {text(BELOW_ALL)}, {_CEILING})").alias(_FLOOR),
+        F.expr(f"if(below >= {_TAKE}, {_FLOOR}, {text(ABOVE_ALL)})").alias(_CEILING),
+    )
+    rest = _located(narrow, zones).checkpoint()
+    return located.where(f"{_CUT} is not null").unionByName(rest).select(*KEY, _CUT)
 
 
 def _crossing(narrow: DataFrame, zones: DataFrame, step: str, inside: str) -> DataFrame:
@@ -169,7 +180,7 @@ def _cuts_weighted(narrow: DataFrame, partly: DataFrame) -> DataFrame:
     coarse = _crossing(narrow, start, f"{_SPOT} div {_FINE}", "true")
     fine = _crossing(narrow, coarse, _SPOT, f"{_SPOT} div {_FINE} = {_FLOOR}")
     zones = fine.select(*KEY, _TAKE, _FLOOR, F.expr(f"{_FLOOR} + 1").alias(_CEILING))
-    return _at_cut(_ranked(narrow, zones))
+    return _located(narrow, zones).checkpoint().select(*KEY, _CUT)
 
 
 def draw(
@@ -184,7 +195,7 @@ def draw(
     keep_sizes: bool = False,
     broadcast_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
-    """Draw the rows of a stratified sample.
+    """Draw the rows of a stratified sample. Runs jobs for the cuts.
 
     ``rows`` is read several times and must be the same each time; write or
     checkpoint a table that is not. ``ids`` must tell rows apart: where equal
@@ -198,7 +209,7 @@ def draw(
     clashes |= {c for c in rows.columns if c.lower() in _OWN}
     if clashes:
         raise ValueError(f"rename these columns first: {sorted(clashes)}")
-    columns = rows.columns
+    columns, given = rows.columns, rows
     if ids is None:
         rows = number_copies(rows)
         ids = rows.columns
@@ -212,12 +223,15 @@ def draw(
         spot = f"cast(floor((greatest(coalesce(log2({_ORDER}), -2000D), -2000D) + 2000) * {_COARSE * _FINE}) as bigint)"
         marked = marked.withColumns({_SPOT: F.expr(spot), _PLACE: F.struct(_ORDER, _HASH, _TIE)})
 
-    sizes = stratum_sizes(rows, strata) if sizes is None else sizes
+    ensure_checkpoint_dir(rows.sparkSession)
+    sizes = stratum_sizes(given, strata) if sizes is None else sizes
+    if quota.total is not None:
+        sizes = sizes.checkpoint()
     allocation = keyed(allocate(sizes, quota), strata).select(
         *KEY, F.col("pop_n").alias(_POP), F.col("n_take").alias(_TAKE)
-    )
-    head, tail = most_frequent(allocation, _POP, broadcast_keys)
-    tail = tail.where(f"{_TAKE} > 0")
+    ).checkpoint()
+    is_all = allocation.count() <= broadcast_keys
+    head, tail = (allocation, None) if is_all else most_frequent(allocation, _POP, broadcast_keys)
 
     narrow = marked.select(*KEY, _SPOT, _PLACE)
     partly = head.where(f"{_TAKE} > 0 and {_TAKE} < {_POP}")
@@ -229,13 +243,14 @@ def draw(
     )
     drawn = marked.join(F.broadcast(known), KEY).where(f"{_UPTO} or {_PLACE} <= {_CUT}")
 
-    few = in_groups_of(narrow, tail)
-    counted = few.join(tail, KEY).groupBy(*KEY, _POP, _TAKE, _PLACE).agg(F.count(F.lit(1)).alias(_ROWS))
-    along = Window.partitionBy(*KEY).orderBy(_PLACE).rowsBetween(Window.unboundedPreceding, 0)
-    tail_cuts = _at_cut(counted.withColumn(_UPTO, F.sum(_ROWS).over(along)))
+    chosen = [*[F.col(name(c)) for c in columns], *[F.col(c).alias(n) for c, n in zip(size_columns, ("pop_n", "n_take"), strict=False)]]
+    if tail is None:
+        return drawn.select(*chosen)
+
+    tail = tail.where(f"{_TAKE} > 0").checkpoint()
+    few = in_groups_of(narrow, tail).join(tail, KEY)
+    tail_cuts = _at_cut(few.groupBy(*KEY, _TAKE, _PLACE).agg(F.count(F.lit(1)).alias(_ROWS))).select(*KEY, _CUT).checkpoint()
     bounds = tail_cuts.groupBy(group_of().alias(GROUP)).agg(F.max(_CUT).alias(_FLOOR))
     near = marked.withColumn(GROUP, group_of()).join(F.broadcast(bounds), GROUP).where(f"{_PLACE} <= {_FLOOR}")
     rest = near.join(tail_cuts.join(tail, KEY) if keep_sizes else tail_cuts, KEY).where(f"{_PLACE} <= {_CUT}")
-
-    chosen = [*[F.col(name(c)) for c in columns], *[F.col(c).alias(n) for c, n in zip(size_columns, ("pop_n", "n_take"), strict=False)]]
     return drawn.select(*chosen).unionByName(rest.select(*chosen))
