@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import types as T
 
 ROOT = Path(__file__).resolve().parents[2]
-FOLDER = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(autouse=True)
@@ -43,15 +42,3 @@ def labels(spark):
         return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
 
     return make
-
-
-WORDS = [a + b for a in ("ba", "ce", "di", "fo", "gu", "ha", "ju", "ki") for b in ("la", "me", "no", "pi", "ru", "sta", "tor", "x")]
-
-
-def prose(seed: int, n: int) -> str:
-    """Words in an order that depends on the seed."""
-    out, state = [], seed * 2654435761 % 2**32 + 1
-    for _ in range(n):
-        state = (state * 1103515245 + 12345) % 2**31
-        out.append(WORDS[state >> 16 & 63])
-    return " ".join(out)

@@ -7,7 +7,7 @@ import random
 import re
 
 import pytest
-from conftest import prose
+from samples import prose
 
 from fairdraw.llm import decontaminate as dec
 

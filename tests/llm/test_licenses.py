@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from conftest import prose
+from samples import prose
 
 from fairdraw.llm import licenses
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import prose
+from samples import prose
 
 from fairdraw.llm import lines
 

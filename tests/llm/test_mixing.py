@@ -7,7 +7,7 @@ import re
 from collections import defaultdict
 
 import pytest
-from conftest import prose
+from samples import prose
 from pyspark.sql import functions as F
 
 from fairdraw.llm import mixing

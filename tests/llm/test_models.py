@@ -6,7 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import prose
+from samples import prose
 
 from fairdraw.llm import quality, toxicity
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pathlib import Path
 
 import pytest
-from conftest import FOLDER
+from samples import FOLDER
 
 import __spark_entry__ as registered
 import corpus_pipeline

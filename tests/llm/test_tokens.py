@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import prose
+from samples import prose
 from tokenizers import Tokenizer
 
 from fairdraw.llm import rans, tokens

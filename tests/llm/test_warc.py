@@ -7,7 +7,7 @@ import hashlib
 import random
 
 import pytest
-from conftest import prose
+from samples import prose
 
 from fairdraw.llm import warc
 from fairdraw.llm.storage import filesystem
