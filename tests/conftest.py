@@ -1,8 +1,6 @@
 from __future__ import annotations
 
-import hashlib
 import sys
-from collections import defaultdict
 from pathlib import Path
 
 import pytest
@@ -18,24 +16,3 @@ def spark(tmp_path_factory):
     session.conf.set("spark.sql.shuffle.partitions", "4")
     session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     return session
-
-
-def priority(seed, *ids):
-    parts = [str(seed), *("__NA__" if i is None else str(i) for i in ids)]
-    return hashlib.md5("|".join(parts).encode()).hexdigest()
-
-
-def expected_draw(rows, strata, ids, take, seed=42):
-    """Brute force: sort every stratum by priority and keep the first rows."""
-    groups = defaultdict(list)
-    for row in rows:
-        groups[tuple(row[c] for c in strata)].append(row)
-    kept = []
-    for members in groups.values():
-        members.sort(key=lambda r: (priority(seed, *[r[c] for c in ids]), *[r[c] for c in ids]))
-        kept += members[: take(len(members))]
-    return sorted((r[ids[0]] for r in kept))
-
-
-def share(pct, floor=0):
-    return lambda n: min(max(floor, round(n * pct)), n)

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import expected_draw, priority, share
+from draws import expected_draw, priority, share
 from pyspark.sql import functions as F
 
 from fairdraw.functions.priority import hex_position
