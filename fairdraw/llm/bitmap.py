@@ -1,4 +1,4 @@
-"""A bitmap of fixed size that drops most rows without a partner before a join."""
+"""Tables of fixed size that keep most rows without a partner out of a join."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BITS = 1 << 24
+# Groups of keys in :func:`without`.
+GROUPS = 1 << 20
 # Two places per hash, from different bits of it.
 _SHIFTS = (8, 32)
 
@@ -30,3 +32,20 @@ def may_contain(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         bit = (hashes >> np.uint64(shift)) & np.uint64(BITS - 1)
         keep &= (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
     return keep
+
+
+def without(rows: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose keys, null-safely compared, are not among those gone.
+
+    Most rows belong to a group of keys none of which is gone. They are told by a
+    broadcast of at most ``GROUPS`` numbers and stay where they are; only the
+    others are joined, by broadcast or shuffle as adaptive execution finds best.
+    """
+    group = F.pmod(F.xxhash64(*keys), F.lit(GROUPS))
+    groups = F.broadcast(gone.select(group.alias("__group")).distinct())
+    renamed = gone.select(*[F.col(c).alias(f"__gone_{c}") for c in keys])
+    same = F.expr(" and ".join(f"`{c}` <=> `__gone_{c}`" for c in keys))
+    grouped = rows.withColumn("__group", group)
+    sure = grouped.join(groups, "__group", "left_anti")
+    rest = grouped.join(groups, "__group", "left_semi").join(renamed, same, "left_anti")
+    return sure.unionByName(rest).drop("__group")

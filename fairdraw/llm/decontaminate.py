@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fairdraw.llm.bitmap import bitmap_of, may_contain
+from fairdraw.llm.bitmap import bitmap_of, may_contain, without
 from fairdraw.llm.storage import new_folder, written
 from fairdraw.llm.text import LOWER, MARKS, Words, mix, rows, words_of
 
@@ -160,7 +160,5 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all their columns."""
     folder = new_folder(docs.sparkSession, "benchmark")
     bad = written(contaminated(docs, benchmark).select(F.col("key").alias("__text_key")).distinct(), folder, "bad")
-    # The written keys are small unless much of the corpus is contaminated; by
-    # their size adaptive execution chooses between broadcast and shuffle.
     keyed = docs.withColumn("__text_key", F.xxhash64(F.col("text").cast("string")))
-    return keyed.join(bad, "__text_key", "left_anti").select(*docs.columns)
+    return without(keyed, bad, ["__text_key"]).select(*docs.columns)

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fairdraw.llm.bitmap import without
 from fairdraw.llm.components import components
 from fairdraw.llm.storage import new_folder, written
 from fairdraw.llm.text import Texts, mix, rows, shingles_of, texts_of, words_of
@@ -297,7 +298,8 @@ def deduplicated(docs: DataFrame, k: int = WORDS) -> DataFrame:
     """One row of each component of :func:`near_duplicates`, with all columns of
     ``docs``: that with the smallest ``doc_id``, null last. Equal rows, and texts
     without words, are no reason to drop a row, except that a row whose
-    ``doc_id`` and text both repeat stays once. A column ``__text_key`` is reserved.
+    ``doc_id`` and text both repeat stays once. Names starting with ``__`` are
+    reserved. Rows that stay are hardly moved.
     """
     placed = _grouped(docs, k)
     rank = F.expr(f"struct(coalesce(doc_id, {2**63 - 1}L) as doc_id, text_key)")
@@ -308,15 +310,13 @@ def deduplicated(docs: DataFrame, k: int = WORDS) -> DataFrame:
     repeated = placed.groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key")
     repeated = written(repeated, folder, "repeated")
 
-    keyed = docs.withColumn("__text_key", F.xxhash64(F.col("text").cast("string")))
-
-    def matched(rows_: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-        # Both sides' sizes are known: adaptive execution broadcasts few keys.
-        renamed = keys.selectExpr("doc_id as __other", "text_key as __other_key")
-        return rows_.join(renamed, F.expr("doc_id <=> __other and __text_key = __other_key"), how)
-
-    kept = matched(keyed, dropped, "left_anti")
+    keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__text_key": F.xxhash64(F.col("text").cast("string"))})
+    names = {"doc_id": "__id", "text_key": "__text_key"}
+    kept = without(keyed, dropped.withColumnsRenamed(names), list(names.values()))
     if repeated.isEmpty():
         return kept.select(*docs.columns)
-    once = matched(kept, repeated, "left_semi").dropDuplicates(["doc_id", "__text_key"])
-    return matched(kept, repeated, "left_anti").unionByName(once).select(*docs.columns)
+    keys = repeated.withColumnsRenamed(names)
+    same = F.expr("a.__id <=> b.__id and a.__text_key = b.__text_key")
+    once = kept.alias("a").join(keys.alias("b"), same, "left_semi")
+    once = once.dropDuplicates(["__id", "__text_key"])
+    return without(kept, keys, list(names.values())).unionByName(once).select(*docs.columns)
