@@ -148,7 +148,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             hits = pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "item_id", "offset", "first", "agreeing"])
             yield hits.filter(pa.array(most > 0))
 
-    hits = found.join(sides, "hash").mapInArrow(run, "key long, doc_id long, item_id long, offset int, first int, agreeing int")
+    # Written in between, so that no task holds two Python workers.
+    joined = written(found.join(sides, "hash"), folder, "joined")
+    hits = joined.mapInArrow(run, "key long, doc_id long, item_id long, offset int, first int, agreeing int")
     return hits.groupBy("key", "doc_id", "item_id", "offset").agg(
         F.greatest(F.min("first"), F.lit(0)).alias("first_word"),
         (F.max("first") + (WINDOW - 1)).alias("last_word"),

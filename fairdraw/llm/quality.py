@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fairdraw.llm.storage import new_folder, written
+from fairdraw.llm.storage import BATCH_ROWS, new_folder, written
 from fairdraw.llm.text import Texts, rows, shingles_of, words_of
 
 #: Labelled rows the model is fitted on at most: the first by a hash of their id.
@@ -28,6 +28,8 @@ FIT_ROWS = 60_000
 BINS, PAIR_BINS, PAIRS = 32, 8, 6
 ROUNDS, PAIR_ROUNDS, RATE, RIDGE = 120, 60, 0.15, 1.0
 
+BATCH = 512
+
 MEASURES = (
     "words", "bytes", "word_length", "upper", "marks", "digits", "non_ascii", "distinct_words",
     "top_word", "repeated_word", "distinct_phrases", "lines", "distinct_lines", "ends_in_mark",
@@ -265,7 +267,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
 
 def accepted(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """The rows of ``docs`` that the model predicts to be of good quality, with
-    all their columns. Whole rows are not shuffled: the text is measured again."""
+    all their columns. Whole rows are not shuffled: the text is measured again.
+
+    That happens when the result is read, so the session's batches for Python
+    are set to ``BATCH`` rows and stay so: whole rows are long."""
     features = written(measured(docs), new_folder(docs.sparkSession, "quality"), "measured")
     model = fitted(features, labels, fit_rows)
 
@@ -274,4 +279,5 @@ def accepted(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Da
             for part, texts in rows(batch, "text", 1 << 20):
                 yield part.filter(pa.array(model.score(measure(texts)) >= 0.5))
 
+    docs.sparkSession.conf.set(BATCH_ROWS, str(BATCH))
     return docs.mapInArrow(run, docs.schema)
