@@ -12,7 +12,8 @@ A linear scan finds all maximal segments of a text: runs of words whose score
 cannot be raised by a longer or shorter run. By the extreme-value distribution
 of the best segment of random texts, a score S among n words has the reduced
 value ``rate * S - log(n)``, from which a segment's expected number of equals
-follows. A document's best reduced value is turned into a score by a logistic
+follows. The rate is that of the words of the other labelled documents, each
+occurrence counted. A document's best reduced value is turned into a score by a logistic
 curve fitted on the labelled documents.
 """
 
@@ -133,19 +134,46 @@ def _log_odds(counts: DataFrame, share: float) -> DataFrame:
     )
 
 
-def _evidence(found: DataFrame, value: str) -> tuple[Evidence, np.ndarray]:
+def _evidence(found: DataFrame, value: str) -> Evidence:
     """The positive words, by their number in the labelled rows bounded, with a
-    value each, and how many other documents hold them."""
-    table = found.where(f"toxic >= 2 and {value} > 0").selectExpr("word", f"{value} as value", "other").toArrow()
+    value each."""
+    table = found.where(f"toxic >= 2 and {value} > 0").selectExpr("word", f"{value} as value").toArrow()
     words = np.asarray(table.column("word")).view(np.uint64)
     order = np.argsort(words)
-    return Evidence(words[order], np.asarray(table.column("value"))[order]), np.asarray(table.column("other"))[order]
+    return Evidence(words[order], np.asarray(table.column("value"))[order])
 
 
-def _rate(scores: np.ndarray, others: np.ndarray, total: float) -> float:
+def _occurrences(train: DataFrame, evidence: Evidence) -> tuple[np.ndarray, int]:
+    """How many words of the other labelled documents have their score from each
+    piece of evidence, and how many words these documents have."""
+    shared = train.sparkSession.sparkContext.broadcast(evidence)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        total, counts = 0, np.zeros(len(known.words), np.int64)
+        for batch in batches:
+            for _, texts in rows(batch, "text"):
+                words, kinds = _tokens(texts)
+                total += len(words.hashes)
+                levels, hashes = np.stack([known.of(h, -PENALTY) for h in kinds]), np.stack(kinds)
+                best = np.argmax(levels, axis=0)[None]
+                hot = np.take_along_axis(levels, best, 0)[0] > 0
+                counts += np.bincount(np.searchsorted(known.words, np.take_along_axis(hashes, best, 0)[0, hot]), minlength=len(counts))
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(counts[at], total))], ["at", "n"])
+
+    table = train.where("label = 0").select("text").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    at, n = np.asarray(table.column("at"), np.int64), np.asarray(table.column("n"), np.int64)
+    counts = np.zeros(len(evidence.words), np.int64)
+    counts[at[at >= 0]] = n[at >= 0]
+    return counts, int(n[at < 0].sum())
+
+
+def _rate(scores: np.ndarray, counts: np.ndarray, total: float) -> float:
     """The rate of the extreme-value distribution: the positive solution of
-    ``mean(exp(rate * score)) = 1`` over the words of other documents."""
-    weights = (others + 1.0) / (total + 1.0)
+    ``mean(exp(rate * score)) = 1`` over the ``total`` words of other documents,
+    ``counts`` of them with each score. Every score counts once more than seen."""
+    weights = (counts + 1.0) / (total + len(counts) + 1.0)
     rest = max(1 - weights.sum(), 1e-9)
     low, high = 1e-3, 20.0
     for _ in range(60):
@@ -171,10 +199,9 @@ def learn(docs: DataFrame, taken: DataFrame) -> Evidence:
         return Evidence(np.empty(0, np.uint64), np.empty(0))
     share = toxic / (toxic + other)
     bound = f"odds - {DEVIATIONS} * deviation"
-    standing, _ = _evidence(_log_odds(_counted(train), share).where(f"{bound} > 0"), "odds / deviation")
-    evidence, others = _evidence(_log_odds(_counted(train, standing), share), f"{bound} - {PENALTY}")
-    mean_words = 200.0
-    evidence.rate = _rate(evidence.scores, others, other * mean_words)
+    standing = _evidence(_log_odds(_counted(train), share).where(f"{bound} > 0"), "odds / deviation")
+    evidence = _evidence(_log_odds(_counted(train, standing), share), f"{bound} - {PENALTY}")
+    evidence.rate = _rate(evidence.scores, *_occurrences(train, evidence))
     return evidence
 
 

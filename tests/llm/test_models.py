@@ -128,6 +128,31 @@ def test_passages_hold_the_insults(documents, labels):
             assert {words[p.first_word], words[p.last_word]} <= set(INSULTS)
 
 
+def test_rate_follows_the_words_of_the_corpus(documents):
+    rows, marks = toxic_corpus()
+    insults = " snukk Snukk"
+    table = documents([(i, f"{text} {prose(i + 1, 900)}{insults * (i == 1)}") for i, text in rows]).select("doc_id", "text")
+    taken = table.sparkSession.createDataFrame([(i, t) for i, _, t in marks], "doc_id long, label int")
+    evidence = toxicity.learn(table, taken)
+    train = table.join(taken, "doc_id")
+    counts, total = toxicity._occurrences(train, evidence)
+    others = [r.text.replace(",", "").lower().split() for r in train.where("label = 0").collect()]
+    assert total == sum(map(len, others))
+    # A word takes one piece of evidence, the best of itself and its beginnings.
+    telling = sum(word in INSULTS for words in others for word in words)
+    assert telling == counts.sum() == 2
+    weights = (counts + 1) / (total + len(counts) + 1)
+    mean = (1 - weights.sum()) * np.exp(-toxicity.PENALTY * evidence.rate) + (weights * np.exp(evidence.rate * evidence.scores)).sum()
+    assert abs(mean - 1) < 1e-6
+
+
+def test_insults_in_long_documents_are_passages(documents, labels):
+    rows, marks = toxic_corpus()
+    long = [(i, f"{prose(i + 7, 1500)} {text} {prose(i + 9, 1500)}") for i, text in rows]
+    got = {r.doc_id: r.n_passages for r in toxicity.score_documents(documents(long), labels(marks)).collect()}
+    assert all((got[i] > 0) == bool(toxic) for i, _, toxic in marks)
+
+
 def brute_segments(scores):
     """The best run, then the same on both sides of it."""
 
