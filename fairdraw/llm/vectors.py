@@ -43,14 +43,15 @@ _HIGH = [f"high{i}" for i in range(DIRECTIONS)]
 
 def keyed(rows: DataFrame) -> DataFrame:
     """``vec_id, key, size, embedding``: equal vectors share a key; vectors that
-    link with nothing have none. ``size`` is the number of components."""
+    link with nothing have none. ``size`` is the number of components, which stay
+    floats if they are and are doubles otherwise."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, sizes = [], []
             for vector in batch.column("embedding"):
                 values = vector.values if vector.is_valid else None
-                table = None if values is None or values.null_count else np.asarray(values, np.float32)
+                table = None if values is None or values.null_count else np.asarray(values, np.float64)
                 usable = table is not None and bool(np.isfinite(table).all()) and bool(table.any())
                 data = table.tobytes() if usable else b""
                 keys.append(int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True) if usable else None)
@@ -58,13 +59,16 @@ def keyed(rows: DataFrame) -> DataFrame:
             columns = [batch.column("vec_id"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), batch.column("embedding")]
             yield pa.RecordBatch.from_arrays(columns, ["vec_id", "key", "size", "embedding"])
 
-    narrow = rows.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>"))
-    return narrow.mapInArrow(run, "vec_id long, key long, size int, embedding array<float>")
+    kind = "array<float>" if dict(rows.dtypes)["embedding"] == "array<float>" else "array<double>"
+    narrow = rows.select(F.col("vec_id").cast("long"), F.col("embedding").cast(kind))
+    return narrow.mapInArrow(run, f"vec_id long, key long, size int, embedding {kind}")
 
 
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
     """The vectors of a column in rows, scaled to length 1."""
     table = np.asarray(column.flatten(), np.float64).reshape(-1, size)
+    # By powers of two, which round nothing, so that no square leaves the range of doubles.
+    table = np.ldexp(table, -np.frexp(np.abs(table).max(axis=1, keepdims=True))[1])
     return table / np.linalg.norm(table, axis=1, keepdims=True)
 
 
@@ -104,7 +108,7 @@ def _sequenced(nodes: DataFrame, size: int, folder: str) -> DataFrame:
                 [batch.column("key"), batch.column("n"), batch.column("embedding"), *columns], ["key", "n", "embedding", "places", "cells"]
             )
 
-    kind = "key long, n long, embedding array<float>, places array<double>, cells array<int>"
+    kind = f"key long, n long, embedding {dict(nodes.dtypes)['embedding']}, places array<double>, cells array<int>"
     placed = written(nodes.select("key", "n", "embedding").mapInArrow(project, kind), folder, "placed", rows=4096)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +221,8 @@ def near_duplicates(rows: DataFrame) -> DataFrame:
     """Per row of ``rows`` (``vec_id, embedding``): ``vec_id, n_links,
     component_id, kept``.
 
-    Vectors are linked at a cosine of at least ``COSINE`` in double precision;
+    Vectors are linked at a cosine of at least ``COSINE`` in double precision,
+    of components as the column holds them;
     ``component_id`` is the smallest ``vec_id`` reachable by links. Null, empty
     and zero vectors and those with null or non-finite components link with
     nothing, nor do vectors of different size. Rows that repeat a ``vec_id``

@@ -100,3 +100,22 @@ def test_components(spark):
     want = {i: 100 for i in range(101, 161)} | {7: 3, 50: 3, 49: 3} | {i: 1000 for i in range(1001, 1100)}
     assert {r.id: r.component for r in got} == want and len(got) == len(want)
     assert components(spark.createDataFrame([], "x long, y long"), new_folder(spark, "test"), "c").collect() == []
+
+
+def test_doubles_are_not_rounded(spark):
+    # The cosine of each pair with (1, 0) lies 1e-9 above and below the limit; floats round both to one vector.
+    near = [[c, math.sqrt(1 - c * c)] for c in (0.9 + 1e-9, 0.9 - 1e-9)]
+    rows = [(1, [1.0, 0.0]), (2, near[0])]
+    rows += [(11, [0.0, 0.0, 1.0]), (12, [0.0, near[1][1], near[1][0]])]
+    # Beyond the range of floats, and where squares leave that of doubles.
+    rows += [(21, [1e200, 0.0, 0.0, 0.0]), (22, [2e200, 1e199, 0.0, 0.0]), (23, [1e-200, 0.0, 0.0, 0.0]), (24, [0.0, 5e-324, 0.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = [(1, 1, 1, True), (2, 1, 1, False), (11, 0, 11, True), (12, 0, 12, True)]
+    want += [(21, 2, 21, True), (22, 2, 21, False), (23, 2, 21, False), (24, 0, 24, True)]
+    assert found(table) == sorted(want, key=repr)
+
+
+def test_doubles_equal_as_floats_have_keys_of_their_own(spark):
+    table = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0 + 1e-12]), (3, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    keys = {r.vec_id: r.key for r in vectors.keyed(table).collect()}
+    assert keys[1] == keys[3] != keys[2]
