@@ -92,7 +92,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
                         owner.append(i)
                         numbers.append(number)
                         hashes.append(_hash(line))
-                        has.append(len(line) >= SHORT)
+                        has.append(len(line) >= SHORT - EDITS)
                         parts.append(parts_of(line) if has[-1] else (0, 0, 0, 0))
             table = np.array(parts, np.uint64).reshape(-1, 4).view(np.int64)
             missing = ~np.array(has, bool)
@@ -112,7 +112,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             found: dict[int, str] = {}
             for text in batch.column("text").to_pylist():
-                lines = [line for line in (text or "").split("\n") if len(line) >= SHORT]
+                lines = [line for line in (text or "").split("\n") if len(line) >= SHORT - EDITS]
                 hashes = [_hash(line) for line in lines]
                 keep = may_contain(bitmap.value, np.array(hashes, np.uint64))
                 found.update((h, line) for h, line, k in zip(hashes, lines, keep.tolist(), strict=True) if k)
@@ -161,7 +161,7 @@ def _near(lines: DataFrame, firsts: DataFrame, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both = zip(batch.column("line").to_pylist(), batch.column("other_line").to_pylist(), strict=True)
-            yield batch.select(["hash"]).filter(pa.array([within_one_edit(a, b) for a, b in both], pa.bool_()))
+            yield batch.select(["hash"]).filter(pa.array([len(a) >= SHORT and within_one_edit(a, b) for a, b in both], pa.bool_()))
 
     compared = pairs.join(lines, "hash").join(lines.selectExpr("hash as other", "line as other_line"), "other")
     return written(compared.select("hash", "line", "other_line").mapInArrow(run, "hash long").distinct(), folder, "near")
@@ -172,8 +172,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     and ``n_lines`` and ``n_kept`` (blank lines count in both).
 
     A line is dropped if the corpus has an earlier one that equals it or, from
-    ``SHORT`` characters on, is one edit away, whether or not that one is
-    dropped itself. Earlier is the smaller ``doc_id``, null last, then a hash of
+    ``SHORT`` characters on, is one edit away, however long that one is and
+    whether or not it is dropped itself. Earlier is the smaller ``doc_id``, null last, then a hash of
     the text, then the line number. Blank lines always stay. A null text stays
     null, an empty one empty, both with ``n_lines`` 0. Rows that repeat both
     ``doc_id`` and text keep the same lines. An empty table gives no row.

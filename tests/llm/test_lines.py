@@ -68,6 +68,20 @@ def test_chain_of_edits_compares_with_all_earlier_lines(documents):
     assert [r[2] for _, r in sorted(found(documents(rows)).items())] == [1, 0, 0, 0]
 
 
+def test_lines_from_the_shortest_on_repeat_shorter_ones(documents):
+    rng = random.Random(4)
+    pool = ["".join(rng.choice("ab") for _ in range(6 + i % 4)) for i in range(60)]
+    rows, earlier = list(enumerate(pool)), []
+    for i, line in rows:
+        near = line in earlier or len(line) >= 8 and any(distance_one(line, other) for other in earlier)
+        earlier.append(line)
+        rows[i] = (i, line, int(not near))
+    assert any(len(line) == 8 and not kept and not any(len(o) > 7 and distance_one(line, o) for o in pool[:i]) for i, line, kept in rows)
+    assert {i: r[2] for i, r in found(documents([r[:2] for r in rows])).items()} == {i: kept for i, _, kept in rows}
+    apart = found(documents([(1, "abcdefg"), (2, "abcdefgh"), (3, "ijklmnop"), (4, "ijklmno"), (5, "qrstuvw"), (6, "qrstuvx")]))
+    assert [r[2] for _, r in sorted(apart.items())] == [1, 0, 1, 1, 1, 1]
+
+
 def test_repeated_rows_keep_the_same_lines(documents):
     got = lines.deduplicated(documents([(1, "one line here\nanother line"), (1, "one line here\nanother line")])).collect()
     assert [(r.n_lines, r.n_kept) for r in got] == [(2, 2), (2, 2)]
