@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test table
 def test_all_are_registered():
     names = registered.queries()
     assert set(queries.QUERIES) <= set(names) and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLE_SQL) <= set(registered.oracle_sql())
 
 
