@@ -25,6 +25,7 @@ import json
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ CHUNK = 4 << 20
 #: Units handled at once; a long text takes several rounds.
 ROUND = 200_000
 # Units a worker remembers, twice this at most, and the longest of them.
-REMEMBERED, UNIT_BYTES = 100_000, 48
+REMEMBERED, UNIT_BYTES = 200_000, 48
 # Bytes of units that are encoded as one text.
 JOINED = 1 << 15
 
@@ -110,6 +111,7 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [self._bytes_of_b(i, p) for i, p in enumerate(pieces)]
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
+        self.names = [_names(len(t), marks) for t, marks in ((self.bytes_a, ",|"), (self.bytes_b, ",;"))]
         kind = json.loads(a).get("pre_tokenizer") or {}
         parted = kind.get("type") == "ByteLevel" and kind.get("use_regex") and not json.loads(a).get("normalizer")
         self.separable = bool(parted) and not any(_SPACE in p.lstrip(_SPACE) for p in pieces)
@@ -162,20 +164,26 @@ class Aligner:
         whole = b"".join(units)
         text = whole.decode("utf-8", "replace")
         coded = self.a.encode(text, add_special_tokens=False)
-        ids_a, n_a = np.array(coded.ids, np.int64), len(coded.ids)
+        ids_a = np.array(coded.ids, np.int64)
         pieces = self.b.encode(text[1:], return_type="proto").pieces
-        spans = np.array([(p.id, p.begin, p.end) for p in pieces], np.int64).reshape(-1, 3)
-        ids_b = spans[:, 0]
+        ids_b = np.array([p.id for p in pieces], np.int64)
         given = b"".join([self.bytes_a[i] for i in ids_a.tolist()]), b"".join([self.bytes_b[i] for i in ids_b.tolist()])
         if given[0] != whole or given[1] != whole or not whole:
             return [None] * len(units)
         data = np.frombuffer(whole, np.uint8)
         chars = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
-        offsets = np.array(coded.offsets, np.int64).reshape(n_a, 2)
-        ends_a = refined(chars[offsets[:, 0]], chars[offsets[:, 1]], self.size_a[ids_a])
-        # The space before the text is not in B's spans.
-        ends_b = refined(spans[:, 1] + 1, spans[:, 2] + 1, self.size_b[ids_b])
-        return _grouped(np.cumsum([len(u) for u in units]), ids_a, ends_a, ids_b, ends_b)
+        offsets = np.fromiter(chain.from_iterable(coded.offsets), np.int64, 2 * len(ids_a))
+        ends_a = refined(chars[offsets[::2]], chars[offsets[1::2]], self.size_a[ids_a])
+        # The space before the text is not in B's spans; each starts where the one
+        # before ends, and the last byte of a character ends all of its bytes.
+        ends = np.array([p.end for p in pieces], np.int64) + 1
+        ends_b = refined(np.concatenate(([0], ends[:-1])), ends, self.size_b[ids_b])
+        return _grouped(np.cumsum([len(u) for u in units]), ids_a, ends_a, ids_b, ends_b, self.names)
+
+
+def _names(size: int, marks: str) -> list[np.ndarray]:
+    """Each id as text, followed by either mark."""
+    return [np.array([f"{i}{mark}".encode() for i in range(size)], object) for mark in marks]
 
 
 def _bytes_of_a(tokenizer) -> list[bytes]:
@@ -203,27 +211,29 @@ def refined(start: np.ndarray, end: np.ndarray, size: np.ndarray) -> np.ndarray:
     return base + total - np.where(last >= 0, total[last], 0)
 
 
-def _grouped(bounds: np.ndarray, ids_a: np.ndarray, ends_a: np.ndarray, ids_b: np.ndarray, ends_b: np.ndarray) -> list[Unit | None]:
+def _grouped(bounds, ids_a, ends_a, ids_b, ends_b, names) -> list[Unit | None]:
     """The units that end at ``bounds``, from all tokens and their ends."""
     cuts = np.union1d(ends_a, ends_b)
     pairs = ids_a[np.searchsorted(ends_a, cuts)] << 32 | ids_b[np.searchsorted(ends_b, cuts)]
     common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    # The ids as text in the order of the groups, A's before B's in each.
+    group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
     upto_a, upto_b = np.searchsorted(ends_a, common, "right"), np.searchsorted(ends_b, common, "right")
-    names_a, names_b = [str(i) for i in ids_a.tolist()], [str(i) for i in ids_b.tolist()]
-    groups, i, j = [], 0, 0
-    for k, m in zip(upto_a.tolist(), upto_b.tolist(), strict=True):
-        groups.append(f"{names_a[i] if k == i + 1 else ','.join(names_a[i:k])}|{names_b[j] if m == j + 1 else ','.join(names_b[j:m])}")
-        i, j = k, m
-    out: list[Unit | None] = []
-    at = [np.searchsorted(x, bounds, "right").tolist() for x in (ends_a, ends_b, common, cuts)]
-    a = b = g = c = 0
-    for high, to_a, to_b, to_g, to_c in zip(bounds.tolist(), *at, strict=True):
-        if not to_g or common[to_g - 1] != high:
-            return [None] * len(bounds)
-        text = ";".join(groups[g:to_g]).encode()
-        out.append(Unit(to_a - a, to_b - b, to_g - g, text, pairs[c:to_c].tobytes()))
-        a, b, g, c = to_a, to_b, to_g, to_c
-    return out
+    (comma_a, bar), (comma_b, semicolon) = names
+    text = np.empty(len(ids_a) + len(ids_b), object)
+    text[np.arange(len(ids_a)) + np.concatenate(([0], upto_b))[group_a]] = np.where(np.isin(ends_a, common), bar[ids_a], comma_a[ids_a])
+    text[np.arange(len(ids_b)) + upto_a[group_b]] = np.where(np.isin(ends_b, common), semicolon[ids_b], comma_b[ids_b])
+    at = [np.searchsorted(x, bounds, "right") for x in (ends_a, ends_b, common, cuts)]
+    if not len(common) or (common[at[2] - 1] != bounds).any():
+        return [None] * len(bounds)
+    parts, raw, starts = text.tolist(), pairs.tobytes(), [np.concatenate(([0], x[:-1])) for x in at]
+    sizes = [(x - y).tolist() for x, y in zip(at, starts, strict=True)]
+    words = (starts[0] + starts[1]).tolist(), (at[0] + at[1]).tolist()
+    places = (starts[3] * 8).tolist(), (at[3] * 8).tolist()
+    return [
+        Unit(a, b, g, b"".join(parts[low:high])[:-1], raw[x:y])
+        for a, b, g, low, high, x, y in zip(*sizes[:3], *words, *places, strict=True)
+    ]
 
 
 class _Document:
