@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import expected_sql
-from fairdraw.functions.columns import columns_of_type, columns_with_prefix, report_round
-from fairdraw.operators import chunks, drift, merge, numeric, periods, positions, profile, sampling
+from fairdraw.functions.columns import columns_of_type, columns_with_prefix, only_if, report_round
+from fairdraw.operators import chunks, collapse, drift, merge, numeric, periods, positions, profile, sampling
 from fairdraw.plans.quota import Quota
 from fairdraw.plans.selection import draw
 from fairdraw.sources import tables
@@ -255,9 +255,36 @@ def position_buckets_large_keys(spark, d):
 
 
 def random_order_sample(spark, d):
-    return sampling.random_order_sample(
-        documents(spark, d), DOC_STRATA, 0.1, seed=SEED
-    ).groupBy(*DOC_STRATA).agg(F.count(F.lit(1)).alias("n_take"))
+    drawn = sampling.random_order_sample(documents(spark, d), DOC_STRATA, 0.1, depth=1, seed=SEED)
+    return drawn.select("doc_id", "lang", "source")
+
+
+def total_size_with_floor(spark, d):
+    drawn = sampling.total_sample(
+        load(spark, d, "customer"), CUSTOMER_STRATA, 400, min_rows=3, ids=["c_custkey"], seed=SEED
+    )
+    return drawn.select("c_custkey", *CUSTOMER_STRATA)
+
+
+def total_size_with_boosts(spark, d):
+    quota = Quota(total=300, min_rows=1, max_rows=60, boost_levels={"lang": ["es"]}, drop_below=3)
+    return draw(documents(spark, d), DOC_STRATA, quota, ids=["doc_id"], seed=SEED).select("doc_id", *DOC_STRATA)
+
+
+def small_strata_collapsed(spark, d):
+    rows = load(spark, d, "part").select("p_partkey", *PART_STRATA)
+    return collapse.collapse_small_strata(rows, PART_STRATA, 4)
+
+
+def small_strata_collapsed_by_shuffle(spark, d):
+    rows = documents(spark, d).select("doc_id", *DOC_STRATA)
+    return collapse.collapse_small_strata(rows, DOC_STRATA, 9, broadcast_keys=10)
+
+
+def conditional_nulls(spark, d):
+    finished = F.col("o_orderstatus") == "F"
+    rows = orders(spark, d).withColumn("finished_priority", only_if(finished, F.col("o_orderpriority")))
+    return profile.level_shares(rows, ["finished_priority"])
 
 
 def strata_sizes(spark, d):
@@ -524,21 +551,38 @@ def chunk_sample_by_position(spark, d):
     ).select("o_orderkey", "o_orderpriority", "chunk_id")
 
 
+def chunk_sample_by_file(spark, d):
+    rows = orders(spark, d).select("o_orderkey", "o_orderpriority")
+    chunk = positions.file_chunk(2_000, depth=1)
+    return chunks.chunk_sample(rows, ["o_orderpriority"], chunk, 0.05, ids=["o_orderkey"], seed=SEED)
+
+
+def weekly_events(spark, d, folder):
+    """The events as a stream of weekly files, one in each micro-batch."""
+    rows = load(spark, d, "events").select("event_id", "event_type", "user_id", F.weekofyear("ts").alias("week"))
+    rows.repartition("week").write.partitionBy("week").parquet(f"{folder}/in")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+
+
 def stream_sample(spark, d):
-    source = load(spark, d, "events").select("event_id", "event_type")
     folder = scratch_folder(spark, "stream")
-    stream = (
-        spark.readStream.schema(load(spark, d, "events").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", 1)
-        .parquet(d)
-        .select("event_id", "event_type")
-    )
+    stream = weekly_events(spark, d, folder).drop("user_id")
     query = micro_batches.sample_stream(
         stream, ["event_type"], 0.1, ids=["event_id"], path=f"{folder}/out", checkpoint=f"{folder}/state", seed=SEED
     )
     query.awaitTermination()
-    return micro_batches.read_stream_sample(spark, f"{folder}/out", source)
+    return micro_batches.read_stream_sample(spark, f"{folder}/out", stream).drop("batch_id")
+
+
+def stream_sample_global_floor(spark, d):
+    folder = scratch_folder(spark, "stream")
+    stream = weekly_events(spark, d, folder)
+    place = {"ids": ["event_id"], "seed": SEED}
+    query = micro_batches.sample_whole_stream(
+        stream, ["user_id"], 0.01, 2, path=f"{folder}/out", checkpoint=f"{folder}/state", **place
+    )
+    query.awaitTermination()
+    return micro_batches.read_whole_stream_sample(spark, f"{folder}/out", stream, 0.01, **place)
 
 
 def csv_round_trip(spark, d):
@@ -584,7 +628,8 @@ _QUERIES = (
     sample_without_ids, sample_of_copies, drop_small_strata, sample_without_small_strata,
     boost_small_strata, boost_levels, design_weight_total, total_size_sample, total_size_rounded_share,
     weighted_sample, weighted_sample_by_cut, weighted_fixed_n, native_sample, native_sample_null_levels,
-    total_size_many_strata, random_order_sample, drift_after_merge, merge_levels_many, deciles_with_nan,
+    total_size_many_strata, total_size_with_floor, total_size_with_boosts, small_strata_collapsed,
+    small_strata_collapsed_by_shuffle, conditional_nulls, random_order_sample, drift_after_merge, merge_levels_many, deciles_with_nan,
     summary_with_nan, null_counts_with_nan, position_buckets_large_keys,
     strata_sizes, strata_count, strata_profile, allocation_table, floor_report, cap_report,
     vanished_strata, level_shares, sample_rate, drift_raw, drift_two_tier, drift_three_tier,
@@ -594,7 +639,8 @@ _QUERIES = (
     coerced_numbers, winsorized, tail_quantiles, deciles, deciles_winsorized, decile_buckets,
     decile_cells, bucket_columns, position_buckets, position_sample, row_positions, numeric_summary,
     numeric_before_after, null_counts, numeric_column_totals, two_period_sample, two_period_id_list,
-    two_period_cells, chunk_sample, chunk_sample_global_floor, chunk_sample_by_position, stream_sample,
+    two_period_cells, chunk_sample, chunk_sample_global_floor, chunk_sample_by_position, chunk_sample_by_file,
+    stream_sample, stream_sample_global_floor,
     csv_round_trip, parquet_round_trip, catalog_sample, catalog_table_sample, preview,
 )
 
@@ -604,12 +650,11 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _optional(module: str):
-    """A module of the optional subpackage, or nothing where that is not installed."""
+    """A module of the optional subpackage, or nothing where that or a library it
+    needs is not installed."""
     try:
         return importlib.import_module(module)
-    except ModuleNotFoundError as error:
-        if error.name not in ("fairdraw.llm", "corpus_pipeline"):
-            raise
+    except ImportError:
         return None
 
 

@@ -152,6 +152,51 @@ def total_sample(source: str, strata: list[str], ids: list[str], total: int, col
     )
 
 
+def bounded_take(source: str, strata: list[str], total: int, low: str, high: str) -> str:
+    """Rows per stratum between two bounds: the share at which they sum to the
+    total lies behind the last bound, as a share of its stratum, that it reaches."""
+    by, ends = ", ".join(strata), ", ".join(f"{c} nulls first" for c in strata)
+    return f"""(with sizes as (
+        select *, {low} as lo, {high} as hi from (select {by}, count(*) as pop_n from {source} group by {by}) as c
+    ), bounds as (
+        select lo / pop_n as share from sizes union select hi / pop_n from sizes union select 0
+    ), reached as (
+        select max(share) as share from (
+            select share, sum(greatest(lo, least(hi, share * pop_n))) as given from bounds, sizes group by share) as g
+        where given <= {total} + 1e-6
+    ), marked as (
+        select s.*, case when lo / pop_n > share then lo when hi / pop_n <= share then hi end as held from sizes as s, reached
+    ), parts as (
+        select *, {total} - sum(held) over () as rest, sum(case when held is null then pop_n end) over () as free from marked
+    ), based as (
+        select *, coalesce(held, pop_n * rest // free) as base, case when held is null then pop_n * rest % free end as part from parts
+    )
+    select {by}, base + case when part is not null and row_number() over (order by part desc nulls last, {ends})
+        <= {total} - sum(base) over () then 1 else 0 end as n_take from based)"""
+
+
+def taken_sample(source: str, strata: list[str], ids: list[str], take: str, columns: list[str]) -> str:
+    same = " and ".join(f"t.{c} is not distinct from r.{c}" for c in strata)
+    listed = ", ".join(f"r.{c}" for c in columns)
+    return f"select {listed} from (select * from {ranked(source, strata, ids)}) as r join {take} as t on {same} where rn <= n_take"
+
+
+def collapsed(source: str, key: str, strata: list[str], least: int) -> str:
+    """Strata under ``least`` rows, merged from the last column on."""
+    steps, by = [], ", ".join(strata)
+    steps.append(f"level_{len(strata)} as (select {by}, count(*) as n from {source} group by {by})")
+    for k in range(len(strata) - 1, 0, -1):
+        above = ", ".join(strata[:k])
+        steps.append(f"level_{k} as (select {above}, sum(n) as n from level_{k + 1} where n < {least} group by {above})")
+    def enough(k: int) -> str:
+        same = " and ".join(f"l.{c} is not distinct from s.{c}" for c in strata[:k])
+        return f"exists (select 1 from level_{k} as l where {same} and l.n >= {least})"
+    depth = "case " + " ".join(f"when {enough(k)} then {k}" for k in range(len(strata), 0, -1)) + " else 0 end"
+    steps.append(f"placed as (select {key}, {by}, {depth} as depth from {source} as s)")
+    shown = ", ".join(f"case when depth <= {i} then 'Other' else {c}::varchar end as {c}, {c} as {c}_original" for i, c in enumerate(strata))
+    return f"with {', '.join(steps)} select {key}, {shown} from placed"
+
+
 def statements() -> dict[str, str]:
     doc_cols, line_cols = ["doc_id", *DOC], [*LINE_IDS, "l_extendedprice", *LINE]
     nulls = ["o_orderstatus", "priority"]
@@ -196,6 +241,8 @@ def statements() -> dict[str, str]:
             f"select '{n}' as measure, {rounded(e, 2)} as {value} from {source} as s" for n, e in rows
         )
 
+    placed_docs = "(select *, 'documents.parquet' as file, row_number() over () - 1 as place from documents)"
+    weekly = "(select event_id, event_type, user_id, cast(week(ts) as integer) as week from events)"
     share_4 = "(round_even(cast(500 as double) / (select count(*) from orders) * 10000, 0) / 10000)"
     statements = {
         "floor_sample": sample("documents", DOC, ["doc_id"], pct_take(0.1, 1), doc_cols),
@@ -251,7 +298,16 @@ def statements() -> dict[str, str]:
         "null_counts_with_nan": """select 'event_id' as "column", 0::bigint as n_null
             union all select 'value', count(*) from events where event_type = 'error'""",
         "position_buckets_large_keys": f"""select o_orderkey + {2**60}::bigint as key, position_bucket from {placed} as p""",
-        "random_order_sample": f"select lang, source, {pct_take(0.1, 1)} as n_take from {doc_sizes} as s",
+        "random_order_sample": sample(placed_docs, DOC, ["file", "place"], pct_take(0.1, 1), doc_cols),
+        "total_size_with_floor": taken_sample("customer", CUSTOMER, ["c_custkey"], bounded_take("customer", CUSTOMER, 400, "least(3, pop_n)", "pop_n"), ["c_custkey", *CUSTOMER]),
+        "total_size_with_boosts": taken_sample("documents", DOC, ["doc_id"], bounded_take(
+            "documents", DOC, 300, "case when pop_n < 3 then 0 when lang = 'es' then least(60, pop_n) else 1 end",
+            "case when pop_n < 3 then 0 else least(60, pop_n) end"), doc_cols),
+        "small_strata_collapsed": collapsed("part", "p_partkey", PART, 4),
+        "small_strata_collapsed_by_shuffle": collapsed("documents", "doc_id", DOC, 9),
+        "conditional_nulls": """select 'finished_priority' as "column", coalesce(p, '__NA__') as level, count(*) as n,
+            cast(count(*) as double) / (select count(*) from orders) as share
+            from (select case when o_orderstatus = 'F' then o_orderpriority end as p from orders) as o group by p""",
         "strata_sizes": f"""select o_orderstatus, priority, o_orderstatus || ' | ' || coalesce(priority, '__NA__') as stratum,
             count(*) as pop_n from {ORDERS_NULLS} as o group by o_orderstatus, priority""",
         "strata_count": "select count(*) as n_strata from (select distinct p_brand, p_type, p_size from part) as s",
@@ -365,7 +421,13 @@ def statements() -> dict[str, str]:
             "(select o_orderkey, o_orderpriority, (row_number() over (order by o_orderkey) - 1) // 2000 as chunk_id from orders)",
             ["chunk_id", "o_orderpriority"], ["o_orderkey"], pct_take(0.05, 1), ["o_orderkey", "o_orderpriority", "chunk_id"],
         ),
-        "stream_sample": sample("events", ["event_type"], ["event_id"], pct_take(0.1, 1), ["event_id", "event_type", "cast(0 as bigint) as batch_id"]),
+        "chunk_sample_by_file": sample(
+            "(select o_orderkey, o_orderpriority, 'orders.parquet#' || (row_number() over () - 1) // 2000 as chunk_id from orders)",
+            ["chunk_id", "o_orderpriority"], ["o_orderkey"], pct_take(0.05, 1), ["o_orderkey", "o_orderpriority", "chunk_id"],
+        ),
+        "stream_sample": sample(weekly, ["week", "event_type"], ["event_id"], pct_take(0.1, 1), ["event_id", "event_type", "week"]),
+        "stream_sample_global_floor": f"""select event_id, event_type, user_id, week
+            from {ranked(weekly, ["user_id"], ["event_id"])} where rn <= 2 or h < {position("0.01")}""",
         "csv_round_trip": sample("customer", ["c_mktsegment"], ["c_custkey"], pct_take(0.1, 1), ["c_custkey", "c_mktsegment", "c_acctbal"]),
         "parquet_round_trip": f"select * from {DOC_SAMPLE} as s",
         "catalog_sample": sample("customer", ["c_mktsegment"], ["c_custkey"], pct_take(0.1, 1), ["c_custkey", "c_mktsegment"]),

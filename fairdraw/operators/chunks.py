@@ -12,11 +12,15 @@ from fairdraw.plans.quota import Quota
 from fairdraw.plans.selection import draw
 
 
-def chunk_of_position(df: DataFrame, order_by: Sequence[str], chunk_rows: int, name: str = "chunk_id") -> DataFrame:
-    """Number consecutive chunks of ``chunk_rows`` rows under an order, from 0."""
+def chunk_of_position(
+    df: DataFrame, order_by: Sequence[str], chunk_rows: int, name: str = "chunk_id", *, ids: Sequence[str] = ()
+) -> DataFrame:
+    """Number consecutive chunks of ``chunk_rows`` rows under an order, from 0.
+    Chunks by the rows' place in their files need no sort: see
+    :func:`fairdraw.operators.positions.file_chunk`."""
     if chunk_rows < 1:
         raise ValueError("chunk_rows must be at least 1")
-    numbered = row_position(df, order_by, name)
+    numbered = row_position(df, order_by, name, ids=ids)
     return numbered.withColumn(name, F.expr(f"({name} - 1) div {chunk_rows}"))
 
 

@@ -17,9 +17,11 @@ from fairdraw.operators.numeric import (
     position_buckets,
     winsorize,
 )
+from fairdraw.operators.positions import FILE_ROW, with_file_rows
+from fairdraw.plans.copies import number_copies
 from fairdraw.plans.lookup import BROADCAST_KEYS, keep_matching
 from fairdraw.plans.quota import Quota, stratum_sizes
-from fairdraw.plans.selection import draw, number_copies
+from fairdraw.plans.selection import draw
 from fairdraw.sources.scratch import ensure_checkpoint_dir
 
 
@@ -194,15 +196,19 @@ def native_sample(
 
 
 def random_order_sample(
-    df: DataFrame, strata: Sequence[str], pct: float, min_rows: int = 1, *, seed: int = 42
+    df: DataFrame, strata: Sequence[str], pct: float, min_rows: int = 1, *, depth: int | None = None, seed: int = 42
 ) -> DataFrame:
-    """The floor sample under Spark's ``rand`` instead of hashed priorities. It
-    needs no ids, but changes with the partitioning; the random numbers are
-    written down once, so that all passes see the same ones."""
-    column = "_fd_rand"
-    ensure_checkpoint_dir(df.sparkSession)
-    kept = df.withColumn(column, F.rand(seed)).withColumn(
-        "_fd_row", F.monotonically_increasing_id()
-    ).checkpoint()
-    drawn = draw(kept, strata, Quota(pct=pct, min_rows=min_rows), ids=[column, "_fd_row"], seed=seed)
-    return drawn.drop(column, "_fd_row")
+    """The floor sample in random order of rows that have no ids. A row of parquet
+    files is known by its place in them, so nothing is written and any split of
+    the scan gives the same sample; ``depth`` says how many last parts of a path
+    name a file. The rows of any other table get Spark's ``rand``, written down
+    once so that all passes see the same numbers; that sample changes with the
+    partitioning."""
+    quota = Quota(pct=pct, min_rows=min_rows)
+    try:
+        placed, ids = with_file_rows(df, depth), FILE_ROW
+    except ValueError:
+        ensure_checkpoint_dir(df.sparkSession)
+        ids = ["_fd_rand", "_fd_row"]
+        placed = df.withColumn(ids[0], F.rand(seed)).withColumn(ids[1], F.monotonically_increasing_id()).checkpoint()
+    return draw(placed, strata, quota, ids=ids, seed=seed).drop(*ids)

@@ -102,3 +102,27 @@ def mark_matching(
     rest = marked.join(keys_of_head, KEY, "left_anti")
     far = rest.join(tail.select(*KEY, F.lit(True).alias(mark)), KEY, "left")
     return near.unionByName(far.withColumn(mark, F.coalesce(F.col(mark), F.lit(False)))).select(*rows.columns, mark)
+
+
+def attach(
+    rows: DataFrame,
+    table: DataFrame,
+    keys: Sequence[str],
+    values: Sequence[str],
+    sizes: DataFrame,
+    size: str,
+    limit: int = BROADCAST_KEYS,
+) -> DataFrame:
+    """All rows with the ``values`` the table has for their key, else null.
+    ``sizes`` has the number of rows of every key, in the table or not, by which
+    the most frequent ones are kept out of a shuffle."""
+    marked, values = keyed(rows, keys), list(values)
+    known = keyed(table, keys).select(*KEY, *values)
+    columns = [*[F.col(name(c)) for c in rows.columns], *values]
+    if sizes.count() <= limit:
+        return marked.join(F.broadcast(known), KEY, "left").select(*columns)
+    head, _ = most_frequent(keyed(sizes, keys).select(*KEY, size), size, limit)
+    head = head.join(known, KEY, "left").select(*KEY, *values).checkpoint()
+    near = marked.join(F.broadcast(head), KEY).select(*columns)
+    rest = marked.join(F.broadcast(head.select(*KEY)), KEY, "left_anti")
+    return near.unionByName(rest.join(known, KEY, "left").select(*columns))

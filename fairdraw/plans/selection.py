@@ -11,6 +11,9 @@ drawn row. Whole rows are then read once and compared with their stratum's cut.
   which side it lies, and that side is ranked instead.
 * With weights the band is found by counting rows along the scale of their
   waiting times, first coarsely, then finely inside the part with the cut.
+* A small fixed number of rows per stratum needs no sizes and no band: each task
+  keeps the first rows of every stratum it sees, so a hot stratum reaches its
+  task as a few rows per task, and the last of the first rows is the cut.
 * The ``BROADCAST_KEYS`` largest strata have their cuts broadcast. Strata beyond
   them each hold less than one part in ``BROADCAST_KEYS`` of the table: their
   narrow rows are ranked whole, and whole rows are joined with the cuts by a
@@ -41,6 +44,7 @@ from fairdraw.functions.priority import (
     priority,
     weighted_priority,
 )
+from fairdraw.plans import copies
 from fairdraw.plans.lookup import (
     BROADCAST_KEYS,
     GROUP,
@@ -62,46 +66,18 @@ _TIE = INTERNAL + "tie"
 _ORDER = INTERNAL + "order"
 _SPOT = INTERNAL + "spot"
 _PLACE = INTERNAL + "place"
-_COPY = INTERNAL + "copy"
 _CUT = INTERNAL + "cut"
 _POP, _TAKE = INTERNAL + "pop", INTERNAL + "take"
 _FLOOR, _CEILING = INTERNAL + "floor", INTERNAL + "ceiling"
 _ROWS, _UPTO = INTERNAL + "rows", INTERNAL + "upto"
-_OWN = {*KEY, GROUP, _HASH, _TIE, _ORDER, _SPOT, _PLACE, _COPY, _CUT, _POP, _TAKE, _FLOOR, _CEILING, _ROWS, _UPTO}
-# Copies of one row made by one task when a table without ids is numbered.
-_COPIES_PER_TASK = 100_000
+_OWN = {*KEY, GROUP, _HASH, _TIE, _ORDER, _SPOT, _PLACE, _CUT, _POP, _TAKE, _FLOOR, _CEILING, _ROWS, _UPTO, *copies.OWN}
+_SAME_IDS = "the id columns do not tell rows apart; leave ids out for such tables"
+# Rows per stratum up to which a task may keep the first ones of each.
+FEW_ROWS = 10_000
 # Steps of the scale of waiting times: coarse ones per doubling, fine ones in each.
 _COARSE, _FINE = 8, 65_536
 
 
-def number_copies(rows: DataFrame) -> DataFrame:
-    """Give equal rows of a table without ids a copy number each.
-
-    Equal rows are counted, which combines before the shuffle, and written out
-    again from their counts, large groups in pieces spread over the cluster.
-    """
-    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(_COPY))
-    few = F.col(_COPY) <= _COPIES_PER_TASK
-    piece = INTERNAL + "piece"
-    pieces = (
-        counted.where(~few)
-        .withColumn(piece, F.explode(F.sequence(F.lit(0), F.floor((F.col(_COPY) - 1) / _COPIES_PER_TASK))))
-        .repartition(piece)
-        .withColumn(
-            _COPY,
-            F.explode(
-                F.sequence(
-                    F.col(piece) * _COPIES_PER_TASK + 1,
-                    F.least((F.col(piece) + 1) * _COPIES_PER_TASK, F.col(_COPY)),
-                )
-            ),
-        )
-        .drop(piece)
-    )
-    whole = counted.where(few).withColumn(_COPY, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(_COPY))))
-    return whole.unionByName(pieces)
-
-
 def _edge(deviations: int, rows: int) -> str:
     """SQL text of the priority a number of standard deviations and rows away
     from the share drawn; negative numbers lead below it."""
@@ -124,7 +100,7 @@ def _located(narrow: DataFrame, zones: DataFrame) -> DataFrame:
 def _at_cut(counted: DataFrame) -> DataFrame:
     """Per stratum the place of the last drawn row, from the rows at each place."""
     window = Window.partitionBy(*KEY).orderBy(F.asc_nulls_first(_PLACE)).rowsBetween(Window.unboundedPreceding, 0)
-    message = text("the id columns do not tell rows apart; leave ids out for such tables")
+    message = text(_SAME_IDS)
     crossing = f"{_PLACE} is not null and {_UPTO} - {_ROWS} < {_TAKE} and {_UPTO} >= {_TAKE}"
     place = f"case when not ({crossing}) then null when {_UPTO} > {_TAKE} then raise_error({message}) else {_PLACE} end"
     return (
@@ -183,6 +159,39 @@ def _cuts_weighted(narrow: DataFrame, partly: DataFrame) -> DataFrame:
     return _located(narrow, zones).checkpoint().select(*KEY, _CUT)
 
 
+def _first_cuts(narrow: DataFrame, n: int) -> DataFrame:
+    """Per stratum the place of its ``n``-th row; null where it has fewer. Spark
+    limits the groups of a rank inside every task before it shuffles them."""
+    place = [F.col(f"{_PLACE}.{c}") for c in narrow.schema[_PLACE].dataType.names]
+    rank = F.row_number().over(Window.partitionBy(*KEY).orderBy(*place))
+    first = narrow.withColumn(_ROWS, rank).where(f"{_ROWS} <= {n + 1}")
+    ends = first.groupBy(*KEY).agg(
+        F.max(F.expr(f"if({_ROWS} = {n}, {_PLACE}, null)")).alias(_CUT),
+        F.max(F.expr(f"if({_ROWS} = {n + 1}, {_PLACE}, null)")).alias(_CEILING),
+    )
+    return ends.select(*KEY, F.expr(f"if({_CUT} = {_CEILING}, raise_error({text(_SAME_IDS)}), {_CUT})").alias(_CUT))
+
+
+def _first_rows(marked: DataFrame, n: int, broadcast_keys: int) -> DataFrame:
+    """The first ``n`` rows of every stratum."""
+    cuts = _first_cuts(marked.select(*KEY, _PLACE), n).checkpoint()
+    larger = cuts.where(f"{_CUT} is not null")
+    if larger.count() <= broadcast_keys:
+        # A stratum without a cut is drawn whole.
+        return marked.join(F.broadcast(larger), KEY, "left").where(f"{_CUT} is null or {_PLACE} <= {_CUT}")
+    # The smaller the cut, the larger the stratum.
+    head = larger.orderBy(_CUT, *KEY).limit(broadcast_keys).checkpoint()
+    drawn = marked.join(F.broadcast(head), KEY).where(f"{_PLACE} <= {_CUT}")
+    tail = cuts.join(F.broadcast(head.select(*KEY)), KEY, "left_anti")
+    bounds = tail.groupBy(group_of().alias(GROUP)).agg(
+        F.max(_CUT).alias(_CEILING), F.expr(f"bool_or({_CUT} is null)").alias(_UPTO)
+    )
+    rest = marked.withColumn(GROUP, group_of()).join(F.broadcast(bounds), GROUP)
+    rest = rest.join(F.broadcast(head.select(*KEY)), KEY, "left_anti").where(f"{_UPTO} or {_PLACE} <= {_CEILING}")
+    near = rest.drop(_UPTO, _CEILING).join(tail, KEY).where(f"{_CUT} is null or {_PLACE} <= {_CUT}")
+    return drawn.select(*marked.columns).unionByName(near.select(*marked.columns))
+
+
 def draw(
     rows: DataFrame,
     strata: Sequence[str],
@@ -200,7 +209,7 @@ def draw(
     ``rows`` is read several times and must be the same each time; write or
     checkpoint a table that is not. ``ids`` must tell rows apart: where equal
     ids would decide a cut, the job stops, however small the stratum. Without
-    them equal rows are numbered, which costs a shuffle of the distinct rows.
+    them equal rows are numbered where they are, which costs narrow passes.
     ``sizes`` may bring the stratum sizes along; ``keep_sizes`` adds ``pop_n``
     and ``n_take`` to the result.
     """
@@ -211,7 +220,7 @@ def draw(
         raise ValueError(f"rename these columns first: {sorted(clashes)}")
     columns, given = rows.columns, rows
     if ids is None:
-        rows = number_copies(rows)
+        rows = copies.number_copies(rows)
         ids = rows.columns
     marked = keyed(rows, strata).withColumns({_HASH: priority(seed, ids), _TIE: hash_of(ids, "row")})
     if weight is None:
@@ -224,6 +233,10 @@ def draw(
         marked = marked.withColumns({_SPOT: F.expr(spot), _PLACE: F.struct(_ORDER, _HASH, _TIE)})
 
     ensure_checkpoint_dir(rows.sparkSession)
+    plain = quota.n is not None and not quota.boost_levels and quota.boost_below is None and quota.drop_below is None
+    first = max(quota.n or 0, quota.min_rows)
+    if plain and first <= FEW_ROWS and not keep_sizes:
+        return _first_rows(marked, first, broadcast_keys).select(*[F.col(name(c)) for c in columns])
     sizes = stratum_sizes(given, strata) if sizes is None else sizes
     if quota.total is not None:
         sizes = sizes.checkpoint()

@@ -1,3 +1,5 @@
+from fractions import Fraction
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,3 +93,59 @@ def test_a_total_is_met(spark):
 def test_a_total_of_many_equal_remainders_goes_to_the_first(spark):
     take, _ = taken(spark, Quota(total=4), 1, 1, 1, 1, 1, 1)
     assert take == [1, 1, 1, 1, 0, 0]
+
+
+def bounded(counts, total, low, high):
+    """Brute force: the share by bisection over exact fractions, then the largest
+    remainders of the strata between their bounds."""
+    ends = sorted({Fraction(x, n) for n, lo, hi in zip(counts, low, high) for x in (lo, hi)} | {Fraction(0), Fraction(1)})
+    given = [sum(min(max(s * n, lo), hi) for n, lo, hi in zip(counts, low, high)) for s in ends]
+    at = max(i for i, g in enumerate(given) if g <= total)
+    share = ends[at]
+    if given[at] < total:
+        inner = (ends[at] + ends[at + 1]) / 2
+        free = [i for i, n in enumerate(counts) if low[i] < inner * n < high[i]]
+        fixed = sum(lo if lo >= inner * n else hi for n, lo, hi in zip(counts, low, high) if not lo < inner * n < hi)
+        share = Fraction(total - fixed, sum(counts[i] for i in free))
+    exact = [min(max(share * n, lo), hi) for n, lo, hi in zip(counts, low, high)]
+    take = [int(e) for e in exact]
+    names = [f"s{i}" for i in range(len(counts))]
+    for i in sorted(range(len(counts)), key=lambda i: (-(exact[i] - take[i]), names[i]))[: total - sum(take)]:
+        take[i] += 1
+    return {n: t for n, t in zip(names, take)}
+
+
+@pytest.mark.parametrize(
+    ("counts", "total", "quota"),
+    [
+        ([1000, 500, 20, 3, 1], 100, {"min_rows": 5}),
+        ([1000, 500, 20, 3, 1], 100, {"min_rows": 5, "max_rows": 60}),
+        ([1000, 500, 20, 3, 1], 24, {"boost_below": 10, "min_rows": 1}),
+        ([1000, 500, 20, 3, 1], 300, {"max_rows": 100}),
+        ([1000, 500, 20, 3, 1], 400, {"drop_below": 10, "boost_levels": {"s": ["s2"]}}),
+        ([1] * 300, 300, {"min_rows": 1}),
+        ([7] * 40, 100, {"min_rows": 2}),
+        ([10**12, 10**6, 5, 1], 10**9, {"min_rows": 3, "max_rows": 10**9 - 10}),
+        ([i * i + 1 for i in range(60)], 5000, {"min_rows": 30, "max_rows": 200}),
+        ([97, 89, 83], 267, {"min_rows": 83}),
+    ],
+)
+def test_a_total_is_met_within_bounds(spark, counts, total, quota):
+    _, rows = taken(spark, Quota(total=total, **quota), *counts)
+    most = [min(n, quota.get("max_rows", n)) if n >= quota.get("drop_below", 0) else 0 for n in counts]
+    whole = [n < quota.get("boost_below", 0) or f"s{i}" in quota.get("boost_levels", {}).get("s", []) for i, n in enumerate(counts)]
+    least = [m if w else min(m, quota.get("min_rows", 0)) for m, w in zip(most, whole)]
+    assert {r.s: r.n_take for r in rows} == bounded(counts, min(total, sum(most)), least, most)
+    assert sum(r.n_take for r in rows) == min(total, sum(most))
+
+
+def test_a_total_below_the_least_rows_is_refused(spark):
+    with pytest.raises(ValueError, match="least rows"):
+        taken(spark, Quota(total=100, min_rows=1), *[5] * 300)
+    assert taken(spark, Quota(total=100, min_rows=1), *[])[0] == []
+
+
+def test_most_rows_of_a_stratum(spark):
+    assert taken(spark, Quota(pct=0.5, max_rows=20), 10, 100)[0] == [5, 20]
+    with pytest.raises(ValueError):
+        Quota(pct=0.1, min_rows=5, max_rows=4)

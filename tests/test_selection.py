@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fairdraw.functions.priority import hex_position
 from fairdraw.operators import sampling
-from fairdraw.plans import selection
+from fairdraw.plans import copies, selection
 from fairdraw.plans.quota import Quota
 from fairdraw.plans.selection import draw
 
@@ -108,15 +108,14 @@ def test_sample_is_a_subset_without_repeats(people):
     assert drawn.exceptAll(df).count() == 0
 
 
-def test_copies_without_ids(spark, monkeypatch):
-    monkeypatch.setattr(selection, "_COPIES_PER_TASK", 100)
+def test_copies_without_ids(spark):
     df = spark.range(1000).select(F.expr("if(id < 700, 'hot', 'cold')").alias("k"), F.expr("id % 2").alias("v"))
     counts = {
         (r.k, r.v): r["count"]
-        for r in selection.number_copies(df).drop("_fd_copy").groupBy("k", "v").count().collect()
+        for r in copies.number_copies(df).drop("_fd_copy").groupBy("k", "v").count().collect()
     }
     assert counts == {("hot", 0): 350, ("hot", 1): 350, ("cold", 0): 150, ("cold", 1): 150}
-    numbers = selection.number_copies(df).where("k = 'hot' and v = 0").agg(F.countDistinct("_fd_copy"), F.max("_fd_copy"))
+    numbers = copies.number_copies(df).where("k = 'hot' and v = 0").agg(F.countDistinct("_fd_copy"), F.max("_fd_copy"))
     assert tuple(numbers.collect()[0]) == (350, 350)
     first = draw(df, ["k"], Quota(pct=0.1), seed=1).groupBy("k", "v").count()
     again = draw(df.repartition(7), ["k"], Quota(pct=0.1), seed=1).groupBy("k", "v").count()
@@ -124,6 +123,28 @@ def test_copies_without_ids(spark, monkeypatch):
     assert sum(r["count"] for r in first.collect()) == 100
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_copies_are_numbered_in_their_tasks(spark, tmp_path, parts):
+    """A third of the rows are copies of one, some rows are pairs, most are alone."""
+    rows = spark.range(6000).selectExpr("case when id % 3 = 0 then -1 when id % 100 = 1 then id div 200 * 200 else id end as k", "if(id % 2 = 0, null, 'x') as v")
+    rows.withColumn("v", F.expr("if(k = -1, null, v)")).repartition(parts).write.parquet(f"{tmp_path}/{parts}")
+    df = spark.read.parquet(f"{tmp_path}/{parts}")
+    numbered = copies.number_copies(df)
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and numbered.columns == [*df.columns, copies.COPY]
+    assert numbered.drop(copies.COPY).exceptAll(df).count() == 0
+    bounds = numbered.groupBy("k", "v").agg(F.count(copies.COPY).alias("n"), F.countDistinct(copies.COPY).alias("d"), F.max(copies.COPY).alias("m"))
+    assert bounds.where("n <> d or n <> m").count() == 0
+    assert bounds.agg(F.max("n")).collect()[0][0] == 2000
+
+
+def test_copies_of_exchanged_and_empty_tables(spark):
+    df = spark.range(300).selectExpr("id % 7 as k").groupBy("k").count().select("k").union(spark.range(3).selectExpr("id as k"))
+    found = sorted((r["k"], r[copies.COPY]) for r in copies.number_copies(df).collect())
+    assert found == sorted([(k, 1) for k in range(7)] + [(k, 2) for k in range(3)])
+    assert copies.number_copies(spark.createDataFrame([], "k long, v array<string>")).collect() == []
+
+
 @pytest.mark.parametrize("parts", [1, 3, 7])
 @pytest.mark.parametrize("keys", [20_000, 0])
 def test_repeated_ids_are_refused_where_they_matter(spark, parts, keys):
@@ -222,3 +243,36 @@ def test_random_order_sample_has_the_exact_sizes(people):
     drawn = sampling.random_order_sample(df, ["a", "b"], 0.1)
     assert drawn.count() == len(expected_draw(rows, ["a", "b"], ["id"], share(0.1, 1)))
     assert drawn.columns == df.columns
+
+
+@pytest.mark.parametrize("keys", [20_000, 5, 0])
+@pytest.mark.parametrize("n", [1, 3, 40])
+def test_first_rows_by_every_route(people, n, keys):
+    rows, df = people
+    drawn = draw(df, ["a", "b"], Quota(n=n), ids=["id"], broadcast_keys=keys)
+    assert ids_of(drawn) == expected_draw(rows, ["a", "b"], ["id"], lambda size: min(n, size))
+    floor = draw(df, ["a", "b"], Quota(n=n, min_rows=7), ids=["id"], broadcast_keys=keys)
+    assert ids_of(floor) == expected_draw(rows, ["a", "b"], ["id"], lambda size: min(max(n, 7), size))
+
+
+def test_first_rows_are_limited_before_the_shuffle(people):
+    _, df = people
+    narrow = df.select(F.col("a").alias("_fd_k1"), F.col("b").alias("_fd_k2"), F.struct("id", "w").alias("_fd_place"))
+    cuts = selection._first_cuts(narrow, 3)
+    lines = cuts._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = {word: [i for i, line in enumerate(lines) if word in line] for word in ("WindowGroupLimit", "Exchange")}
+    # The plan is printed from its end to its start.
+    assert len(at["Exchange"]) == 1 and at["WindowGroupLimit"][0] < at["Exchange"][0] < at["WindowGroupLimit"][-1]
+
+
+def test_first_rows_do_not_measure_the_strata(people, monkeypatch):
+    _, df = people
+    monkeypatch.setattr(selection, "stratum_sizes", None)
+    assert draw(df, ["a"], Quota(n=3), ids=["id"]).count() == 18
+
+
+def test_first_rows_with_repeated_ids(spark):
+    df = spark.range(40).select(F.expr("id div 2").alias("id"), F.lit("s").alias("a"))
+    with pytest.raises(Exception, match="id columns"):
+        draw(df, ["a"], Quota(n=3), ids=["id"]).collect()
+    assert draw(df, ["a"], Quota(n=4), ids=["id"]).count() == 4

@@ -1,3 +1,5 @@
+import os
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -80,3 +82,17 @@ def test_stream_is_sampled_batch_by_batch(spark, tmp_path):
         batch = rows.where(f"id div 100 = {i}")
         expected = sampling.floor_sample(batch, ["s"], 0.1, ids=["id"]).select("id")
         assert {r.id for r in expected.collect()} <= {r.id for r in drawn.collect()}
+
+
+@pytest.mark.parametrize("files", [1, 5])
+def test_whole_stream_is_drawn_like_its_table(spark, tmp_path, files):
+    rows = spark.range(900).selectExpr("id", "if(id % 3 = 0, 'hot', cast(id % 41 as string)) as s")
+    rows.repartition(files).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    query = micro_batches.sample_whole_stream(stream, ["s"], 0.05, 3, ids=["id"], path=f"{tmp_path}/out", checkpoint=f"{tmp_path}/state")
+    query.awaitTermination()
+    got = micro_batches.read_whole_stream_sample(spark, f"{tmp_path}/out", rows, 0.05, ids=["id"])
+    low = sampling.native_sample(rows, "s", 0.05, ids=["id"])
+    floor = sampling.fixed_sample(rows, ["s"], 3, ids=["id"])
+    assert sorted(got.collect()) == sorted(low.union(floor).distinct().collect())
+    assert len([p for p in os.listdir(f"{tmp_path}/out") if p.startswith("state")]) == min(files, 2)
