@@ -74,6 +74,10 @@ _OWN = {*KEY, GROUP, _HASH, _TIE, _ORDER, _SPOT, _PLACE, _CUT, _POP, _TAKE, _FLO
 _SAME_IDS = "the id columns do not tell rows apart; leave ids out for such tables"
 # Rows per stratum up to which a task may keep the first ones of each.
 FEW_ROWS = 10_000
+# Priorities below this, one part in 256 of them, are ranked first.
+_NEAR = "01"
+# Rows of small strata, about, up to which their first rows are ranked as a whole.
+_FEW_WHOLE = 4_000_000
 # Steps of the scale of waiting times: coarse ones per doubling, fine ones in each.
 _COARSE, _FINE = 8, 65_536
 
@@ -159,22 +163,53 @@ def _cuts_weighted(narrow: DataFrame, partly: DataFrame) -> DataFrame:
     return _located(narrow, zones).checkpoint().select(*KEY, _CUT)
 
 
-def _first_cuts(narrow: DataFrame, n: int) -> DataFrame:
-    """Per stratum the place of its ``n``-th row; null where it has fewer. Spark
-    limits the groups of a rank inside every task before it shuffles them."""
-    place = [F.col(f"{_PLACE}.{c}") for c in narrow.schema[_PLACE].dataType.names]
+def _limited(rows: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows of every stratum with their rank. Spark limits the
+    groups of a rank inside every task before it shuffles them."""
+    place = [F.col(f"{_PLACE}.{c}") for c in rows.schema[_PLACE].dataType.names]
     rank = F.row_number().over(Window.partitionBy(*KEY).orderBy(*place))
-    first = narrow.withColumn(_ROWS, rank).where(f"{_ROWS} <= {n + 1}")
-    ends = first.groupBy(*KEY).agg(
+    return rows.withColumn(_ROWS, rank).where(f"{_ROWS} <= {n}")
+
+
+def _first_cuts(narrow: DataFrame, n: int) -> DataFrame:
+    """Per stratum the place of its ``n``-th row; null where it has fewer."""
+    ends = _limited(narrow, n + 1).groupBy(*KEY).agg(
         F.max(F.expr(f"if({_ROWS} = {n}, {_PLACE}, null)")).alias(_CUT),
         F.max(F.expr(f"if({_ROWS} = {n + 1}, {_PLACE}, null)")).alias(_CEILING),
     )
     return ends.select(*KEY, F.expr(f"if({_CUT} = {_CEILING}, raise_error({text(_SAME_IDS)}), {_CUT})").alias(_CUT))
 
 
-def _first_rows(marked: DataFrame, n: int, broadcast_keys: int) -> DataFrame:
-    """The first ``n`` rows of every stratum."""
+def _first_by_hash(marked: DataFrame, n: int, broadcast_keys: int) -> DataFrame | None:
+    """The first ``n`` rows of every stratum by their priorities. Most strata that
+    are large have them among the rows with small priorities, of which the first
+    ones are kept whole; only rows of the other strata are looked at again. How
+    many rows these have follows from how many of them were small."""
+    top = _limited(marked.where(f"{_HASH} < {text(_NEAR)}"), n + 1).checkpoint()
+    full = top.where(f"{_ROWS} = {n + 1}").select(*KEY, F.col(_PLACE).alias(_CEILING))
+    strata, kept = top.agg(F.expr(f"count_if({_ROWS} = {n + 1})"), F.count(F.lit(1))).collect()[0]
+    if strata > broadcast_keys:
+        return _first_rows(marked, n, broadcast_keys)
+    known = top.where(f"{_ROWS} <= {n}").join(F.broadcast(full), KEY)
+    same = f"if({_ROWS} = {n} and {_PLACE} = {_CEILING}, raise_error({text(_SAME_IDS)}), true)"
+    drawn = known.where(same).select(*marked.columns)
+    rest = marked.join(F.broadcast(full.select(*KEY)), KEY, "left_anti")
+    if (kept - strata * (n + 1)) * 16 ** len(_NEAR) <= _FEW_WHOLE:
+        few = _limited(rest, n + 1)
+        before = F.lag(_PLACE).over(Window.partitionBy(*KEY).orderBy(_ROWS))
+        few = few.withColumn(_CEILING, before).where(
+            f"if({_ROWS} = {n + 1}, if({_PLACE} = {_CEILING}, raise_error({text(_SAME_IDS)}), false), true)"
+        )
+    else:
+        few = _first_rows(rest, n, broadcast_keys)
+    return drawn if few is None else drawn.unionByName(few.select(*marked.columns))
+
+
+def _first_rows(marked: DataFrame, n: int, broadcast_keys: int) -> DataFrame | None:
+    """The first ``n`` rows of every stratum, None if there is no stratum."""
     cuts = _first_cuts(marked.select(*KEY, _PLACE), n).checkpoint()
+    if cuts.isEmpty():
+        return None
     larger = cuts.where(f"{_CUT} is not null")
     if larger.count() <= broadcast_keys:
         # A stratum without a cut is drawn whole.
@@ -236,7 +271,8 @@ def draw(
     plain = quota.n is not None and not quota.boost_levels and quota.boost_below is None and quota.drop_below is None
     first = max(quota.n or 0, quota.min_rows)
     if plain and first <= FEW_ROWS and not keep_sizes:
-        return _first_rows(marked, first, broadcast_keys).select(*[F.col(name(c)) for c in columns])
+        drawn = (_first_by_hash if weight is None else _first_rows)(marked, first, broadcast_keys)
+        return (marked.where("false") if drawn is None else drawn).select(*[F.col(name(c)) for c in columns])
     sizes = stratum_sizes(given, strata) if sizes is None else sizes
     if quota.total is not None:
         sizes = sizes.checkpoint()

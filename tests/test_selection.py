@@ -245,10 +245,11 @@ def test_random_order_sample_has_the_exact_sizes(people):
     assert drawn.columns == df.columns
 
 
-@pytest.mark.parametrize("keys", [20_000, 5, 0])
+@pytest.mark.parametrize(("keys", "whole"), [(20_000, 10**6), (20_000, 0), (5, 0), (0, 0)])
 @pytest.mark.parametrize("n", [1, 3, 40])
-def test_first_rows_by_every_route(people, n, keys):
+def test_first_rows_by_every_route(people, monkeypatch, n, keys, whole):
     rows, df = people
+    monkeypatch.setattr(selection, "_FEW_WHOLE", whole)
     drawn = draw(df, ["a", "b"], Quota(n=n), ids=["id"], broadcast_keys=keys)
     assert ids_of(drawn) == expected_draw(rows, ["a", "b"], ["id"], lambda size: min(n, size))
     floor = draw(df, ["a", "b"], Quota(n=n, min_rows=7), ids=["id"], broadcast_keys=keys)
@@ -258,7 +259,7 @@ def test_first_rows_by_every_route(people, n, keys):
 def test_first_rows_are_limited_before_the_shuffle(people):
     _, df = people
     narrow = df.select(F.col("a").alias("_fd_k1"), F.col("b").alias("_fd_k2"), F.struct("id", "w").alias("_fd_place"))
-    cuts = selection._first_cuts(narrow, 3)
+    cuts = selection._limited(narrow, 3)
     lines = cuts._jdf.queryExecution().executedPlan().toString().splitlines()
     at = {word: [i for i, line in enumerate(lines) if word in line] for word in ("WindowGroupLimit", "Exchange")}
     # The plan is printed from its end to its start.
