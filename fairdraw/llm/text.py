@@ -1,8 +1,8 @@
 """Words and shingles of many texts at once, as 64-bit hashes in numpy arrays.
 
 A text column arrives as one buffer of UTF-8 bytes. Words are found by marking
-separator bytes; their hashes come from running sums, so no Python string is
-made per word. Buffers are worked through in slices cut at separators, which
+separator bytes; the hashes of all but long ones come from running sums, so no
+Python string is made per word. Buffers are worked through in slices cut at separators, which
 bounds the working memory whatever the length of a text.
 """
 
@@ -15,8 +15,11 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 SLICE = 1 << 20
+# Bytes beyond which words are hashed one by one.
+LONG = 32
 # Texts of one step; a longer text makes a step of its own.
 STEP = 4 << 20
 
@@ -91,11 +94,11 @@ def steps(texts: Texts, size: int = STEP) -> Iterator[tuple[int, Texts]]:
         at = to
 
 
-def words_of(
-    texts: Texts, separators: np.ndarray = BLANK, fold: np.ndarray = LOWER, cuts: np.ndarray | None = None
-) -> Words:
-    """Words between separator bytes, hashed after ``fold``. ``cuts`` may mark
-    bytes at which a further word starts."""
+def bounds_of(
+    texts: Texts, separators: np.ndarray = BLANK, cuts: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where words between separator bytes start and end, and the number of each
+    text's first. ``cuts`` may mark bytes at which a further word starts."""
     data, n = texts.data, len(texts.data)
     begins = np.zeros(n + 1, bool)
     begins[texts.offsets] = True
@@ -109,8 +112,15 @@ def words_of(
     if n:
         last[:-1] = ~inside[1:] | begins[1:-1]
     end = np.flatnonzero(inside & last) + 1
-    first = np.searchsorted(start, texts.offsets)
-    return Words(_hashes(fold[data], start, end), first, start, end)
+    return start, end, np.searchsorted(start, texts.offsets)
+
+
+def words_of(
+    texts: Texts, separators: np.ndarray = BLANK, fold: np.ndarray = LOWER, cuts: np.ndarray | None = None
+) -> Words:
+    """Words between separator bytes, hashed after ``fold``."""
+    start, end, first = bounds_of(texts, separators, cuts)
+    return Words(_hashes(fold[texts.data], start, end), first, start, end)
 
 
 def heads_of(texts: Texts, words: Words, size: int, fold: np.ndarray = LOWER) -> np.ndarray:
@@ -119,33 +129,28 @@ def heads_of(texts: Texts, words: Words, size: int, fold: np.ndarray = LOWER) ->
 
 
 def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of words. Sums of letters times powers tell short words apart; in
+    long ones regular patterns can cancel, so these are hashed one by one."""
     powers, inverses, letters = _powers()
     out = np.empty(len(start), np.uint64)
     at = 0
     while at < len(start):
         low = start[at]
         to = max(at + 1, int(np.searchsorted(end, low + SLICE, "right")))
-        if to == at + 1 and end[at] - low > SLICE:
-            out[at] = _long_word(data[low : end[at]])
-        else:
+        # A word longer than a slice is a long one: no sums are needed.
+        if to > at + 1 or end[at] - low <= SLICE:
             high = end[to - 1]
             sums = np.zeros(high - low + 1, np.uint64)
             np.cumsum(letters[data[low:high]] * powers[: high - low], out=sums[1:])
             s, e = start[at:to] - low, end[at:to] - low
             out[at:to] = mix((sums[e] - sums[s]) * inverses[s] + (e - s).astype(np.uint64))
         at = to
+    long = np.flatnonzero(end - start > LONG)
+    if len(long):
+        out[long] = [xxhash.xxh3_64_intdigest(data[s:e]) for s, e in zip(start[long].tolist(), end[long].tolist(), strict=True)]
     return out
 
 
-def _long_word(data: np.ndarray) -> np.uint64:
-    """A word longer than a slice: the pieces' hashes in their order."""
-    total = np.uint64(len(data))
-    for low in range(0, len(data), SLICE):
-        piece = _hashes(data[low : low + SLICE], np.array([0]), np.array([min(SLICE, len(data) - low)]))
-        total = mix(piece + total * np.uint64(_INVERSE & 0xFFFFFFFF))[0]
-    return total
-
-
 _PAD = np.uint64(0x5851F42D4C957F2D)
 
 

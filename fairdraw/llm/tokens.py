@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from fairdraw.llm import rans
 from fairdraw.llm.storage import attempt_name, filesystem, new_folder, published, written
-from fairdraw.llm.text import BLANK, Texts, rows, words_of
+from fairdraw.llm.text import BLANK, Texts, bounds_of, rows
 
 BLOCK = 1 << 18
 # Pieces a Python worker remembers with their ids: two generations of this
@@ -65,9 +65,8 @@ class Encoder:
 
     The tokenizer never joins characters across white space, nor a letter or
     digit with a following mark other than the apostrophe, so the ids of a text
-    are those of its pieces. Pieces are told apart by a 64-bit hash of their
-    exact bytes; a new piece goes through the tokenizer, a plain Latin word
-    straight to its model.
+    are those of its pieces. Pieces are told apart by their bytes; a new piece
+    goes through the tokenizer, a plain Latin word straight to its model.
     """
 
     def __init__(self, tokenizer: str, kind: np.dtype) -> None:
@@ -78,8 +77,8 @@ class Encoder:
         self.kind = kind
         # Their strings stand for themselves only in a text as a whole.
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.new: dict[int, bytes] = {}
-        self.old: dict[int, bytes] = {}
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def ids_of(self, pieces: list[bytes]) -> list[bytes]:
         out = [b""] * len(pieces)
@@ -112,26 +111,24 @@ class Encoder:
         return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
 
     def _pieced(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-        words = words_of(texts, BLANK, np.arange(256, dtype=np.uint8), _cuts(texts.data))
-        hashes, place, which = np.unique(words.hashes, return_index=True, return_inverse=True)
-        keys, old = hashes.tolist(), self.old
-        found = [self.new.get(h) or old.get(h) for h in keys]
+        start, end, first = bounds_of(texts, BLANK, _cuts(texts.data))
+        whole, number = texts.data.tobytes(), {}
+        which = np.array([number.setdefault(whole[s:e], len(number)) for s, e in zip(start.tolist(), end.tolist(), strict=True)], np.int64)
+        pieces, old = list(number), self.old
+        found = [self.new.get(p) or old.get(p) for p in pieces]
         unknown = [i for i, ids in enumerate(found) if ids is None]
-        start, end = words.start[place], words.end[place]
-        pieces = [texts.data[start[i] : end[i]].tobytes() for i in unknown]
-        for i, ids in zip(unknown, self.ids_of(pieces), strict=True):
+        for i, ids in zip(unknown, self.ids_of([pieces[i] for i in unknown]), strict=True):
             found[i] = ids
         if len(self.new) > REMEMBERED:
             self.old, self.new = self.new, {}
-        short = (end - start) <= WORD_BYTES
-        self.new.update((h, ids) for h, ids, kept in zip(keys, found, short.tolist(), strict=True) if kept)
+        self.new.update((p, ids) for p, ids in zip(pieces, found, strict=True) if len(p) <= WORD_BYTES)
         table = np.frombuffer(b"".join(found), self.kind)
         sizes = np.array([len(ids) for ids in found], np.int64) // self.kind.itemsize
         begin = np.concatenate(([0], np.cumsum(sizes)))[:-1]
         n = sizes[which]
         upto = np.concatenate(([0], np.cumsum(n)))
         at = np.repeat(begin[which] - upto[:-1], n) + np.arange(upto[-1])
-        return table[at], upto[words.first]
+        return table[at], upto[first]
 
 
 def id_type(size: int) -> np.dtype:

@@ -94,3 +94,9 @@ def test_null_and_repeated_ids(documents):
 def test_empty_table(documents):
     assert found(documents([])) == {}
     assert minhash.deduplicated(documents([])).collect() == []
+
+
+def test_words_of_regular_patterns_are_different_documents(documents):
+    one = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    got = minhash.near_duplicates(documents([(1, one), (2, one.translate(str.maketrans("ab", "ba"))), (3, one)]))
+    assert sorted((r.doc_id, r.component_id) for r in got.collect()) == [(1, 1), (2, 2), (3, 1)]

@@ -88,3 +88,12 @@ def test_damage_is_noticed():
         assert (rans.decode(bytes(block), model) != ids).any()
     except (ValueError, IndexError):
         pass
+
+
+def test_words_of_regular_patterns_keep_their_ids(documents):
+    rows = []
+    for n in (512, 1024, 4096):
+        one = "".join("ab"[i.bit_count() % 2] for i in range(n))
+        rows += [(len(rows), one), (len(rows) + 1, one.translate(str.maketrans("ab", "ba")))]
+    got = tokens.encode_documents(documents(rows).coalesce(1), PATH)
+    assert sorted(map(tuple, got.collect())) == expected(rows)
