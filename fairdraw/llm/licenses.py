@@ -8,37 +8,25 @@ where a word was put in or left out, are merged, and a merged group is a span of
 the license if enough of the template's pairs are there.
 
 ``PHRASES`` are found exactly: a phrase stands where its diagonal has the votes
-of all its pairs. ``TEXTS`` are sentences of license notices, found by the share
-of their pairs. Both are tables of fixed size, broadcast by their nature.
+of all its pairs. ``TEXTS`` are notices, headers and bodies of licenses, found by
+the share of their pairs. A span is verified: its parts follow one another in the
+template as in the document, no pair of the template counts twice, and most of
+the span's own words belong to the template, too. Both tables have a fixed size
+and are broadcast by their nature.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fairdraw.llm.license_texts import PHRASES, TEXTS
 from fairdraw.llm.storage import new_folder, written
 
-#: Phrases that must stand word by word, with their labels.
-PHRASES = {
-    "gnu general public license": "gpl",
-    "apache license": "apache",
-    "cc by": "cc-by",
-    "mit license": "mit",
-}
-#: Sentences of license notices, with the labels that the method adds.
-TEXTS = {
-    "this work is licensed under the gnu general public license version 3": "gpl-notice",
-    "licensed under the apache license version 2 0": "apache-notice",
-    "released under the mit license": "mit-notice",
-    "this work is licensed under cc by 4 0": "cc-by-notice",
-    "permission is hereby granted free of charge to any person obtaining a copy of this software": "mit-text",
-    "redistribution and use in source and binary forms with or without modification are permitted": "bsd-text",
-    "you may not use this file except in compliance with the license": "apache-text",
-    "this program is free software you can redistribute it and or modify it under the terms of the gnu": "gpl-text",
-    "this source code form is subject to the terms of the mozilla public license": "mpl-text",
-}
-#: Pairs of a template that a span must hold, in hundredths; the most words that
+#: Pairs of a template that a span must hold, and words of a span that must be
+#: those of the template, in hundredths; the most words that
 #: may be put in or left out between two parts of a span.
 SHARE, GAP = 70, 3
 
@@ -50,10 +38,10 @@ _WORDS = r"split(translate(coalesce(cast(text as string), ''), '{upper}', '{lowe
 _END = "xxhash64('the end of the document', -1)"
 
 
-def templates(spark: SparkSession) -> DataFrame:
+def templates(spark: SparkSession, texts: Mapping[str, str] = TEXTS) -> DataFrame:
     """``hash, template, label, exact, at, pairs``: a row per pair of words, and
     one that every document's end matches."""
-    rows, named = [], [(p, label, True) for p, label in PHRASES.items()] + [(t, label, False) for t, label in TEXTS.items()]
+    rows, named = [], [(p, label, True) for p, label in PHRASES.items()] + [(t, label, False) for t, label in texts.items()]
     for number, (phrase, label, exact) in enumerate(named):
         words = phrase.split()
         rows += [(a, b, number, label, exact, at, len(words) - 1) for at, (a, b) in enumerate(zip(words, words[1:], strict=False))]
@@ -70,7 +58,7 @@ def templates(spark: SparkSession) -> DataFrame:
     return pairs.unionByName(end)
 
 
-def votes(docs: DataFrame) -> DataFrame:
+def votes(docs: DataFrame, texts: Mapping[str, str] = TEXTS) -> DataFrame:
     """``doc_id, text_key, n_words, template, label, exact, pairs, at, place``: a
     row per matching pair, and a row with template -1 per document."""
     words = docs.select(
@@ -88,7 +76,7 @@ def votes(docs: DataFrame) -> DataFrame:
         ).alias("pairs_of"),
     )
     places = paired.select("doc_id", "text_key", "n_words", F.posexplode("pairs_of").alias("place", "hash"))
-    return places.join(F.broadcast(templates(docs.sparkSession)), "hash").drop("hash")
+    return places.join(F.broadcast(templates(docs.sparkSession, texts)), "hash").drop("hash")
 
 
 def spans(found: DataFrame) -> DataFrame:
@@ -99,13 +87,14 @@ def spans(found: DataFrame) -> DataFrame:
         found.where("template >= 0")
         .withColumn("diagonal", F.col("place") - F.col("at"))
         .groupBy(*key, "diagonal")
+        # A template's places are few.
         .agg(
-            F.countDistinct("at").alias("n"),
+            F.collect_set("at").alias("places"),
             F.min("at").alias("low"),
             F.max("at").alias("high"),
         )
     )
-    whole = diagonals.where("exact and n = pairs").select(
+    whole = diagonals.where("exact and size(places) = pairs").select(
         "doc_id", "text_key", "label", "exact",
         F.col("diagonal").cast("long").alias("first_word"),
         (F.col("diagonal") + F.col("pairs")).cast("long").alias("last_word"),
@@ -117,35 +106,40 @@ def spans(found: DataFrame) -> DataFrame:
     along = Window.partitionBy("doc_id", "text_key", "n_words", "template").orderBy(F.expr("diagonal + low"), "diagonal")
     starts = F.expr("diagonal") - F.lag("diagonal").over(along)
     ahead = (F.col("diagonal") + F.col("low")) - F.lag(F.col("diagonal") + F.col("high")).over(along)
-    joins = (F.abs(starts) <= GAP) & (ahead >= 0) & (ahead <= GAP + 1)
+    rising = F.col("low") > F.lag("high").over(along)
+    joins = (F.abs(starts) <= GAP) & (ahead >= 0) & (ahead <= GAP + 1) & rising
     marked = loose.withColumn("new", F.when(joins, 0).otherwise(1)).withColumn("span", F.sum("new").over(along))
     grouped = marked.groupBy(*key, "span").agg(
-        F.sum("n").alias("n"),
+        F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
         F.min(F.expr("diagonal + low")).cast("long").alias("first_word"),
         F.max(F.expr("diagonal + high + 1")).cast("long").alias("last_word"),
     )
-    enough = grouped.where(f"100 * n >= {SHARE} * pairs").select(
-        "doc_id", "text_key", "label", "exact", "first_word", "last_word", F.expr("least(n / pairs, 1D)").alias("share")
+    grouped = grouped.withColumns(
+        {"n": F.size("places"), "words": F.expr("size(array_union(places, transform(places, q -> q + 1)))")}
+    )
+    verified = f"100 * n >= {SHARE} * pairs and 100 * words >= {SHARE} * (last_word - first_word + 1)"
+    enough = grouped.where(verified).select(
+        "doc_id", "text_key", "label", "exact", "first_word", "last_word", F.expr("n / pairs").alias("share")
     )
     return whole.unionByName(enough)
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """Per document: ``doc_id, n_words, n_base, first_word, last_word,
-    base_labels, labels, score``.
+def scan(docs: DataFrame, texts: Mapping[str, str] = TEXTS) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, n_words, n_base, first_word, last_word,
+    base_labels, labels, score``. ``texts`` are the templates besides ``PHRASES``.
 
     ``n_base`` counts all places of ``PHRASES``; ``first_word`` and
     ``last_word`` are the smallest and largest place one starts at, null
     without any; label lists are sorted and joined by commas, empty without
     any; ``score`` is the largest share of a template found. Null and empty
-    texts have no words. Rows that repeat ``doc_id`` and text are one document;
-    a ``doc_id`` with several texts, null included, is one document per text.
+    texts have no words. Rows that repeat ``doc_id`` and text are counted and
+    come back as often; a ``doc_id``, null included, may have several texts.
     An empty table gives no row. Only ``doc_id`` and ``text`` are read.
     """
     folder = new_folder(docs.sparkSession, "licenses")
-    found = written(votes(docs), folder, "votes")
+    found = written(votes(docs, texts), folder, "votes")
     places = spans(found)
-    ends = found.where("template = -1").select("doc_id", "text_key", "n_words")
+    ends = found.where("template = -1").select("doc_id", "text_key", "n_words", F.lit(1).alias("row"))
     rows = places.unionByName(ends, allowMissingColumns=True)
     joined = "array_join(sort_array(collect_set({})), ',')"
     return (
@@ -158,6 +152,8 @@ def scan(docs: DataFrame) -> DataFrame:
             F.expr(joined.format("if(exact, label, null)")).alias("base_labels"),
             F.expr(joined.format("label")).alias("labels"),
             F.coalesce(F.max("share"), F.lit(0.0)).alias("score"),
+            F.sum("row").alias("rows"),
         )
-        .drop("text_key")
+        .withColumn("row", F.explode(F.expr("sequence(1, rows)")))
+        .drop("text_key", "row", "rows")
     )
