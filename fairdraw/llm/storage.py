@@ -41,6 +41,12 @@ def written(df: DataFrame, folder: str, name: str, rows: int = 512) -> DataFrame
     return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     """Where Python tasks open a file of the shared folder."""
     if uri.startswith("file:"):

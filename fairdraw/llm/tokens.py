@@ -14,6 +14,10 @@ checkpoint per unit: file, offset, number of blocks and the tokens before it.
 Units decode independently, block by block, so the memory of a task is bounded
 by a block whatever the length of a document.
 
+The folder stands alone: beside ``files`` and ``manifest`` it has a table
+``model`` of one row, the frequencies all blocks share, the end id, and the
+digest of the tokenizer the ids belong to. :func:`open_tokens` needs no more.
+
 Nulls: a null text is an empty text; a null ``doc_id`` comes first and is kept
 as null. Rows with the same ``doc_id`` are documents of their own, in the order
 of their ids. Every document ends with the end id, empty ones hold only that.
@@ -22,9 +26,11 @@ An empty table gives no file and no row. Only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fairdraw.llm import rans
-from fairdraw.llm.storage import attempt_name, filesystem, new_folder, published, written
+from fairdraw.llm.storage import attempt_name, filesystem, new_folder, published, remove, written
 from fairdraw.llm.text import BLANK, Texts, bounds_of, rows
 
 BLOCK = 1 << 18
@@ -275,7 +281,9 @@ def write_files(tokens: DataFrame, model: rans.Model, folder: str, partitions: i
                 put(stream, [blocks.close()])
         yield pa.RecordBatch.from_pylist(units, schema=_UNIT_SCHEMA)
 
-    ordered = tokens.repartitionByRange(partitions, F.asc_nulls_first("doc_id")).sortWithinPartitions(
+    # Documents of one id are split by their first ids, which keeps their order.
+    head = F.substring("ids", 1, 64)
+    ordered = tokens.repartitionByRange(partitions, F.asc_nulls_first("doc_id"), head).sortWithinPartitions(
         F.asc_nulls_first("doc_id"), "ids"
     )
     return ordered.mapInArrow(run, UNIT)
@@ -337,9 +345,10 @@ def decode_files(manifest: DataFrame, model: rans.Model, folder: str, partitions
     return manifest.repartition(partitions, "file_no", "unit_no").mapInArrow(run, DECODED)
 
 
-def read_ids(spark: SparkSession, manifest: DataFrame, model: rans.Model, folder: str, partitions: int) -> DataFrame:
+def read_ids(files: TokenFiles) -> DataFrame:
     """The ids themselves, a row per document and block: ``doc_id, part, ids``."""
-    shared = spark.sparkContext.broadcast(model.frequency)
+    spark, folder = files.manifest.sparkSession, f"{files.folder}/files"
+    shared = spark.sparkContext.broadcast(files.model.frequency)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = rans.Model.of_frequency(shared.value)
@@ -354,7 +363,8 @@ def read_ids(spark: SparkSession, manifest: DataFrame, model: rans.Model, folder
                         schema=pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("ids", pa.list_(pa.int64()))]),
                     )
 
-    return manifest.repartition(partitions, "file_no", "unit_no").mapInArrow(run, "doc_id long, part int, ids array<long>")
+    units = files.manifest.repartition(files.partitions, "file_no", "unit_no")
+    return units.mapInArrow(run, "doc_id long, part int, ids array<long>")
 
 
 def vocabulary_size(tokenizer_path: str, end_id: int) -> int:
@@ -365,19 +375,42 @@ def vocabulary_size(tokenizer_path: str, end_id: int) -> int:
 
 def write_tokens(
     docs: DataFrame, tokenizer_path: str, end_id: int, folder: str, partitions: int | None = None, block: int = BLOCK
-) -> tuple[DataFrame, rans.Model, int]:
-    """Tokenize, count, and write the files: the manifest, the shared model and
-    the number of tasks that decode well.
+) -> None:
+    """Tokenize, count, and write the files, their manifest and the shared model.
 
     The ids are written once before they are ordered, so that sampling the
-    order and counting the frequencies do not tokenize again.
+    order and counting the frequencies do not tokenize again; that copy is removed.
     """
     spark = docs.sparkSession
     tokens = written(tokenize(docs, tokenizer_path, end_id), folder, "ids")
     model = rans.Model.of_counts(counts_of(tokens, vocabulary_size(tokenizer_path, end_id)))
     partitions = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), tokens.rdd.getNumPartitions())
-    manifest = written(write_files(tokens, model, f"{folder}/files", partitions, block), folder, "manifest", rows=256)
-    return manifest, model, partitions
+    written(write_files(tokens, model, f"{folder}/files", partitions, block), folder, "manifest", rows=256)
+    with open(tokenizer_path, "rb") as file:
+        digest = hashlib.sha256(file.read()).hexdigest()
+    row = (model.frequency.astype("<u4").tobytes(), end_id, digest, partitions)
+    kind = "frequency binary, end_id int, tokenizer_sha256 string, partitions int"
+    spark.createDataFrame([row], kind).write.parquet(f"{folder}/model")
+    remove(spark, f"{folder}/ids")
+
+
+@dataclass
+class TokenFiles:
+    """A folder of token files, opened: ``partitions`` tasks decode it well."""
+
+    folder: str
+    manifest: DataFrame
+    model: rans.Model
+    end_id: int
+    tokenizer_sha256: str
+    partitions: int
+
+
+def open_tokens(spark: SparkSession, folder: str) -> TokenFiles:
+    row = spark.read.parquet(f"{folder}/model").first()
+    model = rans.Model.of_frequency(np.frombuffer(row["frequency"], "<u4").astype(np.int64))
+    manifest = spark.read.schema(UNIT).parquet(f"{folder}/manifest")
+    return TokenFiles(folder, manifest, model, row["end_id"], row["tokenizer_sha256"], row["partitions"])
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
@@ -385,8 +418,16 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> D
     ``doc_id, start, n_tokens, ids_crc32``."""
     spark = docs.sparkSession
     folder = new_folder(spark, "tokens")
-    manifest, model, partitions = write_tokens(docs, tokenizer_path, end_id, folder)
-    decoded = written(decode_files(manifest, model, f"{folder}/files", partitions), folder, "decoded", rows=16)
+    write_tokens(docs, tokenizer_path, end_id, folder)
+    return documents_of(open_tokens(spark, folder))
+
+
+def documents_of(files: TokenFiles) -> DataFrame:
+    """Per document of the files its place, its number of tokens and the checksum
+    of its ids: ``doc_id, start, n_tokens, ids_crc32``."""
+    manifest = files.manifest
+    made = decode_files(manifest, files.model, f"{files.folder}/files", files.partitions)
+    decoded = written(made, new_folder(manifest.sparkSession, "decoded"), "documents", rows=16)
     # One row per file: the tokens of all files before it.
     totals = manifest.groupBy("file_no").agg(F.sum("tokens").alias("tokens"))
     earlier = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)

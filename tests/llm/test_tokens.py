@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from samples import prose
 from tokenizers import Tokenizer
 
@@ -48,10 +54,11 @@ def test_empty_table(documents):
 def test_long_document_goes_through_several_blocks(spark, documents):
     rows = [(0, prose(1, 30)), (1, prose(2, 5000)), (2, ""), (3, prose(3, 450)), (4, prose(4, 2000))]
     folder = new_folder(spark, "tokens")
-    manifest, model, partitions = tokens.write_tokens(documents(rows), PATH, 2, folder, 1, block=500)
-    units = manifest.orderBy("file_no", "unit_no").collect()
+    tokens.write_tokens(documents(rows), PATH, 2, folder, 1, block=500)
+    files = tokens.open_tokens(spark, folder)
+    units = files.manifest.orderBy("file_no", "unit_no").collect()
     assert max(u.blocks for u in units) > 3
-    back = tokens.read_ids(spark, manifest, model, f"{folder}/files", partitions).orderBy("doc_id", "part").collect()
+    back = tokens.read_ids(files).orderBy("doc_id", "part").collect()
     tokenizer = Tokenizer.from_file(PATH)
     for i, text in rows:
         ids = [x for r in back if r.doc_id == i for x in r.ids]
@@ -97,3 +104,37 @@ def test_words_of_regular_patterns_keep_their_ids(documents):
         rows += [(len(rows), one), (len(rows) + 1, one.translate(str.maketrans("ab", "ba")))]
     got = tokens.encode_documents(documents(rows).coalesce(1), PATH)
     assert sorted(map(tuple, got.collect())) == expected(rows)
+
+
+ALONE = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from tools.session import local_session
+from fairdraw.llm import tokens
+
+spark = local_session("alone", cpus="2")
+spark.sparkContext.environment["PYTHONPATH"] = sys.argv[1]
+files = tokens.open_tokens(spark, sys.argv[2])
+print("TOKENS", files.end_id, files.tokenizer_sha256, sorted((r.doc_id, r.ids) for r in tokens.read_ids(files).collect()))
+"""
+
+
+def test_a_folder_alone_is_read_in_another_session(spark, documents, tmp_path):
+    rows = [(i, prose(i, 30 + i)) for i in range(12)]
+    folder = f"{tmp_path}/alone"
+    tokens.write_tokens(documents(rows), PATH, 2, folder)
+    assert sorted(x for x in os.listdir(folder) if not x.startswith(".")) == ["files", "manifest", "model"]
+    root = str(Path(__file__).resolve().parents[2])
+    said = subprocess.run([sys.executable, "-c", ALONE, root, f"file:{folder}"], capture_output=True, text=True, timeout=300, check=True)
+    line = next(x for x in said.stdout.splitlines() if x.startswith("TOKENS"))
+    tokenizer = Tokenizer.from_file(PATH)
+    ids = [(i, [*tokenizer.encode(t, add_special_tokens=False).ids, 2]) for i, t in rows]
+    assert line == f"TOKENS 2 {hashlib.sha256(Path(PATH).read_bytes()).hexdigest()} {ids}"
+
+
+def test_many_documents_without_id_are_spread(spark, documents):
+    rows = [(None, prose(i, 20)) for i in range(400)]
+    tokens.write_tokens(documents(rows), PATH, 2, folder := new_folder(spark, "tokens"), 8)
+    files = tokens.open_tokens(spark, folder)
+    sizes = [r["n"] for r in files.manifest.groupBy("file_no").agg(F.sum("docs").alias("n")).collect()]
+    assert sum(sizes) == 400 and max(sizes) < 200
