@@ -8,23 +8,36 @@ from pyspark.sql import functions as F
 from fairdraw.llm.storage import written
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+# A vertex with more than one part in so many of the edges is a large one.
+PARTS = 1000
+
+
+def _with_least(edges: DataFrame, least: DataFrame, limit: int) -> DataFrame:
+    """Edges with the ``m`` of their ``a``. Large vertices, of which there are
+    ``2 * PARTS`` at most, are looked up in a broadcast table, so no task of the
+    shuffled join gets more than ``limit`` edges of one vertex."""
+    large = F.broadcast(least.where(f"n > {limit}").select("a", "m"))
+    small = least.where(f"n <= {limit}").select("a", "m")
+    return edges.join(large, "a").unionByName(edges.join(large, "a", "left_anti").join(small, "a"))
+
+
+def _large_star(edges: DataFrame, limit: int) -> DataFrame:
     """Tie every larger neighbour of a vertex to its smallest neighbour."""
     both = edges.select("a", "b").union(edges.select("b", "a"))
-    least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-    return both.where("b > a").join(least, "a").selectExpr("b as a", "m as b").distinct()
+    least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count(F.lit(1)).alias("n"))
+    return _with_least(both.where("b > a"), least, limit).selectExpr("b as a", "m as b").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, limit: int) -> DataFrame:
     """Tie a vertex and its smaller neighbours to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where("b <> m").selectExpr("b as a", "m as b")
+    least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+    moved = _with_least(edges, least, limit).where("b <> m").selectExpr("b as a", "m as b")
     return moved.union(least.selectExpr("a", "m as b")).distinct()
 
 
 def _is_stars(edges: DataFrame) -> bool:
     several = edges.groupBy("a").count().where("count > 1").select("a")
-    chained = edges.select(F.col("b").alias("a")).join(edges.select("a"), "a", "left_semi")
+    chained = edges.select(F.col("b").alias("a")).distinct().join(edges.select("a"), "a", "left_semi")
     return several.union(chained).isEmpty()
 
 
@@ -35,13 +48,16 @@ def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
 
     Alternates large-star and small-star steps until the edges are stars: a
     number of rounds that grows with the logarithm of the vertices. Smallest
-    neighbours are combined before each shuffle, so a vertex may have any number
-    of edges. Every round is written, so lineage stays short.
+    neighbours are combined before each shuffle, and edges of large vertices are
+    not shuffled to be joined, so a vertex may have any number of edges. Every
+    round is written, so lineage stays short.
     """
     a, b = edges.columns
     edges = edges.where(f"{a} <> {b}").selectExpr(f"greatest({a}, {b}) as a", f"least({a}, {b}) as b")
     edges, number = written(edges.distinct(), folder, f"{name}-0"), 0
     while not _is_stars(edges):
         number += 1
-        edges = written(_small_star(_large_star(edges)), folder, f"{name}-{number}")
+        limit = max(2, edges.count() // PARTS)
+        large = written(_large_star(edges, limit), folder, f"{name}-{number}-large")
+        edges = written(_small_star(large, limit), folder, f"{name}-{number}")
     return edges.selectExpr("a as id", "b as component")

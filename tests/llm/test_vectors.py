@@ -7,6 +7,7 @@ import math
 import numpy as np
 import pytest
 
+from fairdraw.llm import components as component_table
 from fairdraw.llm import vectors
 from fairdraw.llm.components import components
 from fairdraw.llm.storage import new_folder
@@ -119,3 +120,26 @@ def test_doubles_equal_as_floats_have_keys_of_their_own(spark):
     table = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0 + 1e-12]), (3, [1.0, 2.0])], "vec_id long, embedding array<double>")
     keys = {r.vec_id: r.key for r in vectors.keyed(table).collect()}
     assert keys[1] == keys[3] != keys[2]
+
+
+@pytest.mark.parametrize("parts", [1, 30])
+def test_components_with_large_vertices(spark, monkeypatch, parts):
+    """Stars of different sizes, some joined by a chain, against a search."""
+    monkeypatch.setattr(component_table, "PARTS", parts)
+    edges = [(5, 1000 + i) for i in range(300)] + [(3000 + i, 2999) for i in range(100)] + [(1000, 3000), (7, 8), (8, 9), (9, 7)]
+    edges += [(5000 + i, 5001 + i) for i in range(40)]
+    got = components(spark.createDataFrame(edges, "x long, y long").repartition(3), new_folder(spark, "test"), "c").collect()
+    near = {}
+    for x, y in edges:
+        near.setdefault(x, set()).add(y)
+        near.setdefault(y, set()).add(x)
+    expected, seen = set(), set()
+    for start in sorted(near):
+        todo = [start] if start not in seen else []
+        while todo:
+            at = todo.pop()
+            if at not in seen:
+                seen.add(at)
+                expected |= {(at, start)} if at != start else set()
+                todo += near[at]
+    assert {tuple(r) for r in got} == expected and len(got) == len(expected)
