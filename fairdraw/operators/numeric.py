@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fairdraw.functions.columns import INTERNAL, columns_of_type, name, report_round, text, to_number
-from fairdraw.plans.order_statistics import DOUBLES, number_list, order_statistics
+from fairdraw.plans.order_statistics import DOUBLES, number_list, order_statistics, sketch_columns
 from fairdraw.sources.scratch import ensure_checkpoint_dir
 
 # The deciles, the share at which tails are cut, the digits to
@@ -66,7 +66,8 @@ def _located(df: DataFrame, columns: Sequence[str], ranks: str, many: int) -> Da
             digits, scale = (int(part) for part in exact[8:-1].split(","))
             most = "9" * (digits - scale) + (f".{'9' * scale}" if scale else "")
             ends = f"cast('-{most}' as {exact})", f"cast('{most}' as {exact})"
-        part = order_statistics(values, ["column"], ranks, many, ends)
+        sketched = sketch_columns(df, {c: _as_exact(c, df.schema[c].dataType) for c in some}, "column")
+        part = order_statistics(values, ["column"], ranks, many, ends, sketched)
         found = part if found is None else found.unionByName(part)
     return found
 

@@ -1,27 +1,32 @@
 """Exact order statistics of large columns without sorting them.
 
-Three passes over the narrow columns. The first makes an approximate quantile
-sketch per group, which brackets every wanted rank. The second counts the
-rows of each bracket exactly and sketches inside it, for a much narrower
-bracket. The third counts the distinct values inside the narrow brackets and
-reads the wanted value off the running count. Each shuffle carries sketches,
-counts, or the values of about one row in 25,000; copies of one value travel
-as one count, so a value that fills a third of the table costs no more.
+Passes over the narrow columns. The first makes an approximate quantile sketch
+per group, which brackets every wanted rank. While a bracket may hold more
+than ``FEW`` rows, a further pass counts the rows of each bracket exactly and sketches
+inside it, for a bracket about a hundred times narrower. The last pass counts the
+distinct values inside the brackets and reads the wanted value off the running
+count: a task gets ``FEW`` values at most, whatever the size of the table. Each
+shuffle carries sketches, counts, or these values; copies of one value travel as
+one count, so a value that fills a third of the table costs no more.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fairdraw.functions.columns import text
 from fairdraw.plans.lookup import join_on_keys
+from fairdraw.sources.scratch import ensure_checkpoint_dir
 
 GRID = 500
 ACCURACY = 5_000
 # Up to this many rows a bracket is not narrowed further.
 SMALL = 20 * GRID
+# Rows of a bracket whose distinct values one task may count up.
+FEW = 1_000_000
 
 
 def number_list(numbers: Sequence[float]) -> str:
@@ -74,39 +79,24 @@ def _cell(first: int, last: int) -> str:
 DOUBLES = "double('-Infinity')", "double('Infinity')"
 
 
-def order_statistics(
-    values: DataFrame, groups: Sequence[str], ranks: str, many: int, ends: tuple[str, str] = DOUBLES
-) -> DataFrame:
-    """Values at given ranks in each group of ``values``.
+def sketch_columns(df: DataFrame, columns: Mapping[str, str], group: str) -> DataFrame:
+    """``group, n, grid`` of several columns, given as SQL text by name, in one
+    aggregate over the rows as they are."""
+    parts = []
+    for number, value in enumerate(columns.values()):
+        parts += [F.count(F.expr(value)).alias(f"n{number}"), _grid(value).alias(f"grid{number}")]
+    label = [f"struct({text(c)} as {group}, n{i} as n, grid{i} as grid)" for i, c in enumerate(columns)]
+    return df.agg(*parts).select(F.expr(f"inline(array({', '.join(label)}))")).where("n > 0")
 
-    ``values`` has the group columns and a column ``x`` without nulls and NaN:
-    doubles, or decimals with ``ends`` that no value reaches, which are compared
-    exactly whatever their size.
-    ``ranks`` is SQL text of an array of ``many`` structs ``(target, rank,
-    next_rank)`` in ascending order, over the group columns and ``n``, the
-    group's row count; ranks start at 1. The number of groups must have a
-    bound, as per-group tables are broadcast.
 
-    Returns the groups with ``target, rank, n, x_at, x_next`` (the values at
-    the two ranks) and ``n_below``, the rows strictly below ``x_at``.
-    """
+def _narrowed(values: DataFrame, fences: DataFrame, groups: list[str], ranks: str, many: int) -> DataFrame:
+    """The fences of narrower brackets. Few rows, or copies of one value, stay
+    together."""
     fixed = [*groups, "n"]
     cells = Window.partitionBy(*groups).orderBy("cell")
-    cell = F.expr(_cell(0, 2 * many)).alias("cell")
-
-    sketched = values.groupBy(*groups).agg(
-        F.count("x").cast("bigint").alias("n"), _grid("x").alias("grid")
-    )
-    lows = _low("t.rank", "n", ends[0])
-    highs = _high("t.next_rank", "n", ends[1])
-    wide = sketched.withColumn(
-        "brackets",
-        F.expr(f"transform({ranks}, t -> struct({lows} as low, {highs} as high))"),
-    ).select(*fixed, _fences("brackets").alias("fences"))
-
     counted = (
-        join_on_keys(values, wide, groups, small=True)
-        .select(*fixed, "x", "fences", cell)
+        join_on_keys(values, fences, groups, small=True)
+        .select(*fixed, "x", "fences", F.expr(_cell(0, 2 * many)).alias("cell"))
         .groupBy(
             *fixed,
             "cell",
@@ -129,12 +119,51 @@ def order_statistics(
             F.max(F.expr(_high("place", "rows", "high_end"))).alias("high"),
         )
     )
-    narrow = (
+    return (
         located.groupBy(*fixed)
         .agg(F.expr("array_sort(collect_list(struct(t.rank, t.next_rank, low, high)))").alias("brackets"))
         .select(*fixed, _fences("brackets").alias("fences"))
     )
 
+
+def order_statistics(
+    values: DataFrame,
+    groups: Sequence[str],
+    ranks: str,
+    many: int,
+    ends: tuple[str, str] = DOUBLES,
+    sketched: DataFrame | None = None,
+) -> DataFrame:
+    """Values at given ranks in each group of ``values``. Runs jobs.
+
+    ``values`` has the group columns and a column ``x`` without nulls and NaN:
+    doubles, or decimals with ``ends`` that no value reaches, which are compared
+    exactly whatever their size.
+    ``ranks`` is SQL text of an array of ``many`` structs ``(target, rank,
+    next_rank)`` in ascending order, over the group columns and ``n``, the
+    group's row count; ranks start at 1. The number of groups must have a
+    bound, as per-group tables are broadcast. ``sketched`` may bring the groups'
+    ``n`` and ``grid`` along.
+
+    Returns the groups with ``target, rank, n, x_at, x_next`` (the values at
+    the two ranks) and ``n_below``, the rows strictly below ``x_at``.
+    """
+    groups = list(groups)
+    fixed = [*groups, "n"]
+    cells = Window.partitionBy(*groups).orderBy("cell")
+    cell = F.expr(_cell(0, 2 * many)).alias("cell")
+    ensure_checkpoint_dir(values.sparkSession)
+    if sketched is None:
+        sketched = values.groupBy(*groups).agg(F.count("x").cast("bigint").alias("n"), _grid("x").alias("grid"))
+    lows = _low("t.rank", "n", ends[0])
+    highs = _high("t.next_rank", "n", ends[1])
+    brackets = F.expr(f"transform({ranks}, t -> struct({lows} as low, {highs} as high))")
+    narrow = sketched.withColumn("brackets", brackets).select(*fixed, _fences("brackets").alias("fences")).checkpoint()
+    # A bracket spans five steps of the grid at most, besides copies of one value.
+    inside = 5 * (narrow.agg(F.max("n")).collect()[0][0] or 0) / GRID
+    while inside > FEW:
+        narrow, inside = _narrowed(values, narrow, groups, ranks, many).checkpoint(), 5 * inside / GRID
+
     distinct = (
         join_on_keys(values, narrow, groups, small=True)
         .select(*fixed, "x", cell)

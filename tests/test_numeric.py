@@ -42,6 +42,20 @@ def test_quantiles_equal_numpy(shapes, monkeypatch, grid):
             assert found[column, p] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-12)
 
 
+def test_brackets_are_narrowed_while_they_hold_many_rows(shapes, monkeypatch):
+    data, df = shapes
+    monkeypatch.setattr(stats, "GRID", 20)
+    monkeypatch.setattr(stats, "SMALL", 8)
+    monkeypatch.setattr(stats, "FEW", 5)
+    calls, plain = [], stats._narrowed
+    monkeypatch.setattr(stats, "_narrowed", lambda *a: calls.append(1) or plain(*a))
+    found = quantiles(df, list(data))
+    assert len(calls) >= 3
+    for column, values in data.items():
+        for p in P:
+            assert found[column, p] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-12)
+
+
 @pytest.mark.parametrize("values", [[1.0], [1.0, 2.0], [3.0, 3.0, 3.0, 9.0], list(range(11))])
 def test_quantiles_of_few_rows(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
