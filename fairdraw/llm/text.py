@@ -151,6 +151,34 @@ def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return out
 
 
+def numbered(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each piece of ``data`` among the distinct ones, and where the
+    first of each distinct one stands among the pieces. Pieces are sorted by hashes
+    and then compared byte by byte with the first of their number; should any
+    differ, all are told apart by their bytes."""
+    _, place, which = np.unique(_hashes(data, start, end), return_index=True, return_inverse=True)
+    size, first = end - start, place[which]
+    if (size == size[first]).all() and _equal(data, start, start[first], size):
+        return which, place
+    whole, number = data.tobytes(), {}
+    which = [number.setdefault(whole[s:e], len(number)) for s, e in zip(start.tolist(), end.tolist(), strict=True)]
+    return np.array(which, np.int64), np.unique(which, return_index=True)[1]
+
+
+def _equal(data: np.ndarray, one: np.ndarray, other: np.ndarray, size: np.ndarray) -> bool:
+    """Whether pieces of given places and sizes are equal, some at a time."""
+    upto = np.concatenate(([0], np.cumsum(size)))
+    low = 0
+    while low < len(size):
+        high = max(low + 1, int(np.searchsorted(upto, upto[low] + SLICE, "right")) - 1)
+        within = np.arange(upto[high] - upto[low]) - np.repeat(upto[low:high] - upto[low], size[low:high])
+        a, b = np.repeat(one[low:high], size[low:high]), np.repeat(other[low:high], size[low:high])
+        if (data[a + within] != data[b + within]).any():
+            return False
+        low = high
+    return True
+
+
 _PAD = np.uint64(0x5851F42D4C957F2D)
 
 

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from fairdraw.llm import rans
 from fairdraw.llm.storage import attempt_name, filesystem, new_folder, published, remove, written
-from fairdraw.llm.text import BLANK, Texts, bounds_of, rows
+from fairdraw.llm.text import BLANK, Texts, bounds_of, numbered, rows
 
 BLOCK = 1 << 18
 # Pieces a Python worker remembers with their ids: two generations of this
@@ -118,9 +118,9 @@ class Encoder:
 
     def _pieced(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         start, end, first = bounds_of(texts, BLANK, _cuts(texts.data))
-        whole, number = texts.data.tobytes(), {}
-        which = np.array([number.setdefault(whole[s:e], len(number)) for s, e in zip(start.tolist(), end.tolist(), strict=True)], np.int64)
-        pieces, old = list(number), self.old
+        which, place = numbered(texts.data, start, end)
+        whole, old = texts.data.tobytes(), self.old
+        pieces = [whole[s:e] for s, e in zip(start[place].tolist(), end[place].tolist(), strict=True)]
         found = [self.new.get(p) or old.get(p) for p in pieces]
         unknown = [i for i, ids in enumerate(found) if ids is None]
         for i, ids in zip(unknown, self.ids_of([pieces[i] for i in unknown]), strict=True):

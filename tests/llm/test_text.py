@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -29,3 +30,16 @@ def test_words_beyond_a_slice():
     n = 3 * text.SLICE
     found = hashes("x" * n, "short", "x" * (n - 1) + "y", "x" * n, "short")
     assert found[0] == found[3] != found[2] and found[1] == found[4]
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_pieces_are_numbered_by_their_bytes(monkeypatch, same):
+    """Also where all hashes are equal."""
+    if same:
+        monkeypatch.setattr(text, "_hashes", lambda data, start, end: np.zeros(len(start), np.uint64))
+    monkeypatch.setattr(text, "SLICE", 16)
+    words = ["a", "bb", "a", "ccc", "bb", "x" * 50, "x" * 49 + "y", "x" * 50, "ab", "ba"]
+    data = np.frombuffer("".join(words).encode(), np.uint8)
+    end = np.cumsum([len(w) for w in words])
+    which, place = text.numbered(data, end - [len(w) for w in words], end)
+    assert [words[i] for i in place[which]] == words and len(place) == len(set(words))
