@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fairdraw.llm.storage import new_folder, written
-from fairdraw.llm.text import rows, texts_of
+from fairdraw.llm.text import numbered, rows
 
 #: Bytes of text whose pairs are listed together.
 CHUNK = 4 << 20
@@ -271,18 +271,16 @@ def _documents(aligner: Aligner, texts: list[bytes]) -> list[_Document]:
     ends = np.append(starts[1:], len(data))
     for low in range(0, len(starts), ROUND):
         high = min(low + ROUND, len(starts))
-        number: dict[bytes, int] = {}
-        which = [
-            number.setdefault(whole[s:e], len(number)) for s, e in zip(starts[low:high].tolist(), ends[low:high].tolist(), strict=True)
-        ]
-        units = aligner.units(list(number))
+        order, place = numbered(data, starts[low:high], ends[low:high])
+        distinct = zip(starts[low:high][place].tolist(), ends[low:high][place].tolist(), strict=True)
+        units = aligner.units([whole[s:e] for s, e in distinct])
         sizes = np.array([(u.n_a, u.n_b, u.n_groups) if u else (0, 0, 0) for u in units], np.int64)
         groups = [u.groups if u else b"" for u in units]
         good = np.array([u is not None for u in units])
         table = np.frombuffer(b"".join([u.pairs for u in units if u]), np.int64)
         n_pairs = np.array([len(u.pairs) // 8 if u else 0 for u in units], np.int64)
         begin = np.cumsum(n_pairs) - n_pairs
-        order = np.array(which)
+        which = order.tolist()
         bounds = [*np.flatnonzero(np.diff(owner[low:high], prepend=-1)).tolist(), high - low]
         for at, to in zip(bounds, bounds[1:], strict=False):
             document, mine = documents[filled[owner[low + at]]], order[at:to]
