@@ -19,7 +19,7 @@ RESOLUTION = 16**HEX_DIGITS
 BELOW_ALL = ""
 ABOVE_ALL = "g"
 # Beyond the waiting time of any weight in use.
-AFTER_ALL = 1e300
+AFTER_ALL, LONGEST = 1e300, 1e299
 
 
 def priority(seed: int, ids: Sequence[str]) -> Column:
@@ -39,7 +39,9 @@ def weighted_priority(digits: str, weight: Column) -> Column:
     rows come first. Equal weights keep the order of the plain priorities;
     rows without a positive weight come last, in the order of the priorities."""
     known = (weight > 0) & ~F.isnan(weight)
-    return F.when(known, -F.log(1 - uniform(digits)) / weight).otherwise(
+    # The smallest weights wait equally long, then in the order of the priorities.
+    waiting = F.least(-F.log(1 - uniform(digits)) / weight, F.lit(LONGEST))
+    return F.when(known, waiting).otherwise(
         F.lit(AFTER_ALL) * (1 + uniform(digits))
     )
 

@@ -66,8 +66,8 @@ def total_sample(
     seed: int = 42,
 ) -> DataFrame:
     """A sample of exactly ``total`` rows, or of all rows if there are fewer,
-    spread over the strata in proportion to theirs; ``min_rows`` adds to it.
-    With ``total_digits`` the share is rounded first, and each stratum on its
+    spread over the strata in proportion to theirs, with ``min_rows`` of each
+    where it has as many; a total below the sum of these is refused. With ``total_digits`` the share is rounded first, and each stratum on its
     own, which gives nothing when it rounds to 0."""
     quota = Quota(total=total, min_rows=min_rows, total_digits=total_digits)
     return draw(df, strata, quota, ids=ids, seed=seed)
@@ -120,7 +120,9 @@ def weighted_sample(
     **plan: object,
 ) -> DataFrame:
     """Draw without replacement with chances in proportion to a weight. A weight
-    that is constant in a stratum gives the plain draw."""
+    that is constant in a stratum gives the plain draw. Rows whose weight is zero,
+    negative, null or not a number come last: they are drawn, in plain random
+    order, only where the others of their stratum don't fill its quota."""
     quota = Quota(pct=pct, n=n, min_rows=min_rows)
     return draw(df, strata, quota, ids=ids, seed=seed, weight=weight, **plan)
 

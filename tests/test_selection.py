@@ -277,3 +277,11 @@ def test_first_rows_with_repeated_ids(spark):
     with pytest.raises(Exception, match="id columns"):
         draw(df, ["a"], Quota(n=3), ids=["id"]).collect()
     assert draw(df, ["a"], Quota(n=4), ids=["id"]).count() == 4
+
+
+def test_tiny_and_huge_weights(spark):
+    weight = "element_at(array(1e-320, 1e-310, 1e300, 1.0), cast(id % 4 + 1 as int))"
+    df = spark.range(400).select("id", F.lit("s").alias("a"), F.expr(f"cast({weight} as double)").alias("w"))
+    for quota in (Quota(n=150), Quota(pct=0.4), Quota(n=150, drop_below=2)):
+        drawn = ids_of(draw(df, ["a"], quota, ids=["id"], weight="w"))
+        assert len(drawn) in (150, 160) and {i for i in range(400) if i % 4 == 2} < set(drawn)
