@@ -363,6 +363,10 @@ def drift_summary_strict(spark, d):
     return drift.drift_summary(drift_lost_levels(spark, d), max_drift_pct=2.0)
 
 
+def drift_summary_with_floors(spark, d):
+    return drift.drift_summary(drift_two_tier(spark, d), allocation=allocation_table(spark, d))
+
+
 def level_representation(spark, d):
     return drift.level_representation(documents(spark, d), floor_documents(spark, d), "lang", ["es", "fr", "xx"])
 
@@ -633,7 +637,7 @@ _QUERIES = (
     summary_with_nan, null_counts_with_nan, position_buckets_large_keys,
     strata_sizes, strata_count, strata_profile, allocation_table, floor_report, cap_report,
     vanished_strata, level_shares, sample_rate, drift_raw, drift_two_tier, drift_three_tier,
-    drift_lost_levels, drift_weighted, drift_flagged, drift_summary, drift_summary_strict,
+    drift_lost_levels, drift_weighted, drift_flagged, drift_summary, drift_summary_strict, drift_summary_with_floors,
     level_representation, merge_rare_share, merge_rare_count, merge_rare_count_many_levels, merge_nulls,
     merge_level_table, merge_report, strata_before_after, sample_after_merge, merge_audit,
     coerced_numbers, winsorized, tail_quantiles, deciles, deciles_winsorized, decile_buckets,

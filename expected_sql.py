@@ -337,6 +337,9 @@ def statements() -> dict[str, str]:
             abs(pop_pct - samp_pct) as abs_diff from """
         + compared("events", "(select * from events where value > 50)", ["event_type"]),
         "drift_summary": summary(report("documents", DOC_SAMPLE, DOC, 2, TWO), 5),
+        "drift_summary_with_floors": f"""select s.*, f.* from ({summary(report("documents", DOC_SAMPLE, DOC, 2, TWO), 5)}) as s,
+            (select count(*) filter ({raw} < 2) as n_floored, count(*) filter (greatest({raw}, 2) > pop_n) as n_capped
+             from {doc_sizes} as d) as f""",
         "drift_summary_strict": summary(
             report("documents", "(select * from documents where lang = 'en')", DOC, 3, THREE), 2
         ),

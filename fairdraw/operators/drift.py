@@ -86,9 +86,21 @@ def drift_three_tier(population: DataFrame, sample: DataFrame, columns: Sequence
     return _tiered(compare_levels(population, sample, columns, weight=weight), 3, THREE_TIER)
 
 
-def drift_summary(report: DataFrame, max_drift_pct: float = 5.0, drifted_from: float = 5.0) -> DataFrame:
+def drift_summary(
+    report: DataFrame, max_drift_pct: float = 5.0, drifted_from: float = 5.0, *, allocation: DataFrame | None = None
+) -> DataFrame:
     """One row over a report in percent: largest and mean difference, levels
-    that drifted, and PASS if the largest lies under ``max_drift_pct``."""
+    that drifted, and PASS if the largest lies under ``max_drift_pct``. With the
+    ``allocation`` table of the sample, also how many strata were lifted to the
+    minimum and how many were smaller than their target."""
+    summary = _summary(report, max_drift_pct, drifted_from)
+    if allocation is None:
+        return summary
+    marks = allocation.agg(F.expr("count_if(is_floored) as n_floored"), F.expr("count_if(is_capped) as n_capped"))
+    return summary.withColumns({c: marks.select(c).scalar() for c in marks.columns})
+
+
+def _summary(report: DataFrame, max_drift_pct: float, drifted_from: float) -> DataFrame:
     return report.agg(
         F.count(F.lit(1)).alias("n_levels"),
         F.max("abs_diff_pct").alias("max_drift_pct"),
