@@ -10,23 +10,39 @@ from pyspark.sql import functions as F
 
 from fairdraw.functions.columns import INTERNAL
 from fairdraw.functions.priority import priority
+from fairdraw.plans.lookup import KEY, keyed
 from fairdraw.plans.quota import Quota
 from fairdraw.plans.selection import draw
 
 _TURN = INTERNAL + "turn"
 _HASH = INTERNAL + "hash"
+_GROUP = INTERNAL + "group"
+# Groups of entities, by their hashes.
+GROUPS = 1 << 20
 
 
 def first_per_entity(
     df: DataFrame, entity: Sequence[str], order: Sequence[str], ids: Sequence[str], seed: int = 42
 ) -> DataFrame:
-    """One row per entity: the first by ``order``, then by priority. Each task
-    keeps one row per entity before the shuffle, so a frequent entity does not
-    gather in one task."""
-    ranked = df.withColumn(_HASH, priority(seed, ids))
+    """One row per entity: the first by ``order``, then by priority.
+
+    Most entities have one row. A narrow count of the hashes of entities finds
+    those with several; a broadcast table of ``GROUPS`` numbers at most tells
+    which rows may be theirs. All others stay where they are. Of those ranked,
+    each task keeps one row per entity before the shuffle, so a frequent entity
+    does not gather in one task.
+    """
+    marked = keyed(df, entity)
+    several = marked.groupBy(*KEY).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    group = F.expr(f"pmod({KEY[0]}, {GROUPS})")
+    groups = F.broadcast(several.select(group.alias(_GROUP)).distinct())
+    grouped = marked.withColumn(_GROUP, group)
+    alone = grouped.join(groups, _GROUP, "left_anti")
+    ranked = grouped.join(groups, _GROUP, "left_semi").withColumn(_HASH, priority(seed, ids))
     window = Window.partitionBy(*entity).orderBy(*order, _HASH, *ids)
     rank = INTERNAL + "rank"
-    return ranked.withColumn(rank, F.row_number().over(window)).where(f"{rank} = 1").drop(rank, _HASH)
+    first = ranked.withColumn(rank, F.row_number().over(window)).where(f"{rank} = 1")
+    return alone.select(*df.columns).unionByName(first.select(*df.columns))
 
 
 def period_sample(

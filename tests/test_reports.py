@@ -1,4 +1,5 @@
 import pytest
+from draws import priority
 from pyspark.sql import functions as F
 
 from fairdraw.operators import chunks, drift, merge, periods, profile
@@ -148,3 +149,17 @@ def test_a_kept_level_called_other_is_not_in_the_audit(spark):
     merged = merge.merge_rare_levels(levels(spark, Other=60, a=30, b=6, d=4), "c", "Other", threshold=0.1)
     assert merged.where("c = 'Other'").count() == 70
     assert [tuple(r) for r in merge.merge_audit(merged, "c", "Other").collect()] == [("b", 6), ("d", 4)]
+
+
+@pytest.mark.parametrize("groups", [1, 7, 1 << 20])
+def test_first_row_of_every_entity(spark, monkeypatch, groups):
+    monkeypatch.setattr(periods, "GROUPS", groups)
+    rows = [(i, None if i % 50 == 0 else 0 if i % 3 == 0 else i // 2 * 2, (i * 7) % 5) for i in range(600)]
+    df = spark.createDataFrame(rows, "id int, entity int, turn int").repartition(5)
+    got = periods.first_per_entity(df, ["entity"], ["turn"], ["id"], seed=3)
+    assert got.columns == df.columns
+    best = {}
+    for i, e, t in rows:
+        key = (t, priority(3, i), i)
+        best[e] = min(best.get(e, key), key)
+    assert sorted((r.id for r in got.collect())) == sorted(k[2] for k in best.values())
