@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairdraw.llm.bitmap import bitmap_of, may_contain, without
+from fairdraw.llm.carried import carried
 from fairdraw.llm.storage import new_folder, written
 from fairdraw.llm.text import LOWER, MARKS, Words, mix, rows, words_of
 
@@ -159,8 +160,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all their columns."""
+    """The rows of ``docs`` that hold no benchmark item, with all their columns.
+    Null and empty texts hold none and stay, rows that repeat stay as often. Names
+    starting with ``__`` are refused."""
+    _, columns = carried(docs)
     folder = new_folder(docs.sparkSession, "benchmark")
     bad = written(contaminated(docs, benchmark).select(F.col("key").alias("__text_key")).distinct(), folder, "bad")
     keyed = docs.withColumn("__text_key", F.xxhash64(F.col("text").cast("string")))
-    return without(keyed, bad, ["__text_key"]).select(*docs.columns)
+    return without(keyed, bad, ["__text_key"]).select(*columns)

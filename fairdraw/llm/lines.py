@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairdraw.llm.bitmap import bitmap_of, may_contain
+from fairdraw.llm.carried import carried
 from fairdraw.llm.storage import new_folder, written
 from fairdraw.llm.text import mix
 
@@ -197,21 +198,24 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     kept = firsts.select("hash", "first").join(near, "hash", "left_anti")
     kept = kept.groupBy("first.doc", "first.text_key").agg(F.collect_list("first.line_no").alias("__kept"))
     kept = kept.withColumnsRenamed({"doc": "__doc", "text_key": "__key"})
-    rest = [c for c in docs.columns if c not in ("n_lines", "n_kept")]
-    keyed = docs.select(*rest).withColumn("__text_key", F.xxhash64(F.col("text").cast("string")))
+    rest, columns = carried(docs, ("n_lines", "n_kept"))
+    keyed = docs.select(*columns).withColumn("__text_key", F.xxhash64(F.col("text").cast("string")))
     same = F.expr(f"coalesce(cast(doc_id as long), {_LAST}) = __doc and __text_key = __key")
-    schema = docs.select(*rest, F.lit(0).alias("n_lines"), F.lit(0).alias("n_kept")).schema
+    # Functions over Arrow batches need plain names.
+    plain = [c.alias(f"c{i}") for i, c in enumerate(columns)]
+    schema = docs.select(*plain, F.lit(0).alias("n_lines"), F.lit(0).alias("n_kept")).schema
+    at = [c.lower() for c in rest].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, before, after = [], [], []
-            for text, numbers in zip(batch.column("text").to_pylist(), batch.column("__kept").to_pylist(), strict=True):
+            for text, numbers in zip(batch.column(at).to_pylist(), batch.column("__kept").to_pylist(), strict=True):
                 numbers, lines = set(numbers or ()), text.split("\n") if text else []
                 left = [line for i, line in enumerate(lines) if i in numbers or not line.strip()]
                 texts.append("\n".join(left) if text is not None else None)
                 before.append(len(lines))
                 after.append(len(left))
-            columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in rest]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(before, pa.int32()), pa.array(after, pa.int32())], [*rest, "n_lines", "n_kept"])
+            given = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(rest))]
+            yield pa.RecordBatch.from_arrays([*given, pa.array(before, pa.int32()), pa.array(after, pa.int32())], schema.names)
 
-    return keyed.join(kept, same, "left").select(*rest, "__kept").mapInArrow(run, schema)
+    return keyed.join(kept, same, "left").select(*plain, "__kept").mapInArrow(run, schema).toDF(*rest, "n_lines", "n_kept")

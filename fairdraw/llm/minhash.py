@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairdraw.llm.bitmap import without
+from fairdraw.llm.carried import carried
 from fairdraw.llm.components import components
 from fairdraw.llm.storage import new_folder, written
 from fairdraw.llm.text import Texts, mix, rows, shingles_of, texts_of, words_of
@@ -299,8 +300,9 @@ def deduplicated(docs: DataFrame, k: int = WORDS) -> DataFrame:
     ``docs``: that with the smallest ``doc_id``, null last. Equal rows, and texts
     without words, are no reason to drop a row, except that a row whose
     ``doc_id`` and text both repeat stays once. Names starting with ``__`` are
-    reserved. Rows that stay are hardly moved.
+    refused. Rows that stay are hardly moved.
     """
+    _, columns = carried(docs)
     placed = _grouped(docs, k)
     rank = F.expr(f"struct(coalesce(doc_id, {2**63 - 1}L) as doc_id, text_key)")
     first = placed.where("label is not null").groupBy("label").agg(F.min(rank).alias("first"))
@@ -314,9 +316,9 @@ def deduplicated(docs: DataFrame, k: int = WORDS) -> DataFrame:
     names = {"doc_id": "__id", "text_key": "__text_key"}
     kept = without(keyed, dropped.withColumnsRenamed(names), list(names.values()))
     if repeated.isEmpty():
-        return kept.select(*docs.columns)
+        return kept.select(*columns)
     keys = repeated.withColumnsRenamed(names)
     same = F.expr("a.__id <=> b.__id and a.__text_key = b.__text_key")
     once = kept.alias("a").join(keys.alias("b"), same, "left_semi")
     once = once.dropDuplicates(["__id", "__text_key"])
-    return without(kept, keys, list(names.values())).unionByName(once).select(*docs.columns)
+    return without(kept, keys, list(names.values())).unionByName(once).select(*columns)

@@ -24,6 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fairdraw.llm.carried import carried
 from fairdraw.llm.storage import new_folder, written
 
 LEVELS = ("domain", "lang", "source")
@@ -169,12 +170,13 @@ def mixed(docs: DataFrame, mix: Mix, tokens: str = TOKENS) -> DataFrame:
     the last one up to its cut. Rows that share a ``doc_id``, null included,
     share their place in the order and are read together or not at all; such
     ties never exceed the budget. An empty table gives no row. A column named
-    ``copies`` is replaced; names starting with ``__`` are reserved.
+    ``copies``, in any case, is replaced; names starting with ``__`` are refused.
     """
+    _, columns = carried(docs, ("copies",))
     folder = new_folder(docs.sparkSession, "mixing")
     # One row per leaf; by its written size it is broadcast or not.
     table = cuts(docs, mix, tokens, folder)
     again = "__order < __below or coalesce(__order <= __last and startswith(__order, __below), false)"
-    placed = _placed(docs.drop("copies"), mix).join(table, _NODE).withColumn("__order", _order(mix))
+    placed = _placed(docs.select(*columns), mix).join(table, _NODE).withColumn("__order", _order(mix))
     counted = placed.withColumn("copies", F.expr(f"cast(__epochs + if({again}, 1, 0) as int)")).where("copies > 0")
-    return counted.select(*[c for c in docs.columns if c != "copies"], "copies")
+    return counted.select(*columns, "copies")

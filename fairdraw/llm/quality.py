@@ -267,17 +267,21 @@ def score_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
 
 def accepted(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """The rows of ``docs`` that the model predicts to be of good quality, with
-    all their columns. Whole rows are not shuffled: the text is measured again.
+    all their columns. Null and empty texts are scored like any other, rows that
+    repeat stay or go together. Whole rows are not shuffled: the text is measured again.
 
     That happens when the result is read, so the session's batches for Python
     are set to ``BATCH`` rows and stay so: whole rows are long."""
     features = written(measured(docs), new_folder(docs.sparkSession, "quality"), "measured")
     model = fitted(features, labels, fit_rows)
+    # Functions over Arrow batches need plain names.
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    at = [c.lower() for c in docs.columns].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in rows(batch, "text", 1 << 20):
+            for part, texts in rows(batch, plain[at], 1 << 20):
                 yield part.filter(pa.array(model.score(measure(texts)) >= 0.5))
 
     docs.sparkSession.conf.set(BATCH_ROWS, str(BATCH))
-    return docs.mapInArrow(run, docs.schema)
+    return docs.toDF(*plain).mapInArrow(run, docs.toDF(*plain).schema).toDF(*docs.columns)
