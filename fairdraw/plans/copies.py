@@ -104,11 +104,12 @@ def number_copies(rows: DataFrame) -> DataFrame:
                 number[order] = taken[at[order]] + np.arange(len(order)) - np.repeat(first, n) + 1
                 taken[which] += n
                 counts[which] -= n
-            kept = [batch.column(i) for i in range(batch.num_columns) if batch.schema.names[i] not in (h1, h2, task)]
-            names = [x for x in batch.schema.names if x not in (h1, h2, task)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(number)], [*names, copy])
+            kept = [batch.column(i) for i in range(batch.num_columns - 3)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(number)], [*batch.schema.names[:-3], copy])
         if counts is not None and counts.any():
             raise ValueError("a task got other rows than in the pass before; checkpoint the table first")
 
-    kind = StructType([*rows.schema.fields]).add(COPY, LongType(), False)
-    return marked.select(*[F.col(name(c)) for c in columns], _H1, _H2, _TASK).mapInArrow(run, kind)
+    # Functions over Arrow batches need plain names.
+    plain = [F.col(name(c)).alias(f"{INTERNAL}c{i}") for i, c in enumerate(columns)]
+    kind = StructType([*marked.select(*plain).schema.fields]).add(COPY, LongType(), False)
+    return marked.select(*plain, _H1, _H2, _TASK).mapInArrow(run, kind).toDF(*columns, COPY)

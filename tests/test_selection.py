@@ -143,6 +143,8 @@ def test_copies_of_exchanged_and_empty_tables(spark):
     found = sorted((r["k"], r[copies.COPY]) for r in copies.number_copies(df).collect())
     assert found == sorted([(k, 1) for k in range(7)] + [(k, 2) for k in range(3)])
     assert copies.number_copies(spark.createDataFrame([], "k long, v array<string>")).collect() == []
+    dotted = copies.number_copies(spark.createDataFrame([(1, 2), (1, 2)], "`a.b` int, `c``d` int"))
+    assert dotted.columns == ["a.b", "c`d", copies.COPY] and sorted(map(tuple, dotted.collect())) == [(1, 2, 1), (1, 2, 2)]
 
 
 @pytest.mark.parametrize("parts", [1, 3, 7])
