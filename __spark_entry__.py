@@ -267,8 +267,9 @@ def total_size_with_floor(spark, d):
 
 
 def total_size_with_boosts(spark, d):
-    quota = Quota(total=300, min_rows=1, max_rows=60, boost_levels={"lang": ["es"]}, drop_below=3)
-    return draw(documents(spark, d), DOC_STRATA, quota, ids=["doc_id"], seed=SEED).select("doc_id", *DOC_STRATA)
+    rows = documents(spark, d)
+    quota = Quota(total=rows.count() // 2, min_rows=1, max_rows=60, boost_levels={"lang": ["es"]}, drop_below=3)
+    return draw(rows, DOC_STRATA, quota, ids=["doc_id"], seed=SEED).select("doc_id", *DOC_STRATA)
 
 
 def small_strata_collapsed(spark, d):

@@ -152,7 +152,7 @@ def total_sample(source: str, strata: list[str], ids: list[str], total: int, col
     )
 
 
-def bounded_take(source: str, strata: list[str], total: int, low: str, high: str) -> str:
+def bounded_take(source: str, strata: list[str], total: int | str, low: str, high: str) -> str:
     """Rows per stratum between two bounds: the share at which they sum to the
     total lies behind the last bound, as a share of its stratum, that it reaches."""
     by, ends = ", ".join(strata), ", ".join(f"{c} nulls first" for c in strata)
@@ -301,7 +301,7 @@ def statements() -> dict[str, str]:
         "random_order_sample": sample(placed_docs, DOC, ["file", "place"], pct_take(0.1, 1), doc_cols),
         "total_size_with_floor": taken_sample("customer", CUSTOMER, ["c_custkey"], bounded_take("customer", CUSTOMER, 400, "least(3, pop_n)", "pop_n"), ["c_custkey", *CUSTOMER]),
         "total_size_with_boosts": taken_sample("documents", DOC, ["doc_id"], bounded_take(
-            "documents", DOC, 300, "case when pop_n < 3 then 0 when lang = 'es' then least(60, pop_n) else 1 end",
+            "documents", DOC, "(select count(*) // 2 from documents)", "case when pop_n < 3 then 0 when lang = 'es' then least(60, pop_n) else 1 end",
             "case when pop_n < 3 then 0 else least(60, pop_n) end"), doc_cols),
         "small_strata_collapsed": collapsed("part", "p_partkey", PART, 4),
         "small_strata_collapsed_by_shuffle": collapsed("documents", "doc_id", DOC, 9),
