@@ -255,7 +255,9 @@ def position_buckets_large_keys(spark, d):
 
 
 def random_order_sample(spark, d):
-    drawn = sampling.random_order_sample(documents(spark, d), DOC_STRATA, 0.1, depth=1, seed=SEED)
+    drawn = sampling.random_order_sample(
+        documents(spark, d), DOC_STRATA, 0.1, depth=1, root=f"{d}/documents.parquet", seed=SEED
+    )
     return drawn.select("doc_id", "lang", "source")
 
 
@@ -558,8 +560,10 @@ def chunk_sample_by_position(spark, d):
 
 def chunk_sample_by_file(spark, d):
     rows = orders(spark, d).select("o_orderkey", "o_orderpriority")
-    chunk = positions.file_chunk(2_000, depth=1)
-    return chunks.chunk_sample(rows, ["o_orderpriority"], chunk, 0.05, ids=["o_orderkey"], seed=SEED)
+    placed = positions.with_file_rows(rows, depth=1, root=f"{d}/orders.parquet")
+    chunk = positions.placed_chunk(2_000)
+    drawn = chunks.chunk_sample(placed, ["o_orderpriority"], chunk, 0.05, ids=["o_orderkey"], seed=SEED)
+    return drawn.drop(*positions.FILE_ROW)
 
 
 def weekly_events(spark, d, folder):

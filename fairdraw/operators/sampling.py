@@ -198,17 +198,25 @@ def native_sample(
 
 
 def random_order_sample(
-    df: DataFrame, strata: Sequence[str], pct: float, min_rows: int = 1, *, depth: int | None = None, seed: int = 42
+    df: DataFrame,
+    strata: Sequence[str],
+    pct: float,
+    min_rows: int = 1,
+    *,
+    depth: int | None = None,
+    root: str | None = None,
+    seed: int = 42,
 ) -> DataFrame:
     """The floor sample in random order of rows that have no ids. A row of parquet
     files is known by its place in them, so nothing is written and any split of
     the scan gives the same sample; ``depth`` says how many last parts of a path
-    name a file. The rows of any other table get Spark's ``rand``, written down
+    name a file; with ``root``, the path of the table, rows are numbered through all
+    its files, so that one file or many give the same sample. The rows of any other table get Spark's ``rand``, written down
     once so that all passes see the same numbers; that sample changes with the
     partitioning."""
     quota = Quota(pct=pct, min_rows=min_rows)
     try:
-        placed, ids = with_file_rows(df, depth), FILE_ROW
+        placed, ids = with_file_rows(df, depth, root), FILE_ROW
     except ValueError:
         ensure_checkpoint_dir(df.sparkSession)
         ids = ["_fd_rand", "_fd_row"]

@@ -88,3 +88,20 @@ def test_chunks_of_files_have_their_rows(spark, files):
     assert drawn.groupBy("chunk_id", "b").count().where("count < 2").count() <= 8
     with pytest.raises(ValueError):
         positions.file_chunk(0)
+
+
+def test_a_table_of_many_files_is_drawn_like_one_file(spark, tmp_path):
+    rows = spark.range(5000).selectExpr("id", "cast(id % 7 as string) as a", "if(id % 3 = 0, 'hot', 'x') as b")
+    one, many = f"{tmp_path}/one/t", f"{tmp_path}/many/t"
+    rows.coalesce(1).write.parquet(one)
+    rows.coalesce(1).write.option("maxRecordsPerFile", 900).parquet(many)
+    assert len(spark.read.parquet(many).inputFiles()) == 6
+    drawn, numbers, chunked = [], [], []
+    for root in (one, many):
+        df = spark.read.parquet(root)
+        drawn.append(sorted(r.id for r in sampling.random_order_sample(df, ["a", "b"], 0.1, depth=1, root=root).collect()))
+        placed = positions.with_file_rows(df, 1, f"{root}/")
+        numbers.append(sorted(tuple(r) for r in placed.select("id", *positions.FILE_ROW).collect()))
+        chunked.append(sorted(tuple(r) for r in placed.select("id", positions.placed_chunk(2000)).collect()))
+    assert drawn[0] == drawn[1] and chunked[0] == chunked[1]
+    assert numbers[0] == numbers[1] == [(i, "t", i) for i in range(5000)]
