@@ -149,3 +149,10 @@ def test_most_rows_of_a_stratum(spark):
     assert taken(spark, Quota(pct=0.5, max_rows=20), 10, 100)[0] == [5, 20]
     with pytest.raises(ValueError):
         Quota(pct=0.1, min_rows=5, max_rows=4)
+
+
+def test_a_total_where_no_bound_binds(spark):
+    counts = [1000, 990, 980, 990]
+    _, rows = taken(spark, Quota(total=100, min_rows=3), *counts)
+    assert {r.s: r.n_take for r in rows} == bounded(counts, 100, [3] * 4, counts)
+    assert sum(r.n_take for r in rows) == 100
