@@ -14,9 +14,9 @@ drawn row. Whole rows are then read once and compared with their stratum's cut.
 * A small fixed number of rows per stratum needs no sizes and no band: each task
   keeps the first rows of every stratum it sees, so a hot stratum reaches its
   task as a few rows per task, and the last of the first rows is the cut.
-* The ``BROADCAST_KEYS`` largest strata have their cuts broadcast. Strata beyond
-  them each hold less than one part in ``BROADCAST_KEYS`` of the table: their
-  narrow rows are ranked whole, and whole rows are joined with the cuts by a
+* The ``BROADCAST_KEYS`` largest strata, and all others above ``LARGE_ROWS`` rows,
+  of which a table has at most one per so many rows, have their cuts broadcast.
+  Strata beyond them are small, however large the table: their narrow rows are ranked whole, and whole rows are joined with the cuts by a
   shuffle after a broadcast table of fixed size has dropped those beyond the
   largest cut of their group of strata.
 
@@ -74,6 +74,8 @@ _OWN = {*KEY, GROUP, _HASH, _TIE, _ORDER, _SPOT, _PLACE, _CUT, _POP, _TAKE, _FLO
 _SAME_IDS = "the id columns do not tell rows apart; leave ids out for such tables"
 # Rows per stratum up to which a task may keep the first ones of each.
 FEW_ROWS = 10_000
+# Rows of a stratum above which it is never ranked whole in one task.
+LARGE_ROWS = 1 << 18
 # Priorities below this, one part in 256 of them, are ranked first.
 _NEAR = "01"
 # Rows of small strata, about, up to which their first rows are ranked as a whole.
@@ -279,8 +281,9 @@ def draw(
     allocation = keyed(allocate(sizes, quota), strata).select(
         *KEY, F.col("pop_n").alias(_POP), F.col("n_take").alias(_TAKE)
     ).checkpoint()
-    is_all = allocation.count() <= broadcast_keys
-    head, tail = (allocation, None) if is_all else most_frequent(allocation, _POP, broadcast_keys)
+    number, large = allocation.agg(F.count(F.lit(1)), F.expr(f"count_if({_POP} > {LARGE_ROWS})")).collect()[0]
+    broadcast_keys = max(broadcast_keys, large)
+    head, tail = (allocation, None) if number <= broadcast_keys else most_frequent(allocation, _POP, broadcast_keys)
 
     narrow = marked.select(*KEY, _SPOT, _PLACE)
     partly = head.where(f"{_TAKE} > 0 and {_TAKE} < {_POP}")

@@ -287,3 +287,16 @@ def test_tiny_and_huge_weights(spark):
     for quota in (Quota(n=150), Quota(pct=0.4), Quota(n=150, drop_below=2)):
         drawn = ids_of(draw(df, ["a"], quota, ids=["id"], weight="w"))
         assert len(drawn) in (150, 160) and {i for i in range(400) if i % 4 == 2} < set(drawn)
+
+
+@pytest.mark.parametrize("weight", [None])
+def test_large_strata_are_never_ranked_whole(people, monkeypatch, weight):
+    rows, df = people
+    expected = ids_of(draw(df, ["a", "b"], Quota(pct=0.1), ids=["id"], weight=weight))
+    largest, in_groups_of = [], selection.in_groups_of
+    monkeypatch.setattr(selection, "LARGE_ROWS", 50)
+    monkeypatch.setattr(
+        selection, "in_groups_of", lambda narrow, tail: largest.append(tail.agg(F.max("_fd_pop")).first()[0]) or in_groups_of(narrow, tail)
+    )
+    drawn = draw(df, ["a", "b"], Quota(pct=0.1), ids=["id"], weight=weight, broadcast_keys=1)
+    assert ids_of(drawn) == expected and 10 < largest[0] <= 50
