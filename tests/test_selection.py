@@ -289,7 +289,7 @@ def test_tiny_and_huge_weights(spark):
         assert len(drawn) in (150, 160) and {i for i in range(400) if i % 4 == 2} < set(drawn)
 
 
-@pytest.mark.parametrize("weight", [None])
+@pytest.mark.parametrize("weight", [None, "w"])
 def test_large_strata_are_never_ranked_whole(people, monkeypatch, weight):
     rows, df = people
     expected = ids_of(draw(df, ["a", "b"], Quota(pct=0.1), ids=["id"], weight=weight))
