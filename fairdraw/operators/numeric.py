@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,22 +109,31 @@ def quantiles(
     )
 
 
-def _limits_of(table: DataFrame) -> Column:
-    """Scalar subquery: a map from column name to the array of its quantiles,
-    exact and rounded, in ascending order.
+def _number(value: float | None) -> str:
+    """SQL text of a constant double."""
+    return "cast(null as double)" if value is None else f"double('{value!r}')"
 
-    It is one row, whatever the data. The row is computed here and
-    checkpointed, so that plans which use it often do not carry the passes
-    behind it along."""
-    ensure_checkpoint_dir(table.sparkSession)
-    entry = F.struct("probability", "value", report_round(F.col("value"), DECILE_DIGITS).alias("rounded"))
-    arrays = table.groupBy("column").agg(F.array_sort(F.collect_list(entry)).alias("limits"))
-    found = arrays.agg(F.map_from_entries(F.collect_list(F.struct("column", "limits"))).alias("limits"))
-    return found.checkpoint().scalar()
 
+def _limits_of(table: DataFrame) -> dict[str, list[Row]]:
+    """The quantiles of each column, exact and rounded, in ascending order.
 
-def _clipped(df: DataFrame, column: str, position: int) -> Column:
-    limit, value = f"{_LIMITS}[{text(column)}][{position}].value", present(column, df.schema[column].dataType)
+    They are a few numbers per column, whatever the data, and are looked up here:
+    as constants they keep the code that meets every row short enough to be compiled,
+    and the passes behind them are run once."""
+    found = table.withColumn("rounded", report_round(F.col("value"), DECILE_DIGITS)).orderBy("probability").collect()
+    limits: dict[str, list[Row]] = {}
+    for row in found:
+        limits.setdefault(row["column"], []).append(row)
+    return limits
+
+
+def _limit(limits: dict[str, list[Row]], column: str, position: int, kind: str) -> str:
+    """SQL text of a limit; null for a column without numbers."""
+    return _number(limits[column][position][kind] if column in limits else None)
+
+
+def _clipped(df: DataFrame, column: str, limit: str) -> Column:
+    value = present(column, df.schema[column].dataType)
     return F.expr(f"if({value} is null, cast({name(column)} as double), least(cast({name(column)} as double), {limit}))")
 
 
@@ -139,8 +148,7 @@ def winsorize(
     above nothing, stays. The quantile is that of ``population``, or else of the
     table itself."""
     limits = _limits_of(quantiles(df if population is None else population, columns, [tail]))
-    clipped = {c: _clipped(df, c, 0) for c in columns}
-    return df.withColumn(_LIMITS, limits).withColumns(clipped).drop(_LIMITS)
+    return df.withColumns({c: _clipped(df, c, _limit(limits, c, 0, "value")) for c in columns})
 
 
 def deciles(df: DataFrame, columns: Sequence[str], *, clip_at: float | None = None) -> DataFrame:
@@ -149,10 +157,10 @@ def deciles(df: DataFrame, columns: Sequence[str], *, clip_at: float | None = No
     return table.withColumn("value", report_round(F.col("value"), DECILE_DIGITS))
 
 
-def _bucket(value: str, limit: str) -> str:
+def _bucket(value: str, limits: Sequence[str]) -> str:
     """SQL text of the bucket of a value: 0.1 below the second decile, then the
-    highest decile reached, at most 0.9. ``limit`` has a place for the index."""
-    steps = " ".join(f"when {value} < {limit.format(k)} then {k / 10!r}D" for k in range(1, 9))
+    highest decile reached, at most 0.9. ``limits`` are those of the deciles."""
+    steps = " ".join(f"when {value} < {limits[k]} then {k / 10!r}D" for k in range(1, 9))
     return f"case when {value} is null then null {steps} else 0.9D end"
 
 
@@ -167,11 +175,10 @@ def decile_buckets(
     the two lowest tenths; none for null and NaN. With ``clip_at`` the columns are winsorized there,
     in the result too; the highest decile of a clipped column is its tail."""
     limits = _limits_of(quantiles(df, columns, DECILES, clip_at=clip_at))
-    buckets = {
-        prefix + c: F.expr(_bucket(present(c, df.schema[c].dataType), f"{_LIMITS}[{text(c)}][{{}}].rounded")) for c in columns
-    }
-    clipped = {} if clip_at is None else {c: _clipped(df, c, 9) for c in columns}
-    return df.withColumn(_LIMITS, limits).withColumns({**buckets, **clipped}).drop(_LIMITS)
+    rounded = {c: [_limit(limits, c, k, "rounded") for k in range(len(DECILES))] for c in columns}
+    buckets = {prefix + c: F.expr(_bucket(present(c, df.schema[c].dataType), rounded[c])) for c in columns}
+    clipped = {} if clip_at is None else {c: _clipped(df, c, _limit(limits, c, 9, "value")) for c in columns}
+    return df.withColumns({**buckets, **clipped})
 
 
 def position_buckets(df: DataFrame, order_by: str, bucket: str = "position_bucket") -> DataFrame:

@@ -13,6 +13,7 @@ from fairdraw.functions.priority import priority
 from fairdraw.plans.lookup import KEY, keyed
 from fairdraw.plans.quota import Quota
 from fairdraw.plans.selection import draw
+from fairdraw.sources.scratch import ensure_checkpoint_dir
 
 _TURN = INTERNAL + "turn"
 _HASH = INTERNAL + "hash"
@@ -55,7 +56,10 @@ def period_sample(
 ) -> DataFrame:
     """Sample each ``(name, table, strata)`` and keep one row per entity, from
     the earliest period that drew it. The period's name is the column
-    ``period``; columns a period lacks are null."""
+    ``period``; columns a period lacks are null.
+
+    The rows drawn are checkpointed, as telling entities apart takes several passes
+    over them, each of which would otherwise read and draw from all tables again."""
     drawn = [
         draw(table, strata, quota, ids=ids, seed=seed)
         .withColumn("period", F.lit(label))
@@ -63,7 +67,8 @@ def period_sample(
         for turn, (label, table, strata) in enumerate(periods)
     ]
     together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), drawn)
-    return first_per_entity(together, entity, [_TURN], ids, seed).drop(_TURN)
+    ensure_checkpoint_dir(together.sparkSession)
+    return first_per_entity(together.checkpoint(), entity, [_TURN], ids, seed).drop(_TURN)
 
 
 def id_list(sample: DataFrame, entity: Sequence[str]) -> DataFrame:

@@ -2,7 +2,7 @@ import pytest
 from draws import priority
 from pyspark.sql import functions as F
 
-from fairdraw.operators import chunks, drift, merge, periods, profile
+from fairdraw.operators import chunks, drift, merge, numeric, periods, profile
 from fairdraw.plans.quota import Quota
 
 
@@ -163,3 +163,17 @@ def test_first_row_of_every_entity(spark, monkeypatch, groups):
         key = (t, priority(3, i), i)
         best[e] = min(best.get(e, key), key)
     assert sorted((r.id for r in got.collect())) == sorted(k[2] for k in best.values())
+
+
+def test_periods_are_drawn_once(spark, tmp_path):
+    rows = spark.range(400).selectExpr("id", "id % 150 as who", "id % 3 as a", "cast(id as double) as v")
+    rows.write.parquet(f"{tmp_path}/t")
+    bucketed = numeric.decile_buckets(spark.read.parquet(f"{tmp_path}/t"), ["v"])
+    drawn = periods.period_sample(
+        [("one", bucketed, ["bucket_v"]), ("two", bucketed, ["a"])], Quota(pct=0.5), ["who"], ids=["id"]
+    )
+    # Neither the passes over entities nor later ones read the tables again.
+    assert drawn.inputFiles() == []
+    assert drawn.count() == drawn.select("who").distinct().count() > 100
+    # Limits are constants: every use of a bucket would look them up once more.
+    assert "map" not in bucketed._jdf.queryExecution().optimizedPlan().toString()
