@@ -24,8 +24,8 @@ import hashlib
 import json
 import struct
 from collections.abc import Iterator
-from dataclasses import dataclass
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -53,10 +53,10 @@ _CHUNKS = (
 _RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
-@dataclass(slots=True)
-class Unit:
+class Unit(NamedTuple):
     """Tokens of some bytes: how many of A and B, the groups as text, and the
-    linked pairs, ``a << 32 | b``, as bytes of 64-bit numbers."""
+    linked pairs, ``a << 32 | b``, as bytes of 64-bit numbers. None of them where
+    tokens don't give the bytes back."""
 
     n_a: int
     n_b: int
@@ -65,6 +65,9 @@ class Unit:
     pairs: bytes
 
 
+_LOST = Unit(0, 0, 0, b"", b"")
+
+
 def _cut_bytes() -> np.ndarray:
     """Bytes a space may be cut from: visible ASCII, or the end of a character of
     two bytes; no blank character ends so but those that begin with 0xC2."""
@@ -115,23 +118,27 @@ class Aligner:
         kind = json.loads(a).get("pre_tokenizer") or {}
         parted = kind.get("type") == "ByteLevel" and kind.get("use_regex") and not json.loads(a).get("normalizer")
         self.separable = bool(parted) and not any(_SPACE in p.lstrip(_SPACE) for p in pieces)
-        self.new: dict[bytes, Unit | None] = {}
-        self.old: dict[bytes, Unit | None] = {}
+        self.all_a, self.all_b = (np.array(t, object) for t in (self.bytes_a, self.bytes_b))
+        self.new: dict[bytes, Unit] = {}
+        self.old: dict[bytes, Unit] = {}
 
     def _bytes_of_b(self, number: int, piece: str) -> bytes:
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(number) else piece.replace(_SPACE, " ").encode()
 
-    def units(self, distinct: list[bytes]) -> list[Unit | None]:
-        """The units of some distinct bytes; None where tokens don't give the
-        bytes back."""
-        found = [self.new.get(u, self) for u in distinct]
-        found = [self.old.get(u, self) if x is self else x for u, x in zip(distinct, found, strict=True)]
-        unknown = [i for i, x in enumerate(found) if x is self]
-        for i, unit in zip(unknown, self.align([distinct[i] for i in unknown]), strict=True):
-            found[i] = unit
+    def units(self, distinct: list[bytes]) -> list[Unit]:
+        """The units of some distinct bytes."""
+        found = list(map(self.new.get, distinct))
+        missed = [i for i, x in enumerate(found) if x is None]
+        older = list(map(self.old.get, [distinct[i] for i in missed]))
+        unknown = [i for i, x in zip(missed, older, strict=True) if x is None]
+        made = iter(self.align([distinct[i] for i in unknown]))
         if len(self.new) > REMEMBERED:
-            self.old, self.new = self.new, {}
-        self.new.update((u, x) for u, x in zip(distinct, found, strict=True) if len(u) <= UNIT_BYTES)
+            # Of the new ones, those in use go on.
+            self.old, self.new = self.new, {u: x for u, x in zip(distinct, found, strict=True) if x is not None}
+        for i, x in zip(missed, older, strict=True):
+            found[i] = unit = x or next(made) or _LOST
+            if len(distinct[i]) <= UNIT_BYTES:
+                self.new[distinct[i]] = unit
         return found
 
     def align(self, units: list[bytes]) -> list[Unit | None]:
@@ -166,8 +173,9 @@ class Aligner:
         coded = self.a.encode(text, add_special_tokens=False)
         ids_a = np.array(coded.ids, np.int64)
         pieces = self.b.encode(text[1:], return_type="proto").pieces
-        ids_b = np.array([p.id for p in pieces], np.int64)
-        given = b"".join([self.bytes_a[i] for i in ids_a.tolist()]), b"".join([self.bytes_b[i] for i in ids_b.tolist()])
+        known = np.array([(p.id, p.end) for p in pieces], np.int64).reshape(-1, 2)
+        ids_b = known[:, 0]
+        given = b"".join(self.all_a[ids_a].tolist()), b"".join(self.all_b[ids_b].tolist())
         if given[0] != whole or given[1] != whole or not whole:
             return [None] * len(units)
         data = np.frombuffer(whole, np.uint8)
@@ -176,7 +184,7 @@ class Aligner:
         ends_a = refined(chars[offsets[::2]], chars[offsets[1::2]], self.size_a[ids_a])
         # The space before the text is not in B's spans; each starts where the one
         # before ends, and the last byte of a character ends all of its bytes.
-        ends = np.array([p.end for p in pieces], np.int64) + 1
+        ends = known[:, 1] + 1
         ends_b = refined(np.concatenate(([0], ends[:-1])), ends, self.size_b[ids_b])
         return _grouped(np.cumsum([len(u) for u in units]), ids_a, ends_a, ids_b, ends_b, self.names)
 
@@ -213,16 +221,20 @@ def refined(start: np.ndarray, end: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _grouped(bounds, ids_a, ends_a, ids_b, ends_b, names) -> list[Unit | None]:
     """The units that end at ``bounds``, from all tokens and their ends."""
-    cuts = np.union1d(ends_a, ends_b)
+    if max(ends_a.max(), ends_b.max()) > bounds[-1]:
+        return [None] * len(bounds)
+    marks = np.zeros(bounds[-1] + 1, np.uint8)
+    marks[ends_a] = 1
+    marks[ends_b] |= 2
+    cuts, common = np.flatnonzero(marks), np.flatnonzero(marks == 3)
     pairs = ids_a[np.searchsorted(ends_a, cuts)] << 32 | ids_b[np.searchsorted(ends_b, cuts)]
-    common = np.intersect1d(ends_a, ends_b, assume_unique=True)
     # The ids as text in the order of the groups, A's before B's in each.
     group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
     upto_a, upto_b = np.searchsorted(ends_a, common, "right"), np.searchsorted(ends_b, common, "right")
     (comma_a, bar), (comma_b, semicolon) = names
     text = np.empty(len(ids_a) + len(ids_b), object)
-    text[np.arange(len(ids_a)) + np.concatenate(([0], upto_b))[group_a]] = np.where(np.isin(ends_a, common), bar[ids_a], comma_a[ids_a])
-    text[np.arange(len(ids_b)) + upto_a[group_b]] = np.where(np.isin(ends_b, common), semicolon[ids_b], comma_b[ids_b])
+    text[np.arange(len(ids_a)) + np.concatenate(([0], upto_b))[group_a]] = np.where(marks[ends_a] == 3, bar[ids_a], comma_a[ids_a])
+    text[np.arange(len(ids_b)) + upto_a[group_b]] = np.where(marks[ends_b] == 3, semicolon[ids_b], comma_b[ids_b])
     at = [np.searchsorted(x, bounds, "right") for x in (ends_a, ends_b, common, cuts)]
     if not len(common) or (common[at[2] - 1] != bounds).any():
         return [None] * len(bounds)
@@ -274,11 +286,11 @@ def _documents(aligner: Aligner, texts: list[bytes]) -> list[_Document]:
         order, place = numbered(data, starts[low:high], ends[low:high])
         distinct = zip(starts[low:high][place].tolist(), ends[low:high][place].tolist(), strict=True)
         units = aligner.units([whole[s:e] for s, e in distinct])
-        sizes = np.array([(u.n_a, u.n_b, u.n_groups) if u else (0, 0, 0) for u in units], np.int64)
-        groups = [u.groups if u else b"" for u in units]
-        good = np.array([u is not None for u in units])
-        table = np.frombuffer(b"".join([u.pairs for u in units if u]), np.int64)
-        n_pairs = np.array([len(u.pairs) // 8 if u else 0 for u in units], np.int64)
+        *numbers, groups, pairs = zip(*units, strict=True)
+        sizes = np.array(numbers, np.int64).T
+        good = sizes[:, 0] > 0
+        table = np.frombuffer(b"".join(pairs), np.int64)
+        n_pairs = np.fromiter(map(len, pairs), np.int64, len(pairs)) // 8
         begin = np.cumsum(n_pairs) - n_pairs
         which = order.tolist()
         bounds = [*np.flatnonzero(np.diff(owner[low:high], prepend=-1)).tolist(), high - low]
