@@ -87,20 +87,31 @@ class Encoder:
         self.old: dict[bytes, bytes] = {}
 
     def ids_of(self, pieces: list[bytes]) -> list[bytes]:
-        out = [b""] * len(pieces)
-        rest, texts = [], []
+        order, sizes, ids, rest, texts = [], [], [], [], []
+        tokenize = self.model.tokenize
         for i, piece in enumerate(pieces):
-            word = piece.decode("utf-8", "replace").lower()
-            if word.isalpha() and max(word) <= _LATIN and len(piece) <= WORD_BYTES:
-                mapped = word.encode().decode("latin-1").translate(_ALPHABET)
-                out[i] = np.array([t.id for t in self.model.tokenize(mapped)], self.kind).tobytes()
+            text = piece.decode("utf-8", "replace")
+            word = text.lower()
+            ascii_only = word.isascii()
+            if word.isalpha() and len(piece) <= WORD_BYTES and (ascii_only or max(word) <= _LATIN):
+                # ASCII letters stand for themselves in the alphabet.
+                mapped = word if ascii_only else word.encode().decode("latin-1").translate(_ALPHABET)
+                found = [t.id for t in tokenize(mapped)]
+                order.append(i)
+                sizes.append(len(found))
+                ids += found
             else:
                 rest.append(i)
-                texts.append(piece.decode("utf-8", "replace"))
+                texts.append(text)
         for low in range(0, len(rest), 500):
-            coded = self.tokenizer.encode_batch_fast(texts[low : low + 500], add_special_tokens=False)
-            for i, found in zip(rest[low:], coded, strict=False):
-                out[i] = np.array(found.ids, self.kind).tobytes()
+            for coded in self.tokenizer.encode_batch_fast(texts[low : low + 500], add_special_tokens=False):
+                found = coded.ids
+                sizes.append(len(found))
+                ids += found
+        data, out, at = np.array(ids, self.kind).tobytes(), [b""] * len(pieces), 0
+        for i, size in zip(order + rest, sizes, strict=True):
+            to = at + size * self.kind.itemsize
+            out[i], at = data[at:to], to
         return out
 
     def __call__(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -119,15 +130,19 @@ class Encoder:
     def _pieced(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         start, end, first = bounds_of(texts, BLANK, _cuts(texts.data))
         which, place = numbered(texts.data, start, end)
-        whole, old = texts.data.tobytes(), self.old
+        whole = texts.data.tobytes()
         pieces = [whole[s:e] for s, e in zip(start[place].tolist(), end[place].tolist(), strict=True)]
-        found = [self.new.get(p) or old.get(p) for p in pieces]
-        unknown = [i for i, ids in enumerate(found) if ids is None]
-        for i, ids in zip(unknown, self.ids_of([pieces[i] for i in unknown]), strict=True):
-            found[i] = ids
+        found = list(map(self.new.get, pieces))
+        missed = [i for i, ids in enumerate(found) if ids is None]
+        older = list(map(self.old.get, [pieces[i] for i in missed]))
+        made = iter(self.ids_of([pieces[i] for i, ids in zip(missed, older, strict=True) if ids is None]))
         if len(self.new) > REMEMBERED:
-            self.old, self.new = self.new, {}
-        self.new.update((p, ids) for p, ids in zip(pieces, found, strict=True) if len(p) <= WORD_BYTES)
+            # Of the new ones, those in use go on.
+            self.old, self.new = self.new, {p: ids for p, ids in zip(pieces, found, strict=True) if ids is not None}
+        for i, ids in zip(missed, older, strict=True):
+            found[i] = ids = next(made) if ids is None else ids
+            if len(pieces[i]) <= WORD_BYTES:
+                self.new[pieces[i]] = ids
         table = np.frombuffer(b"".join(found), self.kind)
         sizes = np.array([len(ids) for ids in found], np.int64) // self.kind.itemsize
         begin = np.concatenate(([0], np.cumsum(sizes)))[:-1]
