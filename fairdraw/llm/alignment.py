@@ -25,7 +25,7 @@ import json
 import struct
 from collections.abc import Iterator
 from itertools import chain
-from typing import NamedTuple
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +39,12 @@ from fairdraw.llm.text import numbered, rows
 #: Bytes of text whose pairs are listed together.
 CHUNK = 4 << 20
 #: Units handled at once; a long text takes several rounds.
-ROUND = 200_000
+ROUND = 400_000
 # Units a worker remembers, twice this at most, and the longest of them.
 REMEMBERED, UNIT_BYTES = 200_000, 48
-# Bytes of units that are encoded as one text.
-JOINED = 1 << 15
+# Bytes of units that are encoded as one text. Both tokenizers take more time a byte
+# for longer ones; a few kilobytes outweigh what a call costs.
+JOINED = 1 << 12
 
 _SPACE = "▁"
 _CHUNKS = (
@@ -53,19 +54,12 @@ _CHUNKS = (
 _RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
-class Unit(NamedTuple):
-    """Tokens of some bytes: how many of A and B, the groups as text, and the
-    linked pairs, ``a << 32 | b``, as bytes of 64-bit numbers. None of them where
-    tokens don't give the bytes back."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: bytes
-    pairs: bytes
-
-
-_LOST = Unit(0, 0, 0, b"", b"")
+# Tokens of some bytes: how many of A and B, the number of groups, these as text,
+# and the linked pairs, ``a << 32 | b``, as bytes of 64-bit numbers. None of them
+# where tokens don't give the bytes back. Millions are made: plain tuples.
+Unit = tuple[int, int, int, bytes, bytes]
+_LOST: Unit = (0, 0, 0, b"", b"")
+_SPAN = attrgetter("id", "end")
 
 
 def _cut_bytes() -> np.ndarray:
@@ -114,7 +108,9 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [self._bytes_of_b(i, p) for i, p in enumerate(pieces)]
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
-        self.names = [_names(len(t), marks) for t, marks in ((self.bytes_a, ",|"), (self.bytes_b, ",;"))]
+        # The tables of names one behind the other, and where each begins.
+        names = [_names(len(t), mark) for t, marks in ((self.bytes_a, ",|"), (self.bytes_b, ",;")) for mark in marks]
+        self.names = np.array(list(chain.from_iterable(names)), object), np.cumsum([0, *map(len, names[:-1])]).tolist()
         kind = json.loads(a).get("pre_tokenizer") or {}
         parted = kind.get("type") == "ByteLevel" and kind.get("use_regex") and not json.loads(a).get("normalizer")
         self.separable = bool(parted) and not any(_SPACE in p.lstrip(_SPACE) for p in pieces)
@@ -173,7 +169,7 @@ class Aligner:
         coded = self.a.encode(text, add_special_tokens=False)
         ids_a = np.array(coded.ids, np.int64)
         pieces = self.b.encode(text[1:], return_type="proto").pieces
-        known = np.array([(p.id, p.end) for p in pieces], np.int64).reshape(-1, 2)
+        known = np.fromiter(chain.from_iterable(map(_SPAN, pieces)), np.int64, 2 * len(pieces)).reshape(-1, 2)
         ids_b = known[:, 0]
         given = b"".join(self.all_a[ids_a].tolist()), b"".join(self.all_b[ids_b].tolist())
         if given[0] != whole or given[1] != whole or not whole:
@@ -189,9 +185,9 @@ class Aligner:
         return _grouped(np.cumsum([len(u) for u in units]), ids_a, ends_a, ids_b, ends_b, self.names)
 
 
-def _names(size: int, marks: str) -> list[np.ndarray]:
-    """Each id as text, followed by either mark."""
-    return [np.array([f"{i}{mark}".encode() for i in range(size)], object) for mark in marks]
+def _names(size: int, mark: str) -> list[bytes]:
+    """Each id as text, followed by a mark."""
+    return [f"{i}{mark}".encode() for i in range(size)]
 
 
 def _bytes_of_a(tokenizer) -> list[bytes]:
@@ -231,20 +227,23 @@ def _grouped(bounds, ids_a, ends_a, ids_b, ends_b, names) -> list[Unit | None]:
     # The ids as text in the order of the groups, A's before B's in each.
     group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
     upto_a, upto_b = np.searchsorted(ends_a, common, "right"), np.searchsorted(ends_b, common, "right")
-    (comma_a, bar), (comma_b, semicolon) = names
-    text = np.empty(len(ids_a) + len(ids_b), object)
-    text[np.arange(len(ids_a)) + np.concatenate(([0], upto_b))[group_a]] = np.where(marks[ends_a] == 3, bar[ids_a], comma_a[ids_a])
-    text[np.arange(len(ids_b)) + upto_a[group_b]] = np.where(marks[ends_b] == 3, semicolon[ids_b], comma_b[ids_b])
+    table, (comma_a, bar, comma_b, semicolon) = names
+    # A place left out would lie beyond the table.
+    text = np.full(len(ids_a) + len(ids_b), len(table))
+    text[np.arange(len(ids_a)) + np.concatenate(([0], upto_b))[group_a]] = ids_a + np.where(marks[ends_a] == 3, bar, comma_a)
+    text[np.arange(len(ids_b)) + upto_a[group_b]] = ids_b + np.where(marks[ends_b] == 3, semicolon, comma_b)
     at = [np.searchsorted(x, bounds, "right") for x in (ends_a, ends_b, common, cuts)]
     if not len(common) or (common[at[2] - 1] != bounds).any():
         return [None] * len(bounds)
-    parts, raw, starts = text.tolist(), pairs.tobytes(), [np.concatenate(([0], x[:-1])) for x in at]
-    sizes = [(x - y).tolist() for x, y in zip(at, starts, strict=True)]
-    words = (starts[0] + starts[1]).tolist(), (at[0] + at[1]).tolist()
-    places = (starts[3] * 8).tolist(), (at[3] * 8).tolist()
+    parts, raw, starts = table[text].tolist(), pairs.tobytes(), [np.concatenate(([0], x[:-1])) for x in at]
+    sizes = [(x - y).tolist() for x, y in zip(at[:3], starts[:3], strict=True)]
+    # A unit's groups lie in one piece; the mark behind the last is left out.
+    upto, whole = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))), b"".join(parts)
+    last = upto[at[0] + at[1] - 1]
+    first = np.concatenate(([0], last[:-1]))
+    places = first.tolist(), (last - 1).tolist(), (starts[3] * 8).tolist(), (at[3] * 8).tolist()
     return [
-        Unit(a, b, g, b"".join(parts[low:high])[:-1], raw[x:y])
-        for a, b, g, low, high, x, y in zip(*sizes[:3], *words, *places, strict=True)
+        (a, b, g, whole[low:high], raw[x:y]) for a, b, g, low, high, x, y in zip(*sizes, *places, strict=True)
     ]
 
 

@@ -107,6 +107,21 @@ def test_units_give_what_whole_texts_give(aligner, monkeypatch, parts):
             assert got.linked()[1].sum() == len(set(both[0][1]) | set(both[1][1]))
 
 
+def test_units_are_encoded_in_short_texts(aligner, monkeypatch):
+    """A byte of a long text takes the tokenizers more time."""
+    units, sizes, a = [f" w{i}x,é".encode() for i in range(6000)], [], aligner.a
+
+    class Seen:
+        def encode(self, text, **how):
+            sizes.append(len(text.encode()))
+            return a.encode(text, **how)
+
+    monkeypatch.setattr(aligner, "a", Seen())
+    made = aligner.align(units)
+    assert max(sizes) < 8192 and len(sizes) < 30
+    assert made[::500] == [aligner.align([u])[0] for u in units[::500]]
+
+
 def test_other_tokenizers_take_whole_texts(aligner):
     whole = alignment.Aligner(Path(A).read_text(), Path(B).read_bytes())
     whole.separable = False
