@@ -17,7 +17,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-SLICE = 1 << 20
+# Bytes hashed or compared at a time: a worker keeps 16 bytes for each of them and
+# takes several times that while it works.
+SLICE = 1 << 17
 # Bytes beyond which words are hashed one by one.
 LONG = 32
 # Texts of one step; a longer text makes a step of its own.

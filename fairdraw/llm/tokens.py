@@ -27,6 +27,7 @@ An empty table gives no file and no row. Only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import hashlib
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -78,6 +79,8 @@ class Encoder:
     def __init__(self, tokenizer: str, kind: np.dtype) -> None:
         from tokenizers import Tokenizer
 
+        # A task has one core; a thread per core of the machine would only hold memory.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.model = self.tokenizer.model
         self.kind = kind

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -43,3 +45,16 @@ def test_pieces_are_numbered_by_their_bytes(monkeypatch, same):
     end = np.cumsum([len(w) for w in words])
     which, place = text.numbered(data, end - [len(w) for w in words], end)
     assert [words[i] for i in place[which]] == words and len(place) == len(set(words))
+
+
+def test_memory_of_hashing_is_bounded():
+    """Of what is kept, and of what numbering 2 MB of pieces takes at its peak."""
+    assert sum(x.nbytes for x in text._powers()) < 3 << 20
+    data = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz01234 " * (1 << 16), np.uint8)
+    start = np.arange(0, len(data), 32)
+    tracemalloc.start()
+    try:
+        text.numbered(data, start, start + 31)
+        assert tracemalloc.get_traced_memory()[1] < 16 << 20
+    finally:
+        tracemalloc.stop()

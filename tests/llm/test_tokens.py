@@ -138,3 +138,20 @@ def test_many_documents_without_id_are_spread(spark, documents):
     files = tokens.open_tokens(spark, folder)
     sizes = [r["n"] for r in files.manifest.groupBy("file_no").agg(F.sum("docs").alias("n")).collect()]
     assert sum(sizes) == 400 and max(sizes) < 200
+
+
+def test_encoding_starts_no_threads():
+    """Workers of one core each would hold memory for a thread per core."""
+    code = f"""
+import os
+import pyarrow as pa
+from fairdraw.llm import text, tokens
+encoder = tokens.Encoder(open({PATH!r}, encoding="utf-8").read(), tokens.id_type(49152))
+before = len(os.listdir("/proc/self/task"))
+encoder(text.texts_of(pa.array([" ".join(f"{{i}}-é中{{i}}" for i in range(2000))])))
+print(len(os.listdir("/proc/self/task")) - before)
+"""
+    env = {k: v for k, v in os.environ.items() if k not in ("TOKENIZERS_PARALLELISM", "RAYON_NUM_THREADS")}
+    env["PYTHONPATH"] = str(Path(tokens.__file__).parents[2])
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120)
+    assert done.stdout.split() == ["0"], done.stderr
