@@ -27,6 +27,7 @@ An empty table gives no file and no row. Only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import struct
 import zlib
@@ -386,9 +387,12 @@ def read_ids(files: TokenFiles) -> DataFrame:
 
 
 def vocabulary_size(tokenizer_path: str, end_id: int) -> int:
-    from tokenizers import Tokenizer
-
-    return max(Tokenizer.from_file(tokenizer_path).get_vocab_size(with_added_tokens=True), end_id + 1)
+    """One more than the largest id. Read from the file: a tokenizer loaded for
+    that would stay in the driver's memory."""
+    with open(tokenizer_path, encoding="utf-8") as file:
+        said = json.load(file)
+    added = [token["id"] for token in said.get("added_tokens") or []]
+    return max(*said["model"]["vocab"].values(), *added, end_id) + 1
 
 
 def write_tokens(

@@ -155,3 +155,8 @@ print(len(os.listdir("/proc/self/task")) - before)
     env["PYTHONPATH"] = str(Path(tokens.__file__).parents[2])
     done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120)
     assert done.stdout.split() == ["0"], done.stderr
+
+
+def test_the_driver_loads_no_tokenizer(monkeypatch):
+    monkeypatch.setattr(Tokenizer, "from_file", None)
+    assert tokens.vocabulary_size(PATH, 2) == 49_408 and tokens.vocabulary_size(PATH, 60_000) == 60_001

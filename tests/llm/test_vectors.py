@@ -143,3 +143,15 @@ def test_components_with_large_vertices(spark, monkeypatch, parts):
                 expected |= {(at, start)} if at != start else set()
                 todo += near[at]
     assert {tuple(r) for r in got} == expected and len(got) == len(expected)
+
+
+def test_rounds_of_components_take_few_jobs(spark):
+    """What the driver remembers of jobs and their tasks adds up over the rounds."""
+    edges = [(i, i + 1) for i in range(40)] + [(1000, i) for i in range(1001, 1100)]
+    scheduler = spark.sparkContext._jsc.sc().dagScheduler()
+    folder, before = new_folder(spark, "test"), scheduler.numTotalJobs()
+    got = components(spark.createDataFrame(edges, "x long, y long").repartition(3), folder, "c").collect()
+    assert len(got) == 40 + 99 and {r.component for r in got} == {0, 1000}
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    rounds = len(path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)) // 2
+    assert (scheduler.numTotalJobs() - before - 8) / rounds <= 14
