@@ -153,12 +153,32 @@ def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return out
 
 
-def numbered(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def hashes_of(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of pieces of ``data`` as they are."""
+    return _hashes(data, start, end)
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the first of each distinct key stands, in order of the keys, and the
+    number of every key among them."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    which = np.empty(len(keys), np.int64)
+    which[order] = np.cumsum(new) - 1
+    begins = np.flatnonzero(new)
+    return np.minimum.reduceat(order, begins) if len(begins) else order, which
+
+
+def numbered(
+    data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """The number of each piece of ``data`` among the distinct ones, and where the
     first of each distinct one stands among the pieces. Pieces are sorted by hashes
     and then compared byte by byte with the first of their number; should any
     differ, all are told apart by their bytes."""
-    _, place, which = np.unique(_hashes(data, start, end), return_index=True, return_inverse=True)
+    place, which = _distinct(_hashes(data, start, end) if hashes is None else hashes)
     size, first = end - start, place[which]
     if (size == size[first]).all() and _equal(data, start, start[first], size):
         return which, place

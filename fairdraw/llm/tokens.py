@@ -42,12 +42,12 @@ from pyspark.sql import functions as F
 
 from fairdraw.llm import rans
 from fairdraw.llm.storage import attempt_name, filesystem, new_folder, published, remove, written
-from fairdraw.llm.text import BLANK, Texts, bounds_of, numbered, rows
+from fairdraw.llm.text import BLANK, Texts, bounds_of, hashes_of, numbered, rows
 
 BLOCK = 1 << 18
-# Pieces a Python worker remembers with their ids: two generations of this
-# size, so that frequent ones stay. Longer pieces are not remembered.
-REMEMBERED, WORD_BYTES = 250_000, 40
+# Pieces a Python worker remembers with their ids: up to twice so many, of which
+# the last used stay. Longer pieces are not remembered. Words the model gets at a time.
+REMEMBERED, WORD_BYTES, WORDS = 250_000, 40, 1000
 _HEAD = struct.Struct("<4sIIII")
 _MAGIC = b"RTK1"
 UNIT = "file string, file_no int, unit_no long, place long, blocks int, docs long, tokens long, tokens_before long"
@@ -61,11 +61,89 @@ _MARK[_STEM | (np.arange(256) == 39)] = False
 
 
 # The tokenizer's byte-level alphabet: printable bytes stand for themselves,
-# the others for the characters from 256 on.
+# the others for the characters from 256 on. A space parts words.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
-# Letters up to here are unchanged by the tokenizer's normal form.
-_LATIN = "\u024f"
+_ALPHABET = np.arange(256, dtype="<u2")
+_others = np.setdiff1d(np.arange(256), _PRINTABLE)
+_ALPHABET[_others] = 256 + np.arange(len(_others))
+_ALPHABET[32] = 32
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+
+
+def _latin(data: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Which words hold only ASCII letters and letters from U+00C0 to U+01FF that
+    the tokenizer's normal form leaves or maps to one lower-case letter: not U+0130.
+    ``data`` has the words with a space between."""
+    lead, follows = (data >= 0xC3) & (data <= 0xC7), (data & 0xC0) == 0x80
+    bad = ~(_LETTER[data] | lead | follows | (data == 32))
+    before = np.zeros(len(data), bool)
+    before[1:] = lead[:-1]
+    bad |= before != follows
+    two = data[:-1].astype(np.uint16) << 8 | data[1:]
+    bad[:-1] |= (two == 0xC397) | (two == 0xC3B7) | (two == 0xC4B0)
+    return ~np.logical_or.reduceat(bad, begin)
+
+
+def _places(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of runs that begin at ``begin``, one run after the other."""
+    upto = np.cumsum(size)
+    return np.arange(upto[-1] if len(upto) else 0) + np.repeat(begin - upto + size, size)
+
+
+class Known:
+    """Pieces with their ids, found by a hash and compared byte by byte."""
+
+    def __init__(self, kind: np.dtype) -> None:
+        self.hashes, self.number = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.data, self.ids = np.empty(0, np.uint8), np.empty(0, kind)
+        # Per piece: where its bytes and its ids begin, how many, when last used.
+        self.table = np.empty((5, 0), np.int64)
+        self.now = 0
+
+    def find(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The numbers of pieces of ``data``, -1 for new ones."""
+        out = np.full(len(hashes), -1, np.int64)
+        if not len(self.hashes):
+            return out
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        number = self.number[at]
+        hit = np.flatnonzero((self.hashes[at] == hashes) & (self.table[1, number] == size))
+        number, size = number[hit], size[hit]
+        differs = data[_places(start[hit], size)] != self.data[_places(self.table[0, number], size)]
+        if differs.any():
+            same = np.bincount(np.repeat(np.arange(len(hit)), size), differs, len(hit)) == 0
+            hit, number = hit[same], number[same]
+        out[hit] = number
+        self.now += 1
+        self.table[4, number] = self.now
+        return out
+
+    def add(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray, ids: np.ndarray, begin: np.ndarray, n: np.ndarray) -> None:
+        """Keep new pieces; of those with one hash the first."""
+        hashes, first = np.unique(hashes, return_index=True)
+        at = np.searchsorted(self.hashes, hashes)
+        if len(self.hashes):
+            free = self.hashes[np.minimum(at, len(self.hashes) - 1)] != hashes
+            hashes, first, at = hashes[free], first[free], at[free]
+        start, size, begin, n = start[first], size[first], begin[first], n[first]
+        rows = [len(self.data) + np.cumsum(size) - size, size, len(self.ids) + np.cumsum(n) - n, n, np.full(len(first), self.now)]
+        self.number = np.insert(self.number, at, self.table.shape[1] + np.arange(len(first)))
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.table = np.concatenate((self.table, rows), axis=1)
+        self.data = np.concatenate((self.data, data[_places(start, size)]))
+        self.ids = np.concatenate((self.ids, ids[_places(begin, n)]))
+        if len(self.hashes) > 2 * REMEMBERED:
+            self._keep(np.sort(np.argsort(self.table[4], kind="stable")[-REMEMBERED:]))
+
+    def _keep(self, kept: np.ndarray) -> None:
+        renamed = np.full(self.table.shape[1], -1, np.int64)
+        renamed[kept] = np.arange(len(kept))
+        number = renamed[self.number]
+        self.hashes, self.number = self.hashes[number >= 0], number[number >= 0]
+        start, size, begin, n, used = self.table[:, kept]
+        self.data, self.ids = self.data[_places(start, size)], self.ids[_places(begin, n)]
+        self.table = np.stack((np.cumsum(size) - size, size, np.cumsum(n) - n, n, used))
 
 
 class Encoder:
@@ -74,49 +152,57 @@ class Encoder:
     The tokenizer never joins characters across white space, nor a letter or
     digit with a following mark other than the apostrophe, so the ids of a text
     are those of its pieces. Pieces are told apart by their bytes; a new piece
-    goes through the tokenizer, a plain Latin word straight to its model.
+    goes through the tokenizer, plain Latin words straight to its model, many at
+    a time: the last id of each says that the word ends.
     """
 
     def __init__(self, tokenizer: str, kind: np.dtype) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         # A task has one core; a thread per core of the machine would only hold memory.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.model = self.tokenizer.model
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         self.kind = kind
+        suffix = self.tokenizer.model.end_of_word_suffix
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith(suffix)]] = True
         # Their strings stand for themselves only in a text as a whole.
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def ids_of(self, pieces: list[bytes]) -> list[bytes]:
-        order, sizes, ids, rest, texts = [], [], [], [], []
-        tokenize = self.model.tokenize
-        for i, piece in enumerate(pieces):
-            text = piece.decode("utf-8", "replace")
-            word = text.lower()
-            ascii_only = word.isascii()
-            if word.isalpha() and len(piece) <= WORD_BYTES and (ascii_only or max(word) <= _LATIN):
-                # ASCII letters stand for themselves in the alphabet.
-                mapped = word if ascii_only else word.encode().decode("latin-1").translate(_ALPHABET)
-                found = [t.id for t in tokenize(mapped)]
-                order.append(i)
-                sizes.append(len(found))
-                ids += found
-            else:
-                rest.append(i)
-                texts.append(text)
+        self.known = Known(kind)
+
+    def ids_of(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of pieces, and where each one's begin and how many they are."""
+        n = np.zeros(len(pieces), np.int64)
+        if not pieces:
+            return np.empty(0, self.kind), n, n
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        plain = _latin(np.frombuffer(b" ".join(pieces), np.uint8), np.cumsum(size + 1) - size - 1)
+        order = np.flatnonzero(plain & (size <= WORD_BYTES))
+        rest = np.flatnonzero(~plain | (size > WORD_BYTES))
+        found = []
+        for low in range(0, len(order), WORDS):
+            now = order[low : low + WORDS]
+            letters = np.frombuffer(b" ".join([pieces[i] for i in now.tolist()]).decode().lower().encode(), np.uint8)
+            mapped = _ALPHABET[letters].tobytes().decode("utf-16-le")
+            ids = np.array(self.words.encode_batch_fast([mapped], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.flatnonzero(self.ends[ids])
+            if len(ends) != len(now):
+                raise ValueError("words that do not end")
+            n[now] = np.diff(ends, prepend=-1)
+            found.append(ids)
         for low in range(0, len(rest), 500):
-            for coded in self.tokenizer.encode_batch_fast(texts[low : low + 500], add_special_tokens=False):
-                found = coded.ids
-                sizes.append(len(found))
-                ids += found
-        data, out, at = np.array(ids, self.kind).tobytes(), [b""] * len(pieces), 0
-        for i, size in zip(order + rest, sizes, strict=True):
-            to = at + size * self.kind.itemsize
-            out[i], at = data[at:to], to
-        return out
+            now = rest[low : low + 500].tolist()
+            texts = [pieces[i].decode("utf-8", "replace") for i in now]
+            for i, coded in zip(now, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                ids = coded.ids
+                n[i] = len(ids)
+                found.append(np.array(ids, self.kind))
+        begin, both = np.empty(len(pieces), np.int64), np.concatenate((order, rest))
+        begin[both] = np.cumsum(n[both]) - n[both]
+        return np.concatenate(found), begin, n
 
     def __call__(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin."""
@@ -132,28 +218,25 @@ class Encoder:
         return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
 
     def _pieced(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-        start, end, first = bounds_of(texts, BLANK, _cuts(texts.data))
-        which, place = numbered(texts.data, start, end)
-        whole = texts.data.tobytes()
-        pieces = [whole[s:e] for s, e in zip(start[place].tolist(), end[place].tolist(), strict=True)]
-        found = list(map(self.new.get, pieces))
-        missed = [i for i, ids in enumerate(found) if ids is None]
-        older = list(map(self.old.get, [pieces[i] for i in missed]))
-        made = iter(self.ids_of([pieces[i] for i, ids in zip(missed, older, strict=True) if ids is None]))
-        if len(self.new) > REMEMBERED:
-            # Of the new ones, those in use go on.
-            self.old, self.new = self.new, {p: ids for p, ids in zip(pieces, found, strict=True) if ids is not None}
-        for i, ids in zip(missed, older, strict=True):
-            found[i] = ids = next(made) if ids is None else ids
-            if len(pieces[i]) <= WORD_BYTES:
-                self.new[pieces[i]] = ids
-        table = np.frombuffer(b"".join(found), self.kind)
-        sizes = np.array([len(ids) for ids in found], np.int64) // self.kind.itemsize
-        begin = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-        n = sizes[which]
-        upto = np.concatenate(([0], np.cumsum(n)))
-        at = np.repeat(begin[which] - upto[:-1], n) + np.arange(upto[-1])
-        return table[at], upto[first]
+        data = texts.data
+        start, end, first = bounds_of(texts, BLANK, _cuts(data))
+        hashes = hashes_of(data, start, end)
+        which, place = numbered(data, start, end, hashes)
+        hashes, start, size = hashes[place], start[place], (end - start)[place]
+        number = self.known.find(hashes, data, start, size)
+        new = np.flatnonzero(number < 0)
+        whole = data.tobytes()
+        pieces = [whole[s:e] for s, e in zip(start[new].tolist(), (start + size)[new].tolist(), strict=True)]
+        ids, at, count = self.ids_of(pieces)
+        old = self.known.ids
+        table, begin, n = np.concatenate((old, ids)), np.empty(len(place), np.int64), np.empty(len(place), np.int64)
+        if len(old):
+            begin[:], n[:] = self.known.table[2:4, number]
+        begin[new], n[new] = len(old) + at, count
+        short = size[new] <= WORD_BYTES
+        self.known.add(hashes[new][short], data, start[new][short], size[new][short], ids, at[short], count[short])
+        n = n[which]
+        return table[_places(begin[which], n)], np.concatenate(([0], np.cumsum(n)))[first]
 
 
 def id_type(size: int) -> np.dtype:
@@ -212,8 +295,11 @@ def counts_of(tokens: DataFrame, size: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(size, np.int64)
         for batch in batches:
-            for ids in batch.column("ids"):
-                counts += np.bincount(np.frombuffer(ids.as_buffer(), kind), minlength=size)
+            column = batch.column("ids").cast(pa.large_binary())
+            offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+            ids = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]].view(kind)
+            for low in range(0, len(ids), BLOCK):
+                counts += np.bincount(ids[low : low + BLOCK], minlength=size)
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], ["id", "n"])
 

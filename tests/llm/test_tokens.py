@@ -8,15 +8,17 @@ import subprocess
 import sys
 import zlib
 from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from samples import prose
 from tokenizers import Tokenizer
 
-from fairdraw.llm import rans, tokens
+from fairdraw.llm import rans, text, tokens
 from fairdraw.llm.storage import new_folder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -160,3 +162,27 @@ print(len(os.listdir("/proc/self/task")) - before)
 def test_the_driver_loads_no_tokenizer(monkeypatch):
     monkeypatch.setattr(Tokenizer, "from_file", None)
     assert tokens.vocabulary_size(PATH, 2) == 49_408 and tokens.vocabulary_size(PATH, 60_000) == 60_001
+
+
+@pytest.mark.parametrize("hashes", ["own", "equal"])
+def test_new_words_reach_the_model_together(monkeypatch, hashes):
+    """Words of Latin letters, those at the borders of that range, and others."""
+    monkeypatch.setattr(tokens, "REMEMBERED", 300)
+    if hashes == "equal":
+        monkeypatch.setattr(text, "_hashes", lambda data, start, end: np.zeros(len(start), np.uint64))
+    odd = ["İx", "a×b", "a÷b", "ǅungla", "ŉa", "Ⱥb", "ǿǾ", "ÀÿƀǿȀɏ", "ªº", "µ", "e\u0301", "É" * 19, "É" * 20, "É" * 21, "z" * 41, "x2y", "don't"]
+    whole, encoder = Tokenizer.from_file(PATH), tokens.Encoder(Path(PATH).read_text(encoding="utf-8"), tokens.id_type(49_408))
+    calls, model = [], encoder.words
+    encoder.words = SimpleNamespace(encode_batch_fast=lambda words, **other: calls.append(words) or model.encode_batch_fast(words, **other))
+    for i in range(6):
+        some = [prose(i, 200), " ".join(f"w{chr(97 + j % 26)}{chr(97 + j // 26)}{'qrstuv'[i]}Ä" for j in range(500)), "", " ".join(odd), *odd]
+        ids, first = encoder(text.texts_of(pa.array(some)))
+        assert [ids[first[j] : first[j + 1]].tolist() for j in range(len(some))] == [x.ids for x in whole.encode_batch(some, add_special_tokens=False)]
+    assert len(calls) == 6 and len(encoder.known.hashes) <= 600
+
+
+def test_counts_of_ids(spark):
+    rows = [(bytes([1, 0, 5, 0, 1, 0]),), (b"",), (bytes([255, 191]),)]
+    counts = tokens.counts_of(spark.createDataFrame(rows, "ids binary").repartition(2), 49_408)
+    assert counts[[1, 5, 49_151]].tolist() == [2, 1, 1] and counts.sum() == 4
+    assert tokens.counts_of(spark.createDataFrame([], "ids binary"), 49_408).sum() == 0
